@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aqgrid.llm import language_id, quality_rules, secret_scan, url_filter
+from aqgrid.llm import decontamination, language_id, ngram_join, packing, quality_rules, secret_scan, substring_dedup, url_filter, warc
 from aqgrid.llm.url_filter import UrlRule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,32 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learn = language_id.training_rows(docs)
@@ -79,6 +105,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS g FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 12)) AS i FROM d)),
+f AS (SELECT g, min(doc_id) AS least FROM w GROUP BY g),
+r AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(generate_series(i, i + 12)) AS p FROM w JOIN f USING (g) WHERE doc_id > least)),
+g AS (SELECT doc_id, list(p) AS ps FROM r GROUP BY doc_id),
+k AS (SELECT doc_id, ws, CASE WHEN ps IS NULL THEN ws ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda p: NOT list_contains(ps, p)), lambda p: ws[p]) END AS kept FROM d LEFT JOIN g USING (doc_id))
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - len(kept) AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
+"""
+
+OP6_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, array_to_string(ws[i : i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM d)
+    UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+c AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT l.b, c.c FROM c JOIN l USING (a))
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.c AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(c) AS c FROM c GROUP BY a) m USING (doc_id)
+"""
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN keeper END AS refers_to
+FROM k
+"""
+
 OP3_SQL = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -101,6 +161,17 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
     "op3_url_filter": op3_url_filter,
+    "op4_packing": op4_packing,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_ngram_join": op6_ngram_join,
     "op8_language_id": op8_language_id,
+    "op9_decontamination": op9_decontamination,
+    "op10_warc": op10_warc,
+}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": OP1_SQL,
+    "op3_url_filter": OP3_SQL,
+    "op5_substring_dedup": OP5_SQL,
+    "op6_ngram_join": OP6_SQL,
+    "op10_warc": OP10_SQL,
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op3_url_filter": OP3_SQL}
