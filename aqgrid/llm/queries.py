@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aqgrid.llm import decontamination, language_id, ngram_join, packing, quality_rules, secret_scan, substring_dedup, url_filter, warc
+from aqgrid.llm import decontamination, html_extract, language_id, ngram_join, packing, quality_rules, secret_scan, substring_dedup, url_filter, warc
 from aqgrid.llm.url_filter import UrlRule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -164,6 +168,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_ngram_join": op6_ngram_join,
+    "op7_html_extract": op7_html_extract,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
