@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aqgrid.plans import air  # noqa: F401  registers its queries
 from aqgrid.plans.queries import ORACLES, QUERIES, Query
 
 
