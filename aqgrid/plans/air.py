@@ -466,9 +466,9 @@ def _edges(spark, d):
     return rollup.edge_means(landuse.clip_lines(S.road_segments(spark, d)).where("length > 1e-9"), values)
 
 
-@query("r4_edge_means", sql(_CLIP + " SELECT feature_id, round(sum(length * (i * 10.0 + j)) / sum(length), 3) AS value, round(sum(length), 3) AS length FROM cl WHERE length > 1e-9 AND i BETWEEN 0 AND 9 AND j BETWEEN 0 AND 9 GROUP BY 1", "seg"))
+@query("r4_edge_means", sql(_CLIP + " SELECT feature_id, round(sum(length * (i * 10.0 + j)) / sum(length), 7) AS value, round(sum(length), 7) AS length FROM cl WHERE length > 1e-9 AND i BETWEEN 0 AND 9 AND j BETWEEN 0 AND 9 GROUP BY 1", "seg"))
 def r4(spark, d):
-    return _edges(spark, d).select("feature_id", F.round("value", 3).alias("value"), F.round("length", 3).alias("length"))
+    return _edges(spark, d).select("feature_id", F.round("value", 7).alias("value"), F.round("length", 7).alias("length"))
 
 
 @query("r5_route_exposure")
