@@ -19,9 +19,13 @@ tokenized whole.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,31 +41,79 @@ GATHER = 4
 _COLUMNS = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, task int"
 
 
+#: Words that the tokenizer's normaliser only lower-cases and whose parts the pattern below finds as the tokenizer does.
+_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_ASCII_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The public byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit integers, by a cache of its space-separated parts."""
+    """Ids of a text as little-endian unsigned 32-bit integers, by bounded caches of words and of parts of words.
+
+    The tokenizer drops white space, so the ids of a text are those of its space-separated words, one after the other. A
+    word of ASCII and Latin-1 letters is cut as the tokenizer's own pattern does and its parts go to the tokenizer's model
+    straight away; any other word, or any word if the tokenizer is of another make, goes through the whole tokenizer.
+    """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
         self.cache: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        self.straight = _made_of(made) == ["NFC", "Replace", "Lowercase", _ASCII_PATTERN, "ByteLevel"]
+        self.special = [x["content"] for x in made.get("added_tokens", [])]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         cache = self.cache
         if len(cache) > self.most:
             cache.clear()
-        new = {w for ws in words for w in ws if w not in cache}
-        if new:
-            new = list(new)
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    cache[w] = np.array(e.ids, "<u4").tobytes()
+        if len(self.parts) > self.most:
+            self.parts.clear()
+        for w in set().union(*words) - cache.keys():
+            cache[w] = self._word(w)
         return [b"".join([cache[w] for w in ws]) for ws in words]
 
+    def _word(self, w: str) -> bytes:
+        if not w:
+            return b""
+        if not self.straight or not _SIMPLE.fullmatch(w) or ("<" in w and any(x in w for x in self.special)):
+            return np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        parts, out = self.parts, []
+        for p in _PART.findall(w.lower()):
+            ids = parts.get(p)
+            if ids is None:
+                found = self.tokenizer.model.tokenize(p.encode().decode("latin-1").translate(self.letters))
+                ids = parts[p] = struct.pack(f"<{len(found)}I", *[x.id for x in found])
+            out.append(ids)
+        return b"".join(out)
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """A worker's encoder; its caches serve all tasks that the worker runs."""
+    return WordEncoder(path)
+
+
+def _made_of(made: dict) -> list[str]:
+    steps = [x["type"] for x in (made.get("normalizer") or {}).get("normalizers", [])]
+    for x in (made.get("pre_tokenizer") or {}).get("pretokenizers", []):
+        steps.append(x["pattern"].get("Regex", "") if x["type"] == "Split" else x["type"])
+    return steps
+
 
 def cut(n: int, capacity: int, max_cuts: int = 3) -> list[tuple[int, int]]:
     """(length, class) of the pieces of ``n`` tokens, in order."""
@@ -118,7 +170,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096, end_id:
     end = np.array([end_id], "<u4").tobytes()
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        encoder, task = WordEncoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, task = _encoder(tokenizer_path), TaskContext.get().partitionId()
         bins = Bins((task * 2) << 31)
         for b in chunks(batches, text_col):
             rows: list[tuple] = []
