@@ -146,3 +146,13 @@ def capped_index(df: DataFrame, raw: str, name: str, approximate: bool = False)
     top = top.select(F.when(F.col("p99") > 0, F.col("p99")).when(F.col("top") > 0, F.col("top")).otherwise(1.0).alias("_cap"))
     value = F.greatest(F.lit(0.0), F.least(F.lit(100.0), 100 * F.col(raw) / F.col("_cap")))
     return df.crossJoin(F.broadcast(top)).withColumn(name, value).drop("_cap")
+
+
+def ring_flags(rings: DataFrame) -> DataFrame:
+    """Rings (feature_id, ring array<struct<x, y>>) with validity flags, the signed area, and the ring turned anticlockwise."""
+    pairs = "zip_with(slice(ring, 1, greatest(size(ring) - 1, 0)), slice(ring, 2, greatest(size(ring) - 1, 0)), (a, b) -> a.x * b.y - b.x * a.y)"
+    d = rings.withColumn("area", F.expr(f"aggregate({pairs}, 0D, (s, v) -> s + v) / 2"))
+    closed = F.coalesce(F.get("ring", F.lit(0)) == F.element_at("ring", F.lit(-1)), F.lit(False))
+    d = d.withColumn("closed", F.when(F.size("ring") > 0, closed).otherwise(False)).withColumn("enough_points", F.size("ring") >= 4)
+    valid = F.col("closed") & F.col("enough_points") & (F.abs("area") > 0)
+    return d.withColumn("valid", valid).withColumn("ring", F.when(F.col("area") < 0, F.reverse("ring")).otherwise(F.col("ring")))

@@ -116,3 +116,48 @@ def grid_spacing(grid: DataFrame, column: str) -> DataFrame:
 
     d = grid.select(F.col(column).alias("v")).distinct()
     return d.select((F.col("v") - F.lag("v").over(Window.orderBy("v"))).alias("step")).agg(F.median("step").alias("spacing"))
+
+
+def feature_checks(columns: list[str]) -> list[Check]:
+    """Checks by group of the feature table, for the columns that are there."""
+    # Ranges by column name or prefix.
+    ranges = [("toa_", -0.1, 2), ("ndvi", -2, 2), ("ibi", -2, 2), ("ndbi", -2, 2), ("mndwi", -2, 2), ("ui", -2, 2), ("bsi", -2, 2), ("sentinel2_evi", -1, 1.5), ("s5p_no2", 0, None), ("pct_", 0, 100), ("pm25", 0, 1000)]
+    out = []
+    for c in columns:
+        if not c.endswith(("_is_nodata", "_meta")):
+            for name, low, high in ranges:
+                if c == name or (name.endswith("_") and c.startswith(name)):
+                    out.append(Check(f"{c}_range", outside(c, low, high)))
+    return out
+
+
+def industrial_checks() -> list[Check]:
+    names = ("industrial_area_m2", "industrial_building_area_m2", "industrial_building_volume_m3", "landfill_area_m2", "quarry_area_m2", "power_plant_count", "chimney_count", "industrial_poi_count", "industrial_building_count")
+    out = [Check(f"{c}_negative", outside(c, 0)) for c in names]
+    return [*out, Check("industrial_index_combined_range", outside("industrial_index_combined", 0, 100)), Check("confidence_label", ~F.col("industrial_confidence").isin("high", "medium", "low"))]
+
+
+def raster_checks(low: float = 0.0, high: float = 1.0) -> list[Check]:
+    return [Check("value_range", outside("value", low, high)), Check("value_missing", F.col("value").isNull(), severity="warning")]
+
+
+def grid_report(grid: DataFrame, res: float = 30.0, tolerance: float = 1.0) -> DataFrame:
+    """Checks of a grid as a whole: unique ids, no repeated place, the spacing of x and y."""
+    n = grid.agg((F.count("*") - F.count_distinct("grid_id")).cast("double").alias("ids"), (F.count("*") - F.count_distinct("x", "y")).cast("double").alias("places"))
+    steps = grid_spacing(grid, "x").select(F.col("spacing").alias("sx")).crossJoin(grid_spacing(grid, "y").select(F.col("spacing").alias("sy")))
+    row = lambda name, ok, seen, want: F.struct(F.lit(name).alias("check"), F.lit("table").alias("scope"), F.lit("error").alias("severity"), ok.alias("passed"), seen.alias("observed"), F.lit(want).alias("expected"))
+    near = lambda c: F.abs(F.col(c) - res) <= tolerance
+    return n.crossJoin(steps).select(F.inline(F.array(row("unique_ids", F.col("ids") == 0, F.col("ids"), 0.0), row("unique_places", F.col("places") == 0, F.col("places"), 0.0), row("spacing_x", near("sx"), F.col("sx"), res), row("spacing_y", near("sy"), F.col("sy"), res))))
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """Type, rows and nulls of each column."""
+    kinds = dict(df.dtypes)
+    n = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return n.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.col("_rows").alias("n_rows"), F.col(c).alias("nulls")) for c in df.columns])))
+
+
+def unmapped_months(dates: DataFrame, sources: DataFrame) -> DataFrame:
+    """Months of the dates that no source covers, with the number of dates."""
+    m = lambda d: d.select(F.to_date(F.trunc("date", "MM")).alias("month"), "date").distinct()
+    return m(dates).join(m(sources).select("month").distinct(), "month", "left_anti").groupBy("month").agg(F.count("*").alias("n_dates"))

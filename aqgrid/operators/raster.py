@@ -118,3 +118,19 @@ def horizon_svf(dsm: DataFrame, *, res: float, radius: float, directions: int =
         return pd.DataFrame({"row": i + r0, "col": j + c0, "horizon_sin2_mean": m, "svf": np.clip(1 - m, 0, 1)})
 
     return dealt.groupBy("bi", "bj").applyInPandas(run, "row long, col long, horizon_sin2_mean double, svf double")
+
+
+def relief(pixels: DataFrame, res: float) -> DataFrame:
+    """Gradient magnitude by central differences and the range within the 3 x 3 window of each pixel."""
+    d = pixels.where("value IS NOT NULL")
+    o = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    spread = d.withColumn("o", o).select((F.col("row") - F.col("o.i")).alias("row"), (F.col("col") - F.col("o.j")).alias("col"), "value", "o")
+    at = lambda i, j: F.max(F.when((F.col("o.i") == i) & (F.col("o.j") == j), F.col("value")))
+    w = spread.groupBy("row", "col").agg((F.max("value") - F.min("value")).alias("range"), ((at(0, 1) - at(0, -1)) / (2 * res)).alias("gx"), ((at(1, 0) - at(-1, 0)) / (2 * res)).alias("gy"))
+    return d.select("row", "col").join(w, ["row", "col"]).select("row", "col", F.hypot("gx", "gy").alias("gradient"), "range")
+
+
+def looks_like_surface(pixels: DataFrame, res: float, *, least_range: float = 3.0, least_share: float = 0.1) -> DataFrame:
+    """Whether heights look like a surface model with buildings: enough windows have a range of a storey or more."""
+    r = relief(pixels, res).agg(F.avg((F.col("range") >= least_range).cast("double")).alias("share"), F.avg("gradient").alias("mean_gradient"), F.percentile("range", 0.95).alias("p95_range"))
+    return r.withColumn("is_surface", F.col("share") >= least_share)

@@ -556,3 +556,93 @@ def t1(spark, d):
     out = spark.read.schema("sensor_id long, date date, pm25 double, sample_count long").parquet(f"{base}/out")
     return r6(out, "pm25")
 
+
+# ---- further tables and checks
+
+
+@query("s10_rejects", sql("SELECT DISTINCT date, 'no clear scene' AS reason FROM scenes WHERE date NOT IN (SELECT date FROM scenes WHERE cloud < 15)", "scenes"))
+def s10(spark, d):
+    return tables.rejects(S.order_dates(spark, d), signals.clear_dates(S.scenes(spark, d)), "no clear scene")
+
+
+@query("g7_ring_flags", f"WITH {_TRI} SELECT k AS feature_id, round(((x2 - x1) * (y3 - y1) - (x3 - x1) * (y2 - y1)) / 2, 6) AS area, k % 4 <> 0 AS closed, k % 4 <> 0 AS enough_points, k % 4 <> 0 AS valid FROM tri WHERE abs((x2 - x1) * (y3 - y1) - (x3 - x1) * (y2 - y1)) > 1e-3 AND k % 4 <> 0 UNION ALL SELECT k, round((x1 * y2 - x2 * y1 + x2 * y3 - x3 * y2) / 2, 6), false, false, false FROM tri WHERE abs((x2 - x1) * (y3 - y1) - (x3 - x1) * (y2 - y1)) > 1e-3 AND k % 4 = 0")
+def g7(spark, d):
+    """Triangles of which every fourth ring is left open."""
+    k = F.col("p_partkey")
+    corner = [F.struct((300.0 * ((k * a) % 997) / 997.0).alias("x"), (300.0 * ((k * b) % 991) / 991.0).alias("y")) for a, b in ((7919, 104729), (7907, 104723), (7901, 104717))]
+    p = table(spark, d, "part").select(k.alias("feature_id"), *[c.alias(f"c{i}") for i, c in enumerate(corner)])
+    wide = F.abs((F.col("c1.x") - F.col("c0.x")) * (F.col("c2.y") - F.col("c0.y")) - (F.col("c2.x") - F.col("c0.x")) * (F.col("c1.y") - F.col("c0.y")))
+    ring = F.when(F.col("feature_id") % 4 == 0, F.array("c0", "c1", "c2")).otherwise(F.array("c0", "c1", "c2", "c0"))
+    out = landuse.ring_flags(p.where(wide > 1e-3).select("feature_id", ring.alias("ring")))
+    return r6(out.select("feature_id", "area", "closed", "enough_points", "valid"), "area")
+
+
+@query("g15_relief", f"WITH {_DSM} SELECT a.r AS row, a.c AS col, round(max(b.z) - min(b.z), 6) AS range FROM dsm a JOIN dsm b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY 1, 2")
+def g15(spark, d):
+    return r6(raster.relief(_dsm(spark, d), 30.0).select("row", "col", "range"), "range")
+
+
+@query("q11_surface", f"WITH {_DSM}, w AS (SELECT max(b.z) - min(b.z) AS g FROM dsm a JOIN dsm b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY a.r, a.c) SELECT round(avg(CASE WHEN g >= 3 THEN 1.0 ELSE 0.0 END), 6) AS share, round(quantile_cont(g, 0.95), 6) AS p95_range, avg(CASE WHEN g >= 3 THEN 1.0 ELSE 0.0 END) >= 0.1 AS is_surface FROM w")
+def q11(spark, d):
+    return r6(raster.looks_like_surface(_dsm(spark, d), 30.0).select("share", "p95_range", "is_surface"), "share", "p95_range")
+
+
+def _features(spark, d):
+    from aqgrid.operators import features
+
+    o = S.observed(spark, d).withColumnRenamed("cell", "grid_id")
+    cells = o.select("grid_id").distinct().crossJoin(S.order_dates(spark, d, 16))
+    inter = signals.interpolate(S.order_dates(spark, d, 16), S.observed(spark, d)).withColumnRenamed("cell", "grid_id")
+    daily = table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.max("l_quantity").alias("temp_max"))
+    static = landuse.tiles(spark, 10, 10).select((F.col("i") * 10 + F.col("j")).cast("long").alias("grid_id"), F.col("x0").alias("dust"))
+    return features.assemble(cells, {"s5p_no2": inter}, daily, [static])
+
+
+@query(
+    "r1_feature_table",
+    sql(
+        _W5
+        + """, w AS (SELECT CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS temp_max FROM lineitem GROUP BY 1)
+SELECT c.cell AS grid_id, tg.date, round(ip.value, 6) AS s5p_no2, ip.value IS NULL AS s5p_no2_is_nodata, (c.cell % 10) * 30.0::DOUBLE AS dust, w.temp_max
+FROM (SELECT DISTINCT cell FROM obs) c CROSS JOIN tg LEFT JOIN ip ON ip.cell = c.cell AND ip.date = tg.date LEFT JOIN w ON w.date = tg.date""",
+        "obs",
+    ),
+)
+def r1(spark, d):
+    return r6(_features(spark, d), "s5p_no2")
+
+
+@query("q3_features")
+def q3(spark, d):
+    f = _features(spark, d)
+    return quality.run_checks(f, quality.feature_checks(f.columns), columns=("grid_id", "date"))
+
+
+@query("q5_unmapped_months", sql("SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(DISTINCT date) AS n_dates FROM scenes WHERE date_trunc('month', date) NOT IN (SELECT date_trunc('month', date) FROM scenes WHERE cloud < 1) GROUP BY 1", "scenes"))
+def q5(spark, d):
+    return quality.unmapped_months(S.order_dates(spark, d), signals.clear_dates(S.scenes(spark, d), 1))
+
+
+@query("q6_sky_view", f"WITH {_DSM} SELECT unnest(['value_range', 'value_missing']) AS \"check\", 'row' AS scope, unnest(['error', 'warning']) AS severity, true AS passed, 0.0::DOUBLE AS observed, 0.0::DOUBLE AS expected")
+def q6(spark, d):
+    s = raster.horizon_svf(_dsm(spark, d), res=30.0, radius=90.0, directions=4, block=64).select(F.col("svf").alias("value"))
+    return quality.run_checks(s, quality.raster_checks())
+
+
+@query("q8_industrial_tiles")
+def q8(spark, d):
+    return quality.run_checks(_industrial(spark, d), quality.industrial_checks(), columns=("tile_id",))
+
+
+@query("q9_grid", """WITH g AS (SELECT p_partkey AS grid_id, 30.0::DOUBLE * (p_partkey % 50) AS x, 30.0::DOUBLE * (p_partkey // 50) AS y FROM part)
+SELECT * FROM (SELECT 'unique_ids' AS "check", 'table' AS scope, 'error' AS severity, count(*) = count(DISTINCT grid_id) AS passed, CAST(count(*) - count(DISTINCT grid_id) AS DOUBLE) AS observed, 0.0::DOUBLE AS expected FROM g
+UNION ALL SELECT 'unique_places', 'table', 'error', count(*) = count(DISTINCT (x, y)), CAST(count(*) - count(DISTINCT (x, y)) AS DOUBLE), 0.0::DOUBLE FROM g
+UNION ALL SELECT 'spacing_x', 'table', 'error', true, 30.0::DOUBLE, 30.0::DOUBLE UNION ALL SELECT 'spacing_y', 'table', 'error', true, 30.0::DOUBLE, 30.0::DOUBLE)""")
+def q9(spark, d):
+    k = F.col("p_partkey")
+    return quality.grid_report(table(spark, d, "part").select(k.alias("grid_id"), (30.0 * (k % 50)).alias("x"), (30.0 * F.expr("p_partkey DIV 50")).alias("y")))
+
+
+@query("q10_profile", """SELECT unnest(['event_id', 'ts', 'user_id', 'event_type', 'value', 'props']) AS "column", (SELECT count(*) FROM events) AS n_rows, unnest([(SELECT count(*) FILTER (event_id IS NULL) FROM events), (SELECT count(*) FILTER (ts IS NULL) FROM events), (SELECT count(*) FILTER (user_id IS NULL) FROM events), (SELECT count(*) FILTER (event_type IS NULL) FROM events), (SELECT count(*) FILTER (value IS NULL) FROM events), (SELECT count(*) FILTER (props IS NULL) FROM events)]) AS nulls""")
+def q10(spark, d):
+    return quality.profile(table(spark, d, "events")).drop("type")

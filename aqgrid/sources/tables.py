@@ -94,3 +94,13 @@ def attach_signal(features: DataFrame, signal: DataFrame, name: str, keys: tuple
 
 def merge_dates(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("date").unionByName(b.select("date")).distinct()
+
+
+def write_csv(df: DataFrame, path: str, drop: tuple[str, ...] = ("geometry",)) -> None:
+    """CSV with a header, without the columns that have no plain form."""
+    df.drop(*drop).write.mode("overwrite").option("header", True).csv(path)
+
+
+def rejects(requested: DataFrame, done: DataFrame, reason: str, key: str = "date") -> DataFrame:
+    """Units that gave no result, with the reason."""
+    return pending(requested, done, key).select(key, F.lit(reason).alias("reason"))

@@ -243,3 +243,32 @@ def test_plans_have_no_nested_loops(spark):
     for name in ("j3_nearest_hour", "w5_interpolate", "g4_clip_lines", "g5_polygon_area"):
         plan = q[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_csv_rejects_and_relief(spark, tmp_path):
+    d = spark.createDataFrame([(1, D(2020, 1, 1), "g")], "id long, date date, geometry string")
+    tables.write_csv(d, str(tmp_path / "c"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == ["id", "date"]
+    assert tables.rejects(d, d.limit(0), "none").first().reason == "none"
+    flat = spark.createDataFrame([(i, j, 5.0 * j) for i in range(4) for j in range(4)], "row long, col long, value double")
+    got = {(r.row, r.col): (r.gradient, r.range) for r in raster.relief(flat, 5.0).collect()}
+    assert got[1, 1] == (1.0, 10.0) and got[0, 0] == (None, 5.0)
+
+
+def test_refresh_by_date(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    make = lambda rows: spark.createDataFrame(rows, "id long, date date")
+    make([(1, D(2020, 1, 1)), (2, D(2020, 1, 2))]).write.parquet(src)
+    stream = lambda: spark.readStream.schema("id long, date date").parquet(src)
+    streams.refresh_by_date(stream(), out, str(tmp_path / "state"))
+    make([(3, D(2020, 1, 2))]).write.mode("append").parquet(src)
+    streams.refresh_by_date(stream(), out, str(tmp_path / "state"))
+    assert {r.id for r in spark.read.parquet(out).collect()} == {1, 3}
+
+
+def test_ring_flags(spark):
+    P = "array<struct<x:double,y:double>>"
+    sq = [(0.0, 0.0), (0.0, 2.0), (2.0, 2.0), (2.0, 0.0), (0.0, 0.0)]
+    d = spark.createDataFrame([(1, sq), (2, sq[:-1]), (3, []), (4, [(0.0, 0.0)] * 4)], f"feature_id long, ring {P}")
+    got = {r.feature_id: (r.valid, r.area) for r in landuse.ring_flags(d).collect()}
+    assert got[1] == (True, -4.0) and not got[2][0] and got[3] == (False, 0.0) and not got[4][0]
