@@ -54,6 +54,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _word_hashes(buf: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of neighbouring words: sums over their bytes, each times a multiplier of its place."""
+    base = int(start[0])
+    a = np.frombuffer(buf, np.uint8, int(end[-1]) - base, base)
+    size = end - start + 1
+    place = np.arange(len(a)) - np.repeat(start - base, size)[: len(a)]
+    if int(size.max()) <= len(_PLACE):
+        v = _PLACE[place]
+    else:  # in very long words the multipliers differ by block of 4,096, too
+        v = _PLACE[place & 4095] * (mix((place >> 12).astype(np.uint64)) | np.uint64(1))
+    v *= _BYTE[a]
+    v[end[:-1] - base] = 0
+    return mix(np.add.reduceat(v, start - base) + size.astype(np.uint64))
+
+
 class Words:
     """The words of several texts in one buffer, with 64-bit hashes and the text each belongs to."""
 
@@ -74,20 +89,15 @@ class Words:
             self.start = self.end = np.zeros(0, np.int64)
             self.hash = np.zeros(0, np.uint64)
             return
-        a = np.frombuffer(self.buf, np.uint8)
-        gaps = np.flatnonzero(a == 32)
+        gaps = np.flatnonzero(np.frombuffer(self.buf, np.uint8) == 32)
         self.start = np.concatenate(([0], gaps + 1))
-        self.end = np.concatenate((gaps, [len(a)]))
-        size = self.end - self.start + 1
-        place = np.arange(len(a), dtype=np.int64) - np.repeat(self.start, size)[: len(a)]
-        longest = int(size.max())
-        if longest <= len(_PLACE):
-            v = _PLACE[place]
-        else:  # very long words: their places' multipliers are spread by their block of 4,096
-            v = _PLACE[place & 4095] * (mix((place >> 12).astype(np.uint64)) | np.uint64(1))
-        v *= _BYTE[a]
-        v[gaps] = 0
-        self.hash = mix(np.add.reduceat(v, self.start) + size.astype(np.uint64))
+        self.end = np.concatenate((gaps, [len(self.buf)]))
+        self.hash = np.empty(n, np.uint64)
+        at = 0
+        while at < n:  # in steps, as hashing needs some 30 bytes for each byte of text
+            to = max(at + 1, int(np.searchsorted(self.end, self.start[at] + (1 << 19), side="right")))
+            self.hash[at:to] = _word_hashes(self.buf, self.start[at:to], self.end[at:to])
+            at = to
 
     def grams(self, k: int) -> np.ndarray:
         """Hashes of the k words from each place on; of n - k + 1 places, also those that run over a text's end."""

@@ -20,7 +20,6 @@ rows. Texts of any length are read whole.
 
 from __future__ import annotations
 
-import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -31,12 +30,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aqgrid.llm.common import STEP, Words, chunks, mix, utf8, written
+from aqgrid.llm.common import Words, chunks, mix, utf8
 
 #: Frequent minimisers that are put last; the list goes to every task.
 MAX_FREQUENT = 4096
 #: Text that one bucket gets on average.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
+#: Packed strings that a task holds before it sends them; larger parcels compress better.
+HOLD_BYTES = 40 << 20
 _LAST = np.uint64(1) << np.uint64(63)
 
 
@@ -98,7 +99,7 @@ def frequent_minimisers(docs: DataFrame, *, k: int, m: int, id_col: str, text_co
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, text_col):
+        for b in chunks(batches, text_col, 2 << 20):
             words = Words(utf8(b.column(text_col)))
             key, n = np.unique(SuperKmers(words, k, m, np.zeros(0, np.uint64)).key, return_counts=True)
             pick = n >= max(8, n.sum() // 1000)
@@ -111,17 +112,17 @@ def frequent_minimisers(docs: DataFrame, *, k: int, m: int, id_col: str, text_co
     return np.sort(np.array([r["key"] for r in rows if r["key"] != -1], np.int64).view(np.uint64)), size
 
 
-def _pack(doc: np.ndarray, first: np.ndarray, parts: list[bytes], zstd: zstandard.ZstdCompressor) -> bytes:
-    body = b"\n".join(parts)
+def _pack(doc: np.ndarray, first: np.ndarray, body: bytes, zstd: zstandard.ZstdCompressor) -> bytes:
     head = struct.pack("<I", len(doc)) + doc.astype("<i8").tobytes() + first.astype("<i4").tobytes()
     return zstd.compress(head + body)
 
 
-def _unpack(blob: bytes, zstd: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def _unpack(blob: bytes, zstd: zstandard.ZstdDecompressor, words: bool) -> tuple:
     data = zstd.decompress(blob)
     n = struct.unpack_from("<I", data)[0]
     at = 4 + 12 * n
-    return np.frombuffer(data, "<i8", n, 4), np.frombuffer(data, "<i4", n, 4 + 8 * n), data[at:].split(b"\n")
+    rest = data[at:].split(b"\n") if words else np.frombuffer(data, "<i4", n, at)
+    return np.frombuffer(data, "<i8", n, 4), np.frombuffer(data, "<i4", n, 4 + 8 * n), rest
 
 
 def removals(docs: DataFrame, *, k: int = 13, m: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,9 +133,9 @@ def removals(docs: DataFrame, *, k: int = 13, m: int = 3, id_col: str = "doc_id"
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of two kinds: packed super-k-mers for a bucket, and (bucket -1) intervals that are known already."""
-        zstd = zstandard.ZstdCompressor(level=1)
-        for b in chunks(batches, text_col):
+        """Packed rows for the buckets: super-k-mers to count, and intervals that are known already."""
+        out = _Sender(buckets)
+        for b in chunks(batches, text_col, 2 << 20):
             ids, texts = _sorted_chunk(b, id_col, text_col)
             words = Words(texts)
             s = SuperKmers(words, k, m, shared.value)
@@ -142,52 +143,69 @@ def removals(docs: DataFrame, *, k: int = 13, m: int = 3, id_col: str = "doc_id"
                 continue
             buf, seen = words.buf, {}
             begin, end = words.start[s.first], words.end[s.first + s.windows + k - 2]
-            doc_ids, first = ids[s.doc], s.first - words.first[s.doc]
-            send_it, known = np.ones(len(begin), bool), []
+            doc, first = ids[s.doc], s.first - words.first[s.doc]
+            go, known = [], []
             strings = [buf[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
-            for j, (w, d) in enumerate(zip(strings, doc_ids.tolist(), strict=True)):
-                if seen.setdefault(w, d) != d:  # documents come by id: an earlier one has all these windows
-                    send_it[j] = False
-                    known.append(j)
-            yield from _known(doc_ids, first, s.windows, known, k)
-            go = np.flatnonzero(send_it)
-            bucket = (mix(s.key[go]) % np.uint64(buckets)).astype(np.int64)
-            go = go[order := np.argsort(bucket, kind="stable")]
-            bucket = bucket[order]
-            cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-            blobs = [_pack(doc_ids[at := go[x:y]], first[at], [strings[j] for j in at.tolist()], zstd) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield _rows(bucket[cuts[:-1]], pa.array(blobs, pa.binary()))
-
-    sent = written(docs.mapInArrow(send, "bucket int, doc_id long, start int, stop int, packed binary"), "super-kmers")
+            for j, (w, d) in enumerate(zip(strings, doc.tolist(), strict=True)):
+                # documents come by id: where the string was seen before, an earlier one has all these windows
+                (go if seen.setdefault(w, d) == d else known).append(j)
+            if known:
+                out.known(*_merge(doc[known], first[known], first[known] + s.windows[known] + k - 1))
+            out.put((mix(s.key[go]) % np.uint64(buckets)).astype(np.int64), doc[go], first[go], [strings[j] for j in go])
+            if out.held >= HOLD_BYTES:
+                yield from out.flush()
+        yield from out.flush()
 
     def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         zstd = zstandard.ZstdDecompressor()
-        got = [_unpack(x, zstd) for x in rows["packed"]]
-        doc, first = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
-        return pd.DataFrame(duplicate_runs(doc, first, [w for g in got for w in g[2]], k), columns=["doc_id", "start", "stop"])
-
-    runs = "doc_id long, start int, stop int"
-    counted = sent.where("bucket >= 0").select("bucket", "packed").groupBy("bucket").applyInPandas(count, runs)
-    return counted.unionByName(sent.where("bucket < 0").select("doc_id", "start", "stop"))
-
-
-def _rows(bucket: np.ndarray, packed: pa.Array) -> pa.RecordBatch:
-    n = len(bucket)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket.astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), packed], names=["bucket", "doc_id", "start", "stop", "packed"]
-    )
-
-
-def _known(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, which: list[int], k: int) -> Iterator[pa.RecordBatch]:
-    if not which:
-        return
-    at = np.array(which)
-    d, a, z = _merge(doc[at], first[at], first[at] + windows[at] + k - 1)
-    n = len(d)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, -1, np.int32)), pa.array(d), pa.array(a.astype(np.int32)), pa.array(z.astype(np.int32)), pa.nulls(n, pa.binary())],
-        names=["bucket", "doc_id", "start", "stop", "packed"],
-    )
+        known = [_unpack(x, zstd, False) for x in rows["packed"][rows["known"]]]
+        got = [_unpack(x, zstd, True) for x in rows["packed"][~rows["known"]]]
+        parts = [pd.DataFrame({"doc_id": g[0], "start": g[1], "stop": g[2]}) for g in known]
+        if got:
+            doc, first = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+            parts.append(pd.DataFrame(duplicate_runs(doc, first, [w for g in got for w in g[2]], k), columns=["doc_id", "start", "stop"]))
+        return pd.concat(parts)
+
+    sent = docs.mapInArrow(send, "bucket int, known boolean, packed binary")
+    return sent.groupBy("bucket").applyInPandas(count, "doc_id long, start int, stop int")
+
+
+class _Sender:
+    """Holds super-k-mers of several chunks by bucket, and packs them."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.zstd = buckets, zstandard.ZstdCompressor(level=3)
+        self.parts: list[tuple] = []
+        self.intervals: list[tuple] = []
+        self.held = 0
+
+    def put(self, bucket: np.ndarray, doc: np.ndarray, first: np.ndarray, strings: list[bytes]) -> None:
+        order = np.argsort(bucket, kind="stable")
+        self.parts.append((bucket[order], doc[order], first[order], [strings[j] for j in order.tolist()]))
+        self.held += sum(map(len, strings)) + 64 * len(strings)
+
+    def known(self, doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> None:
+        self.intervals.append((doc, start, stop))
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        bucket, known, packed = [], [], []
+        edges = [np.searchsorted(p[0], np.arange(self.buckets + 1)) for p in self.parts]
+        for k in range(self.buckets) if self.parts else ():
+            cut = [(p, int(e[k]), int(e[k + 1])) for p, e in zip(self.parts, edges, strict=True) if e[k] < e[k + 1]]
+            if cut:
+                doc, first = (np.concatenate([p[c][x:y] for p, x, y in cut]) for c in (1, 2))
+                bucket.append(k)
+                known.append(False)
+                packed.append(_pack(doc, first, b"\n".join([w for p, x, y in cut for w in p[3][x:y]]), self.zstd))
+        if self.intervals:  # any bucket will do; by the first document, so that they spread
+            doc, start, stop = (np.concatenate([i[c] for i in self.intervals]) for c in range(3))
+            for at in range(0, len(doc), 4096):
+                bucket.append(int(mix(doc[at : at + 1].astype(np.uint64))[0] % np.uint64(self.buckets)))
+                known.append(True)
+                packed.append(_pack(doc[at : at + 4096], start[at : at + 4096], stop[at : at + 4096].astype("<i4").tobytes(), self.zstd))
+        self.parts, self.intervals, self.held = [], [], 0
+        if bucket:
+            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(known), pa.array(packed, pa.binary())], names=["bucket", "known", "packed"])
 
 
 def _merge(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -241,11 +259,12 @@ def deduplicate(docs: DataFrame, *, k: int = 13, m: int = 3, id_col: str = "doc_
     """Rows (doc_id, n_words, n_removed, text): what is left of each document, its words joined by single spaces."""
     runs = removals(docs, k=k, m=m, id_col=id_col, text_col=text_col)
     runs = runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
-    joined = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(runs, "doc_id", "left")
+    joined = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    joined = joined.hint("merge").join(runs, "doc_id", "left")  # the intervals grow with the input
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words long, n_removed long, text string"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches):
+        for b in chunks(batches, limit=2 << 20):
             n_words, n_removed, kept = [], [], []
             for t, rs in zip(utf8(b.column("text")), b.column("runs").to_pylist(), strict=True):
                 words = t.split()
@@ -266,5 +285,3 @@ def digest(docs: DataFrame, **kw) -> DataFrame:
     """The digest that the query returns."""
     return deduplicate(docs, **kw).select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
-
-__all__ = ["STEP", "deduplicate", "digest", "duplicate_runs", "removals"]
