@@ -5,7 +5,7 @@ lists of the document's rare shingles, keeps the documents that occur often enou
 frequent shingles only for those. Here it runs twice.
 
 Over the whole corpus, with all lists but the n - T + c rarest of a document left unmerged: any partner occurs at least c
-times in the merged ones, on both sides, if all documents order shingles alike (c is 1 + 3 % of the size). The order is:
+times in the merged ones, on both sides, if all documents order shingles alike (c is 1 + 6 % of the size). The order is:
 corpus-wide frequent shingles last (a bounded list, counted over all documents), else the longest first, as long ones are
 rare; it is only a matter of speed. Lists travel packed by bucket. Short lists give counted pairs; a long list gives its
 members, which stay if they occur in enough lists. What remains falls into groups that no link leaves.
@@ -43,7 +43,7 @@ from aqgrid.llm.graph import components
 #: Frequent shingles that are put last; the list goes to every task.
 MAX_FREQUENT = 1 << 16
 #: Lists up to this length give pairs.
-SHORT_LIST = 16
+SHORT_LIST = 32
 #: Shingles of the documents that one task searches at once.
 GROUP_SHINGLES = 2_000_000
 #: Text that one bucket of lists stands for.
@@ -99,7 +99,7 @@ def needed(n: np.ndarray, percent: int) -> np.ndarray:
 
 def shared_rare(n):
     """c: how often a partner occurs in the merged lists at least; for numbers, arrays and columns."""
-    return 1 + (F.floor(n * 3 / 100) if isinstance(n, Column) else n * 3 // 100)
+    return 1 + (F.floor(n * 6 / 100) if isinstance(n, Column) else n * 6 // 100)
 
 
 def profiles(docs: DataFrame, *, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -132,8 +132,8 @@ def profiles(docs: DataFrame, *, k: int, id_col: str, text_col: str) -> DataFram
 
 
 def rare_lists(docs: DataFrame, frequent: np.ndarray, size: int, *, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """The merged lists: counted pairs of the short ones (kind 0: a, b, na, nb, count) and members of the long ones
-    (kind 1: a the list, b the set, na its size). Sets are named by the first half of their digest."""
+    """The merged lists: counted pairs of the short ones (kind 0: a, b, na, nb, count), members of the long ones (kind 1: a
+    the list, b the set, na its size). Sets are named by the first half of their digest."""
     buckets = max(64, -(-size // BUCKET_BYTES))
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -212,7 +212,7 @@ def merge_lists(token: np.ndarray, sets: np.ndarray, sizes: np.ndarray, bucket:
     m = int(long.sum())
     return pd.DataFrame(
         {
-            "kind": np.concatenate((np.zeros(len(pair), np.int8), np.ones(m, np.int8))),
+            "kind": np.repeat(np.array([0, 1], np.int8), [len(pair), m]),
             "a": np.concatenate((names[i], lists)),
             "b": np.concatenate((names[j], sets[long])),
             "na": np.concatenate((size_of[i], sizes[long])),
@@ -228,16 +228,15 @@ def groups(lists: DataFrame, percent: int) -> DataFrame:
     long = lists.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), F.col("na").alias("n"))
     in_long = long.groupBy("node").agg(F.count("*").alias("long"), F.first("n").alias("n"))
     pairs = written(pairs, "pairs")
-    ends = pairs.select(F.col("a").alias("node"), "count").union(pairs.select("b", "count")).groupBy("node").agg(F.sum("count").alias("short"))
     # a pair stays if its short lists, and all long ones that both might share, reach c
     a = in_long.select(F.col("node").alias("a"), F.col("long").alias("la"))
     b = in_long.select(F.col("node").alias("b"), F.col("long").alias("lb"))
     may = pairs.join(a, "a", "left").join(b, "b", "left")
     common = F.least(F.coalesce("la", F.lit(0)), F.coalesce("lb", F.lit(0)))
     may = may.where(F.col("count") + common >= shared_rare(F.least("na", "nb"))).select("a", "b")
-    # a member of long lists stays if it occurs in as many lists as its smallest partner asks for
+    # a pair without a common short list has c long ones in common: members of fewer, even for their smallest partner, go
     least = shared_rare(F.ceil(F.col("n") * percent / 100))
-    live = in_long.join(ends, "node", "left").where(F.col("long") + F.coalesce("short", F.lit(0)) >= least).select("node")
+    live = in_long.where(F.col("long") >= least).select("node")
     members = long.join(live, "node", "left_semi").select("list", "node")
     hubs = members.groupBy("list").agg(F.min("node").alias("hub"))
     stars = members.join(hubs, "list").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -356,7 +355,7 @@ def _large_links(rows: DataFrame, k: int, percent: int, limit: int) -> DataFrame
     asked = classed.where("class <> largest")
     parts = asked.groupBy("grp").agg(F.greatest(F.ceil(F.sum("n") / limit), F.lit(1)).alias("parts"))
     asked = asked.join(parts, "grp").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("long"))
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
     index = classed.join(parts, "grp").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     pick = lambda d, query: d.select("grp", "block", "part", "id", "text", F.lit(query).alias("query"), "class")
     return links.union(_links(pick(asked, True).union(pick(index, False)), ["grp", "block", "part"], k, percent))
@@ -389,7 +388,7 @@ def ngram_join(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str =
     total = chosen.groupBy("grp").agg(F.sum("n").alias("total"))
     chosen = written(chosen.join(total, "grp"), "chosen")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    picked = texts.join(chosen.withColumnRenamed("head", "id"), "id")
+    picked = texts.hint("merge").join(chosen.withColumnRenamed("head", "id"), "id")  # what is chosen grows with the input
     links = _links(picked.where(F.col("total") <= group_shingles).select("grp", "id", "text"), ["grp"], k, percent)
     if not chosen.where(F.col("total") > group_shingles).isEmpty():
         large = picked.where(F.col("total") > group_shingles).select("grp", "id", "n", "text")
