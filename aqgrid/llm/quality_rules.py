@@ -3,7 +3,8 @@
 Nulls: a null text has no words. An empty text or one of white space only has no words either; both fail the base
 rule. Repeated rows and ties each get a row of their own. Extra columns may be named in ``keep``; columns of the
 input never clash with those made here, as only ``id_col`` and ``text_col`` are read. An empty table gives no rows.
-Texts of any length are read whole; the work for one text grows as n log n with its words.
+Texts of any length are read whole; the work for one text grows as n log n with its words. Write or cache the result before
+filtering on it: Spark would push the condition below the projection and work out the measures once more for each mention.
 """
 
 from __future__ import annotations
