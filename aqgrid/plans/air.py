@@ -99,12 +99,12 @@ def p10(spark, d):
 _DAY = """SELECT CAST(datetime AS DATE) AS date, avg(temperature_2m) AS temp_mean, max(temperature_2m) AS temp_max, min(temperature_2m) AS temp_min, avg(relative_humidity_2m) AS rh_mean,
 avg(wind_speed_10m) AS wind_speed_mean, max(wind_speed_10m) AS wind_speed_max, coalesce(sum(precipitation), 0) AS precip_total, avg(cloud_cover) AS cloud_cover_mean, avg(surface_pressure) AS pressure_mean FROM hourly GROUP BY 1"""
 _MEANS = ("temp_mean", "rh_mean", "wind_speed_mean", "precip_total", "cloud_cover_mean", "pressure_mean")
-_ROUND = ", ".join(f"round({c}, 4) AS {c}" for c in _MEANS)
+_ROUND = ", ".join(f"round({c}, 6) AS {c}" for c in _MEANS)
 
 
 @query("a2_daily_weather", sql(f"SELECT date, temp_max, temp_min, wind_speed_max, {_ROUND} FROM ({_DAY})", "hourly"))
 def a2(spark, d):
-    return weather.daily_weather(S.hourly(spark, d)).withColumns({c: F.round(c, 4) for c in _MEANS})
+    return weather.daily_weather(S.hourly(spark, d)).withColumns({c: F.round(c, 6) for c in _MEANS})
 
 
 _NEAR = """tg AS (SELECT date, date + INTERVAL 5 HOUR AS target FROM days),
@@ -117,10 +117,10 @@ def j3(spark, d):
     return weather.nearest_hour(S.hourly(spark, d), S.days(spark, d)).select("date", "datetime_utc", "temperature_2m", "cloud_cover", "hours_offset")
 
 
-@query("j2_matched_weather", sql(_NEAR + f" SELECT n.date, n.datetime AS datetime_utc, round(w.temp_mean, 4) AS temp_mean, round(w.precip_total, 4) AS precip_total FROM nr n LEFT JOIN ({_DAY}) w ON w.date = n.date WHERE rn = 1", "days", "hourly"))
+@query("j2_matched_weather", sql(_NEAR + f" SELECT n.date, n.datetime AS datetime_utc, round(w.temp_mean, 6) AS temp_mean, round(w.precip_total, 6) AS precip_total FROM nr n LEFT JOIN ({_DAY}) w ON w.date = n.date WHERE rn = 1", "days", "hourly"))
 def j2(spark, d):
     out = weather.matched_weather(S.hourly(spark, d), S.days(spark, d))
-    return out.select("date", "datetime_utc", F.round("temp_mean", 4).alias("temp_mean"), F.round("precip_total", 4).alias("precip_total"))
+    return out.select("date", "datetime_utc", F.round("temp_mean", 6).alias("temp_mean"), F.round("precip_total", 6).alias("precip_total"))
 
 
 # ---- time signals and scenes

@@ -37,8 +37,8 @@ def order_dates(spark, sf_dir, every: int = 1) -> DataFrame:
 def hourly(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("datetime"), "value")
     h = e.groupBy("datetime").agg(
-        F.round(F.avg("value"), 6).alias("temperature_2m"),
-        F.max("value").alias("relative_humidity_2m"),
+        F.max("value").alias("temperature_2m"),
+        F.min("value").alias("relative_humidity_2m"),
         F.min("value").alias("wind_speed_10m"),
         F.round(F.sum("value"), 4).alias("precipitation"),
         F.count("*").cast("double").alias("cloud_cover"),
@@ -126,7 +126,7 @@ SQL = {
     ),
     "days": "days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events)",
     "hourly": (
-        "hourly AS (SELECT * FROM (SELECT date_trunc('hour', ts) AS datetime, round(avg(value), 6) AS temperature_2m, max(value) AS relative_humidity_2m, min(value) AS wind_speed_10m, "
+        "hourly AS (SELECT * FROM (SELECT date_trunc('hour', ts) AS datetime, max(value) AS temperature_2m, min(value) AS relative_humidity_2m, min(value) AS wind_speed_10m, "
         "round(sum(value), 4) AS precipitation, CAST(count(*) AS DOUBLE) AS cloud_cover, 1000.0::DOUBLE AS surface_pressure FROM events GROUP BY 1) "
         "WHERE NOT ((day(datetime) + hour(datetime)) % 7 = 5) AND NOT (day(datetime) % 10 = 0 AND hour(datetime) < 12))"
     ),
