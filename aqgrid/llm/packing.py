@@ -62,7 +62,7 @@ class WordEncoder:
     straight away; any other word, or any word if the tokenizer is of another make, goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
