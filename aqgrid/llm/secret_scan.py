@@ -70,10 +70,10 @@ def weak_spans(text: str) -> list[Span]:
     return ordered(out + [(m.start(), m.end(), "endpoint") for m in WEAK_ENDPOINT.finditer(text)])
 
 
-def _maybe_weak(text: str) -> bool:
+def _maybe_weak(text: str, strong: list[Span]) -> bool:
     """A colon or an equals sign introduces every weak identifier and endpoint; without them only a key is possible,
-    which has no complement but those."""
-    return "://" in text or "=" in text or ":" in text
+    whose one complement then is a strong access identifier."""
+    return ":" in text or "=" in text or any(s[2] == "access" for s in strong)
 
 
 def linked(strong: list[Span], weak: list[Span], scope: int) -> list[Span]:
@@ -127,7 +127,7 @@ def scan(text: str | None, scope: int = 200) -> tuple[list[Span], list[Span]]:
         return [], []
     strong = base_spans(text)
     # a weak part needs a complement; without any sign of one there is nothing to join
-    weak = weak_spans(text) if _maybe_weak(text) else []
+    weak = weak_spans(text) if _maybe_weak(text, strong) else []
     return strong, linked(strong, weak, scope) if weak else []
 
 

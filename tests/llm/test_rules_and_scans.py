@@ -72,6 +72,28 @@ def test_weak_parts_need_a_complement():
     assert secret_scan.scan(lone) == ([], [])
 
 
+@pytest.mark.parametrize("gap", [",", "\t", " ", "\n"])
+def test_an_access_identifier_links_a_key_without_colons(make, gap):
+    access, key = "AKIA" + "A1B2" * 4, "aB3/" * 10
+    text = f"x {access}{gap}{key} y"
+    strong, weak = secret_scan.scan(text)
+    assert [s[2] for s in strong] == ["access"]
+    assert [(text[a:b], k) for a, b, k in weak] == [(key, "key")]
+    assert secret_scan.scan(text + " " * 400 + ":") == (strong, weak)
+    assert secret_scan.redact(make([text])).first().text == f"x [secret]{gap}[secret] y"
+
+
+def test_the_shortcut_of_the_weak_scan_loses_nothing():
+    import random
+
+    r = random.Random(8)
+    parts = ["AKIA" + "A1B2" * 4, "aB3/" * 10, "deadbeef" * 2, "user=bob", "host: a.example", "s3://bucket/x", "token=abcdefghijkl", "word", ",", "\n", " "]
+    for _ in range(500):
+        text = "".join(r.choice(parts) + r.choice(" ,\n") for _ in range(r.randrange(1, 6)))
+        strong = secret_scan.base_spans(text)
+        assert secret_scan.scan(text) == (strong, secret_scan.linked(strong, secret_scan.weak_spans(text), 200)), text
+
+
 def test_weak_links_match_all_pairs(rows):
     import random
 
