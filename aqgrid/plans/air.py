@@ -587,12 +587,11 @@ def q11(spark, d):
     return r6(raster.looks_like_surface(_dsm(spark, d), 30.0).select("share", "p95_range", "is_surface"), "share", "p95_range")
 
 
-def _features(spark, d):
+def _features(spark, d, targets, observed):
     from aqgrid.operators import features
 
-    o = S.observed(spark, d).withColumnRenamed("cell", "grid_id")
-    cells = o.select("grid_id").distinct().crossJoin(S.order_dates(spark, d, 16))
-    inter = signals.interpolate(S.order_dates(spark, d, 16), S.observed(spark, d)).withColumnRenamed("cell", "grid_id")
+    cells = observed.select(F.col("cell").alias("grid_id")).distinct().crossJoin(targets)
+    inter = signals.interpolate(targets, observed).withColumnRenamed("cell", "grid_id")
     daily = table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.max("l_quantity").alias("temp_max"))
     static = landuse.tiles(spark, 10, 10).select((F.col("i") * 10 + F.col("j")).cast("long").alias("grid_id"), F.col("x0").alias("dust"))
     return features.assemble(cells, {"s5p_no2": inter}, daily, [static])
@@ -609,15 +608,47 @@ FROM (SELECT DISTINCT cell FROM obs) c CROSS JOIN tg LEFT JOIN ip ON ip.cell = c
     ),
 )
 def r1(spark, d):
-    return r6(_features(spark, d), "s5p_no2")
+    return r6(_features(spark, d, S.order_dates(spark, d, 16), S.observed(spark, d)), "s5p_no2")
 
 
 @query("q3_features")
 def q3(spark, d):
-    f = _features(spark, d)
+    f = _features(spark, d, S.order_dates(spark, d), S.clear_observed(spark, d))
     return quality.run_checks(f, quality.feature_checks(f.columns), columns=("grid_id", "date"))
 
 
+# ---- the date queries over every order date and every order; the tests hold them against plain versions
+
+
+@query("j5_neighbour_dates_all")
+def j5_all(spark, d):
+    return signals.neighbour_dates(S.order_dates(spark, d), S.clear_observed(spark, d))
+
+
+@query("w5_interpolate_all")
+def w5_all(spark, d):
+    return r6(signals.interpolate(S.order_dates(spark, d), S.clear_observed(spark, d)), "value")
+
+
+@query("m10_choose_source_all")
+def m10_all(spark, d):
+    o, t = S.clear_observed(spark, d), S.order_dates(spark, d)
+    cells = o.select("cell").distinct().crossJoin(t)
+    return r6(signals.choose_source(cells, o, signals.interpolate(t, o)), "value")
+
+
+@query("s11_attach_signal_all")
+def s11_all(spark, d):
+    o = S.clear_observed(spark, d).withColumnRenamed("cell", "grid_id")
+    cells = o.select("grid_id").distinct().crossJoin(S.order_dates(spark, d))
+    return r6(tables.attach_signal(cells, o.withColumn("is_nodata", F.lit(False)), "no2"), "no2")
+
+
+@query("r1_feature_table_all")
+def r1_all(spark, d):
+    return r6(_features(spark, d, S.order_dates(spark, d), S.clear_observed(spark, d)), "s5p_no2")
+
+
 @query("q5_unmapped_months", sql("SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(DISTINCT date) AS n_dates FROM scenes WHERE date_trunc('month', date) NOT IN (SELECT date_trunc('month', date) FROM scenes WHERE cloud < 1) GROUP BY 1", "scenes"))
 def q5(spark, d):
     return quality.unmapped_months(S.order_dates(spark, d), signals.clear_dates(S.scenes(spark, d), 1))

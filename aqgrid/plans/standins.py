@@ -77,6 +77,13 @@ def observed(spark, sf_dir) -> DataFrame:
     return o.groupBy((F.col("o_custkey") % 20).alias("cell"), F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("value"))
 
 
+def clear_observed(spark, sf_dir) -> DataFrame:
+    """A signal from every order: cells by customer, values by order, on the dates whose mean cloud is below 50 (about half)."""
+    clear = scenes(spark, sf_dir).groupBy("date").agg(F.avg("cloud").alias("cloud")).where("cloud < 50").select("date")
+    o = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 20).alias("cell"), F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("value"))
+    return o.join(clear, "date", "left_semi").select("cell", "date", "value")
+
+
 def road_segments(spark, sf_dir) -> DataFrame:
     """Polylines of each user's events in time order, as segments."""
     from pyspark.sql import Window
