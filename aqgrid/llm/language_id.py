@@ -5,9 +5,9 @@ the longest match at the current place is a phrase, and the next phrase starts w
 language needs few phrases. The counts are normalised by the length parsed and by the phrases per character that the
 language's own held-back text needs; the language with the fewest wins.
 
-The automata come from a bounded sample: at most ``sample_chars`` characters a language, from documents picked by a hash of
-their id. Only the sample's text travels with the task; each worker builds its transition tables once (states x classes
-of characters, 4 bytes each) and parses many pieces in step with numpy. A document is cut into pieces of ``PIECE``
+The automata come from a bounded sample: at most ``sample_chars`` characters a language, from texts picked by their hash; of
+a long text a window. Every label is learned, and every letter of the sample has a class of its own. Only the sample's text
+travels with the task; each worker builds its transition tables once and parses many pieces in step with numpy. A document is cut into pieces of ``PIECE``
 characters, each parsed on its own, so the longest text needs no more memory than a short one; every piece counts.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. Rows with a null label are predicted but not
@@ -22,16 +22,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aqgrid.llm.common import chunks
 
 PIECE = 1024
-#: Classes of characters: 0 space and all that is not a letter, then the letters seen most in training, last any other letter.
-CLASSES = 64
-#: Longer labelled texts are not drawn for the sample.
-MAX_SAMPLE_TEXT = 20_000
+#: Labelled texts drawn for each language, about, and the characters that the sample takes of one at most.
+ROWS, WINDOW = 80, 20_000
+LETTER = r"\p{L}"
+#: Languages with more classes of characters, or whose table goes beyond these bytes in all, get a sorted list of transitions.
+DENSE_CLASSES, DENSE_BYTES = 128, 128 << 20
 FLAG = np.int32(1 << 30)
 
 
@@ -40,46 +41,39 @@ def training_rows(docs: DataFrame, *, id_col: str = "doc_id", folds: int = 5) ->
     return (F.crc32(F.col(id_col).cast("string").cast("binary")) % folds) != 0
 
 
-def sample(docs: DataFrame, where: Column, *, id_col: str, text_col: str, lang_col: str, sample_chars: int, max_languages: int) -> dict[str, list[str]]:
-    """A bounded sample for each language: rows whose hashed id falls below a threshold that lets about enough pass.
+def sample(docs: DataFrame, where: Column, *, text_col: str, lang_col: str, sample_chars: int) -> dict[str, list[str]]:
+    """A bounded sample for each language: texts whose hash falls below a threshold that lets about ``ROWS`` through.
 
-    The labels are counted first, without reading texts. At most ``max_languages`` languages (the most frequent), and of
-    each at most ``sample_chars`` characters and 400 rows, reach the driver.
+    Only texts with a letter are counted and drawn, and copies count once. Of a text over ``WINDOW`` characters the sample
+    takes a window at a hashed place, or at the first letter where that one holds none. The texts of a language reach the
+    driver until they have ``sample_chars`` characters.
     """
-    labelled = docs.where(where & F.col(lang_col).isNotNull())
-    counts = labelled.groupBy(lang_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang_col).limit(max_languages).collect()
-    if not counts:
-        return {}
-    want = 80
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(1.0, want / r["n"]))])
-    unit = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_003)) / 1_000_003.0
-    picked = labelled.where(unit < F.try_element_at(share, F.col(lang_col))).where(F.length(text_col).between(1, MAX_SAMPLE_TEXT))
-    rows = (
-        picked.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), unit.alias("u"), F.col(id_col).alias("id"))
-        .orderBy("u", "id")
-        .limit(2 * want * len(counts))
-        .collect()
-    )
-    out: dict[str, list[str]] = {r[0]: [] for r in counts}
-    have = dict.fromkeys(out, 0)
-    seen = set()
-    for r in rows:
-        if have[r["lang"]] < sample_chars and (r["lang"], r["text"]) not in seen:
-            seen.add((r["lang"], r["text"]))
-            out[r["lang"]].append(r["text"][: sample_chars - have[r["lang"]]])
-            have[r["lang"]] += len(out[r["lang"]][-1])
-    return {k: v for k, v in sorted(out.items()) if v}
+    text, lang, hashed = F.col(text_col), F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col))
+    labelled = docs.where(where & F.col(lang_col).isNotNull() & text.rlike(LETTER))
+    counts = labelled.groupBy(lang).agg(F.approx_count_distinct(hashed, 0.02).alias("n")).select("lang", (F.lit(float(ROWS)) / F.col("n")).alias("share"))
+    picked = labelled.select(lang, text.alias("text"), hashed.alias("h")).join(F.broadcast(counts), "lang")
+    picked = picked.where(F.pmod(F.col("h"), F.lit(1_000_000_007)) / 1_000_000_007.0 < F.col("share"))
+    start = 1 + F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))).cast("int")
+    cut = F.col("text").substr(start, F.lit(WINDOW))
+    cut = F.when(cut.rlike(LETTER), cut).otherwise(F.col("text").substr(F.regexp_instr("text", F.lit(LETTER)), F.lit(WINDOW)))
+    once = picked.groupBy("lang", "h").agg(F.min(cut).alias("text"))
+    before = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1))
+    out: dict[str, list[str]] = {}
+    for r in once.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < sample_chars).orderBy("lang", "h").collect():
+        out.setdefault(r["lang"], []).append(r["text"][: sample_chars - r["before"]])
+    return out
 
 
 class Alphabet:
-    """Maps code points to classes; upper and lower case share one."""
+    """Maps code points to classes: 0 space and all that is not a letter, then every letter seen in training, last any
+    other letter. Upper and lower case share one."""
 
     def __init__(self, texts: list[str]):
-        low = "".join(texts).lower()
-        found = sorted((c for c in set(low) if c.isalpha()), key=lambda c: (-low.count(c), c))[: CLASSES - 2]
-        self.table = np.zeros(0x110000, np.uint8)
-        letters = [c for c in map(chr, range(0x30000)) if c.isalpha()]
-        self.table[[ord(c) for c in letters]] = CLASSES - 1
+        found = sorted({c for t in texts for c in set(t.lower()) if c.isalpha()})
+        self.size = len(found) + 2
+        self.table = np.zeros(0x110000, np.int32)
+        letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+        self.table[[ord(c) for c in letters]] = self.size - 1
         rank = {c: k + 1 for k, c in enumerate(found)}
         for c in letters:
             if (low := c.lower()) in rank:
@@ -125,18 +119,44 @@ def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
     return nxt
 
 
-def table(codes: np.ndarray) -> np.ndarray:
-    """Flat table: at state x class, the next state times CLASSES, plus FLAG if a phrase ends before this character."""
-    nxt = suffix_automaton(codes)
-    root = np.full(CLASSES, FLAG, np.int32)
-    for c, s in nxt[0].items():
-        root[c] = FLAG + s * CLASSES
-    t = np.tile(root, (len(nxt), 1))
-    for s, edges in enumerate(nxt):
-        for c, to in edges.items():
-            t[s, c] = to * CLASSES
-    t[0][[c for c in range(CLASSES) if c not in nxt[0]]] = FLAG
-    return t.reshape(-1)
+class Table:
+    """An automaton's transitions. Its classes are those that its own text has, and one for all others. Small ones are dense:
+    at state x class, the next state times the number of classes, plus FLAG if a phrase ends before this character. Large
+    ones are sorted by state x class, and what isn't there ends a phrase."""
+
+    def __init__(self, codes: np.ndarray, classes: int):
+        own = np.unique(codes)
+        self.n = len(own) + 1
+        self.own = np.full(classes, self.n - 1, np.int32)
+        self.own[own] = np.arange(len(own), dtype=np.int32)
+        self.edges = suffix_automaton(self.own[codes])
+        self.bytes = 4 * len(self.edges) * self.n
+
+    def build(self, dense: bool) -> None:
+        n, edges, self.dense = self.n, self.edges, dense
+        by = n if dense else 1
+        self.root = np.full(n, FLAG, np.int32)
+        for c, s in edges[0].items():
+            self.root[c] = FLAG + s * by
+        if dense:
+            t = np.tile(self.root, (len(edges), 1))
+            for s, e in enumerate(edges):
+                for c, to in e.items():
+                    t[s, c] = to * by
+            t[0][[c for c in range(n) if c not in edges[0]]] = FLAG
+            self.flat = t.reshape(-1)
+        else:
+            pairs = sorted((s * n + c, to) for s, e in enumerate(edges) for c, to in e.items())
+            self.keys = np.array([k for k, _ in pairs] + [len(edges) * n], np.int64)
+            self.to = np.array([v for _, v in pairs] + [0], np.int32)
+        del self.edges
+
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        if self.dense:
+            return self.flat[state + c]
+        key = state.astype(np.int64) * self.n + c
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.to[at], self.root[c])
 
 
 class Model:
@@ -150,9 +170,16 @@ class Model:
             learn[k], hold[k] = joined[:cut], joined[cut:]
         most = max(map(len, learn.values()))  # equally much text where there is enough, so that none matches longer for having more
         least = min(len(v) for v in learn.values() if 2 * len(v) >= most)
-        self.tables = [table(self.alphabet.codes(learn[k][:least])) for k in self.langs]
+        self.tables = [Table(self.alphabet.codes(learn[k][:least]), self.alphabet.size) for k in self.langs]
+        total = 0
+        for t in sorted(self.tables, key=lambda t: t.bytes):
+            total += t.bytes
+            t.build(t.n <= DENSE_CLASSES and total <= DENSE_BYTES)
         self.own = np.ones(len(self.langs))
         self.own = np.array([max(np.nan_to_num(self.rates([hold[k]])[0][j], nan=1.0), 1e-6) for j, k in enumerate(self.langs)])
+        # a language with little text compresses even its own badly; that must not excuse what it does to others'
+        top = max(self.own[j] for j, k in enumerate(self.langs) if 2 * len(learn[k]) >= most)
+        self.own = np.minimum(self.own, top)
         self.own /= self.own.mean() or 1.0
 
     def rates(self, texts: list[str]) -> np.ndarray:
@@ -183,8 +210,9 @@ class Model:
         for j, t in enumerate(self.tables):
             state = np.zeros(len(pieces), np.int32)
             ends = np.zeros(len(pieces), np.int32)
+            own = t.own[grid]
             for i, n in enumerate(live.tolist()):
-                v = t[state[:n] + grid[i, :n]]
+                v = t.step(state[:n], own[i, :n])
                 ends[:n] += v >> 30
                 np.bitwise_and(v, FLAG - 1, out=state[:n])
             out[order, j] = ends + 1
@@ -211,10 +239,10 @@ def _model(texts: tuple[tuple[str, tuple[str, ...]], ...]) -> Model:
 
 
 def train(
-    docs: DataFrame, where: Column | None = None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_chars: int = 60_000, max_languages: int = 32
+    docs: DataFrame, where: Column | None = None, *, text_col: str = "text", lang_col: str = "lang", sample_chars: int = 60_000
 ) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """The model as plain text: (language, texts) pairs, at most ``max_languages`` x ``sample_chars`` characters."""
-    got = sample(docs, F.lit(True) if where is None else where, id_col=id_col, text_col=text_col, lang_col=lang_col, sample_chars=sample_chars, max_languages=max_languages)
+    """The model as plain text: (language, texts) pairs for every label, at most ``sample_chars`` characters each."""
+    got = sample(docs, F.lit(True) if where is None else where, text_col=text_col, lang_col=lang_col, sample_chars=sample_chars)
     return tuple((k, tuple(v)) for k, v in got.items())
 
 

@@ -233,3 +233,50 @@ def test_sql_agrees(spark, sf):
         assert sorted(map(repr, df.select(*cols).toPandas().astype(object).where(lambda d: d.notna(), None).itertuples(index=False, name=None))) == sorted(
             map(repr, con.execute(queries.ORACLES[name]).fetch_df().astype(object).where(lambda d: d.notna(), None).itertuples(index=False, name=None))
         ), name
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def invented(letters, n, seed):
+    import random
+
+    r = random.Random(seed)
+    words = ["".join(r.choice(letters) for _ in range(r.randint(2, 7))) for _ in range(60)]
+    return " ".join(r.choice(words) for _ in range(n))
+
+
+def test_a_language_of_long_or_mostly_null_texts_is_learned(spark):
+    rows = [(i, invented("abcdefgh", 100, 1), "short") for i in range(3)]
+    rows += [(100 + i, "1 " * 15_000 + invented("mnopqrst", 5_000, i), "books") for i in range(3)]
+    rows += [(1_000 + i, None if i else invented("uvwxyzij", 2_000, 7), "nulls") for i in range(3_000)]
+    rows += [(5_000 + i, invented("ghijklmn", 2_000, 9), "copies") for i in range(2_000)]
+    model = dict(language_id.train(labelled(spark, rows)))
+    assert sorted(model) == ["books", "copies", "nulls", "short"]
+    assert all(any(c.isalpha() for c in t) for v in model.values() for t in v)
+    assert max(len(t) for v in model.values() for t in v) <= language_id.WINDOW
+    assert len(model["copies"]) == 1
+
+
+def test_every_label_is_learned(spark):
+    import itertools
+
+    sets = list(itertools.islice(itertools.combinations("abcdefghijklmnopqrstuvwxyz", 4), 0, 14_000, 350))
+    d = labelled(spark, [(k, invented(x, 400, k), f"l{k:02}") for k, x in enumerate(sets)] + [(99, "zq yx", "tiny")])
+    model = language_id.train(d)
+    assert len(model) == 41
+    got = language_id.identify(d.where("lang <> 'tiny'"), model).select("lang", "lang_pred").collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 39
+
+
+def test_large_alphabets_are_told_apart(monkeypatch):
+    han = [chr(0x4E00 + k) for k in range(400)]
+    texts = {"a": (invented("abcdefgh", 3_000, 1),), "x": (invented(han[:250], 3_000, 2),), "y": (invented(han[150:], 3_000, 3),)}
+    m = language_id.Model(texts)
+    assert [t.dense for t in m.tables] == [True, False, False]
+    ask = [invented(s, 200, k) for k, s in ((1, "abcdefgh"), (2, han[:250]), (3, han[150:]))]
+    assert m.predict(ask)[0] == ["a", "x", "y"]
+    monkeypatch.setattr(language_id, "DENSE_CLASSES", 1_000)
+    dense = language_id.Model(texts)
+    assert all(t.dense for t in dense.tables) and (dense.rates(ask) == m.rates(ask)).all()
