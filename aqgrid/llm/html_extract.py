@@ -10,7 +10,8 @@ The labelled pages are generated by rule, in many layouts and from invented word
 footers around and between their paragraphs. Training takes a few seconds on the driver and depends on no input; the
 weights (a few hundred numbers) travel with the task.
 
-Text inside ``script``, ``style`` and the like, comments and declarations is never a block. Character references are
+Text inside ``script``, ``style``, ``svg`` and the like, comments and declarations is never a block; that of ``math`` stays.
+Where no end tag follows, ``script``, ``style``, ``textarea`` and ``title`` run to the page's end, others are skipped alone. Character references are
 decoded, white space inside a block becomes one space, blocks are trimmed, empty ones dropped and the rest joined by a
 newline. Unclosed and stray tags are tolerated as browsers do: a paragraph ends at the next block-level tag.
 
@@ -34,15 +35,18 @@ from pyspark.sql.pandas.types import to_arrow_type
 from aqgrid.llm.common import chunks
 
 # Tags of the HTML standard by their role.
-RAW = frozenset("script style template noscript textarea title iframe noembed noframes xmp svg math select option datalist object canvas audio video".split())
+RAW = frozenset("script style template noscript textarea title iframe noembed noframes xmp select option datalist object canvas audio video".split())
+TO_THE_END = frozenset("script style textarea title".split())
+MATH = frozenset("math maction maligngroup menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr ruby rt rp img".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr ruby rt rp img".split()) | MATH
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_UNQUOTED_END = re.compile(r"""=\s*[^\s"'>]*/\Z""")
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -58,6 +62,33 @@ _BAD_TAGS = frozenset("nav header footer aside form button menu dialog fieldset"
 Block = tuple[str, tuple[str, ...], frozenset, int, int]  # text, ancestor tags, name parts, characters in links, line breaks
 
 
+def _end_tag(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\s*>", re.I)
+
+
+def _is_empty(attributes: str) -> bool:
+    """A slash ends the tag, and is not part of a value without quotes."""
+    return attributes.endswith("/") and not _UNQUOTED_END.search(attributes)
+
+
+def _svg_ends(page: str, at: int) -> dict[int, int]:
+    """Where each svg element that is closed ends, by the end of its start tag; an end tag closes the last one open."""
+    out: dict[int, int] = {}
+    still: list[int] = []
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        tag = (m[2] or "").lower()
+        if tag == "svg" and m[1]:
+            if still:
+                out[still.pop()] = at
+        elif tag == "svg" and not _is_empty(m[3]):
+            still.append(at)
+        elif tag in ("script", "style") and not m[1] and not _is_empty(m[3]):
+            end = _end_tag(tag).search(page, at)
+            at = end.end() if end else at
+    return out
+
+
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in order."""
     if not page:
@@ -67,6 +98,8 @@ def blocks(page: str | None) -> list[Block]:
     text: list[str] = []
     links = breaks = in_link = 0
     at, n = 0, len(page)
+    endless: set[str] = set()  # tags with no end tag in the rest of the page
+    svg_ends: dict[int, int] | None = None
 
     def flush() -> None:
         nonlocal links, breaks
@@ -116,8 +149,15 @@ def blocks(page: str | None) -> list[Block]:
                         break
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+            end = None if tag in endless else _end_tag(tag).search(page, at)
+            if end is None:
+                endless.add(tag)
+            at = end.end() if end else n if tag in TO_THE_END else at
+            continue
+        if tag == "svg":
+            if not _is_empty(m[3]):
+                svg_ends = _svg_ends(page, m.start()) if svg_ends is None else svg_ends
+                at = svg_ends.get(at, at)
             continue
         if tag == "br":
             text.append(" ")

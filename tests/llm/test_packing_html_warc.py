@@ -179,6 +179,36 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.read_archive(warc.write_archive(pages.limit(0), str(tmp_path / "none"))).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>a <svg class=icon />b</p><p>c</p>", ["a b", "c"]),
+        ("<p>a</p><svg/><p>b</p><svg><text>x</text></svg><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><svg><p>b</p>", ["a", "b"]),
+        ("<svg>x<svg>y</svg>z</svg><p>b</p>", ["b"]),
+        ("<svg>x<svg/>z</svg><p>b</p>", ["b"]),
+        ("<p>a</p><svg class=i><p>b</p><svg>x</svg><p>c</p>", ["a", "b", "c"]),
+        ("<svg>x<!-- </svg> -->y<style>p::after { content: '</svg>' }</style>z</svg><p>b</p>", ["b"]),
+        ("<svg href=/a/>x</svg><p>b</p>", ["b"]),
+        ("<p>so <math class=m><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", ["so x=2 holds"]),
+        ("<p>a</p><math/><p>b</p>", ["a", "b"]),
+        ("<p>a</p><canvas><p>b</p>", ["a", "b"]),
+        ("<p>a</p><video>x</video><p>b</p><video><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><script><p>b</p>", ["a"]),
+    ],
+)
+def test_svg_math_and_tags_without_end(page, want):
+    assert [b[0] for b in html_extract.blocks(page)] == want
+
+
+def test_many_open_svg_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    assert [b[0] for b in html_extract.blocks("<svg><canvas>" * 40_000 + "<p>b</p></svg><p>c</p>")] == ["c"]
+    assert time.perf_counter() - began < 10
+
+
 def test_pipeline_stages(spark, documents, sf):
     from aqgrid.llm import decontamination, ngram_join, secret_scan
 
