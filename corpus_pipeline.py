@@ -5,7 +5,7 @@ Parquet and read again before the next one. All stages but the last return the c
 
 1. language: the predicted language becomes ``lang``; documents without a letter or far from every language go.
 2. near_duplicates: of each class of documents that links of Jaccard 0.75 on 5-word shingles tie together, the one with the
-   smallest id stays. Rows that share that id stay once; rows without an id stay.
+   smallest id stays. Rows that share that id stay once, as the one with the smallest digest; rows without an id stay.
 3. decontamination: documents in which a benchmark item occurs, within its edit budget, go.
 4. secrets: every secret is replaced by a mask; ``n_chars`` follows the text.
 5. packing: the documents as sequences of tokens, one row a piece.
@@ -33,7 +33,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = ngram_join.ngram_join(docs)
     gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.hint("merge").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # rows of one id are reduced within each task before they meet; the join then finds them dealt by id
+    row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+    once = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(row)
+    kept = once.hint("merge").join(gone, "doc_id", "left_anti").select("row.*")
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -209,6 +209,22 @@ def test_many_open_svg_take_linear_time():
     assert time.perf_counter() - began < 10
 
 
+def test_repeated_rows_stay_once(spark, documents, sf):
+    import random
+
+    r = random.Random(6)
+    text = lambda: " ".join(r.choice("abcdefghijkl") * r.randint(1, 9) for _ in range(60))
+    hot, near, other = text(), text(), text()
+    rows = [(1, hot)] * 300 + [(2, hot)] * 3 + [(5, near), (6, near + " end"), (6, near + " end")] + [(7, other), (7, text())] + [(None, text())] * 2 + [(k, text()) for k in range(100, 120)]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], documents.schema).repartition(7)
+    got = corpus_pipeline.near_duplicates(spark, docs, sf)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    ids = [x.doc_id for x in got.collect()]
+    assert sorted(i for i in ids if i is not None) == [1, 5, 7, *range(100, 120)]
+    assert ids.count(None) == 2
+    assert {(x.doc_id, x.text) for x in got.collect()} <= set(rows)
+
+
 def test_pipeline_stages(spark, documents, sf):
     from aqgrid.llm import decontamination, ngram_join, secret_scan
 
