@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from aqgrid.functions.columns import is_canyon, morphology
+
 
 @dataclass(frozen=True)
 class Check:
@@ -73,13 +75,28 @@ def compare_dates(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Size, extremes, moments and percentiles of a column in one aggregate."""
+    return _described(df.groupBy(), column)
+
+
+def describe_by_morphology(df: DataFrame, column: str = "pm25", svf: str = "svf") -> DataFrame:
+    """``describe`` for each morphology class of the sky view; rows outside every class are left out."""
+    return _described(df.withColumn("morphology", morphology(F.col(svf))).where("morphology IS NOT NULL").groupBy("morphology"), column, "morphology")
+
+
+def _described(groups: GroupedData, column: str, *keys: str) -> DataFrame:
     ps = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
     c = F.col(column)
-    return df.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.percentile(c, F.array(*map(F.lit, ps))).alias("p")).select(
-        "n", "min", "max", "mean", "std", *[F.col("p")[k].alias(f"p{round(100 * q)}") for k, q in enumerate(ps)]
+    return groups.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.percentile(c, F.array(*map(F.lit, ps))).alias("p")).select(
+        *keys, "n", "min", "max", "mean", "std", *[F.col("p")[k].alias(f"p{round(100 * q)}") for k, q in enumerate(ps)]
     )
 
 
+def canyon_share(cells: DataFrame, svf: str = "svf") -> DataFrame:
+    """Extremes and mean of the sky view over all cells, those without one, and canyons as a number and percent of all cells."""
+    c, n = F.col(svf), F.count_if(is_canyon(F.col(svf)))
+    return cells.agg(F.min(c).alias("min"), F.avg(c).alias("mean"), F.max(c).alias("max"), F.count_if(c.isNull()).alias("n_missing"), n.alias("n_canyons"), F.try_divide(100.0 * n, F.count("*")).alias("canyon_percent"))
+
+
 def null_counts(df: DataFrame, top: int = 10) -> DataFrame:
     """The columns with the most nulls."""
     n = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
