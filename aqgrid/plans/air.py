@@ -309,6 +309,12 @@ def g12(spark, d):
     return r6(raster.horizon_svf(_dsm(spark, d), res=30.0, radius=90.0, directions=4, block=16), "horizon_sin2_mean", "svf")
 
 
+@query("g12_sky_view_fine")
+def g12_fine(spark, d):
+    """The reference's 16 directions and 100 m at 3 m pixels."""
+    return r6(raster.horizon_svf(_dsm(spark, d), res=3.0, radius=100.0, directions=16), "horizon_sin2_mean", "svf")
+
+
 @query("g14_topographic_position", f"WITH {_DSM} SELECT a.r AS row, a.c AS col, round(a.z - avg(b.z), 6) AS tpi, round(stddev_pop(b.z), 6) AS focal_std FROM dsm a JOIN dsm b ON pow(a.r - b.r, 2) + pow(a.c - b.c, 2) <= 4 GROUP BY a.r, a.c, a.z")
 def g14(spark, d):
     return r6(raster.topographic_position(_dsm(spark, d), 2), "tpi", "focal_std")
