@@ -11,7 +11,8 @@ such run only). Nothing is lost by it.
 
 Items are the small side: they are collected after their total size is checked against ``MAX_BENCHMARK_CHARS`` and travel
 with the task. Documents are scanned once, in chunks, whole, without a shuffle; a run of equal neighbours or a popular
-passage makes work only in proportion to the text that holds it.
+passage makes work only in proportion to the text that holds it. q-grams are hashed and hits expanded in steps that overlap
+by all that one occurrence can span, so that a very long text needs little more memory than the text itself.
 
 Texts are compared lower-cased with white space as single spaces; start and end are places in that form. The edit budget is
 ``rate`` of an item's length, less where T would fall under 1; an item shorter than q is searched for as it stands. Empty
@@ -22,6 +23,8 @@ columns are not read. Empty tables give no rows.
 
 from __future__ import annotations
 
+import bisect
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -35,10 +38,21 @@ from aqgrid.llm.common import STEP, chunks, mix
 
 MAX_BENCHMARK_CHARS = 32 << 20
 _SLOT_BITS = 22
+#: Bytes of text in a chunk, and characters of a text that are normalised, hashed or looked at for bands in one step.
+CHUNK, STEP_CHARS = 1 << 20, 1 << 17
+_WHITE = re.compile(r"\s")
 
 
 def normal(text: str | None) -> str:
-    return " ".join(text.lower().split()) if text else ""
+    """The text lower-cased, with white space as single spaces; a long one in pieces that end at white space."""
+    if not text:
+        return ""
+    parts, at = [], 0
+    while len(text) - at > CHUNK and (m := _WHITE.search(text, at + CHUNK)):
+        parts.append(" ".join(text[at : m.start()].lower().split()))
+        at = m.start()
+    parts.append(" ".join((text[at:] if at else text).lower().split()))
+    return " ".join(filter(None, parts))
 
 
 def budget(m: int, q: int, rate: float) -> int:
@@ -147,30 +161,40 @@ class Scanner:
         if not len(x.hashes):
             return out
         joined = "\n".join(texts)  # a newline is in no item: white space became spaces
-        codes = _codes(joined)
-        h = gram_hashes(codes, x.q)
-        if not len(h):
-            return out
-        hit = x.bitmap[(h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)]
-        at = np.flatnonzero(hit)
-        slot = np.minimum(np.searchsorted(x.unique, h[at]), len(x.unique) - 1)
-        true = x.unique[slot] == h[at]
-        at, slot = at[true], slot[true]
-        near = self._near_runs(at)
-        at, slot = at[near], slot[near]
-        if not len(at):
-            return out
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
         first = np.cumsum(sizes) - sizes
-        doc = np.searchsorted(first, at, side="right") - 1
-        cuts = np.flatnonzero(np.diff(doc)) + 1
-        begin = 0
-        for end in [*cuts.tolist(), len(at)]:
-            d = int(doc[begin])
-            out += self._document(d, texts[d], at[begin:end] - first[d], slot[begin:end])
-            begin = end
+        found: dict[tuple[int, int], set[tuple[int, int, int]]] = defaultdict(set)
+        overlap = x.reach + 2 * (int(x.k.max()) + 1)  # what the hits of a band, and the run among them, can span
+        step = max(STEP_CHARS, 4 * overlap)
+        for a in range(0, len(joined) - x.q + 1, step):
+            at, slot = self._hits(joined, a, a + step + overlap)
+            near = self._near_runs(at)
+            at, slot = at[near], slot[near]
+            doc = np.searchsorted(first, at, side="right") - 1
+            cuts = np.flatnonzero(np.diff(doc)) + 1
+            for y, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
+                if y < z:
+                    d = int(doc[y])
+                    for j, span in self._bands(texts[d], at[y:z] - first[d], slot[y:z]):
+                        found[d, j].add(span)
+        for (d, j), spans in found.items():
+            taken: list[tuple[int, int]] = []  # apart from each other and sorted, so that the neighbours decide
+            for e, s, t in sorted(spans):
+                k = bisect.bisect_left(taken, (s, t))
+                if (k == 0 or taken[k - 1][1] <= s) and (k == len(taken) or t <= taken[k][0]):
+                    taken.insert(k, (s, t))
+                    out.append((d, j, s, t, e))
         return out
 
+    def _hits(self, joined: str, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places from a to b whose q-gram an item has, and which one."""
+        x = self.x
+        h = gram_hashes(_codes(joined[a : b + x.q - 1]), x.q)
+        at = np.flatnonzero(x.bitmap[(h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)])
+        slot = np.minimum(np.searchsorted(x.unique, h[at]), len(x.unique) - 1)
+        true = x.unique[slot] == h[at]
+        return at[true] + a, slot[true]
+
     def _near_runs(self, at: np.ndarray) -> np.ndarray:
         """Hits within reach of a run of hits at consecutive places."""
         run, reach = max(1, self.x.run), self.x.reach
@@ -185,7 +209,8 @@ class Scanner:
         right = np.searchsorted(starts, at - reach, side="left")
         return (right < len(starts)) & (starts[np.minimum(right, len(starts) - 1)] <= at + reach)
 
-    def _document(self, d: int, text: str, at: np.ndarray, slot: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    def _bands(self, text: str, at: np.ndarray, slot: np.ndarray) -> Iterator[tuple[int, tuple[int, int, int]]]:
+        """(item number, (edits, start, end)) of the bands with enough hits."""
         x = self.x
         n = x.until[slot] - x.begin[slot]
         which = np.repeat(x.begin[slot] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
@@ -204,22 +229,13 @@ class Scanner:
         group = np.cumsum(new) - 1
         counts = np.bincount(group, weights=fresh).astype(np.int64)
         heads = np.flatnonzero(new)
-        found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for g in np.flatnonzero(counts >= x.need[i[heads]]).tolist():
             j, lo = int(i[heads[g]]), int(b[heads[g]])
             k, m = int(x.k[j]), int(x.m[j])
             a = max(0, lo * (k + 1) - k)
             region = text[a : (lo + 2) * (k + 1) + m + 2 * k]
             if (got := align(x.texts[j], region, k)) is not None:
-                found[j].append((got[0], a + got[1], a + got[2]))
-        out = []
-        for j, spans in found.items():
-            taken: list[tuple[int, int]] = []
-            for e, s, t in sorted(set(spans)):
-                if all(t <= a or b <= s for a, b in taken):
-                    taken.append((s, t))
-                    out.append((d, j, s, t, e))
-        return out
+                yield j, (got[0], a + got[1], a + got[2])
 
 
 def leaks(
@@ -234,7 +250,7 @@ def leaks(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(*shared.value)
         scanner = Scanner(index)
-        for b in chunks(batches, text_col):
+        for b in chunks(batches, text_col, CHUNK):
             texts = [normal(t) for t in b.column(text_col).to_pylist()]
             found = scanner.scan(texts)
             if found:
@@ -259,7 +275,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", q: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(Index(*shared.value))
-        for b in chunks(batches, text_col):
+        for b in chunks(batches, text_col, CHUNK):
             bad = {f[0] for f in scanner.scan([normal(t) for t in b.column(text_col).to_pylist()])}
             keep = pa.array([k not in bad for k in range(b.num_rows)])
             if (out := b.filter(keep)).num_rows:
