@@ -6,8 +6,9 @@ language needs few phrases. The counts are normalised by the length parsed and b
 language's own held-back text needs; the language with the fewest wins.
 
 The automata come from a bounded sample: at most ``sample_chars`` characters a language, from texts picked by their hash; of
-a long text a window. Every label is learned, and every letter of the sample has a class of its own. Only the sample's text
-travels with the task; each worker builds its transition tables once and parses many pieces in step with numpy. A document is cut into pieces of ``PIECE``
+a long text a window. Every label is learned, and every letter of the sample has a class of its own. The driver builds the
+automata, and their transitions travel with the task (about 36 bytes for each sampled character); a task lays out its tables
+from them, parses many pieces in step with numpy and drops the tables at its end. A document is cut into pieces of ``PIECE``
 characters, each parsed on its own, so the longest text needs no more memory than a short one; every piece counts.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. Rows with a null label are predicted but not
@@ -18,7 +19,6 @@ rows each get their row, an empty table none.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +71,7 @@ class Alphabet:
     def __init__(self, texts: list[str]):
         found = sorted({c for t in texts for c in set(t.lower()) if c.isalpha()})
         self.size = len(found) + 2
-        self.table = np.zeros(0x110000, np.int32)
+        self.table = np.zeros(0x110000, np.uint16 if self.size < 1 << 16 else np.int32)
         letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
         self.table[[ord(c) for c in letters]] = self.size - 1
         rank = {c: k + 1 for k, c in enumerate(found)}
@@ -122,34 +122,34 @@ def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
 class Table:
     """An automaton's transitions. Its classes are those that its own text has, and one for all others. Small ones are dense:
     at state x class, the next state times the number of classes, plus FLAG if a phrase ends before this character. Large
-    ones are sorted by state x class, and what isn't there ends a phrase."""
+    ones are sorted by state x class, and what isn't there ends a phrase. Only the sorted form travels."""
 
     def __init__(self, codes: np.ndarray, classes: int):
         own = np.unique(codes)
-        self.n = len(own) + 1
-        self.own = np.full(classes, self.n - 1, np.int32)
+        self.n = n = len(own) + 1
+        self.own = np.full(classes, n - 1, np.int32)
         self.own[own] = np.arange(len(own), dtype=np.int32)
-        self.edges = suffix_automaton(self.own[codes])
-        self.bytes = 4 * len(self.edges) * self.n
+        edges = suffix_automaton(self.own[codes])
+        self.states = len(edges)
+        keys = np.array([s * n + c for s, e in enumerate(edges) for c in e], np.int64)
+        to = np.array([v for e in edges for v in e.values()], np.int32)
+        order = np.argsort(keys)
+        self.keys, self.to = np.append(keys[order], self.states * n), np.append(to[order], np.int32(0))
+        self.bytes = 4 * self.states * n
 
     def build(self, dense: bool) -> None:
-        n, edges, self.dense = self.n, self.edges, dense
-        by = n if dense else 1
+        n, keys, to = self.n, self.keys[:-1], self.to[:-1]
+        self.dense = dense
+        first = int(np.searchsorted(keys, n))
         self.root = np.full(n, FLAG, np.int32)
-        for c, s in edges[0].items():
-            self.root[c] = FLAG + s * by
+        self.root[keys[:first]] = FLAG + to[:first] * (n if dense else 1)
         if dense:
-            t = np.tile(self.root, (len(edges), 1))
-            for s, e in enumerate(edges):
-                for c, to in e.items():
-                    t[s, c] = to * by
-            t[0][[c for c in range(n) if c not in edges[0]]] = FLAG
-            self.flat = t.reshape(-1)
-        else:
-            pairs = sorted((s * n + c, to) for s, e in enumerate(edges) for c, to in e.items())
-            self.keys = np.array([k for k, _ in pairs] + [len(edges) * n], np.int64)
-            self.to = np.array([v for _, v in pairs] + [0], np.int32)
-        del self.edges
+            self.flat = np.tile(self.root, self.states)
+            self.flat[:n] = FLAG
+            self.flat[keys] = to * np.int32(n)
+
+    def drop(self) -> None:
+        self.flat = None
 
     def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
         if self.dense:
@@ -171,10 +171,7 @@ class Model:
         most = max(map(len, learn.values()))  # equally much text where there is enough, so that none matches longer for having more
         least = min(len(v) for v in learn.values() if 2 * len(v) >= most)
         self.tables = [Table(self.alphabet.codes(learn[k][:least]), self.alphabet.size) for k in self.langs]
-        total = 0
-        for t in sorted(self.tables, key=lambda t: t.bytes):
-            total += t.bytes
-            t.build(t.n <= DENSE_CLASSES and total <= DENSE_BYTES)
+        self.open()
         self.own = np.ones(len(self.langs))
         self.own = np.array([max(np.nan_to_num(self.rates([hold[k]])[0][j], nan=1.0), 1e-6) for j, k in enumerate(self.langs)])
         # a language with little text compresses even its own badly; that must not excuse what it does to others'
@@ -182,6 +179,18 @@ class Model:
         self.own = np.minimum(self.own, top)
         self.own /= self.own.mean() or 1.0
 
+    def open(self) -> None:
+        """Lay out the tables; the smallest ones densely."""
+        total = 0
+        for t in sorted(self.tables, key=lambda t: t.bytes):
+            total += t.bytes
+            t.build(t.n <= DENSE_CLASSES and total <= DENSE_BYTES)
+
+    def close(self) -> None:
+        """Drop what ``open`` has laid out."""
+        for t in self.tables:
+            t.drop()
+
     def rates(self, texts: list[str]) -> np.ndarray:
         """Normalised phrases a character, by text and language; not a number where no letter is."""
         codes = [self.alphabet.codes(t) for t in texts]
@@ -233,11 +242,6 @@ class Model:
         return langs, scores
 
 
-@lru_cache(maxsize=1)
-def _model(texts: tuple[tuple[str, tuple[str, ...]], ...]) -> Model:
-    return Model(dict(texts))
-
-
 def train(
     docs: DataFrame, where: Column | None = None, *, text_col: str = "text", lang_col: str = "lang", sample_chars: int = 60_000
 ) -> tuple[tuple[str, tuple[str, ...]], ...]:
@@ -251,11 +255,22 @@ def identify(docs: DataFrame, model: tuple[tuple[str, tuple[str, ...]], ...], *,
     stay = [c for c in docs.columns if c not in ("lang_pred", "score")]
     schema = docs.select(*stay).schema.add("lang_pred", "string").add("score", "double")
 
+    built = Model(dict(model)) if model else None
+    if built:
+        built.close()
+    shared = docs.sparkSession.sparkContext.broadcast(built)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = _model(model) if model else None
-        for b in chunks(batches, text_col, 2 << 20):
-            texts = b.column(text_col).to_pylist()
-            langs, scores = m.predict(texts) if m else (["und"] * len(texts), [0.0] * len(texts))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
+        m = shared.value
+        if m:
+            m.open()
+        try:
+            for b in chunks(batches, text_col, 2 << 20):
+                texts = b.column(text_col).to_pylist()
+                langs, scores = m.predict(texts) if m else (["und"] * len(texts), [0.0] * len(texts))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
+        finally:
+            if m:
+                m.close()
 
     return docs.select(*stay).mapInArrow(run, schema)
