@@ -9,8 +9,8 @@ Each task leaves at most k - 1 pieces of each class. They meet in groups of ``GA
 filled first and what is left, again fewer than k of each class, is packed across classes, largest first, into the first
 bin that has room. A group's size is bounded by ``GATHER`` and the capacity, not by the data.
 
-Tokens are counted and made word by word with a bounded cache: the tokenizer splits at white space, so the ids of a text are
-those of its space-separated parts, one after the other.
+Tokens are made part by part with a bounded cache: the tokenizer splits at white space and by its pattern, so the ids of a
+text are those of its parts, one after the other. The cache belongs to the task and ends with it.
 
 Nulls: a null text is empty and gives the end id alone; a null id is passed on. Repeated rows are packed each on its own.
 Only the id and text columns are read, so others can't clash. An empty table gives no rows. A text of any length is
@@ -24,7 +24,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -41,10 +41,15 @@ GATHER = 4
 _COLUMNS = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, task int"
 
 
-#: Words that the tokenizer's normaliser only lower-cases and whose parts the pattern below finds as the tokenizer does.
-_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Text that the tokenizer's normaliser only lower-cases and whose parts the pattern below finds as the tokenizer does.
+_SIMPLE = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
+_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\n a-zß-öø-ÿ0-9]+")
 _ASCII_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SPACE = re.compile(r"[\n ]")
+#: Parts of words in one generation of the cache.
+GENERATION = 200_000
+#: Characters that are tokenized in one step.
+STEP = 1 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,58 +59,89 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class _Known(dict):
+    """Ids by part, a bounded cache in two generations: when the young one is full it becomes the old one, and what is asked
+    for again comes back from there, so that frequent parts outlive the others."""
+
+    def __init__(self, find: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.find, self.most, self.old = find, most, {}
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(part)
+        if ids is None:
+            ids = self.find(part)
+        self[part] = ids
+        return ids
+
+
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit integers, by bounded caches of words and of parts of words.
+    """Ids of a text as little-endian unsigned 32-bit integers, by a bounded cache of the parts of words.
 
-    The tokenizer drops white space, so the ids of a text are those of its space-separated words, one after the other. A
-    word of ASCII and Latin-1 letters is cut as the tokenizer's own pattern does and its parts go to the tokenizer's model
+    The tokenizer drops white space, so the ids of a text are those of its space-separated words, one after the other. Text
+    of ASCII and Latin-1 letters is cut as the tokenizer's own pattern does and its parts go to the tokenizer's model
     straight away; any other word, or any word if the tokenizer is of another make, goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
-        self.cache: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+    def __init__(self, path: str, generation: int = GENERATION):
+        self.tokenizer, self.straight, self.special = _loaded(path)
         self.letters = _byte_letters()
-        with open(path, encoding="utf-8") as f:
-            made = json.load(f)
-        self.straight = _made_of(made) == ["NFC", "Replace", "Lowercase", _ASCII_PATTERN, "ByteLevel"]
-        self.special = [x["content"] for x in made.get("added_tokens", [])]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        cache = self.cache
-        if len(cache) > self.most:
-            cache.clear()
-        if len(self.parts) > self.most:
-            self.parts.clear()
-        for w in set().union(*words) - cache.keys():
-            cache[w] = self._word(w)
-        return [b"".join([cache[w] for w in ws]) for ws in words]
-
-    def _word(self, w: str) -> bytes:
-        if not w:
-            return b""
-        if not self.straight or not _SIMPLE.fullmatch(w) or ("<" in w and any(x in w for x in self.special)):
-            return np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        parts, out = self.parts, []
-        for p in _PART.findall(w.lower()):
-            ids = parts.get(p)
-            if ids is None:
-                found = self.tokenizer.model.tokenize(p.encode().decode("latin-1").translate(self.letters))
-                ids = parts[p] = struct.pack(f"<{len(found)}I", *[x.id for x in found])
-            out.append(ids)
-        return b"".join(out)
+        self.parts, self.words = _Known(self._part, generation), _Known(self._word, generation)
+
+    def encode(self, text: str | None) -> bytes:
+        return b"".join([self._encode(x) for x in steps(text or "")])
+
+    def _encode(self, text: str) -> bytes:
+        if self._is_simple(text):
+            return self._simple(text)
+        out, run = [], []
+        for w in _SPACE.split(text):
+            if self._is_simple(w):
+                run.append(w)
+                continue
+            out += [self._simple(" ".join(run)), self.words[w]]
+            run = []
+        return b"".join([*out, self._simple(" ".join(run))])
+
+    def _is_simple(self, text: str) -> bool:
+        return self.straight and _SIMPLE.fullmatch(text) is not None and not ("<" in text and any(x in text for x in self.special))
+
+    def _simple(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, _PART.findall(text.lower())))
+
+    def _part(self, part: str) -> bytes:
+        found = self.tokenizer.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(self.letters))
+        return struct.pack(f"<{len(found)}I", *[x.id for x in found])
+
+    def _word(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def steps(text: str) -> Iterator[str]:
+    """The text in pieces of about ``STEP`` characters that end before a space or line end, or where the text does."""
+    at = 0
+    while len(text) - at > STEP:
+        m = _SPACE.search(text, at + STEP)
+        if m is None:
+            break
+        yield text[at : m.start()]
+        at = m.start()
+    yield text[at:] if at else text
 
 
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> WordEncoder:
-    """A worker's encoder; its caches serve all tasks that the worker runs."""
-    return WordEncoder(path)
+def _loaded(path: str) -> tuple:
+    """A worker's tokenizer, whether its parts are those of the pattern, and its special tokens; without any cache of ids."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    straight = _made_of(made) == ["NFC", "Replace", "Lowercase", _ASCII_PATTERN, "ByteLevel"]
+    return Tokenizer.from_file(path), straight, tuple(x["content"] for x in made.get("added_tokens", []))
 
 
 def _made_of(made: dict) -> list[str]:
@@ -170,12 +206,12 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096, end_id:
     end = np.array([end_id], "<u4").tobytes()
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        encoder, task = _encoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, task = WordEncoder(tokenizer_path), TaskContext.get().partitionId()  # its caches end with the task
         bins = Bins((task * 2) << 31)
-        for b in chunks(batches, text_col):
+        for b in chunks(batches, text_col, STEP):
             rows: list[tuple] = []
-            for d, ids in zip(b.column(id_col).to_pylist(), encoder.encode(b.column(text_col).to_pylist()), strict=True):
-                ids += end
+            for d, text in zip(b.column(id_col).to_pylist(), b.column(text_col).to_pylist(), strict=True):
+                ids = encoder.encode(text) + end
                 start, total = 0, len(ids) // 4
                 for size, k in cut(total, capacity, max_cuts):
                     full = bins.put(k, (d, start, size, zlib.crc32(ids[4 * start : 4 * (start + size)]), total))
