@@ -21,9 +21,11 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
 
 
 def refresh_by_date(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Rewrite the date partitions that new rows belong to, batch by batch."""
+    """Add each micro-batch to the dates that its rows belong to. Below a date a batch has a partition of its own, which a
+    repeated attempt replaces, so that rows of earlier batches stay and none is written twice."""
 
-    def put(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    def put(batch: DataFrame, number: int) -> None:
+        own = batch.withColumn("batch", F.lit(number))
+        own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").parquet(path)
 
     stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
