@@ -1,8 +1,13 @@
 """Geographically and temporally weighted regression.
 
-Each query point solves its own weighted least squares over all training points. The pairs are never kept: they are summed
-to the normal equations within the task that makes them, and only p x p sums travel. ``cutoff`` restricts a query to
-training points within a distance by way of buckets, which is approximate, as every point has a weight of 1e-12 or more.
+Each query point solves its own weighted least squares over all training points. The pairs are never rows: parts of the
+queries meet blocks of the training points, both packed by a hash of their id, and each meeting adds weights times products
+to the normal equations by one matrix product for all bandwidths at once. Only p x p sums travel on. A group holds one part
+and one block, so ``parts`` and ``blocks`` bound the memory of a task; the work is queries times training points by definition.
+``cutoff`` restricts a query to training points within a distance by way of buckets, which is approximate, as every point has
+a weight of 1e-12 or more.
+
+Training rows without a target or with a missing feature are left out; missing coordinates give the least weight.
 """
 
 from __future__ import annotations
@@ -11,38 +16,82 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqgrid.functions.columns import gaussian_kernel
 
-
-def _pairs(query: DataFrame, train: DataFrame, cutoff: float | None) -> DataFrame:
-    t = train.select(F.col("id").alias("tid"), F.col("x").alias("tx"), F.col("y").alias("ty"), F.col("cx").alias("tcx"), F.col("cy").alias("tcy"), F.col("t").alias("tt"))
-    if cutoff is None:
-        return query.crossJoin(t)
+#: Pairs whose weights a task holds at once.
+TILE = 1 << 21
+Grid = list[tuple[float, float | None]]
+
+
+def _sized(d: DataFrame, p: int) -> DataFrame:
+    return d.withColumn("x", F.when(F.assert_true(F.size("x") == p, "x has another length").isNull(), F.col("x")))
+
+
+def _training(train: DataFrame, p: int) -> DataFrame:
+    t = _sized(train.select("id", "x", "y", "cx", "cy", "t"), p)
+    return t.where(F.col("y").isNotNull() & ~F.exists("x", lambda v: v.isNull()))
+
+
+def _names(p: int) -> list[str]:
+    return [f"a{i}_{j}" for i in range(p) for j in range(i, p)] + [f"b{i}" for i in range(p)] + ["yy", "w"]
+
+
+def _block_sums(train: DataFrame, query: DataFrame, p: int, grid: Grid, parts: int, blocks: int, leave_self_out: bool) -> DataFrame:
+    """Rows (id, g, the sums of ``_names``) for each query, bandwidth and block."""
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = query.select("id", "cx", "cy", "t").withColumn("part", deal(parts)).withColumn("block", every(blocks))
+    t = train.withColumn("block", deal(blocks)).withColumn("part", every(parts))
+    names = _names(p)
+
+    def add(qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
+        if not len(qs) or not len(ts):
+            return pd.DataFrame(columns=["id", "g", *names])
+        x = np.array(ts["x"].tolist(), float).reshape(len(ts), p)
+        y = ts["y"].to_numpy(float)
+        z = np.stack([*(x[:, i] * x[:, j] for i in range(p) for j in range(i, p)), *(x[:, i] * y for i in range(p)), y * y, np.ones(len(y))], axis=1)
+        number = lambda d, c: d[c].to_numpy(float)
+        out = []
+        for at in range(0, len(qs), max(1, TILE // len(ts))):
+            part = qs.iloc[at : at + max(1, TILE // len(ts))]
+            d2 = (number(part, "cx")[:, None] - number(ts, "cx")) ** 2 + (number(part, "cy")[:, None] - number(ts, "cy")) ** 2
+            dt2 = (number(part, "t")[:, None] - number(ts, "t")) ** 2
+            same = part["id"].to_numpy()[:, None] == ts["id"].to_numpy() if leave_self_out else None
+            for g, (hs, ht) in enumerate(grid):
+                w = np.exp(-d2 / (hs * hs))
+                if ht is not None and not np.isnan(ht):
+                    w *= np.where(np.isnan(dt2), 1.0, np.exp(-dt2 / (ht * ht)))
+                w = np.fmax(w, 1e-12)
+                if same is not None:
+                    w[same] = 0
+                out.append(pd.DataFrame(w @ z, columns=names).assign(id=part["id"].to_numpy(), g=g))
+        return pd.concat(out)[["id", "g", *names]]
+
+    schema = "id long, g int, " + ", ".join(f"{n} double" for n in names)
+    return q.groupBy("part", "block").cogroup(t.groupBy("part", "block")).applyInPandas(add, schema)
+
+
+def _near_sums(train: DataFrame, query: DataFrame, p: int, hs: float, ht: float | None, cutoff: float, leave_self_out: bool) -> DataFrame:
+    """The same sums over the training points within a distance; queries look into the 3 x 3 buckets around their own."""
+    t = train.select(*[F.col(c).alias(f"t{c}") for c in ("id", "x", "y", "cx", "cy", "t")])
     around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    q = query.withColumn("o", F.explode(around))
-    q = q.withColumn("bx", F.floor(F.col("cx") / cutoff) + F.col("o.i")).withColumn("by", F.floor(F.col("cy") / cutoff) + F.col("o.j")).drop("o")
-    t = t.withColumn("bx", F.floor(F.col("tcx") / cutoff)).withColumn("by", F.floor(F.col("tcy") / cutoff))
-    return q.join(t, ["bx", "by"]).where(F.pow(F.col("cx") - F.col("tcx"), 2) + F.pow(F.col("cy") - F.col("tcy"), 2) <= cutoff * cutoff)
-
-
-def predict(train: DataFrame, query: DataFrame, p: int, *, hs: float, ht: float | None = None, cutoff: float | None = None, leave_self_out: bool = False) -> DataFrame:
-    """Rows (id, prediction, uncertainty) for query rows (id, x, cx, cy, t) from training rows (id, x, y, cx, cy, t).
-
-    ``x`` is an array of p numbers; no intercept is added. Uncertainty is the weighted residual deviation.
-    """
-    sized = lambda d: d.withColumn("x", F.when(F.assert_true(F.size("x") == p, "x has another length").isNull(), F.col("x")))
-    pairs = _pairs(sized(query.select("id", "x", "cx", "cy", "t")), sized(train), cutoff)
+    bucket = lambda c: F.floor(F.col(c) / cutoff)
+    q = query.select("id", "cx", "cy", "t").withColumn("o", F.explode(around)).withColumn("bx", bucket("cx") + F.col("o.i")).withColumn("by", bucket("cy") + F.col("o.j")).drop("o")
+    d2 = F.pow(F.col("cx") - F.col("tcx"), 2) + F.pow(F.col("cy") - F.col("tcy"), 2)
+    pairs = q.join(t.withColumn("bx", bucket("tcx")).withColumn("by", bucket("tcy")), ["bx", "by"]).where(d2 <= cutoff * cutoff)
     if leave_self_out:
         pairs = pairs.where("id <> tid")
-    d2 = F.pow(F.col("cx") - F.col("tcx"), 2) + F.pow(F.col("cy") - F.col("tcy"), 2)
     pairs = pairs.withColumn("w", gaussian_kernel(d2, hs, F.col("t") - F.col("tt"), ht))
-    x = [F.col("tx")[k] for k in range(p)]
-    sums = [F.sum(F.col("w") * x[a] * x[b]).alias(f"a{a}_{b}") for a in range(p) for b in range(a, p)]
-    sums += [F.sum(F.col("w") * x[a] * F.col("ty")).alias(f"b{a}") for a in range(p)]
-    sums += [F.sum(F.col("w") * F.col("ty") * F.col("ty")).alias("yy"), F.sum("w").alias("w"), F.first("x").alias("x")]
+    x, w, y = [F.col("tx")[k] for k in range(p)], F.col("w"), F.col("ty")
+    terms: list[Column] = [w * x[i] * x[j] for i in range(p) for j in range(i, p)] + [w * x[i] * y for i in range(p)] + [w * y * y, w]
+    return pairs.groupBy("id").agg(F.lit(0).alias("g"), *[F.sum(c).alias(n) for c, n in zip(terms, _names(p), strict=True)])
+
+
+def _solved(sums: DataFrame, query: DataFrame, p: int) -> DataFrame:
+    """Rows (id, g, prediction, uncertainty) from the sums over all blocks."""
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in batches:
@@ -54,19 +103,32 @@ def predict(train: DataFrame, query: DataFrame, p: int, *, hs: float, ht: float
             beta = np.einsum("nij,nj->ni", np.linalg.pinv(a), b)
             xq = np.array(d["x"].tolist(), float).reshape(len(d), p)
             rss = d["yy"].to_numpy() - 2 * (beta * b).sum(1) + np.einsum("ni,nij,nj->n", beta, a, beta)
-            yield pd.DataFrame({"id": d["id"], "prediction": (xq * beta).sum(1), "uncertainty": np.sqrt(np.maximum(rss / (d["w"].to_numpy() + 1e-12), 0))})
+            yield pd.DataFrame({"id": d["id"], "g": d["g"], "prediction": (xq * beta).sum(1), "uncertainty": np.sqrt(np.maximum(rss / (d["w"].to_numpy() + 1e-12), 0))})
 
-    return pairs.groupBy("id").agg(*sums).mapInPandas(solve, "id long, prediction double, uncertainty double")
+    total = sums.groupBy("id", "g").agg(*[F.sum(n).alias(n) for n in _names(p)])
+    return total.join(query.select("id", "x"), "id").mapInPandas(solve, "id long, g int, prediction double, uncertainty double")
 
 
-def bandwidth_scores(train: DataFrame, p: int, grid: list[tuple[float, float | None]]) -> DataFrame:
-    """Leave-one-out root mean squared error of each (hs, ht)."""
-    out = None
-    for hs, ht in grid:
-        one = predict(train, train, p, hs=hs, ht=ht, leave_self_out=True).join(train.select("id", "y"), "id")
-        one = one.agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2))).alias("rmse")).select(F.lit(float(hs)).alias("hs"), F.lit(ht).cast("double").alias("ht"), "rmse")
-        out = one if out is None else out.unionByName(one)
-    return out
+def predict(
+    train: DataFrame, query: DataFrame, p: int, *, hs: float, ht: float | None = None, cutoff: float | None = None, leave_self_out: bool = False, parts: int = 16, blocks: int = 4
+) -> DataFrame:
+    """Rows (id, prediction, uncertainty) for query rows (id, x, cx, cy, t) from training rows (id, x, y, cx, cy, t).
+
+    ``x`` is an array of p numbers; no intercept is added; query ids are unique. Uncertainty is the weighted residual
+    deviation. Choose ``parts`` and ``blocks`` so that a part of the queries and a block of the training points fit a task.
+    """
+    q, t = _sized(query.select("id", "x", "cx", "cy", "t"), p), _training(train, p)
+    sums = _block_sums(t, q, p, [(hs, ht)], parts, blocks, leave_self_out) if cutoff is None else _near_sums(t, q, p, hs, ht, cutoff, leave_self_out)
+    return _solved(sums, q, p).drop("g")
+
+
+def bandwidth_scores(train: DataFrame, p: int, grid: Grid, *, parts: int = 16, blocks: int = 4) -> DataFrame:
+    """Leave-one-out root mean squared error of each (hs, ht); all bandwidths share the distances of one pass."""
+    t = _training(train, p)
+    one = _solved(_block_sums(t, t, p, grid, parts, blocks, True), t, p).join(t.select("id", "y"), "id")
+    score = one.groupBy("g").agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2))).alias("rmse"))
+    pick = lambda k: F.element_at(F.array(*[F.lit(v[k]).cast("double") for v in grid]), F.col("g") + 1)
+    return score.select(pick(0).alias("hs"), pick(1).alias("ht"), "rmse")
 
 
 def best_bandwidth(scores: DataFrame) -> DataFrame:
