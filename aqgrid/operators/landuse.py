@@ -18,6 +18,36 @@ def tiles(spark, nx: int, ny: int, cell: float = 30.0) -> DataFrame:
     return d.select(F.concat(F.lit("r"), "i", F.lit("_c"), "j").alias("tile_id"), "i", "j", (F.col("j") * cell).alias("x0"), (F.col("i") * cell).alias("y0"))
 
 
+def tiles_within(spark, corners: list[tuple[float, float]], cell: float = 30.0) -> DataFrame:
+    """Tiles over the box of a projected quadrilateral, those that meet it (its border counts). Corners run anticlockwise.
+
+    Two convex shapes meet unless an axis keeps them apart: the sides of the box are dealt with by the count of tiles, and
+    the normals of the four edges by a half-plane test on the tile's corner that lies furthest inside.
+    """
+    import math
+
+    xs, ys = [x for x, _ in corners], [y for _, y in corners]
+    x0, y0 = min(xs), min(ys)
+    nx, ny = math.ceil((max(xs) - x0) / cell), math.ceil((max(ys) - y0) / cell)
+    d = spark.range(nx * ny).select(F.expr(f"CAST(id DIV {ny} AS INT)").alias("j"), F.expr(f"CAST(id % {ny} AS INT)").alias("i"))
+    d = d.select(F.concat(F.lit("r"), "j", F.lit("_c"), "i").alias("tile_id"), "i", "j", (x0 + F.col("j") * cell).alias("x0"), (y0 + F.col("i") * cell).alias("y0"))
+    meets = F.lit(True)
+    for (ax, ay), (bx, by) in zip(corners, [*corners[1:], corners[0]], strict=True):
+        ex, ey = bx - ax, by - ay
+        px = F.col("x0") + (cell if ey < 0 else 0.0)  # the corner with the largest cross product
+        py = F.col("y0") + (cell if ex > 0 else 0.0)
+        meets = meets & (ex * (py - ay) - ey * (px - ax) >= 0)
+    return d.where(meets)
+
+
+def merge_layers(layers: list[DataFrame]) -> DataFrame:
+    """Layers one after the other; a column that a layer lacks is null there."""
+    out = layers[0]
+    for x in layers[1:]:
+        out = out.unionByName(x, allowMissingColumns=True)
+    return out
+
+
 def centroids(spark, xmin: float, ymin: float, xmax: float, ymax: float, res: float = 30.0, max_cells: int | None = 3_000_000) -> DataFrame:
     """Cell centres, the first half a step inside, row by row; more than ``max_cells`` raise."""
     import math
@@ -29,12 +59,19 @@ def centroids(spark, xmin: float, ymin: float, xmax: float, ymax: float, res: fl
     return d.select("ix", "iy", (xmin + res / 2 + F.col("ix") * res).alias("x"), (ymin + res / 2 + F.col("iy") * res).alias("y"))
 
 
-def inside(points: DataFrame, edges: DataFrame) -> DataFrame:
-    """Points within the boundary: an odd number of its edges lies to their right. The edges are the small side."""
+def inside(points: DataFrame, edges: DataFrame, *, key: str = "id", band: float = 1000.0) -> DataFrame:
+    """Points within the boundary: an odd number of its edges lies to their right.
+
+    Points and edges meet by bands of y, ``band`` high, as an equi-key; an edge goes to every band that it crosses. The rows
+    of one key are one point.
+    """
+    floor = lambda c: F.floor(c / band).cast("long")
+    e = edges.where("y1 <> y2").select("x1", "y1", "x2", "y2", F.explode(F.sequence(floor(F.least("y1", "y2")), floor(F.greatest("y1", "y2")))).alias("band"))
+    p = points.select(key, "x", "y").dropDuplicates([key]).withColumn("band", floor(F.col("y")))
     above = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
-    at = F.col("x1") + F.try_divide((F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1"))
-    hits = points.join(edges.select("x1", "y1", "x2", "y2"), above).where(at > F.col("x"))
-    return hits.groupBy(*points.columns).agg(F.count("*").alias("n")).where("n % 2 = 1").drop("n")
+    at = F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    hits = p.join(e, "band").where(above & (at > F.col("x"))).groupBy(key).agg(F.count("*").alias("n"))
+    return points.join(hits.where("n % 2 = 1").select(key), key, "left_semi")
 
 
 def dense_ids(grid: DataFrame) -> DataFrame:
@@ -116,12 +153,13 @@ def dust(grid: DataFrame, roads: DataFrame, areas: DataFrame, points: DataFrame,
 
 
 INDUSTRIAL = ("industrial_area_m2", "industrial_building_area_m2", "industrial_building_volume_m3", "landfill_area_m2", "quarry_area_m2")
-COUNTS = ("industrial_building_count", "power_plant_count", "chimney_count", "industrial_poi_count")
+COUNTS = ("industrial_building_count", "power_plant_count", "chimney_count", "industrial_poi_count", "industrial_contrib_count")
 
 
-def industrial(grid: DataFrame, areas: DataFrame, points: DataFrame) -> DataFrame:
+def industrial(grid: DataFrame, areas: DataFrame, points: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """The industrial columns of every tile. ``areas`` are clipped polygons with the class columns and a height, counted once a
-    (feature, tile); ``points`` carry the class columns."""
+    (feature, tile); ``points`` carry the class columns; ``lines`` are clipped lines with is_plant, counted once a tile.
+    Industrial land, buildings, plants, chimneys and points of interest contribute one each."""
     on = lambda flag, v: F.sum(F.when(F.col(flag), v).otherwise(F.lit(0.0)))
     a = areas.groupBy("i", "j").agg(
         on("is_industrial", F.col("area")).alias(INDUSTRIAL[0]),
@@ -130,9 +168,17 @@ def industrial(grid: DataFrame, areas: DataFrame, points: DataFrame) -> DataFram
         on("is_landfill", F.col("area")).alias(INDUSTRIAL[3]),
         on("is_quarry", F.col("area")).alias(INDUSTRIAL[4]),
         F.count_if("is_industrial_building").alias(COUNTS[0]),
+        F.count_if("is_industrial").alias("_land"),
     )
-    p = points.groupBy("i", "j").agg(F.count_if("is_plant").alias(COUNTS[1]), F.count_if("is_chimney").alias(COUNTS[2]), F.count_if("is_poi").alias(COUNTS[3]))
-    d = grid.join(a, ["i", "j"], "left").join(p, ["i", "j"], "left").fillna(0)
+    p = points.groupBy("i", "j").agg(F.count_if("is_plant").alias("_plants"), F.count_if("is_chimney").alias(COUNTS[2]), F.count_if("is_poi").alias(COUNTS[3]))
+    d = grid.join(a, ["i", "j"], "left").join(p, ["i", "j"], "left")
+    if lines is None:
+        d = d.withColumn("_lines", F.lit(0).cast("long"))
+    else:
+        crossed = lines.where("is_plant").select("feature_id", "i", "j").distinct()
+        d = d.join(crossed.groupBy("i", "j").agg(F.count("*").alias("_lines")), ["i", "j"], "left")
+    d = d.fillna(0).withColumn(COUNTS[1], F.col("_plants") + F.col("_lines"))
+    d = d.withColumn(COUNTS[4], sum((F.col(c) for c in ("_land", *COUNTS[:4])), F.lit(0).cast("long"))).drop("_land", "_plants", "_lines")
     raw = industrial_raw(*(F.col(c) for c in (INDUSTRIAL[2], INDUSTRIAL[0], COUNTS[1], COUNTS[2], INDUSTRIAL[3], INDUSTRIAL[4], COUNTS[3])))
     d = d.withColumn("industrial_index_raw", raw)
     sure = confidence(F.col(COUNTS[1]), F.col(COUNTS[2]), F.col(INDUSTRIAL[1]), F.col(INDUSTRIAL[0]), F.col(COUNTS[3]))

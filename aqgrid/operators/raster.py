@@ -6,7 +6,9 @@ nodata, scale and offset. Origins are the upper left corner, rows go south.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqgrid.functions.columns import is_nodata, scaled
@@ -24,9 +26,11 @@ def cleaned(pixels: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def sample_nearest(points: DataFrame, pixels: DataFrame, meta: DataFrame) -> DataFrame:
-    """Each point with the value of every raster band's pixel around it; outside the raster the value is null and flagged."""
+    """Each point with the value of every raster band's pixel around it; outside the raster the value is null and flagged.
+
+    The metadata travels with every task: one row a raster and band, which the caller keeps to the rasters asked for."""
     m = meta.select(*KEYS, "x_origin", "y_origin", "res")
-    at = points.crossJoin(F.broadcast(m)) if meta.count() <= 1000 else points.join(m, F.lit(True))
+    at = points.crossJoin(F.broadcast(m))
     at = at.select(*points.columns, *KEYS, F.floor((F.col("y_origin") - F.col("y")) / F.col("res")).cast("int").alias("row"), F.floor((F.col("x") - F.col("x_origin")) / F.col("res")).cast("int").alias("col"))
     out = at.join(cleaned(pixels, meta), [*KEYS, "row", "col"], "left")
     return out.select(*points.columns, *KEYS, "value", F.coalesce("is_nodata", F.lit(True)).alias("is_nodata"))
@@ -36,7 +40,7 @@ def sample_bilinear(points: DataFrame, pixels: DataFrame, meta: DataFrame) -> Da
     """Weighted mean of the four pixel centres around a point; null unless all four have values."""
     m = meta.select(*KEYS, "x_origin", "y_origin", "res")
     fy, fx = (F.col("y_origin") - F.col("y")) / F.col("res") - 0.5, (F.col("x") - F.col("x_origin")) / F.col("res") - 0.5
-    at = points.join(F.broadcast(m) if meta.count() <= 1000 else m, F.lit(True)).select(*points.columns, *KEYS, fy.alias("fy"), fx.alias("fx"))
+    at = points.crossJoin(F.broadcast(m)).select(*points.columns, *KEYS, fy.alias("fy"), fx.alias("fx"))
     corner = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
     at = at.withColumn("c", corner)
     part = lambda v, k: F.when(F.col(k) == 1, F.col(v) - F.floor(v)).otherwise(1 - (F.col(v) - F.floor(v)))
@@ -48,6 +52,15 @@ def sample_bilinear(points: DataFrame, pixels: DataFrame, meta: DataFrame) -> Da
     return out.agg(F.when(full, F.sum(F.col("w") * F.col("value"))).alias("value"), (~full).alias("is_nodata"))
 
 
+def reproject(target: DataFrame, pixels: DataFrame, meta: DataFrame, to_source: Callable[[Column, Column], tuple[Column, Column]]) -> DataFrame:
+    """Bilinear values of a raster at the pixel centres of another grid: ``target`` has row, col, x and y in its own
+    coordinates, ``to_source`` turns them into those of the raster. Rows (row, col, raster_id, band, value, is_nodata)."""
+    x, y = to_source(F.col("x"), F.col("y"))
+    at = target.select("row", "col", x.alias("_x"), y.alias("_y")).select(F.col("row").alias("trow"), F.col("col").alias("tcol"), F.col("_x").alias("x"), F.col("_y").alias("y"))
+    out = sample_bilinear(at, pixels, meta)
+    return out.select(F.col("trow").alias("row"), F.col("tcol").alias("col"), *KEYS, "value", "is_nodata")
+
+
 def composite(pixels: DataFrame, reducer: str = "median") -> DataFrame:
     """One value a pixel from several scenes; nulls don't count."""
     how = {"median": F.median("value"), "mean": F.avg("value"), "min": F.min("value"), "max": F.max("value")}[reducer]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqgrid.functions.columns import accepted_pm25, haversine_km
@@ -15,8 +15,9 @@ def daily_mean(measurements: DataFrame) -> DataFrame:
 
 
 def eligible(sensors: DataFrame, dates: DataFrame) -> DataFrame:
-    """Sensors with each date of their life span."""
-    return sensors.join(dates, F.col("date").between(F.col("first_date"), F.col("last_date")))
+    """Sensors with each date of their life span, which is spread over its days to meet the dates by equality."""
+    span = F.when(F.col("first_date") <= F.col("last_date"), F.sequence("first_date", "last_date"))
+    return sensors.withColumn("date", F.explode(span)).join(dates.select("date").distinct(), "date")
 
 
 def with_fallback(targets: DataFrame, daily: DataFrame, *, window_days: int = 7, min_samples: int = 3, seasonal: bool = True) -> DataFrame:
@@ -41,18 +42,23 @@ def with_fallback(targets: DataFrame, daily: DataFrame, *, window_days: int = 7,
     )
 
 
-def neighbours(targets: DataFrame, valid: DataFrame, max_km: float, max_latitude: float = 60.0) -> DataFrame:
+def neighbours(targets: DataFrame, valid: DataFrame, max_km: float) -> DataFrame:
     """Pairs of a target and another sensor with a value on the same date, at most ``max_km`` apart.
 
-    Buckets are at least ``max_km`` wide up to ``max_latitude``; a target looks into the 3 x 3 around its own.
+    Buckets are bands of latitude at least ``max_km`` high, cut by longitude so that each is at least as wide at its own
+    and its neighbouring bands' highest latitude; a target looks into the 3 x 3 around its own. Beyond 89 degrees a band is one
+    bucket. Pairs across the 180th meridian aren't found.
     """
-    import math
-
     dy = max_km / 110.0
-    dx = dy / math.cos(math.radians(max_latitude))
+
+    def width(band: Column) -> Column:
+        top = F.greatest(F.abs(band - 1), F.abs(band + 2)) * dy
+        return F.when(top < 89, dy / F.cos(F.radians(F.least(top, F.lit(89.0))))).otherwise(720.0)
+
     around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     t = targets.where("latitude IS NOT NULL AND longitude IS NOT NULL").withColumn("o", F.explode(around))
-    t = t.select("date", "sensor_id", "latitude", "longitude", (F.floor(F.col("latitude") / dy) + F.col("o.i")).alias("by"), (F.floor(F.col("longitude") / dx) + F.col("o.j")).alias("bx"))
+    t = t.withColumn("by", F.floor(F.col("latitude") / dy) + F.col("o.i"))
+    t = t.select("date", "sensor_id", "latitude", "longitude", "by", (F.floor(F.col("longitude") / width(F.col("by"))) + F.col("o.j")).alias("bx"))
     v = valid.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
         "date",
         F.col("sensor_id").alias("other"),
@@ -60,7 +66,7 @@ def neighbours(targets: DataFrame, valid: DataFrame, max_km: float, max_latitude
         F.col("longitude").alias("olon"),
         F.col("pm25").alias("opm"),
         F.floor(F.col("latitude") / dy).alias("by"),
-        F.floor(F.col("longitude") / dx).alias("bx"),
+        F.floor(F.col("longitude") / width(F.floor(F.col("latitude") / dy))).alias("bx"),
     )
     pairs = t.join(v, ["date", "by", "bx"]).where("other <> sensor_id")
     return pairs.withColumn("km", haversine_km(F.col("latitude"), F.col("longitude"), F.col("olat"), F.col("olon"))).where(F.col("km") <= max_km)
@@ -85,13 +91,16 @@ def idw_fill(readings: DataFrame, *, max_km: float = 10.0, min_neighbours: int =
 
 
 def fallback_statistics(readings: DataFrame) -> DataFrame:
-    """Rows and percent by type; the types are few, so the total is a second, tiny aggregate."""
+    """Rows and percent by type; the total is a window over the few types."""
+    from pyspark.sql import Window
+
     n = readings.groupBy("fallback_type").agg(F.count("*").alias("n"))
-    return n.crossJoin(n.agg(F.sum("n").alias("total"))).select("fallback_type", "n", (100.0 * F.col("n") / F.col("total")).alias("percent"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
+    return n.select("fallback_type", "n", (100.0 * F.col("n") / total).alias("percent"))
 
 
-def fill_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    m = before.agg(F.count_if(F.col("pm25").isNull()).alias("missing_before"), F.count("*").alias("n_rows"))
-    return m.crossJoin(after.agg(F.count_if(F.col("pm25").isNull()).alias("missing_after"))).withColumn(
-        "filled_percent", F.try_divide(100.0 * (F.col("missing_before") - F.col("missing_after")), F.col("missing_before"))
-    )
+def fill_report(filled: DataFrame) -> DataFrame:
+    """Missing values before and after filling, in one pass: what was filled says so in its type."""
+    gone, new = F.col("pm25").isNull(), F.coalesce(F.col("fallback_type") == "spatial_idw", F.lit(False))
+    out = filled.agg(F.count_if(gone | new).alias("missing_before"), F.count("*").alias("n_rows"), F.count_if(gone).alias("missing_after"))
+    return out.withColumn("filled_percent", F.try_divide(100.0 * (F.col("missing_before") - F.col("missing_after")), F.col("missing_before")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,22 @@ def coarser(cells: DataFrame, factor: int = 3) -> DataFrame:
     return cells.groupBy(F.floor(F.col("ix") / factor).alias("cx"), F.floor(F.col("iy") / factor).alias("cy")).agg(F.avg("value").alias("value"), F.count("value").alias("n"))
 
 
+def hex_cells(points: DataFrame, size: float) -> DataFrame:
+    """Points (x, y) with the axial coordinates q, r of the hexagon (pointy top, edge ``size``) that they lie in."""
+    q = (math.sqrt(3) / 3 * F.col("x") - F.col("y") / 3) / size
+    r = 2.0 / 3 * F.col("y") / size
+    rq, rr, rs = F.floor(q + 0.5), F.floor(r + 0.5), F.floor(-q - r + 0.5)
+    dq, dr, ds = F.abs(rq - q), F.abs(rr - r), F.abs(rs + q + r)
+    fixed_q = F.when((dq > dr) & (dq > ds), -rr - rs).otherwise(rq)
+    fixed_r = F.when((dr >= dq) & (dr > ds), -rq - rs).otherwise(rr)
+    return points.withColumns({"q": fixed_q.cast("long"), "r": fixed_r.cast("long")})
+
+
+def coarser_hex(points: DataFrame, size: float) -> DataFrame:
+    """Means of ``value`` over hexagons."""
+    return hex_cells(points, size).groupBy("q", "r").agg(F.avg("value").alias("value"), F.count("value").alias("n"))
+
+
 def edge_means(clipped: DataFrame, values: DataFrame) -> DataFrame:
     """Length-weighted mean of tile values along each road edge."""
     both = clipped.join(values, ["i", "j"])

@@ -18,6 +18,12 @@ def r6(df, *names):
     return df.withColumns({c: F.round(c, 6) for c in names})
 
 
+def near6(df, *names):
+    """The same for statistics of values with few decimals: those often end in a 5 at the seventh place, which the last bits
+    of a sum would round up or down. The SQL adds the same hair."""
+    return df.withColumns({c: F.round(F.col(c) + 3e-8, 6) for c in names})
+
+
 # ---- readings
 
 A1 = "SELECT sensor_id, date, round(pm25, 6) AS pm25, sample_count FROM daily"
@@ -52,8 +58,11 @@ def j4(spark, d):
 
 
 _KM = """2 * 6371.0 * atan2(sqrt(h), sqrt(1 - h)) FROM (SELECT *, pow(sin(radians(olat - latitude) / 2), 2) + cos(radians(latitude)) * cos(radians(olat)) * pow(sin(radians(olon - longitude) / 2), 2) AS h"""
+_THIN = """tg AS (SELECT sensor_id, date FROM sens CROSS JOIN days),
+fb AS (SELECT tg.sensor_id, tg.date, d.pm25, coalesce(d.sample_count, 0) AS sample_count, d.date AS actual_date, CASE WHEN d.date IS NULL THEN 'none' ELSE 'exact' END AS fallback_type, CAST(0 AS BIGINT) AS days_offset
+  FROM tg LEFT JOIN daily d ON d.sensor_id = tg.sensor_id AND d.date = tg.date AND d.sample_count >= 3)"""
 _IDW = (
-    _CAND
+    _THIN
     + f""", rd AS (SELECT fb.*, latitude, longitude FROM fb JOIN sens USING (sensor_id)),
 pr AS (SELECT sensor_id, date, other, opm, {_KM} FROM (SELECT a.sensor_id, a.date, a.latitude, a.longitude, b.sensor_id AS other, b.latitude AS olat, b.longitude AS olon, b.pm25 AS opm
   FROM rd a JOIN rd b ON a.date = b.date AND a.sensor_id <> b.sensor_id WHERE a.pm25 IS NULL AND b.pm25 IS NOT NULL AND a.latitude IS NOT NULL AND b.latitude IS NOT NULL))),
@@ -65,8 +74,8 @@ filled AS (SELECT rd.sensor_id, rd.date, coalesce(rd.pm25, idw) AS pm25, sample_
 
 
 def _thin(spark, d):
-    """Readings without the window search, so that many are left to fill."""
-    return readings.with_fallback(_targets(spark, d), readings.daily_mean(S.measurements(spark, d)), window_days=7)
+    """Readings without the window and the seasonal search, so that many are left to fill."""
+    return readings.with_fallback(_targets(spark, d), readings.daily_mean(S.measurements(spark, d)), window_days=0, seasonal=False)
 
 
 @query("m9_idw_fill", sql(_IDW + " SELECT sensor_id, date, round(pm25, 6) AS pm25, sample_count, actual_date, fallback_type, days_offset FROM filled", "meas", "daily", "sens", "days"))
@@ -84,8 +93,7 @@ def a13(spark, d):
     sql(_IDW + " SELECT (SELECT count(*) FILTER (pm25 IS NULL) FROM fb) AS missing_before, count(*) AS n_rows, count(*) FILTER (pm25 IS NULL) AS missing_after, round(100.0 * ((SELECT count(*) FILTER (pm25 IS NULL) FROM fb) - count(*) FILTER (pm25 IS NULL)) / (SELECT count(*) FILTER (pm25 IS NULL) FROM fb), 6) AS filled_percent FROM filled", "meas", "daily", "sens", "days"),
 )
 def a14(spark, d):
-    before = _thin(spark, d)
-    return r6(readings.fill_report(before, readings.idw_fill(before, max_km=3.0)), "filled_percent")
+    return r6(readings.fill_report(readings.idw_fill(_thin(spark, d), max_km=3.0)), "filled_percent")
 
 
 @query("p10_eligible_dates", sql("life AS (SELECT user_id AS sensor_id, min(CAST(ts AS DATE)) AS first_date, max(CAST(ts AS DATE)) AS last_date FROM events GROUP BY 1) SELECT sensor_id, date FROM life JOIN days ON date BETWEEN first_date AND last_date", "days"))
@@ -125,13 +133,12 @@ def j2(spark, d):
 
 # ---- time signals and scenes
 
-_TG16 = "tg AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderkey % 16 = 0)"
-_NB = _TG16 + ", nb AS (SELECT tg.date, max(o.date) FILTER (o.date < tg.date) AS prev, min(o.date) FILTER (o.date > tg.date) AS next FROM tg LEFT JOIN (SELECT DISTINCT date FROM obs) o ON abs(o.date - tg.date) <= 30 AND o.date <> tg.date GROUP BY 1)"
+_NB = "tg AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders), nb AS (SELECT tg.date, max(o.date) FILTER (o.date < tg.date) AS prev, min(o.date) FILTER (o.date > tg.date) AS next FROM tg LEFT JOIN (SELECT DISTINCT date FROM obs) o ON abs(o.date - tg.date) <= 30 AND o.date <> tg.date GROUP BY 1)"
 
 
 @query("j5_neighbour_dates", sql(_NB + " SELECT * FROM nb", "obs"))
 def j5(spark, d):
-    return signals.neighbour_dates(S.order_dates(spark, d, 16), S.observed(spark, d))
+    return signals.neighbour_dates(S.order_dates(spark, d), S.observed(spark, d))
 
 
 @query(
@@ -153,7 +160,7 @@ UNION ALL SELECT n.cell, nb.date, n.value FROM nb JOIN obs n ON n.date = nb.next
 
 @query("w5_interpolate", sql(_W5 + " SELECT cell, date, round(value, 6) AS value, value IS NULL AS is_nodata FROM ip", "obs"))
 def w5(spark, d):
-    return r6(signals.interpolate(S.order_dates(spark, d, 16), S.observed(spark, d)), "value")
+    return r6(signals.interpolate(S.order_dates(spark, d), S.observed(spark, d)), "value")
 
 
 @query(
@@ -167,7 +174,7 @@ FROM cells LEFT JOIN obs o USING (cell, date) LEFT JOIN ip USING (cell, date)"""
     ),
 )
 def m10(spark, d):
-    o, t = S.observed(spark, d), S.order_dates(spark, d, 16)
+    o, t = S.observed(spark, d), S.order_dates(spark, d)
     cells = o.select("cell").distinct().crossJoin(t)
     return r6(signals.choose_source(cells, o, signals.interpolate(t, o)), "value")
 
@@ -211,10 +218,10 @@ def s3(spark, d):
     return tables.flatten_measurements(pages.select(F.to_json(F.struct("sensor_id", "results")).alias("json")))
 
 
-@query("s11_attach_signal", sql("SELECT cell AS grid_id, date, round(value, 6) AS no2, value IS NULL AS no2_is_nodata FROM (SELECT DISTINCT cell FROM obs) CROSS JOIN (SELECT DISTINCT date FROM obs) LEFT JOIN obs USING (cell, date)", "obs"))
+@query("s11_attach_signal", sql("SELECT cell AS grid_id, date, round(value, 6) AS no2, value IS NULL AS no2_is_nodata FROM (SELECT DISTINCT cell FROM obs) CROSS JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders) LEFT JOIN obs USING (cell, date)", "obs"))
 def s11(spark, d):
     o = S.observed(spark, d).withColumnRenamed("cell", "grid_id")
-    cells = o.select("grid_id").distinct().crossJoin(o.select("date").distinct())
+    cells = o.select("grid_id").distinct().crossJoin(S.order_dates(spark, d))
     return r6(tables.attach_signal(cells, o.withColumn("is_nodata", F.lit(False)), "no2"), "no2")
 
 
@@ -358,6 +365,26 @@ _TRI = """tri AS (SELECT p_partkey AS k, p_size, 300.0::DOUBLE * ((p_partkey * 7
 300.0::DOUBLE * ((p_partkey * 104729) % 991) / 991.0 AS y1, 300.0::DOUBLE * ((p_partkey * 104723) % 991) / 991.0 AS y2, 300.0::DOUBLE * ((p_partkey * 104717) % 991) / 991.0 AS y3 FROM part)"""
 
 
+#: Area of each triangle in each tile: over the stretch that an edge and a tile share, the integral of the edge's height
+#: above the tile's foot, between 0 and 30, counted with the edge's direction.
+_AREA = (
+    _TRI
+    + """, ed AS (SELECT k, p_size, x1, y1, x2, y2 FROM tri UNION ALL SELECT k, p_size, x2, y2, x3, y3 FROM tri UNION ALL SELECT k, p_size, x3, y3, x1, y1 FROM tri),
+st AS (SELECT k, p_size, i, j, sign(x2 - x1) AS s, greatest(least(x1, x2), j * 30.0) AS l, least(greatest(x1, x2), j * 30.0 + 30) AS r, x1, y1, (y2 - y1) / (x2 - x1) AS m FROM ed CROSS JOIN range(10) ti(i) CROSS JOIN range(10) tj(j) WHERE x1 <> x2),
+hs AS (SELECT *, y1 + m * (l - x1) - i * 30.0 AS a, y1 + m * (r - x1) - i * 30.0 AS b FROM st WHERE r > l),
+ps AS (SELECT *, (r - l) * (CASE WHEN a >= 0 AND b >= 0 THEN (a + b) / 2 WHEN a <= 0 AND b <= 0 THEN 0 ELSE pow(greatest(a, b), 2) / (2 * abs(a - b)) END
+  - CASE WHEN a >= 30 AND b >= 30 THEN (a + b - 60) / 2 WHEN a <= 30 AND b <= 30 THEN 0 ELSE pow(greatest(a, b) - 30, 2) / (2 * abs(a - b)) END) AS part FROM hs),
+ar AS (SELECT k, p_size, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, abs(sum(s * part)) AS area FROM ps GROUP BY ALL HAVING abs(sum(s * part)) > 1e-9)"""
+)
+
+
+@query("g5_tile_areas", f"WITH {_AREA} SELECT k AS feature_id, i, j, round(area, 4) AS area FROM ar WHERE area > 1e-3")
+def g5_tiles(spark, d):
+    """Every polygon's area in every tile."""
+    a = landuse.clip_areas(S.triangles(spark, d)).where("area > 1e-3")
+    return a.select("feature_id", "i", "j", F.round("area", 4).alias("area"))
+
+
 @query("g5_polygon_area", f"WITH {_TRI} SELECT k AS feature_id, round(abs((x2 - x1) * (y3 - y1) - (x3 - x1) * (y2 - y1)) / 2, 4) AS area FROM tri WHERE abs((x2 - x1) * (y3 - y1) - (x3 - x1) * (y2 - y1)) / 2 > 1e-3")
 def g5(spark, d):
     """The clipped areas of a polygon's tiles add up to its own."""
@@ -383,24 +410,102 @@ def _dust(spark, d):
     return landuse.dust(landuse.tiles(spark, 10, 10), _roads(spark, d), areas, landuse.points_in_tiles(_tile_points(spark, d).where("seg = 'BUILDING'")))
 
 
-@query("p16_dust_tiles")
+_DUST = (
+    "ds AS (SELECT t.i, t.j, coalesce(rd.total, 0) AS total_road_m, coalesce(rd.unpaved, 0) AS unpaved_road_m, coalesce(rd.weighted, 0) AS road_weighted, coalesce(co.area, 0) AS construction_area_m2, coalesce(pn.n, 0) AS construction_count "
+    "FROM (SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j FROM range(10) a(i) CROSS JOIN range(10) b(j)) t "
+    f"LEFT JOIN (SELECT i, j, sum(length) AS total, sum(CASE WHEN event_type = 'purchase' THEN length ELSE 0 END) AS unpaved, sum(length * {_WEIGHT}) AS weighted FROM cl WHERE length > 1e-9 GROUP BY ALL) rd USING (i, j) "
+    "LEFT JOIN (SELECT i, j, sum(area) AS area FROM ar WHERE p_size < 5 GROUP BY ALL) co USING (i, j) "
+    "LEFT JOIN (SELECT CAST(floor(y / 30) AS INTEGER) AS i, CAST(floor(x / 30) AS INTEGER) AS j, count(*) AS n FROM pt WHERE seg = 'BUILDING' AND x > floor(x / 30) * 30 AND y > floor(y / 30) * 30 GROUP BY ALL) pn USING (i, j)), "
+    "dx AS (SELECT *, 'r' || i || '_c' || j AS tile_id, 900.0::DOUBLE AS tile_area, CASE WHEN total_road_m > 0 THEN 100 * unpaved_road_m / total_road_m ELSE 0 END AS pct_unpaved, least(100, 100 * road_weighted / (900 * sqrt(2))) AS road_dust_index, "
+    "least(100, construction_area_m2 / 9) AS construction_dust_index FROM ds), dt AS (SELECT *, 0.6 * road_dust_index + 0.4 * construction_dust_index AS dust_index_combined FROM dx)"
+)
+_DUST_NAMES = ("total_road_m", "unpaved_road_m", "road_weighted", "construction_area_m2", "pct_unpaved", "road_dust_index", "construction_dust_index", "dust_index_combined")
+
+
+@query("p16_dust_tiles", sql(f"{_CLIP}, {_AREA}, {_PT}, {_DUST} SELECT tile_id, construction_count, " + ", ".join(f"round({c}, 3) AS {c}" for c in _DUST_NAMES) + " FROM dt", "seg"))
 def p16(spark, d):
-    names = ("total_road_m", "unpaved_road_m", "road_weighted", "construction_area_m2", "pct_unpaved", "road_dust_index", "construction_dust_index", "dust_index_combined")
-    return _dust(spark, d).select("tile_id", "construction_count", *[F.round(c, 4).alias(c) for c in names])
+    return _dust(spark, d).select("tile_id", "construction_count", *[F.round(c, 3).alias(c) for c in _DUST_NAMES])
+
+
+def _tags(**pairs):
+    """A map of tags; what is null is no tag."""
+    return F.map_from_entries(F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(k).alias("k"), v.alias("v"))) for k, v in pairs.items()])))
+
+
+def _choose(c, **by):
+    """Text by the values of a column, else null."""
+    out = F.lit(None).cast("string")
+    for k, v in by.items():
+        out = F.when(F.col(c) == k, v).otherwise(out)
+    return out
+
+
+def _part_tags(spark, d):
+    """Tags of each part's polygon: its use or building by the type, its height or levels by the size."""
+    size = F.col("p_size")
+    return table(spark, d, "part").select(
+        F.col("p_partkey").alias("feature_id"),
+        _tags(
+            landuse=_choose("p_type", MEDIUM="Industrial", LARGE="landfill", PROMO="quarry"),
+            building=_choose("p_type", SMALL="factory", ECONOMY="works", STANDARD="house"),
+            height=F.when(size % 2 == 0, F.concat(size.cast("string"), F.lit(" ;3"))),
+            levels=F.when(size % 3 == 0, size.cast("string")),
+        ).alias("tags"),
+    )
+
+
+_CLASSES = """cs AS (SELECT p_partkey AS k, p_type = 'MEDIUM' AS is_industrial, p_type = 'LARGE' AS is_landfill, p_type = 'PROMO' AS is_quarry, p_type IN ('SMALL', 'ECONOMY') AS is_industrial_building,
+  CAST(CASE WHEN p_size % 2 = 0 THEN p_size WHEN p_size % 3 = 0 THEN 3 * p_size ELSE 6 END AS DOUBLE) AS height FROM part)"""
+
+
+def _classed_parts(spark, d):
+    t = _part_tags(spark, d)
+    get = lambda k: F.try_element_at("tags", F.lit(k))
+    kinds = C.industrial_classes(F.col("tags"))
+    return t.select("feature_id", *[kinds[k].alias(k) for k in ("is_industrial", "is_landfill", "is_quarry", "is_industrial_building")], C.building_height(get("height"), get("levels")).alias("height"))
+
+
+@query("p15_classes", f"WITH {_CLASSES} SELECT k AS feature_id, is_industrial, is_landfill, is_quarry, is_industrial_building FROM cs")
+def p15(spark, d):
+    return _classed_parts(spark, d).drop("height")
+
+
+@query("p14_heights", f"WITH {_CLASSES} SELECT k AS feature_id, height FROM cs")
+def p14(spark, d):
+    return _classed_parts(spark, d).select("feature_id", "height")
 
 
 def _industrial(spark, d):
-    a = landuse.clip_areas(S.triangles(spark, d).drop("p_size"))
-    kind = F.col("feature_id") % 7
-    a = a.withColumns({"is_industrial": kind == 0, "is_industrial_building": kind == 1, "is_landfill": kind == 2, "is_quarry": kind == 3, "height": 3.0 + F.col("feature_id") % 9})
-    p = landuse.points_in_tiles(_tile_points(spark, d)).withColumns({"is_plant": F.col("id") % 31 == 0, "is_chimney": F.col("id") % 17 == 0, "is_poi": F.col("id") % 5 == 0})
-    return landuse.industrial(landuse.tiles(spark, 10, 10), a, p)
+    a = landuse.clip_areas(S.triangles(spark, d).drop("p_size")).join(_classed_parts(spark, d), "feature_id")
+    tags = _tags(power=_choose("seg", MACHINERY="plant"), man_made=_choose("seg", BUILDING="chimney"), industrial=_choose("seg", AUTOMOBILE="yes"), site=_choose("seg", HOUSEHOLD="industrial"))
+    kinds = C.industrial_classes(tags)
+    p = landuse.points_in_tiles(_tile_points(spark, d)).withColumns({k: kinds[k] for k in ("is_plant", "is_chimney", "is_poi")})
+    line = C.industrial_classes(_tags(power=_choose("event_type", signup="plant")))
+    lines = landuse.clip_lines(S.road_segments(spark, d)).where("length > 1e-9").withColumn("is_plant", line["is_plant"])
+    return landuse.industrial(landuse.tiles(spark, 10, 10), a, p, lines)
+
+
+_IND = (
+    "ia AS (SELECT i, j, sum(CASE WHEN is_industrial THEN area ELSE 0 END) AS land, sum(CASE WHEN is_industrial_building THEN area ELSE 0 END) AS building, sum(CASE WHEN is_industrial_building THEN area * height ELSE 0 END) AS volume, "
+    "sum(CASE WHEN is_landfill THEN area ELSE 0 END) AS landfill, sum(CASE WHEN is_quarry THEN area ELSE 0 END) AS quarry, count(*) FILTER (is_industrial_building) AS n_building, count(*) FILTER (is_industrial) AS n_land FROM ar JOIN cs USING (k) GROUP BY ALL), "
+    "ip AS (SELECT CAST(floor(y / 30) AS INTEGER) AS i, CAST(floor(x / 30) AS INTEGER) AS j, count(*) FILTER (seg = 'MACHINERY') AS plants, count(*) FILTER (seg = 'BUILDING') AS chimneys, count(*) FILTER (seg IN ('AUTOMOBILE', 'HOUSEHOLD')) AS pois "
+    "FROM pt WHERE x > floor(x / 30) * 30 AND y > floor(y / 30) * 30 GROUP BY ALL), "
+    "il AS (SELECT i, j, count(DISTINCT feature_id) AS n FROM cl WHERE length > 1e-9 AND event_type = 'signup' GROUP BY ALL), "
+    "iu AS (SELECT 'r' || t.i || '_c' || t.j AS tile_id, 900.0::DOUBLE AS tile_area, coalesce(land, 0) AS industrial_area_m2, coalesce(building, 0) AS industrial_building_area_m2, coalesce(volume, 0) AS industrial_building_volume_m3, coalesce(landfill, 0) AS landfill_area_m2, "
+    "coalesce(quarry, 0) AS quarry_area_m2, coalesce(n_building, 0) AS industrial_building_count, coalesce(plants, 0) + coalesce(il.n, 0) AS power_plant_count, coalesce(chimneys, 0) AS chimney_count, coalesce(pois, 0) AS industrial_poi_count, "
+    "coalesce(n_land, 0) + coalesce(n_building, 0) + coalesce(plants, 0) + coalesce(il.n, 0) + coalesce(chimneys, 0) + coalesce(pois, 0) AS industrial_contrib_count "
+    "FROM (SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j FROM range(10) a(i) CROSS JOIN range(10) b(j)) t LEFT JOIN ia USING (i, j) LEFT JOIN ip USING (i, j) LEFT JOIN il USING (i, j)), "
+    "iv AS (SELECT *, industrial_building_volume_m3 / 1000 + 0.8 * industrial_area_m2 / 1000 + 50 * power_plant_count + 20 * chimney_count + 0.2 * landfill_area_m2 / 1000 + 0.2 * quarry_area_m2 / 1000 + 5 * industrial_poi_count AS industrial_index_raw FROM iu), "
+    "iw AS (SELECT quantile_cont(industrial_index_raw, 0.99) AS p, max(industrial_index_raw) AS m FROM iv), "
+    "ind AS (SELECT iv.*, greatest(0.0, least(100.0, 100 * industrial_index_raw / CASE WHEN p > 0 THEN p WHEN m > 0 THEN m ELSE 1 END)) AS industrial_index_combined, "
+    "CASE WHEN power_plant_count > 0 OR chimney_count > 0 OR industrial_building_area_m2 > 0 THEN 'high' WHEN industrial_area_m2 > 0 OR industrial_poi_count > 0 THEN 'medium' ELSE 'low' END AS industrial_confidence FROM iv, iw)"
+)
+_IND_NAMES = (*landuse.INDUSTRIAL, "industrial_index_raw", "industrial_index_combined")
 
 
-@query("p17_industrial_tiles")
+@query("p17_industrial_tiles", sql(f"{_CLIP}, {_AREA}, {_PT}, {_CLASSES}, {_IND} SELECT tile_id, {', '.join(landuse.COUNTS)}, " + ", ".join(f"round({c}, 2) AS {c}" for c in _IND_NAMES) + ", industrial_confidence FROM ind", "seg"))
 def p17(spark, d):
-    names = (*landuse.INDUSTRIAL, "industrial_index_raw", "industrial_index_combined")
-    return _industrial(spark, d).select("tile_id", *landuse.COUNTS, *[F.round(c, 3).alias(c) for c in names], "industrial_confidence")
+    return _industrial(spark, d).select("tile_id", *landuse.COUNTS, *[F.round(c, 2).alias(c) for c in _IND_NAMES], "industrial_confidence")
 
 
 @query("a9_capped_index", "WITH c AS (SELECT quantile_cont(s_acctbal, 0.99) AS p, max(s_acctbal) AS m FROM supplier) SELECT s_suppkey, round(greatest(0.0, least(100.0, 100 * s_acctbal / CASE WHEN p > 0 THEN p WHEN m > 0 THEN m ELSE 1 END)), 6) AS idx FROM supplier, c")
@@ -442,7 +547,14 @@ def m3(spark, d):
     return out.select("id", F.round("prediction", 5).alias("prediction"), F.round("uncertainty", 5).alias("uncertainty"))
 
 
-@query("m6_bandwidth")
+_LOO = """tr AS (SELECT s_suppkey AS id, ((s_suppkey * 31) % 101) / 101.0 AS f, s_acctbal / 1000 AS y, 100.0::DOUBLE * ((s_suppkey * 7919) % 997) / 997.0 AS cx, 100.0::DOUBLE * ((s_suppkey * 104729) % 991) / 991.0 AS cy, s_suppkey % 10 AS t FROM supplier),
+gr AS (SELECT unnest([20.0, 40.0, 80.0]) AS hs, unnest([5.0, 5.0, NULL]) AS ht),
+w AS (SELECT hs, ht, a.id, a.f AS qf, a.y AS qy, b.f, b.y, greatest(exp(-(pow(a.cx - b.cx, 2) + pow(a.cy - b.cy, 2)) / (hs * hs)) * coalesce(exp(-pow(a.t - b.t, 2) / (ht * ht)), 1), 1e-12) AS w FROM gr CROSS JOIN tr a JOIN tr b ON a.id <> b.id),
+s AS (SELECT hs, ht, id, any_value(qf) AS qf, any_value(qy) AS qy, sum(w) AS a, sum(w * f) AS b, sum(w * f * f) AS c, sum(w * y) AS u, sum(w * f * y) AS v FROM w GROUP BY ALL),
+e AS (SELECT hs, ht, qy - ((c * u - b * v) + (a * v - b * u) * qf) / (a * c - b * b) AS e FROM s)"""
+
+
+@query("m6_bandwidth", f"WITH {_LOO} SELECT CAST(hs AS DOUBLE) AS hs, CAST(ht AS DOUBLE) AS ht, round(sqrt(avg(e * e)), 6) AS rmse FROM e GROUP BY hs, ht")
 def m6(spark, d):
     return r6(gtwr.bandwidth_scores(S.train(spark, d), 2, [(20.0, 5.0), (40.0, 5.0), (80.0, None)]), "rmse")
 
@@ -455,10 +567,10 @@ def m7(spark, d):
 # ---- roll-ups
 
 
-@query("r2_city_summary", "SELECT city_id, date, n, round(m, 6) AS mean, round(v, 6) AS variance, round(m - 1.96 * sqrt(v / n), 6) AS ci_low, round(m + 1.96 * sqrt(v / n), 6) AS ci_high FROM (SELECT user_id % 5 AS city_id, CAST(ts AS DATE) AS date, count(value) AS n, avg(value) AS m, var_samp(value) AS v FROM events GROUP BY 1, 2)")
+@query("r2_city_summary", "SELECT city_id, date, n, round(m + 3e-8, 6) AS mean, round(v + 3e-8, 6) AS variance, round(m - 1.96 * sqrt(v / n) + 3e-8, 6) AS ci_low, round(m + 1.96 * sqrt(v / n) + 3e-8, 6) AS ci_high FROM (SELECT user_id % 5 AS city_id, CAST(ts AS DATE) AS date, count(value) AS n, avg(value) AS m, var_samp(value) AS v FROM events GROUP BY 1, 2)")
 def r2(spark, d):
     e = table(spark, d, "events").select((F.col("user_id") % 5).alias("city_id"), F.to_date("ts").alias("date"), "value")
-    return r6(rollup.city_summary(e), "mean", "variance", "ci_low", "ci_high")
+    return near6(rollup.city_summary(e), "mean", "variance", "ci_low", "ci_high")
 
 
 @query("r3_coarser", "SELECT (p_partkey % 50) // 3 AS cx, (p_partkey // 50) // 3 AS cy, round(avg(p_retailprice), 6) AS value, count(*) AS n FROM part GROUP BY 1, 2")
@@ -477,7 +589,16 @@ def r4(spark, d):
     return _edges(spark, d).select("feature_id", F.round("value", 7).alias("value"), F.round("length", 7).alias("length"))
 
 
-@query("r5_route_exposure")
+@query(
+    "r5_route_exposure",
+    sql(
+        _CLIP
+        + """, eg AS (SELECT feature_id, sum(length * (i * 10.0 + j)) AS lv FROM cl WHERE length > 1e-9 AND i BETWEEN 0 AND 9 AND j BETWEEN 0 AND 9 GROUP BY 1),
+ex AS (SELECT user_id % 7 AS trip_id, user_id AS route_id, sum(lv) AS exposure FROM events JOIN eg ON feature_id = event_id GROUP BY ALL)
+SELECT trip_id, route_id, round(exposure, 3) AS exposure, rank() OVER (PARTITION BY trip_id ORDER BY round(exposure, 6)) AS rank FROM ex""",
+        "seg",
+    ),
+)
 def r5(spark, d):
     routes = table(spark, d, "events").select((F.col("user_id") % 7).alias("trip_id"), F.col("user_id").alias("route_id"), F.col("event_id").alias("feature_id"))
     return rollup.route_exposure(routes, _edges(spark, d)).select("trip_id", "route_id", F.round("exposure", 3).alias("exposure"), "rank")
@@ -490,24 +611,90 @@ def r6_latest(spark, d):
 
 # ---- quality
 
-_QR = """SELECT * FROM (SELECT unnest(['pm25_range', 'pm25_extreme', 'pm25_below_1', 'pm25_above_300', 'fallback_type', 'latitude', 'longitude', 'exact_offset']) AS "check", unnest([a, b, c, e, f, 0, 0, g]) AS observed FROM (
-SELECT count(*) FILTER (pm25 < 0 OR pm25 > 1000) a, count(*) FILTER (pm25 > 500) b, count(*) FILTER (pm25 < 1) c, count(*) FILTER (pm25 > 300) e, count(*) FILTER (fallback_type NOT IN ('exact', 'window', 'seasonal', 'spatial_idw', 'none')) f,
-count(*) FILTER (fallback_type = 'exact' AND days_offset <> 0) g FROM filled)) q(ck, observed)"""
 
 
-@query("q1_readings", sql(_IDW + f""" SELECT ck AS "check", 'row' AS scope, CASE WHEN ck IN ('pm25_extreme', 'pm25_below_1', 'pm25_above_300') THEN 'warning' ELSE 'error' END AS severity, observed = 0 AS passed, CAST(observed AS DOUBLE) AS observed, 0.0::DOUBLE AS expected FROM ({_QR})""", "meas", "daily", "sens", "days"))
+def _report(source, *checks):
+    """SQL of a report: (name, scope, severity, condition that breaks a row) or (…, aggregate, low, high)."""
+    out = []
+    for name, scope, severity, what, *bounds in checks:
+        if not bounds:
+            out.append(f"""SELECT '{name}' AS "check", '{scope}' AS scope, '{severity}' AS severity, count(*) FILTER ({what}) = 0 AS passed, CAST(count(*) FILTER ({what}) AS DOUBLE) AS observed, 0.0::DOUBLE AS expected FROM {source}""")
+            continue
+        low, high = bounds
+        ok = " AND ".join(([f"{what} >= {low}"] if low is not None else []) + ([f"{what} <= {high}"] if high is not None else []))
+        out.append(f"""SELECT '{name}' AS "check", '{scope}' AS scope, '{severity}' AS severity, coalesce({ok}, false) AS passed, CAST({what} AS DOUBLE) AS observed, {float(low if low is not None else high)}::DOUBLE AS expected FROM {source}""")
+    return " UNION ALL ".join(out)
+
+
+def _columns(n, name="columns", severity="error"):
+    """The row of a check of columns: what is missing is known from the schema, not from any table."""
+    return f""" UNION ALL SELECT '{name}', 'table', '{severity}', {"true" if n == 0 else "false"}, {float(n)}::DOUBLE, 0.0::DOUBLE"""
+
+
+_MISSING = """ UNION ALL SELECT 'missing_dates', 'table', '{severity}', count(*) = 0, CAST(count(*) AS DOUBLE), 0.0::DOUBLE FROM (SELECT DISTINCT date FROM {expected} WHERE date NOT IN (SELECT date FROM {have}))"""
+_ROUNDED = "SELECT \"check\", scope, severity, passed, round(observed, 6) AS observed, expected FROM ({})"
+_Q1 = _report(
+    "rl",
+    ("pm25_range", "row", "error", "pm25 < 0 OR pm25 > 1000"),
+    ("pm25_extreme", "row", "warning", "pm25 > 500"),
+    ("pm25_below_1", "row", "warning", "pm25 < 1"),
+    ("pm25_above_300", "row", "warning", "pm25 > 300"),
+    ("fallback_type", "row", "error", "fallback_type NOT IN ('exact', 'window', 'seasonal', 'spatial_idw', 'none')"),
+    ("latitude", "row", "error", "latitude < -90 OR latitude > 90"),
+    ("longitude", "row", "error", "longitude < -180 OR longitude > 180"),
+    ("coordinates_missing", "row", "warning", "latitude IS NULL OR longitude IS NULL"),
+    ("exact_offset", "row", "warning", "fallback_type = 'exact' AND days_offset <> 0"),
+    ("pm25_coverage", "table", "error", "100.0 * count(pm25) / count(*)", 50.0, None),
+)
+
+
+@query("q1_readings", sql(_IDW + ", rl AS (SELECT * FROM filled), od AS (SELECT date FROM days UNION SELECT CAST(max(ts) AS DATE) + 3 FROM events) " + _ROUNDED.format(_Q1 + _columns(3) + _MISSING.format(severity="error", expected="od", have="rl")), "meas", "daily", "sens", "days"))
 def q1(spark, d):
-    return quality.run_checks(readings.idw_fill(_thin(spark, d), max_km=3.0), quality.readings_checks())
+    """Readings without a name and a life span, of which one more date is expected."""
+    f = readings.idw_fill(_thin(spark, d), max_km=3.0)
+    more = table(spark, d, "events").agg(F.date_add(F.to_date(F.max("ts")), 3).alias("date"))
+    return r6(quality.readings_report(f, S.days(spark, d).union(more)), "observed")
+
+
+_MW = _NEAR + f""", mw AS (SELECT n.date, n.datetime AS datetime_utc, n.temperature_2m, n.relative_humidity_2m, n.surface_pressure, n.wind_speed_10m, n.precipitation, n.cloud_cover, w.* EXCLUDE (date),
+  lag(n.date) OVER (PARTITION BY month(n.date) ORDER BY n.temperature_2m, n.date) AS before FROM nr n LEFT JOIN ({_DAY}) w ON w.date = n.date WHERE rn = 1)"""
+_Q2_NAMES = ("date", "datetime_utc", "temperature_2m", "relative_humidity_2m", "surface_pressure", "wind_speed_10m", "precipitation", "cloud_cover", "temp_mean", "temp_max", "temp_min", "rh_mean", "wind_speed_mean", "wind_speed_max", "precip_total", "cloud_cover_mean", "pressure_mean")
+_Q2 = _report(
+    "mw",
+    ("temperature_2m_range", "row", "error", "temperature_2m < 0 OR temperature_2m > 50"),
+    ("relative_humidity_2m_range", "row", "error", "relative_humidity_2m < 0 OR relative_humidity_2m > 100"),
+    ("wind_speed_10m_range", "row", "error", "wind_speed_10m < 0"),
+    ("precipitation_range", "row", "error", "precipitation < 0"),
+    ("cloud_cover_range", "row", "error", "cloud_cover < 0 OR cloud_cover > 100"),
+    ("temperature_2m_unusual", "row", "warning", "(temperature_2m < 10 OR temperature_2m > 45) AND temperature_2m BETWEEN 0 AND 50"),
+    ("wind_speed_10m_unusual", "row", "warning", "wind_speed_10m > 30"),
+    ("surface_pressure_unusual", "row", "warning", "surface_pressure < 950 OR surface_pressure > 1050"),
+    *[(f"{c}_missing", "row", "warning", f"{c} IS NULL") for c in _Q2_NAMES],
+    ("repeated_dates", "table", "error", "count(date) - count(DISTINCT date)", None, 0),
+    ("date_order", "table", "warning", "count(*) FILTER (date < before)", None, 0),
+)
 
 
-@query("q2_weather")
+@query("q2_weather", sql(_MW + " " + _Q2 + _columns(2) + _columns(0, "optional_columns", "warning") + _MISSING.format(severity="warning", expected="days", have="mw"), "days", "hourly"))
 def q2(spark, d):
-    return quality.run_checks(S.hourly(spark, d), quality.weather_checks(), columns=("datetime", *tables.HOURLY))
+    """The dates don't rise, as the rows of each month are in the order of their temperature."""
+    w = weather.matched_weather(S.hourly(spark, d), S.days(spark, d)).drop("hours_offset")
+    w = w.withColumn("order", F.struct("temperature_2m", "date")).withColumn("month", F.month("date"))
+    return quality.weather_report(w, S.days(spark, d), "order", ("month",))
+
+
+_Q7 = _report(
+    "dt",
+    ("tile_area", "row", "error", "tile_area < 700 OR tile_area > 1100"),
+    *[(f"{c}_negative", "row", "error", f"{c} < 0") for c in ("total_road_m", "unpaved_road_m", "road_weighted", "construction_area_m2", "construction_count")],
+    *[(f"{c}_range", "row", "error", f"{c} < 0 OR {c} > 100") for c in ("pct_unpaved", "road_dust_index", "construction_dust_index", "dust_index_combined")],
+    ("unpaved_within_total", "row", "error", "unpaved_road_m > total_road_m + 1e-6"),
+)
 
 
-@query("q7_dust_tiles")
+@query("q7_dust_tiles", sql(f"{_CLIP}, {_AREA}, {_PT}, {_DUST} {_Q7}{_columns(0)}", "seg"))
 def q7(spark, d):
-    return quality.run_checks(_dust(spark, d), quality.dust_checks(), columns=("tile_id",))
+    return quality.run_checks(_dust(spark, d).withColumn("tile_area", F.lit(900.0)), quality.dust_checks(), columns=("tile_id",))
 
 
 @query("q4_month_parity", "WITH s AS (SELECT o_custkey AS g, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) AS v FROM orders GROUP BY ALL), f AS (SELECT *, date_trunc('month', d) AS m, min(d) OVER (PARTITION BY date_trunc('month', d)) AS first FROM s) SELECT a.d AS date, count(*) AS n_cells, count(*) FILTER (abs(a.v - b.v) > 1e-6) AS n_values, CAST(0 AS BIGINT) AS n_masks FROM f a JOIN f b ON a.m = b.m AND a.g = b.g AND b.d = b.first WHERE a.d > a.first GROUP BY 1")
@@ -526,7 +713,7 @@ def a15(spark, d):
     return r6(quality.describe(table(spark, d, "events"), "value"), "mean", "std", "p1", "p5", "p25", "p50", "p75", "p95", "p99")
 
 
-@query("a16_null_counts", sql(_CAND + """ SELECT "column", nulls FROM (SELECT unnest(['pm25', 'actual_date', 'date', 'days_offset', 'fallback_type', 'sample_count', 'sensor_id']) AS "column", unnest([count(*) FILTER (pm25 IS NULL), count(*) FILTER (actual_date IS NULL), 0, 0, 0, 0, 0]) AS nulls FROM fb)""", "meas", "daily", "sens", "days"))
+@query("a16_null_counts", sql(_CAND + """ SELECT "column", nulls FROM (SELECT unnest(['pm25', 'actual_date', 'date', 'days_offset', 'fallback_type', 'sample_count', 'sensor_id']) AS "column", unnest([count(*) FILTER (pm25 IS NULL), count(*) FILTER (actual_date IS NULL), count(*) FILTER (date IS NULL), count(*) FILTER (days_offset IS NULL), count(*) FILTER (fallback_type IS NULL), count(*) FILTER (sample_count IS NULL), count(*) FILTER (sensor_id IS NULL)]) AS nulls FROM fb)""", "meas", "daily", "sens", "days"))
 def a16(spark, d):
     return quality.null_counts(_readings(spark, d).drop("latitude", "longitude"))
 
@@ -599,7 +786,7 @@ def _features(spark, d, targets, observed):
     cells = observed.select(F.col("cell").alias("grid_id")).distinct().crossJoin(targets)
     inter = signals.interpolate(targets, observed).withColumnRenamed("cell", "grid_id")
     daily = table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.max("l_quantity").alias("temp_max"))
-    static = landuse.tiles(spark, 10, 10).select((F.col("i") * 10 + F.col("j")).cast("long").alias("grid_id"), F.col("x0").alias("dust"))
+    static = table(spark, d, "customer").groupBy(S.cell("c_custkey").alias("grid_id")).agg(F.round(F.sum("c_acctbal"), 2).alias("dust"))
     return features.assemble(cells, {"s5p_no2": inter}, daily, [static])
 
 
@@ -608,78 +795,229 @@ def _features(spark, d, targets, observed):
     sql(
         _W5
         + """, w AS (SELECT CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS temp_max FROM lineitem GROUP BY 1)
-SELECT c.cell AS grid_id, tg.date, round(ip.value, 6) AS s5p_no2, ip.value IS NULL AS s5p_no2_is_nodata, (c.cell % 10) * 30.0::DOUBLE AS dust, w.temp_max
-FROM (SELECT DISTINCT cell FROM obs) c CROSS JOIN tg LEFT JOIN ip ON ip.cell = c.cell AND ip.date = tg.date LEFT JOIN w ON w.date = tg.date""",
+SELECT c.cell AS grid_id, tg.date, round(ip.value, 6) AS s5p_no2, coalesce(ip.value IS NULL, true) AS s5p_no2_is_nodata, u.dust, w.temp_max
+FROM (SELECT DISTINCT cell FROM obs) c CROSS JOIN tg LEFT JOIN (SELECT c_custkey // 10 AS cell, round(sum(c_acctbal), 2) AS dust FROM customer GROUP BY 1) u ON u.cell = c.cell LEFT JOIN ip ON ip.cell = c.cell AND ip.date = tg.date LEFT JOIN w ON w.date = tg.date""",
         "obs",
     ),
 )
 def r1(spark, d):
-    return r6(_features(spark, d, S.order_dates(spark, d, 16), S.observed(spark, d)), "s5p_no2")
+    return r6(_features(spark, d, S.order_dates(spark, d), S.observed(spark, d)), "s5p_no2")
 
 
-@query("q3_features")
+_Q3 = _report(
+    "ft",
+    ("s5p_no2_range", "row", "error", "s5p_no2 < 0 AND NOT s5p_no2_is_nodata"),
+    ("dust_index_range", "row", "error", "dust_index < 0"),
+    ("rows", "table", "error", "count(*)", 1, None),
+    ("s5p_no2_valid", "table", "error", "count(*) FILTER (NOT s5p_no2_is_nodata)", 1, None),
+)
+
+
+@query(
+    "q3_features",
+    sql(
+        _W5
+        + """, ft AS (SELECT c.cell AS grid_id, tg.date, ip.value AS s5p_no2, ip.value IS NULL AS s5p_no2_is_nodata, u.dust AS dust_index FROM (SELECT DISTINCT cell FROM obs) c CROSS JOIN tg
+LEFT JOIN (SELECT c_custkey // 10 AS cell, sum(c_acctbal) AS dust FROM customer GROUP BY 1) u ON u.cell = c.cell LEFT JOIN ip ON ip.cell = c.cell AND ip.date = tg.date) """
+        + _Q3
+        + _columns(0),
+        "obs",
+    ),
+)
 def q3(spark, d):
-    f = _features(spark, d, S.order_dates(spark, d), S.clear_observed(spark, d))
-    return quality.run_checks(f, quality.feature_checks(f.columns), columns=("grid_id", "date"))
+    return quality.feature_report(_features(spark, d, S.order_dates(spark, d), S.observed(spark, d)).withColumnRenamed("dust", "dust_index"))
 
 
-# ---- the date queries over every order date and every order; the tests hold them against plain versions
+@query("q5_unmapped_months", sql("SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(DISTINCT date) AS n_dates FROM scenes WHERE date_trunc('month', date) NOT IN (SELECT date_trunc('month', date) FROM scenes WHERE cloud < 1) GROUP BY 1", "scenes"))
+def q5(spark, d):
+    return quality.unmapped_months(S.order_dates(spark, d), signals.clear_dates(S.scenes(spark, d), 1))
 
 
-@query("j5_neighbour_dates_all")
-def j5_all(spark, d):
-    return signals.neighbour_dates(S.order_dates(spark, d), S.clear_observed(spark, d))
+_SKY = f"""{_DSM}, nz AS (SELECT a.r, a.c, k, max(greatest(atan((b.z - a.z) / (30.0 * s)), 0)) AS h FROM dsm a CROSS JOIN (SELECT unnest([1, 2, 3]) AS s) CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS k)
+LEFT JOIN dsm b ON b.r = a.r + CASE k WHEN 0 THEN -s WHEN 2 THEN s ELSE 0 END AND b.c = a.c + CASE k WHEN 1 THEN s WHEN 3 THEN -s ELSE 0 END GROUP BY 1, 2, 3),
+sky AS (SELECT r, c, 1 - sum(pow(sin(coalesce(h, 0)), 2)) / 4 AS value FROM nz GROUP BY 1, 2),
+size AS (SELECT 0.0::DOUBLE AS west, 3000.0 - (max(r) + 1) * 30.0 AS south, (max(c) + 1) * 30.0 AS east, 3000.0::DOUBLE AS north FROM sky)"""
 
 
-@query("w5_interpolate_all")
-def w5_all(spark, d):
-    return r6(signals.interpolate(S.order_dates(spark, d), S.clear_observed(spark, d)), "value")
+def _sky(spark, d):
+    return raster.horizon_svf(_dsm(spark, d), res=30.0, radius=90.0, directions=4, block=64)
 
 
-@query("m10_choose_source_all")
-def m10_all(spark, d):
-    o, t = S.clear_observed(spark, d), S.order_dates(spark, d)
-    cells = o.select("cell").distinct().crossJoin(t)
-    return r6(signals.choose_source(cells, o, signals.interpolate(t, o)), "value")
+@query(
+    "q6_sky_view",
+    f"WITH {_SKY} "
+    + _ROUNDED.format(
+        _report(
+            "sky",
+            ("value_range", "row", "error", "value < 0 OR value > 1"),
+            ("spread", "table", "error", "coalesce(max(value) - min(value), 0)", 1e-12, None),
+            ("nodata_percent", "table", "warning", "100 - 100.0 * count(value) / count(*)", None, 10),
+        )
+        + _columns(0)
+        + " UNION ALL "
+        + _report("(SELECT 30.0 AS res, -30.0 AS y_step)", ("resolution", "raster", "error", "abs(res - 30) > 0.1"), ("north_up", "raster", "error", "y_step > 0"))
+        + " UNION ALL "
+        + _report("size", ("extent", "raster", "warning", "west < 0 OR south < 0 OR east > 1500 OR north > 3000"))
+    ),
+)
+def q6(spark, d):
+    meta = spark.createDataFrame([("a", 0.0, 3000.0, 30.0, -30.0)], "raster_id string, x_origin double, y_origin double, res double, y_step double")
+    return r6(quality.raster_report(_sky(spark, d).select("row", "col", F.col("svf").alias("value")), meta, res=30.0, extent=(0.0, 0.0, 1500.0, 3000.0)), "observed")
 
 
-@query("s11_attach_signal_all")
-def s11_all(spark, d):
-    o = S.clear_observed(spark, d).withColumnRenamed("cell", "grid_id")
-    cells = o.select("grid_id").distinct().crossJoin(S.order_dates(spark, d))
-    return r6(tables.attach_signal(cells, o.withColumn("is_nodata", F.lit(False)), "no2"), "no2")
+_CELLS = f"{_PT}, ce AS (SELECT id, value FROM pt LEFT JOIN sky ON r = 9 - floor((300 - y) / 30) AND c = floor(x / 30))"
 
 
-@query("r1_feature_table_all")
-def r1_all(spark, d):
-    return r6(_features(spark, d, S.order_dates(spark, d), S.clear_observed(spark, d)), "s5p_no2")
+def _sky_cells(spark, d):
+    """The sky view at every customer's place; the lattice's rows go north here."""
+    px = _sky(spark, d).select(F.lit("a").alias("raster_id"), F.lit("svf").alias("band"), (F.lit(9) - F.col("row")).cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col("svf").alias("value"))
+    meta = spark.createDataFrame([("a", "svf", 0.0, 300.0, 30.0, None, None, None)], "raster_id string, band string, x_origin double, y_origin double, res double, nodata double, scale double, offset double")
+    return raster.sample_nearest(_tile_points(spark, d), px, meta).withColumnRenamed("value", "svf")
 
 
-@query("q5_unmapped_months", sql("SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(DISTINCT date) AS n_dates FROM scenes WHERE date_trunc('month', date) NOT IN (SELECT date_trunc('month', date) FROM scenes WHERE cloud < 1) GROUP BY 1", "scenes"))
-def q5(spark, d):
-    return quality.unmapped_months(S.order_dates(spark, d), signals.clear_dates(S.scenes(spark, d), 1))
+@query("g13_sky_view_cells", f"WITH {_SKY}, {_CELLS} SELECT round(min(value), 6) AS min, round(avg(value), 6) AS mean, round(max(value), 6) AS max, count(*) FILTER (value IS NULL) AS n_missing, count(*) FILTER (value < 0.5) AS n_canyons, round(100.0 * count(*) FILTER (value < 0.5) / count(*), 6) AS canyon_percent FROM ce")
+def g13(spark, d):
+    return r6(quality.canyon_share(_sky_cells(spark, d)), "min", "mean", "max", "canyon_percent")
 
 
-@query("q6_sky_view", f"WITH {_DSM} SELECT unnest(['value_range', 'value_missing']) AS \"check\", 'row' AS scope, unnest(['error', 'warning']) AS severity, true AS passed, 0.0::DOUBLE AS observed, 0.0::DOUBLE AS expected")
-def q6(spark, d):
-    s = raster.horizon_svf(_dsm(spark, d), res=30.0, radius=90.0, directions=4, block=64).select(F.col("svf").alias("value"))
-    return quality.run_checks(s, quality.raster_checks())
+_MORPH = "CASE WHEN v > 0 AND v <= 0.4 THEN 'deep_canyon' WHEN v > 0.4 AND v <= 0.6 THEN 'street_canyon' WHEN v > 0.6 AND v <= 0.8 THEN 'urban_open' WHEN v > 0.8 AND v <= 1 THEN 'suburban' END"
+
+
+@query("a18_by_morphology", f"SELECT morphology, n, min, max, round(mean + 3e-8, 6) AS mean, round(std, 6) AS std, " + ", ".join(f"round(p{q} + 3e-8, 6) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + f" FROM (SELECT {_MORPH} AS morphology, count(value) AS n, min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_samp(value) AS std, " + ", ".join(f"quantile_cont(value, {q / 100}) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + " FROM (SELECT value, (user_id * 37 % 101) / 100.0 AS v FROM events) GROUP BY 1) WHERE morphology IS NOT NULL")
+def a18(spark, d):
+    e = table(spark, d, "events").select("value", ((F.col("user_id") * 37 % 101) / 100.0).alias("svf"))
+    out = quality.describe_by_morphology(e, "value")
+    return r6(near6(out, "mean", *[f"p{q}" for q in (1, 5, 25, 50, 75, 95, 99)]), "std")
 
 
-@query("q8_industrial_tiles")
+@query("p19_classes", "SELECT s_suppkey, " + _MORPH + " AS morphology, v < 0.5 AS canyon FROM (SELECT s_suppkey, (s_suppkey * 37 % 101) / 100.0 AS v FROM supplier)")
+def p19(spark, d):
+    v = (F.col("s_suppkey") * 37 % 101) / 100.0
+    return table(spark, d, "supplier").select("s_suppkey", C.morphology(v).alias("morphology"), C.is_canyon(v).alias("canyon"))
+
+
+@query("w3_date_order", """SELECT 'date_order' AS "check", 'table' AS scope, 'warning' AS severity, count(*) FILTER (date < before) = 0 AS passed, CAST(count(*) FILTER (date < before) AS DOUBLE) AS observed, 0.0::DOUBLE AS expected FROM (SELECT CAST(o_orderdate AS DATE) AS date, lag(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders)""")
+def w3(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("date"))
+    return quality.date_order(o, "o_orderkey", groups=("o_custkey",))
+
+
+@query("w9_merge_layers", "SELECT s_suppkey AS id, s_acctbal AS balance, NULL AS segment, NULL AS size FROM supplier UNION ALL SELECT c_custkey, c_acctbal, c_mktsegment, NULL FROM customer UNION ALL SELECT p_partkey, NULL, NULL, p_size FROM part")
+def w9(spark, d):
+    a = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance"))
+    b = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    return landuse.merge_layers([a, b, table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size"))])
+
+
+_HEX = "hx AS (SELECT id, (sqrt(3) / 3 * x - y / 3) / 20 AS q, 2.0 / 3 * y / 20 AS r FROM pt), hr AS (SELECT *, floor(q + 0.5) AS rq, floor(r + 0.5) AS rr, floor(-q - r + 0.5) AS rs FROM hx), hd AS (SELECT *, abs(rq - q) AS dq, abs(rr - r) AS dr, abs(rs + q + r) AS ds FROM hr)"
+
+
+@query("r3_hexagons", f"WITH {_PT}, {_HEX} SELECT CAST(CASE WHEN dq > dr AND dq > ds THEN -rr - rs ELSE rq END AS BIGINT) AS q, CAST(CASE WHEN dr >= dq AND dr > ds THEN -rq - rs ELSE rr END AS BIGINT) AS r, avg(CAST(id AS DOUBLE)) AS value, count(*) AS n FROM hd GROUP BY 1, 2")
+def r3_hex(spark, d):
+    return rollup.coarser_hex(_tile_points(spark, d).withColumn("value", F.col("id").cast("double")), 20.0)
+
+
+@query("q8_industrial_tiles", sql(f"{_CLIP}, {_AREA}, {_PT}, {_CLASSES}, {_IND} " + _report(
+    "ind",
+    ("tile_area", "row", "error", "tile_area < 700 OR tile_area > 1100"),
+    *[(f"{c}_negative", "row", "error", f"{c} < 0") for c in ("industrial_area_m2", "industrial_building_area_m2", "industrial_building_volume_m3", "landfill_area_m2", "quarry_area_m2", "power_plant_count", "chimney_count", "industrial_poi_count", "industrial_building_count", "industrial_contrib_count")],
+    ("industrial_index_combined_range", "row", "error", "industrial_index_combined < 0 OR industrial_index_combined > 100"),
+    ("confidence_label", "row", "error", "industrial_confidence NOT IN ('high', 'medium', 'low')"),
+) + _columns(0), "seg"))
 def q8(spark, d):
-    return quality.run_checks(_industrial(spark, d), quality.industrial_checks(), columns=("tile_id",))
+    return quality.run_checks(_industrial(spark, d).withColumn("tile_area", F.lit(900.0)), quality.industrial_checks(), columns=("tile_id",))
+
+
+_GRID = "g AS (SELECT p_partkey AS grid_id, 30.0::DOUBLE * (p_partkey % 50) AS x, 30.0::DOUBLE * (p_partkey // 50) AS y FROM part)"
+_STEP = "(SELECT median(v - p) FROM (SELECT v, lag(v) OVER (ORDER BY v) AS p FROM (SELECT DISTINCT {0} AS v FROM g)))"
 
 
-@query("q9_grid", """WITH g AS (SELECT p_partkey AS grid_id, 30.0::DOUBLE * (p_partkey % 50) AS x, 30.0::DOUBLE * (p_partkey // 50) AS y FROM part)
-SELECT * FROM (SELECT 'unique_ids' AS "check", 'table' AS scope, 'error' AS severity, count(*) = count(DISTINCT grid_id) AS passed, CAST(count(*) - count(DISTINCT grid_id) AS DOUBLE) AS observed, 0.0::DOUBLE AS expected FROM g
-UNION ALL SELECT 'unique_places', 'table', 'error', count(*) = count(DISTINCT (x, y)), CAST(count(*) - count(DISTINCT (x, y)) AS DOUBLE), 0.0::DOUBLE FROM g
-UNION ALL SELECT 'spacing_x', 'table', 'error', true, 30.0::DOUBLE, 30.0::DOUBLE UNION ALL SELECT 'spacing_y', 'table', 'error', true, 30.0::DOUBLE, 30.0::DOUBLE)""")
+@query(
+    "q9_grid",
+    f"WITH {_GRID} "
+    + _ROUNDED.format(
+        _report(
+            "g",
+            ("unique_ids", "table", "error", "count(*) - count(DISTINCT grid_id)", None, 0),
+            ("unique_places", "table", "error", "count(*) - count(DISTINCT (x, y))", None, 0),
+            ("inside_percent", "table", "error", "100.0 * count(*) FILTER (x >= -15 AND x < 1380 AND y > -15 AND y < 15000) / count(*)", 90, None),
+        )
+        + "".join(f" UNION ALL SELECT 'spacing_{c}', 'table', 'error', abs(s - 30) <= 1, s, 30.0::DOUBLE FROM (SELECT {_STEP.format(c)} AS s)" for c in "xy")
+    ),
+)
 def q9(spark, d):
+    """A lattice of which the last four columns lie outside the boundary."""
     k = F.col("p_partkey")
-    return quality.grid_report(table(spark, d, "part").select(k.alias("grid_id"), (30.0 * (k % 50)).alias("x"), (30.0 * F.expr("p_partkey DIV 50")).alias("y")))
+    box = [(-15.0, -15.0, 1380.0, -15.0), (1380.0, -15.0, 1380.0, 15000.0), (1380.0, 15000.0, -15.0, 15000.0), (-15.0, 15000.0, -15.0, -15.0)]
+    edges = spark.createDataFrame(box, "x1 double, y1 double, x2 double, y2 double")
+    g = table(spark, d, "part").select(k.alias("grid_id"), (30.0 * (k % 50)).alias("x"), (30.0 * F.expr("p_partkey DIV 50")).alias("y"))
+    return r6(quality.grid_report(g, edges), "observed")
 
 
 @query("q10_profile", """SELECT unnest(['event_id', 'ts', 'user_id', 'event_type', 'value', 'props']) AS "column", (SELECT count(*) FROM events) AS n_rows, unnest([(SELECT count(*) FILTER (event_id IS NULL) FROM events), (SELECT count(*) FILTER (ts IS NULL) FROM events), (SELECT count(*) FILTER (user_id IS NULL) FROM events), (SELECT count(*) FILTER (event_type IS NULL) FROM events), (SELECT count(*) FILTER (value IS NULL) FROM events), (SELECT count(*) FILTER (props IS NULL) FROM events)]) AS nulls""")
 def q10(spark, d):
     return quality.profile(table(spark, d, "events")).drop("type")
+
+
+@query("p2_built_up", """WITH b AS (SELECT l_orderkey, l_linenumber, l_quantity AS b5, l_tax * 100 AS b4, l_discount * 100 AS b3, l_extendedprice / 1000 AS b6 FROM lineitem),
+i AS (SELECT *, (b5 - b4) / nullif(b5 + b4, 0) AS v, (b3 - b6) / nullif(b3 + b6, 0) AS w, (b6 - b5) / nullif(b6 + b5, 0) AS u FROM b)
+SELECT l_orderkey, l_linenumber, round((u - (v + w) / 2) / nullif(u + (v + w) / 2, 0), 3) AS ibi, round((b4 - b5) / nullif(b4 + b5, 0), 6) AS ui, round((b6 - b5) / (10 * sqrt(b6 + b3)), 6) AS ebbi FROM i WHERE abs(u + (v + w) / 2) > 1e-3""")
+def p2(spark, d):
+    """Where the built-up index is far from its pole."""
+    b = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("b5"), (F.col("l_tax") * 100).alias("b4"), (F.col("l_discount") * 100).alias("b3"), (F.col("l_extendedprice") / 1000).alias("b6"))
+    b3, b4, b5, b6 = (F.col(f"b{k}") for k in (3, 4, 5, 6))
+    i = b.withColumns({"v": C.ndvi(b5, b4), "w": C.mndwi(b3, b6), "u": C.ndbi(b6, b5)})
+    u, v, w = F.col("u"), F.col("v"), F.col("w")
+    return i.where(F.abs(u + (v + w) / 2) > 1e-3).select("l_orderkey", "l_linenumber", F.round(C.ibi(u, v, w), 3).alias("ibi"), F.round(C.ui(b4, b5), 6).alias("ui"), F.round(C.ebbi(b6, b5, b3), 6).alias("ebbi"))
+
+
+@query("p8_projection", sql("SELECT sensor_id, round(latitude, 6) AS lat, round(longitude, 6) AS lon, true AS in_box FROM sens WHERE latitude IS NOT NULL", "sens"))
+def p8(spark, d):
+    """There and back: the projected sensors return to where they were, within the box of the stand-ins."""
+    e, n = C.to_utm(F.col("longitude"), F.col("latitude"))
+    lon, lat = C.from_utm(F.col("e"), F.col("n"))
+    s = S.sensors(spark, d).where("latitude IS NOT NULL").withColumns({"e": e, "n": n})
+    return s.select("sensor_id", F.round(lat, 6).alias("lat"), F.round(lon, 6).alias("lon"), C.in_bbox(F.col("longitude"), F.col("latitude"), (72.7763, 18.8939, 72.9797, 19.2701)).alias("in_box"))
+
+
+@query("g1_centroids", "SELECT CAST(c AS INTEGER) AS ix, CAST(r AS INTEGER) AS iy, 15.0::DOUBLE + 30.0 * c AS x, 15.0::DOUBLE + 30.0 * r AS y, n FROM range(10) a(c) CROSS JOIN range(10) b(r) LEFT JOIN (SELECT floor(300.0::DOUBLE * ((c_custkey * 7919) % 997) / 997.0 / 30) AS cx, floor(300.0::DOUBLE * ((c_custkey * 104729) % 991) / 991.0 / 30) AS cy, count(*) AS n FROM customer GROUP BY ALL) ON cx = c AND cy = r")
+def g1(spark, d):
+    """Cell centres with the customers around them."""
+    at = lambda c: F.floor(F.col(c) / 30).cast("int")
+    n = _tile_points(spark, d).groupBy(at("x").alias("ix"), at("y").alias("iy")).agg(F.count("*").alias("n"))
+    return landuse.centroids(spark, 0.0, 0.0, 300.0, 300.0).join(n, ["ix", "iy"], "left")
+
+
+_QUAD = [(0.0, 40.0), (220.0, 0.0), (300.0, 250.0), (60.0, 300.0)]
+
+
+def _beyond(a, b):
+    """SQL: all corners of the tile lie on the outer side of an edge."""
+    corners = [f"({b[0] - a[0]}) * (y0 + {dy} - ({a[1]})) - ({b[1] - a[1]}) * (x0 + {dx} - ({a[0]})) < 0" for dx in (0, 30) for dy in (0, 30)]
+    return "(" + " AND ".join(corners) + ")"
+
+
+@query("g2_tiles_within", f"WITH {_PT}, t AS (SELECT c, r, c * 30.0 AS x0, r * 30.0 AS y0 FROM range(10) a(c) CROSS JOIN range(10) b(r)) SELECT 'r' || c || '_c' || r AS tile_id, count(id) AS n FROM t LEFT JOIN pt ON floor(x / 30) = c AND floor(y / 30) = r WHERE NOT (" + " OR ".join(_beyond(a, b) for a, b in zip(_QUAD, [*_QUAD[1:], _QUAD[0]], strict=True)) + ") GROUP BY 1")
+def g2(spark, d):
+    """Tiles that meet a quadrilateral, with the customers in them."""
+    at = lambda c: F.floor(F.col(c) / 30).cast("int")
+    n = _tile_points(spark, d).groupBy(at("x").alias("j"), at("y").alias("i")).agg(F.count("*").alias("n"))
+    return landuse.tiles_within(spark, _QUAD).join(n, ["i", "j"], "left").select("tile_id", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+@query(
+    "g9_reproject",
+    sql(
+        """tg AS (SELECT r AS row, c AS col, band, 300 + 40.0 * c - 10.0 * r AS x, 1100 - 40.0 * r - 10.0 * c AS y FROM range(12) a(r) CROSS JOIN range(12) b(c) CROSS JOIN (SELECT unnest(['price', 'size']) AS band)),
+f AS (SELECT *, (1200 - y) / 30 - 0.5 AS fy, x / 30 - 0.5 AS fx FROM tg),
+k AS (SELECT row, col, band, floor(fy) + i AS r, floor(fx) + j AS c, (CASE WHEN i = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) * (CASE WHEN j = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) AS w FROM f CROSS JOIN (SELECT unnest([0, 1]) AS i) CROSS JOIN (SELECT unnest([0, 1]) AS j))
+SELECT CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col, k.band, CASE WHEN count(value) = 4 THEN round(sum(w * value), 5) END AS value, count(value) <> 4 AS is_nodata FROM k LEFT JOIN pix ON pix.band = k.band AND pix.r = k.r AND pix.c = k.c GROUP BY ALL""",
+        "pix",
+    ),
+)
+def g9_reproject(spark, d):
+    """A turned and coarser grid over the lattice of parts."""
+    t = landuse.centroids(spark, 0.0, 0.0, 12.0, 12.0, 1.0).select(F.col("iy").alias("row"), F.col("ix").alias("col"), F.col("ix").cast("double").alias("x"), F.col("iy").cast("double").alias("y"))
+    turned = lambda x, y: (300 + 40.0 * x - 10.0 * y, 1100 - 40.0 * y - 10.0 * x)
+    out = raster.reproject(t, S.pixels(spark, d), S.pixel_meta(spark), turned)
+    return out.select("row", "col", "band", F.round("value", 5).alias("value"), "is_nodata")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,8 +30,8 @@ def days(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.to_date("ts").alias("date")).distinct()
 
 
-def order_dates(spark, sf_dir, every: int = 1) -> DataFrame:
-    return table(spark, sf_dir, "orders").where(F.col("o_orderkey") % every == 0).select(F.to_date("o_orderdate").alias("date")).distinct()
+def order_dates(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date")).distinct()
 
 
 def hourly(spark, sf_dir) -> DataFrame:
@@ -71,16 +71,15 @@ def scenes(spark, sf_dir) -> DataFrame:
     return o.select(F.to_date("o_orderdate").alias("date"), (F.floor("o_totalprice") % 100).alias("cloud"))
 
 
-def observed(spark, sf_dir) -> DataFrame:
-    """A signal on some dates: cells by customer, values by order."""
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 11 == 0)
-    return o.groupBy((F.col("o_custkey") % 20).alias("cell"), F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("value"))
+def cell(key: str) -> Column:
+    """Ten customers live in a cell, so that cells grow with the customers."""
+    return F.expr(f"{key} DIV 10")
 
 
-def clear_observed(spark, sf_dir) -> DataFrame:
-    """A signal from every order: cells by customer, values by order, on the dates whose mean cloud is below 50 (about half)."""
+def observed(spark, sf_dir) -> DataFrame:
+    """A signal from every order: values by cell and date, on the dates whose mean cloud is below 50 (about half)."""
     clear = scenes(spark, sf_dir).groupBy("date").agg(F.avg("cloud").alias("cloud")).where("cloud < 50").select("date")
-    o = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 20).alias("cell"), F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("value"))
+    o = table(spark, sf_dir, "orders").groupBy(cell("o_custkey").alias("cell"), F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("value"))
     return o.join(clear, "date", "left_semi").select("cell", "date", "value")
 
 
@@ -143,7 +142,10 @@ SQL = {
     ),
     "pts": "pts AS (SELECT c_custkey AS id, 1500.0::DOUBLE * ((c_custkey * 7919) % 997) / 997.0 AS x, 1200.0::DOUBLE * ((c_custkey * 104729) % 991) / 991.0 AS y FROM customer)",
     "scenes": "scenes AS (SELECT CAST(o_orderdate AS DATE) AS date, CAST(floor(o_totalprice) AS BIGINT) % 100 AS cloud FROM orders)",
-    "obs": "obs AS (SELECT o_custkey % 20 AS cell, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS value FROM orders WHERE o_orderkey % 11 = 0 GROUP BY ALL)",
+    "obs": (
+        "clear AS (SELECT CAST(o_orderdate AS DATE) AS date FROM orders GROUP BY 1 HAVING avg(CAST(floor(o_totalprice) AS BIGINT) % 100) < 50), "
+        "obs AS (SELECT o_custkey // 10 AS cell, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS value FROM orders WHERE CAST(o_orderdate AS DATE) IN (SELECT date FROM clear) GROUP BY ALL)"
+    ),
     "seg": (
         "seg AS (SELECT * FROM (SELECT event_id AS feature_id, event_type, 300.0::DOUBLE * ((event_id * 7919) % 997) / 997.0 AS x1, 300.0::DOUBLE * ((event_id * 104729) % 991) / 991.0 AS y1, "
         "lead(300.0::DOUBLE * ((event_id * 7919) % 997) / 997.0) OVER w AS x2, lead(300.0::DOUBLE * ((event_id * 104729) % 991) / 991.0) OVER w AS y2 FROM events "

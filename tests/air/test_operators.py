@@ -240,9 +240,14 @@ def test_plans_have_no_nested_loops(spark):
     from aqgrid.plans import registry
 
     q = registry.queries()
-    for name in ("j3_nearest_hour", "w5_interpolate", "g4_clip_lines", "g5_polygon_area"):
-        plan = q[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on tables above the threshold
+    try:
+        for name in ("j3_nearest_hour", "w5_interpolate", "g4_clip_lines", "g5_polygon_area", "m3_gtwr", "m6_bandwidth", "j13_inside", "p10_eligible_dates", "r5_route_exposure", "p17_industrial_tiles"):
+            plan = q[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and ("BroadcastNestedLoopJoin" not in plan or name == "p17_industrial_tiles"), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_csv_rejects_and_relief(spark, tmp_path):
@@ -263,7 +268,9 @@ def test_refresh_by_date(spark, tmp_path):
     streams.refresh_by_date(stream(), out, str(tmp_path / "state"))
     make([(3, D(2020, 1, 2))]).write.mode("append").parquet(src)
     streams.refresh_by_date(stream(), out, str(tmp_path / "state"))
-    assert {r.id for r in spark.read.parquet(out).collect()} == {1, 3}
+    assert {(r.id, r.date) for r in spark.read.parquet(out).collect()} == {(1, D(2020, 1, 1)), (2, D(2020, 1, 2)), (3, D(2020, 1, 2))}
+    streams.refresh_by_date(stream(), out, str(tmp_path / "state2"))  # both files as batch 0 of a new stream: its own partitions are replaced
+    assert sorted(r.id for r in spark.read.parquet(out).where("batch = 0").collect()) == [1, 2, 3]
 
 
 def test_ring_flags(spark):
@@ -272,3 +279,78 @@ def test_ring_flags(spark):
     d = spark.createDataFrame([(1, sq), (2, sq[:-1]), (3, []), (4, [(0.0, 0.0)] * 4)], f"feature_id long, ring {P}")
     got = {r.feature_id: (r.valid, r.area) for r in landuse.ring_flags(d).collect()}
     assert got[1] == (True, -4.0) and not got[2][0] and got[3] == (False, 0.0) and not got[4][0]
+
+
+def test_points_inside_by_bands(spark):
+    import random
+
+    r = random.Random(5)
+    ring = [(0.0, 0.0), (900.0, 100.0), (500.0, 400.0), (950.0, 900.0), (100.0, 800.0), (300.0, 450.0)]
+    edges = [(*a, *b) for a, b in zip(ring, [*ring[1:], ring[0]], strict=True)]
+    pts = [(k, r.uniform(-50, 1000), r.uniform(-50, 1000)) for k in range(300)] + [(5, 0.0, 0.0)]
+    pts[-1] = pts[5]  # a repeated row
+    e = spark.createDataFrame(edges, "x1 double, y1 double, x2 double, y2 double")
+    got = sorted(x.id for x in landuse.inside(spark.createDataFrame(pts, "id long, x double, y double"), e, band=70.0).collect())
+    odd = lambda x, y: sum((b > y) != (d > y) and a + (y - b) * (c - a) / (d - b) > x for a, b, c, d in edges) % 2
+    assert got == sorted(k for k, x, y in pts if odd(x, y))
+
+
+def test_tiles_within_a_turned_box(spark):
+    quad = [(0.0, 40.0), (220.0, 0.0), (300.0, 250.0), (60.0, 300.0)]
+    got = {(r.j, r.i) for r in landuse.tiles_within(spark, quad).collect()}
+
+    def meets(j, i):  # by a fine lattice of the tile
+        cross = lambda a, b, x, y: (b[0] - a[0]) * (y - a[1]) - (b[1] - a[1]) * (x - a[0])
+        return any(all(cross(a, b, 30 * j + u, 30 * i + v) >= 0 for a, b in zip(quad, [*quad[1:], quad[0]], strict=True)) for u in range(31) for v in range(31))
+
+    assert {(j, i) for j in range(10) for i in range(10) if meets(j, i)} <= got and len(got) < 100
+
+
+def test_neighbours_far_north(spark):
+    day = D(2020, 1, 1)
+    rows = [(k, day, 70.0 + 0.03 * (k % 7), 20.0 + 0.08 * (k % 11)) for k in range(60)]
+    d = spark.createDataFrame(rows, "sensor_id long, date date, latitude double, longitude double").withColumn("pm25", F.lit(1.0))
+    got = {(r.sensor_id, r.other) for r in readings.neighbours(d, d, 5.0).collect()}
+
+    def km(a, b):
+        p, q = math.radians(a[2]), math.radians(b[2])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[3] - a[3]) / 2) ** 2
+        return 2 * 6371 * math.asin(math.sqrt(h))
+
+    assert got == {(a[0], b[0]) for a in rows for b in rows if a[0] != b[0] and km(a, b) <= 5.0}
+
+
+def test_regression_with_gaps_and_blocks(spark):
+    schema = "id long, x array<double>, y double, cx double, cy double, t double"
+    rows = [(k, [1.0, k % 5 / 5.0], k % 7 + 0.5, k * 3.0 % 50, k * 7.0 % 50, float(k % 3)) for k in range(40)]
+    train = spark.createDataFrame([*rows, (99, [1.0, None], 1.0, 0.0, 0.0, 0.0), (98, [1.0, 1.0], None, 0.0, 0.0, 0.0)], schema)
+    query = spark.createDataFrame([(1, [1.0, 0.5], None, 10.0, 10.0, None), (2, [1.0, 0.2], None, None, 3.0, 1.0)], schema)
+    one = {r.id: r.prediction for r in gtwr.predict(train, query, 2, hs=20.0, ht=5.0, parts=1, blocks=1).collect()}
+    many = {r.id: r.prediction for r in gtwr.predict(train, query, 2, hs=20.0, ht=5.0, parts=3, blocks=5).collect()}
+    assert one.keys() == many.keys() == {1, 2} and all(one[k] == pytest.approx(many[k]) for k in one)
+    w = np.array([math.exp(-((10 - r[3]) ** 2 + (10 - r[4]) ** 2) / 400) for r in rows])  # no time, no time weight
+    X, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    beta = np.linalg.solve((X * w[:, None]).T @ X, (X * w[:, None]).T @ y)
+    assert one[1] == pytest.approx(float(beta @ [1.0, 0.5]))
+    near = gtwr.predict(train, query.where("id = 1"), 2, hs=20.0, cutoff=1000.0).first().prediction
+    assert near == pytest.approx(gtwr.predict(train, query.where("id = 1"), 2, hs=20.0).first().prediction)
+
+
+def test_life_spans_and_fill_report(spark):
+    s = spark.createDataFrame([(1, D(2020, 1, 1), D(2020, 1, 3)), (2, None, D(2020, 1, 3)), (3, D(2020, 1, 3), D(2020, 1, 1))], "sensor_id long, first_date date, last_date date")
+    d = spark.createDataFrame([(D(2020, 1, 2),), (D(2020, 1, 3),), (D(2020, 1, 9),)], "date date")
+    assert sorted((r.sensor_id, r.date.day) for r in readings.eligible(s, d).collect()) == [(1, 2), (1, 3)]
+    r = spark.createDataFrame([(1.0, "exact"), (2.0, "spatial_idw"), (None, "none"), (None, None)], "pm25 double, fallback_type string")
+    assert tuple(readings.fill_report(r).first()) == (3, 4, 2, pytest.approx(100 / 3))
+    assert {(x.fallback_type, x.n, x.percent) for x in readings.fallback_statistics(r).collect()} == {("exact", 1, 25.0), ("spatial_idw", 1, 25.0), ("none", 1, 25.0), (None, 1, 25.0)}
+
+
+def test_hexagons_are_the_nearest_centres(spark):
+    import random
+
+    r = random.Random(8)
+    pts = [(k, r.uniform(-100, 100), r.uniform(-100, 100)) for k in range(200)]
+    for row in rollup.hex_cells(spark.createDataFrame(pts, "id long, x double, y double"), 7.0).collect():
+        centre = lambda q, s: (7 * math.sqrt(3) * (q + s / 2), 7 * 1.5 * s)
+        own = math.dist(centre(row.q, row.r), (row.x, row.y))
+        assert all(own <= math.dist(centre(row.q + a, row.r + b), (row.x, row.y)) + 1e-9 for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1), (1, -1), (-1, 1)))
