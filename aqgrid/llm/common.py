@@ -44,6 +44,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of ``written`` frames that nothing will read again."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("aqgrid-"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (the finaliser of MurmurHash3)."""
     h = h ^ (h >> np.uint64(33))

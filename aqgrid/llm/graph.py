@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aqgrid.llm.common import written
+from aqgrid.llm.common import discard, written
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -25,7 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = written(e, "edges")
     seen = _digest(e)
     while seen[0]:
-        e = written(_small_star(_large_star(e)), "edges")
+        old, e = e, written(_small_star(_large_star(e)), "edges")
+        discard(old)
         if (now := _digest(e)) == seen:
             break
         seen = now

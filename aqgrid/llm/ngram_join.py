@@ -8,10 +8,13 @@ Over the whole corpus, with all lists but the n - T + c rarest of a document lef
 times in the merged ones, on both sides, if all documents order shingles alike (c is 1 + 6 % of the size). The order is:
 corpus-wide frequent shingles last (a bounded list, counted over all documents), else the longest first, as long ones are
 rare; it is only a matter of speed. Lists travel packed by bucket. Short lists give counted pairs; a long list gives its
-members, which stay if they occur in enough lists. What remains falls into groups that no link leaves.
+members, which stay if they occur in enough lists. What remains falls into groups that no link leaves. Of a list that is long
+within one chunk already, only as many entries travel to its bucket as show that it is long; the other members stay where
+they are dealt evenly, so that no task ever holds a popular list.
 
 Then within each group, whole texts at hand, with true inverted lists, the split of DivideSkip between merged and probed
-lists, and the exact test 100 |A n B| >= 75 |A u B|. Documents already joined by a chain of links aren't compared again.
+lists, and the exact test 100 |A n B| >= 75 |A u B|. A probe is a binary search for the candidate in the sorted list of a
+term. Documents already joined by a chain of links aren't compared again.
 
 Equal sets are one node throughout: copies collapse within a chunk before anything travels and by their digest after it.
 A group larger than ``GROUP_SHINGLES`` is searched in blocks, then by one representative of each block's classes, and at
@@ -20,8 +23,8 @@ has been looked at, while pairs within the largest are not all formed.
 
 Words are maximal runs of ``[^\\x20\\x09-\\x0D]``, A-Z lower-cased. Fewer than five words: the whole sequence is one
 shingle. Null or empty texts have no shingle and link with nothing. A null id takes no part; its row gets a null class.
-Rows with one id count as one document. Extra columns are not read; an empty table gives no rows; ties don't matter, as
-the class is named by its smallest id.
+Rows with one id are one node of the graph, each with the number of its own shingles. Extra columns are not read; an empty
+table gives no rows; ties don't matter, as the class is named by its smallest id.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aqgrid.llm.common import STEP, Words, chunks, mix, utf8, written
+from aqgrid.llm.common import STEP, Words, chunks, discard, mix, utf8, written
 from aqgrid.llm.graph import components
 
 #: Frequent shingles that are put last; the list goes to every task.
@@ -131,7 +134,7 @@ def profiles(docs: DataFrame, *, k: int, id_col: str, text_col: str) -> DataFram
     return written(docs.select(id_col, text_col).mapInArrow(run, "kind byte, doc_id long, n long, k1 long, k2 long"), "profiles")
 
 
-def rare_lists(docs: DataFrame, frequent: np.ndarray, size: int, *, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def rare_lists(docs: DataFrame, frequent: np.ndarray, size: int, *, k: int, percent: int, id_col: str, text_col: str, short_list: int = SHORT_LIST) -> DataFrame:
     """The merged lists: counted pairs of the short ones (kind 0: a, b, na, nb, count), members of the long ones (kind 1: a
     the list, b the set, na its size). Sets are named by the first half of their digest."""
     buckets = max(64, -(-size // BUCKET_BYTES))
@@ -155,37 +158,54 @@ def rare_lists(docs: DataFrame, frequent: np.ndarray, size: int, *, k: int, perc
             keep = (place < take[s.doc]) & once[s.doc]
             token, doc = mix(rank[order][keep]), s.doc[keep]
             bucket = (((token >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
+            order = np.argsort(token, kind="stable")  # buckets are ranges of tokens
             token, doc, bucket = token[order], doc[order], bucket[order]
+            head = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+            more = np.arange(len(token)) - np.repeat(head, np.diff(np.append(head, len(token)))) > short_list
+            key, known, blobs = [], [], []
+            if more.any():
+                t, d = token[more], doc[more]
+                for at in range(0, len(t), 4096):
+                    x = slice(at, at + 4096)
+                    key.append(int(mix(t[x][:1] ^ k1[d[x][:1]].view(np.uint64))[0] % np.uint64(buckets)))
+                    known.append(True)
+                    blobs.append(zstd.compress(np.concatenate((t[x].view(np.int64), k1[d[x]], s.n[d[x]])).astype("<i8").tobytes()))
+                token, doc, bucket = token[~more], doc[~more], bucket[~more]
             cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-            blobs = []
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 local, ref = np.unique(doc[x:y], return_inverse=True)
-                six = np.ascontiguousarray(token[x:y]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
                 head = struct.pack("<II", len(local), y - x) + k1[local].astype("<i8").tobytes() + s.n[local].astype("<i8").tobytes()
-                blobs.append(zstd.compress(head + six.tobytes() + ref.astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "packed"])
+                key.append(int(bucket[x]))
+                known.append(False)
+                blobs.append(zstd.compress(head + token[x:y].astype("<u8").tobytes() + ref.astype("<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(known), pa.array(blobs, pa.binary())], names=["bucket", "known", "packed"])
 
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         zstd = zstandard.ZstdDecompressor()
-        tokens, sets, sizes = [], [], []
-        for blob in rows["packed"]:
+        tokens, sets, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for blob in rows["packed"][~rows["known"]]:
             data = zstd.decompress(blob)
             m, n = struct.unpack_from("<II", data)
             at = 8 + 16 * m
-            six = np.zeros((n, 8), np.uint8)
-            six[:, :6] = np.frombuffer(data, np.uint8, 6 * n, at).reshape(-1, 6)
-            ref = np.frombuffer(data, "<u4", n, at + 6 * n)
-            tokens.append(six.view("<u8").reshape(-1))
+            tokens.append(np.frombuffer(data, "<u8", n, at))
+            ref = np.frombuffer(data, "<u4", n, at + 8 * n)
             sets.append(np.frombuffer(data, "<i8", m, 8)[ref])
             sizes.append(np.frombuffer(data, "<i8", m, 8 + 8 * m)[ref])
-        return merge_lists(np.concatenate(tokens), np.concatenate(sets), np.concatenate(sizes), int(key[0]), percent)
+        parts = [merge_lists(np.concatenate(tokens), np.concatenate(sets), np.concatenate(sizes), percent, short_list)]
+        for blob in rows["packed"][rows["known"]]:
+            a, b, n = np.frombuffer(zstd.decompress(blob), "<i8").reshape(3, -1)
+            parts.append(pd.DataFrame({"kind": np.int8(1), "a": a, "b": b, "na": n, "nb": 0, "count": 1}))
+        return pd.concat(parts)
 
     schema = "kind byte, a long, b long, na long, nb long, count long"
-    return docs.select(id_col, text_col).mapInArrow(send, "bucket int, packed binary").groupBy("bucket").applyInPandas(merge, schema)
+    sent = docs.select(id_col, text_col).mapInArrow(send, "bucket int, known boolean, packed binary")
+    return sent.groupBy("bucket").applyInPandas(merge, schema)
 
 
-def merge_lists(token: np.ndarray, sets: np.ndarray, sizes: np.ndarray, bucket: int, percent: int) -> pd.DataFrame:
+def merge_lists(token: np.ndarray, sets: np.ndarray, sizes: np.ndarray, percent: int, short_list: int) -> pd.DataFrame:
+    """Lists of one bucket: counted pairs of the short ones, members of the long ones."""
+    if not len(token):
+        return pd.DataFrame({c: pd.Series(dtype=np.int8 if c == "kind" else np.int64) for c in ("kind", "a", "b", "na", "nb", "count")})
     order = np.lexsort((sets, token))
     token, sets, sizes = token[order], sets[order], sizes[order]
     new = np.ones(len(token), bool)
@@ -194,12 +214,12 @@ def merge_lists(token: np.ndarray, sets: np.ndarray, sizes: np.ndarray, bucket:
     head = np.append(True, token[1:] != token[:-1])
     group = np.cumsum(head) - 1
     length = np.bincount(group)[group]
-    long = length > SHORT_LIST
+    long = length > short_list
     short = (length > 1) & ~long
     t, s, n = token[short], sets[short], sizes[short]
     names, ref = np.unique(s, return_inverse=True)
     pairs = []
-    for step in range(1, SHORT_LIST):
+    for step in range(1, short_list):
         same = t[step:] == t[:-step]
         x, y = n[:-step][same], n[step:][same]
         near = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
@@ -208,7 +228,7 @@ def merge_lists(token: np.ndarray, sets: np.ndarray, sizes: np.ndarray, bucket:
     size_of = np.zeros(len(names), np.int64)
     size_of[ref] = n
     i, j = (pair // len(names), pair % len(names)) if len(names) else (pair, pair)
-    lists = mix(token[long] + np.full(1, bucket, np.uint64) * STEP[53]).view(np.int64)
+    lists = token[long].view(np.int64)
     m = int(long.sum())
     return pd.DataFrame(
         {
@@ -225,7 +245,7 @@ def merge_lists(token: np.ndarray, sets: np.ndarray, sizes: np.ndarray, bucket:
 def groups(lists: DataFrame, percent: int) -> DataFrame:
     """Rows (node: set, component: group): the sets that may link, in groups that no link leaves."""
     pairs = lists.where("kind = 0").groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("count").alias("count"))
-    long = lists.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), F.col("na").alias("n"))
+    long = lists.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node"), F.col("na").alias("n")).distinct()
     in_long = long.groupBy("node").agg(F.count("*").alias("long"), F.first("n").alias("n"))
     pairs = written(pairs, "pairs")
     # a pair stays if its short lists, and all long ones that both might share, reach c
@@ -238,9 +258,12 @@ def groups(lists: DataFrame, percent: int) -> DataFrame:
     least = shared_rare(F.ceil(F.col("n") * percent / 100))
     live = in_long.where(F.col("long") >= least).select("node")
     members = long.join(live, "node", "left_semi").select("list", "node")
-    hubs = members.groupBy("list").agg(F.min("node").alias("hub"))
+    members = written(members, "members")
+    hubs = written(members.groupBy("list").agg(F.min("node").alias("hub")), "hubs")  # so that Spark may split a hot list in the join
     stars = members.join(hubs, "list").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    return components(may.union(stars))
+    out = written(components(may.union(stars)), "groups")
+    discard(pairs, members, hubs)
+    return out
 
 
 def divide_skip(n: int, longest: int, need: int) -> int:
@@ -260,8 +283,10 @@ class Search:
         head = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
         self.begin, self.until = head, np.append(head[1:], len(h))
         self.lists = s.doc[order]
+        of = np.repeat(np.arange(len(head)), self.until - self.begin)
+        self.entries = of * len(texts) + self.lists  # all lists one after the other, each sorted by document
         term = np.empty(len(h), np.int64)
-        term[order] = np.repeat(np.arange(len(head)), self.until - self.begin)
+        term[order] = of
         self.term = term  # of each document the terms; sorted, as they are numbered by hash
 
     def terms(self, d: int) -> np.ndarray:
@@ -287,10 +312,10 @@ class Search:
             m = int(self.n[c])
             if c == q or 100 * min(n, m) < self.percent * max(n, m) or not wanted(c):
                 continue
-            if len(rest):  # probe: is c in the list of a term, that is, the term in c
-                other = self.terms(c)
-                at = np.minimum(np.searchsorted(other, rest), m - 1)
-                have += int((other[at] == rest).sum())
+            if len(rest):  # probe the lists of these terms for c
+                wanted_entries = rest * len(self.n) + c
+                at = np.minimum(np.searchsorted(self.entries, wanted_entries), len(self.entries) - 1)
+                have += int((self.entries[at] == wanted_entries).sum())
             if 100 * have >= self.percent * (n + m - have):
                 yield c
 
@@ -374,7 +399,7 @@ def _representative_links(rows: DataFrame, links: DataFrame, k: int, percent: in
     return _links(heads.drop("total"), ["grp", "block"], k, percent)
 
 
-def ngram_join(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+def ngram_join(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", group_shingles: int = GROUP_SHINGLES, short_list: int = SHORT_LIST) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id): the class of each document under links of Jaccard >= percent / 100."""
     prof = profiles(docs, k=k, id_col=id_col, text_col=text_col)
     size = prof.where("kind = 2").agg(F.sum("k2")).first()[0] or 0
@@ -382,11 +407,12 @@ def ngram_join(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str =
     frequent = np.sort(np.array([r["k1"] for r in top], np.int64).view(np.uint64))
     rows = prof.where("kind = 0").select("doc_id", "n", "k1", "k2")
     sets = rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("head")).where("head IS NOT NULL")
-    lists = written(rare_lists(docs, frequent, size, k=k, percent=percent, id_col=id_col, text_col=text_col), "lists")
+    lists = written(rare_lists(docs, frequent, size, k=k, percent=percent, id_col=id_col, text_col=text_col, short_list=short_list), "lists")
     grouped = groups(lists, percent)
     chosen = sets.join(grouped.withColumnsRenamed({"node": "k1", "component": "grp"}), "k1").select("head", "n", "grp")
     total = chosen.groupBy("grp").agg(F.sum("n").alias("total"))
     chosen = written(chosen.join(total, "grp"), "chosen")
+    discard(lists, grouped)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     picked = texts.hint("merge").join(chosen.withColumnRenamed("head", "id"), "id")  # what is chosen grows with the input
     links = _links(picked.where(F.col("total") <= group_shingles).select("grp", "id", "text"), ["grp"], k, percent)

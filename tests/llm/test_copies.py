@@ -45,6 +45,17 @@ def test_substring_dedup_over_real_texts(documents, rows):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == plain_dedup(rows, 13)
 
 
+def test_substring_dedup_over_many_chunks(spark):
+    r = random.Random(9)
+    word = lambda: f"v{r.randrange(10**6)}"
+    passage = " ".join(word() for _ in range(40))
+    rows = {d: " ".join([*(word() for _ in range(80)), passage, *(word() for _ in range(60 + d % 7))]) for d in range(6_000)}  # several chunks a task
+    order = sorted(rows, key=lambda d: -d)  # the smallest id comes last
+    docs = spark.createDataFrame([(d, rows[d]) for d in order], "doc_id long, text string").coalesce(1)
+    got = substring_dedup.digest(docs).collect()
+    assert {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in got} == plain_dedup(rows, 13)
+
+
 def test_substring_dedup_of_odd_rows(make):
     t = " ".join(f"a{i}" for i in range(20))
     got = substring_dedup.deduplicate(make([t, t, t, t], [1, 1, 2, None], start="x", stop="y", bucket="z")).collect()
@@ -108,10 +119,10 @@ def test_ngram_join_matches_plain(make, seed, limit):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_classes(rows)
 
 
-def test_long_lists_give_the_same(make, monkeypatch):
-    monkeypatch.setattr(ngram_join, "SHORT_LIST", 2)
+@pytest.mark.parametrize("short", [1, 2, 5])
+def test_long_lists_give_the_same(make, short):
     rows = near_copies(11)
-    got = ngram_join.ngram_join(make(list(rows.values()), list(rows))).collect()
+    got = ngram_join.ngram_join(make(list(rows.values()), list(rows)), short_list=short).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_classes(rows)
 
 
@@ -215,6 +226,57 @@ def test_leaks_within_the_budget_are_all_found(spark, make):
     assert kept == set(range(len(docs))) - {d for d, _ in want}
 
 
+def test_leaks_of_repeated_rows_and_nulls(spark, make):
+    bench = spark.createDataFrame([(1, "the quick brown fox jumps over it"), (2, None), (None, "the quick brown fox jumps over it"), (1, "the quick brown fox jumps over it")], "item_id long, text string")
+    t = "so THE quick\n brown fox  jumps over it, he said"
+    got = decontamination.leaks(make([t, t, None, "", t], [4, 4, 5, 6, None], item_id="x", edits="y"), bench).collect()
+    assert sorted((r.doc_id or 0, r.item_id or 0) for r in got) == sorted([(d, i) for d in (4, 4, 0) for i in (1, 1, 0)])
+    assert {(r.start, r.end, r.edits) for r in got} == {(3, 36, 0)}
+
+
+def test_steps_of_the_search_don_t_matter(monkeypatch):
+    r = random.Random(12)
+    item = lambda: " ".join("".join(r.choice("abcde") for _ in range(r.randint(2, 6))) for _ in range(r.randint(8, 30)))
+    items = [(k, item()) for k in range(20)]
+
+    def spoil(t):
+        x = list(t)
+        for _ in range(r.randrange(4)):
+            x[r.randrange(len(x))] = "z"
+        return "".join(x)
+
+    texts = [" ".join(spoil(r.choice(items)[1]) if r.random() < 0.5 else item() for _ in range(r.randrange(60))) for _ in range(12)]
+    index = decontamination.Index(items, 12, 0.05)
+    want = sorted(decontamination.Scanner(index).scan(texts))
+    assert len(want) > 50
+    for step in (1, 7, 64, 1000):
+        monkeypatch.setattr(decontamination, "STEP_CHARS", step)
+        assert sorted(decontamination.Scanner(index).scan(texts)) == want
+    monkeypatch.setattr(decontamination, "CHUNK", 5)
+    for t in (*texts, "  A\u2003b \n", "ΑΣ ΣΑΣ x", " ", "x" * 50):
+        assert decontamination.normal(t) == " ".join(t.lower().split())
+
+
+def test_a_very_long_text_is_searched_in_bounded_memory(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import resource
+from aqgrid.llm import decontamination as d
+item = " ".join(f"benchmark{k}" for k in range(40))
+text = "some other words in between " * ((32 << 20) // 28) + item
+text += " " + item + " tail" * 100
+found = d.Scanner(d.Index([(1, item)], 12, 0.05)).scan([d.normal(text)])
+assert len(found) == 2, found
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env=os.environ | {"PYTHONPATH": root})
+    assert int(out.stdout) < 500  # MB, of which the text is some 100
+
+
 def test_leaks_of_empty_tables(spark, make):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.leaks(make(["some text"]), empty).count() == 0
