@@ -5,8 +5,9 @@ the same minimiser form a super-k-mer, which travels as one packed string to the
 windows always meet and a word travels about three times instead of ``k`` times. In the bucket the windows are sorted and
 each is told whether a document with a smaller id has it too; equality is that of the words, checked byte by byte.
 
-Three things keep any bucket small. Within a chunk of documents, of equal super-k-mers only the one with the smallest id
-travels: the others are answered at once (this takes care of groups of copies). Minimisers that are frequent in the
+Three things keep any bucket small. A task remembers the super-k-mers of its last chunks, and those that come back, with the
+smallest id so far; an equal one of a larger id is answered at once and doesn't travel (this takes care of groups of copies
+and of passages that are everywhere: of one passage about one string a task reaches its bucket). Minimisers that are frequent in the
 corpus (a bounded list, counted over all documents first) come last in the order of minimisers, so that the windows around
 a popular passage are dealt by their rarer parts. And the number of buckets follows from the size of the texts.
 
@@ -38,6 +39,8 @@ MAX_FREQUENT = 4096
 BUCKET_BYTES = 2 << 20
 #: Packed strings that a task holds before it sends them; larger parcels compress better.
 HOLD_BYTES = 40 << 20
+#: Super-k-mers in one of the two generations that a task remembers.
+REMEMBERED = 120_000
 _LAST = np.uint64(1) << np.uint64(63)
 
 
@@ -134,21 +137,27 @@ def removals(docs: DataFrame, *, k: int = 13, m: int = 3, id_col: str = "doc_id"
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Packed rows for the buckets: super-k-mers to count, and intervals that are known already."""
-        out = _Sender(buckets)
+        out, seen, old = _Sender(buckets), {}, {}
         for b in chunks(batches, text_col, 2 << 20):
             ids, texts = _sorted_chunk(b, id_col, text_col)
             words = Words(texts)
             s = SuperKmers(words, k, m, shared.value)
             if not len(s.doc):
                 continue
-            buf, seen = words.buf, {}
+            buf = words.buf
+            if len(seen) > REMEMBERED:
+                seen, old = {}, seen
             begin, end = words.start[s.first], words.end[s.first + s.windows + k - 2]
             doc, first = ids[s.doc], s.first - words.first[s.doc]
             go, known = [], []
             strings = [buf[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
             for j, (w, d) in enumerate(zip(strings, doc.tolist(), strict=True)):
-                # documents come by id: where the string was seen before, an earlier one has all these windows
-                (go if seen.setdefault(w, d) == d else known).append(j)
+                least = seen.get(w)
+                if least is None and (least := old.get(w)) is not None:
+                    seen[w] = least
+                if least is None or d < least:
+                    seen[w] = d
+                (known if least is not None and least < d else go).append(j)  # a smaller id has all these windows
             if known:
                 out.known(*_merge(doc[known], first[known], first[known] + s.windows[known] + k - 1))
             out.put((mix(s.key[go]) % np.uint64(buckets)).astype(np.int64), doc[go], first[go], [strings[j] for j in go])
