@@ -6,11 +6,13 @@ number. ``zstd -d`` reads such a file as usual. The index maps each record to it
 decompressed frame, so that one record costs one range read and one small frame.
 
 Of records with equal payloads of at least ``least`` bytes, that with the largest id is the response and the others are
-revisits of it, without a payload. Only digests are grouped; payloads move once, to meet the verdict of their digest, in a
-join that Spark may split where one payload is frequent.
+revisits of it, without a payload. Payloads are equal if their SHA-256 is; the SHA-1 that the format asks for is written
+only. Only digests are grouped; payloads move once, to meet the verdict of their digest, in a join that Spark may split
+where one payload is frequent. Shorter payloads are dealt by their id there, so that empty pages don't meet.
 
 Bundles are written by the tasks to a shared folder through ``pyarrow.fs`` (any uri that it opens), under a name of their
-own attempt; what the committed index names is valid, what a lost attempt left is never read. A task holds one frame.
+own attempt; what the committed index names is valid, what a lost attempt left is never read. They are read back in groups of
+``GROUP`` frames, dealt over as many tasks as their number asks for. A task holds one frame.
 
 Nulls: a null payload is empty, a null url is left out of the headers, a row with a null id is always a response. Repeated
 rows each become a record; if their id is the largest of their payload, each is a response. Extra columns are not read.
@@ -39,6 +41,8 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 32 << 20
+#: Frames that are read in a row, and such groups for each reading task.
+GROUP, GROUPS_A_TASK = 16, 4
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, bundle string, frame int, offset int, length int"
 
@@ -170,7 +174,7 @@ def verdicts(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html
     """For each payload of at least ``least`` bytes that occurs with two ids or more: its digest and the largest id."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     d = pages.where(F.octet_length(payload) >= least).where(F.col(id_col).isNotNull())
-    d = d.groupBy(F.unhex(F.sha1(payload)).alias("digest")).agg(F.max(id_col).alias("keeper"), F.min(id_col).alias("lowest"))
+    d = d.groupBy(F.unhex(F.sha2(payload, 256)).alias("digest")).agg(F.max(id_col).alias("keeper"), F.min(id_col).alias("lowest"))
     return d.where("lowest < keeper").select("digest", "keeper")
 
 
@@ -179,7 +183,9 @@ def write_archive(
 ) -> DataFrame:
     """Write bundles below ``folder``; gives the committed index (page_id, bundle, frame, offset, length)."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"), F.unhex(F.sha1(payload)).alias("digest"))
+    own = F.unhex(F.hex(F.xxhash64(id_col, url_col)))  # eight bytes, which no digest has
+    digest = F.when(F.octet_length(payload) >= least, F.unhex(F.sha2(payload, 256))).otherwise(own)
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"), digest.alias("digest"))
     rows = rows.join(verdicts(pages, id_col=id_col, html_col=html_col, least=least), "digest", "left")
     refers = F.when((F.octet_length("payload") >= least) & (F.col("page_id") < F.col("keeper")), F.col("keeper"))
     rows = rows.select("page_id", "url", "payload", refers.alias("refers_to"))
@@ -218,20 +224,22 @@ def read_archive(index: DataFrame, *, payloads: bool = False) -> DataFrame:
     """Every record of the bundles that the index names, frame by frame; a payload that doesn't match its digest raises.
 
     Rows: page_id, url, payload_bytes, payload_digest (hexadecimal), record_type, refers_to and, if asked for, payload
-    (null for revisits). Each bundle is read by one task, which holds one frame of it.
+    (null for revisits). A task reads some groups of frames and holds one frame at a time.
     """
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for uri in pdf["bundle"]:
+            for uri, part in zip(pdf["bundle"], pdf["part"], strict=True):
                 reader = BundleReader(uri)
-                for k in range(len(reader.frames)):
+                for k in range(part * GROUP, min((part + 1) * GROUP, len(reader.frames))):
                     yield pd.DataFrame([_row(r, payloads) for r in cut_records(reader.frame(k))], columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
                 reader.close()
 
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payloads]
-    return index.select("bundle").distinct().mapInPandas(read, schema)
+    parts = index.select("bundle", F.floor(F.col("frame") / GROUP).alias("part")).distinct()
+    tasks = -(-parts.count() // GROUPS_A_TASK)  # told to Spark, which would coalesce such few and short rows
+    return parts.repartition(max(1, tasks), "bundle", "part").mapInPandas(read, schema)
 
 
 def _row(record: bytes, payloads: bool) -> tuple:
