@@ -205,6 +205,7 @@ def confidence(plants: Column, chimneys: Column, building_area: Column, area: Co
     return F.when((plants > 0) | (chimneys > 0) | (building_area > 0), "high").when((area > 0) | (poi > 0), "medium").otherwise("low")
 
 
+# The names of the classes and their upper bounds, in the next function.
 def morphology(svf: Column) -> Column:
     """Right-closed classes of the sky-view factor; values outside (0, 1] have none."""
     return F.when((svf > 0) & (svf <= 0.4), "deep_canyon").when((svf > 0.4) & (svf <= 0.6), "street_canyon").when((svf > 0.6) & (svf <= 0.8), "urban_open").when((svf > 0.8) & (svf <= 1), "suburban")

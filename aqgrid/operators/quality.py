@@ -167,8 +167,8 @@ def describe_by_morphology(df: DataFrame, column: str = "pm25", svf: str = "svf"
 def _described(groups: GroupedData, column: str, *keys: str) -> DataFrame:
     ps = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
     c = F.col(column)
-    return groups.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.percentile(c, F.array(*map(F.lit, ps))).alias("p")).select(
-        *keys, "n", "min", "max", "mean", "std", *[F.col("p")[k].alias(f"p{round(100 * q)}") for k, q in enumerate(ps)]
+    return groups.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.stddev_pop(c).alias("std_pop"), F.percentile(c, F.array(*map(F.lit, ps))).alias("p")).select(
+        *keys, "n", "min", "max", "mean", "std", "std_pop", *[F.col("p")[k].alias(f"p{round(100 * q)}") for k, q in enumerate(ps)]
     )
 
 
@@ -178,6 +178,11 @@ def canyon_share(cells: DataFrame, svf: str = "svf") -> DataFrame:
     return cells.agg(F.min(c).alias("min"), F.avg(c).alias("mean"), F.max(c).alias("max"), F.count_if(c.isNull()).alias("n_missing"), n.alias("n_canyons"), F.try_divide(100.0 * n, F.count("*")).alias("canyon_percent"))
 
 
+def sample_rows(df: DataFrame, n: int, keys: tuple[str, ...], seed: int = 0) -> DataFrame:
+    """``n`` rows picked by the digest of their keys and a seed: the same ones however the table is dealt."""
+    return df.orderBy(F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))).cast("binary"))).limit(n)
+
+
 def null_counts(df: DataFrame, top: int = 10) -> DataFrame:
     """The columns with the most nulls."""
     n = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

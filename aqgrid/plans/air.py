@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from aqgrid.functions import columns as C
@@ -24,6 +26,12 @@ def near6(df, *names):
     return df.withColumns({c: F.round(F.col(c) + 3e-8, 6) for c in names})
 
 
+def _folder(spark, name):
+    """A new folder in what driver and executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 # ---- readings
 
 A1 = "SELECT sensor_id, date, round(pm25, 6) AS pm25, sample_count FROM daily"
@@ -708,9 +716,9 @@ def j11(spark, d):
     return quality.compare_dates(S.order_dates(spark, d), tables.merge_dates(signals.clear_dates(S.scenes(spark, d)), S.days(spark, d)))
 
 
-@query("a15_describe", "SELECT count(value) AS n, min(value) AS min, max(value) AS max, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, " + ", ".join(f"round(quantile_cont(value, {q / 100}), 6) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + " FROM events")
+@query("a15_describe", "SELECT count(value) AS n, min(value) AS min, max(value) AS max, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(stddev_pop(value), 6) AS std_pop, " + ", ".join(f"round(quantile_cont(value, {q / 100}), 6) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + " FROM events")
 def a15(spark, d):
-    return r6(quality.describe(table(spark, d, "events"), "value"), "mean", "std", "p1", "p5", "p25", "p50", "p75", "p95", "p99")
+    return r6(quality.describe(table(spark, d, "events"), "value"), "mean", "std", "std_pop", "p1", "p5", "p25", "p50", "p75", "p95", "p99")
 
 
 @query("a16_null_counts", sql(_CAND + """ SELECT "column", nulls FROM (SELECT unnest(['pm25', 'actual_date', 'date', 'days_offset', 'fallback_type', 'sample_count', 'sensor_id']) AS "column", unnest([count(*) FILTER (pm25 IS NULL), count(*) FILTER (actual_date IS NULL), count(*) FILTER (date IS NULL), count(*) FILTER (days_offset IS NULL), count(*) FILTER (fallback_type IS NULL), count(*) FILTER (sample_count IS NULL), count(*) FILTER (sensor_id IS NULL)]) AS nulls FROM fb)""", "meas", "daily", "sens", "days"))
@@ -740,11 +748,9 @@ def w2(spark, d):
 @query("t1_daily_mean_stream", sql(A1 + " WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY", "meas", "daily"))
 def t1(spark, d):
     """The days that the watermark has closed when all files are read."""
-    import uuid
-
     e = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/event[s].parquet")
     m = e.select(F.col("user_id").alias("sensor_id"), F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("event_type") == "purchase", 1).otherwise(2).alias("parameter_id"), F.lit("pm25").alias("parameter_name"), "value")
-    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    base = _folder(spark, "stream")
     streams.run_available(streams.daily_mean_stream(m), f"{base}/out", f"{base}/state")
     out = spark.read.schema("sensor_id long, date date, pm25 double, sample_count long").parquet(f"{base}/out")
     return r6(out, "pm25")
@@ -883,11 +889,11 @@ def g13(spark, d):
 _MORPH = "CASE WHEN v > 0 AND v <= 0.4 THEN 'deep_canyon' WHEN v > 0.4 AND v <= 0.6 THEN 'street_canyon' WHEN v > 0.6 AND v <= 0.8 THEN 'urban_open' WHEN v > 0.8 AND v <= 1 THEN 'suburban' END"
 
 
-@query("a18_by_morphology", f"SELECT morphology, n, min, max, round(mean + 3e-8, 6) AS mean, round(std, 6) AS std, " + ", ".join(f"round(p{q} + 3e-8, 6) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + f" FROM (SELECT {_MORPH} AS morphology, count(value) AS n, min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_samp(value) AS std, " + ", ".join(f"quantile_cont(value, {q / 100}) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + " FROM (SELECT value, (user_id * 37 % 101) / 100.0 AS v FROM events) GROUP BY 1) WHERE morphology IS NOT NULL")
+@query("a18_by_morphology", f"SELECT morphology, n, min, max, round(mean + 3e-8, 6) AS mean, round(std, 6) AS std, round(std_pop, 6) AS std_pop, " + ", ".join(f"round(p{q} + 3e-8, 6) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + f" FROM (SELECT {_MORPH} AS morphology, count(value) AS n, min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_samp(value) AS std, stddev_pop(value) AS std_pop, " + ", ".join(f"quantile_cont(value, {q / 100}) AS p{q}" for q in (1, 5, 25, 50, 75, 95, 99)) + " FROM (SELECT value, (user_id * 37 % 101) / 100.0 AS v FROM events) GROUP BY 1) WHERE morphology IS NOT NULL")
 def a18(spark, d):
     e = table(spark, d, "events").select("value", ((F.col("user_id") * 37 % 101) / 100.0).alias("svf"))
     out = quality.describe_by_morphology(e, "value")
-    return r6(near6(out, "mean", *[f"p{q}" for q in (1, 5, 25, 50, 75, 95, 99)]), "std")
+    return r6(near6(out, "mean", *[f"p{q}" for q in (1, 5, 25, 50, 75, 95, 99)]), "std", "std_pop")
 
 
 @query("p19_classes", "SELECT s_suppkey, " + _MORPH + " AS morphology, v < 0.5 AS canyon FROM (SELECT s_suppkey, (s_suppkey * 37 % 101) / 100.0 AS v FROM supplier)")
@@ -1021,3 +1027,64 @@ def g9_reproject(spark, d):
     turned = lambda x, y: (300 + 40.0 * x - 10.0 * y, 1100 - 40.0 * y - 10.0 * x)
     out = raster.reproject(t, S.pixels(spark, d), S.pixel_meta(spark), turned)
     return out.select("row", "col", "band", F.round("value", 5).alias("value"), "is_nodata")
+
+
+# ---- sources and sinks, there and back
+
+
+def _sensor_pages(spark, d):
+    """The registry's JSON for each supplier: names, places and dates are missing here and there."""
+    k = F.col("s_suppkey")
+    point = lambda a, b: F.struct(a.alias("latitude"), b.alias("longitude"))
+    day = lambda n: F.concat(F.date_add(F.lit("2020-01-01").cast("date"), n.cast("int")).cast("string"), F.lit("T00:00:00Z"))
+    s = F.struct(
+        k.alias("id"),
+        F.when(k % 5 != 0, F.col("s_name")).alias("name"),
+        point(k / 4.0, k / 8.0).alias("coordinates"),
+        F.when(k % 3 == 0, F.struct(point(k / 2.0, k * 1.0).alias("coordinates"))).alias("latest"),
+        F.when(k % 7 != 0, F.struct(day(k % 1000).alias("utc"))).alias("datetimeFirst"),
+        F.when(k % 11 != 0, F.struct(day(k % 1000 + 30).alias("utc"))).alias("datetimeLast"),
+    )
+    return table(spark, d, "supplier").select(F.to_json(s).alias("json"))
+
+
+_NAME = "CASE WHEN s_suppkey % 5 <> 0 THEN s_name ELSE 'pm25_sensor' END AS name"
+
+
+@query("s4_sensors", f"SELECT s_suppkey AS id, {_NAME}, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey / 2 ELSE s_suppkey / 4 END AS latitude, CASE WHEN s_suppkey % 3 = 0 THEN CAST(s_suppkey AS DOUBLE) ELSE s_suppkey / 8 END AS longitude, CAST(DATE '2020-01-01' + CAST(s_suppkey % 1000 AS INTEGER) AS DATE) AS first_date, CAST(DATE '2020-01-31' + CAST(s_suppkey % 1000 AS INTEGER) AS DATE) AS last_date FROM supplier WHERE s_suppkey % 7 <> 0 AND s_suppkey % 11 <> 0")
+def s4(spark, d):
+    return tables.flatten_sensors(_sensor_pages(spark, d))
+
+
+@query("s4_sensor_rejects", f"SELECT s_suppkey AS id, {_NAME}, CASE WHEN s_suppkey % 7 = 0 THEN 'no first date' ELSE 'no last date' END AS reason FROM supplier WHERE s_suppkey % 7 = 0 OR s_suppkey % 11 = 0")
+def s4_rejects(spark, d):
+    return tables.sensor_rejects(_sensor_pages(spark, d))
+
+
+@query("s5_hourly", sql("SELECT datetime, temperature_2m, cloud_cover, CAST(NULL AS DOUBLE) AS dewpoint_2m FROM hourly", "hourly"))
+def s5(spark, d):
+    """A page a day, with parallel arrays; the dew point is in none."""
+    h = S.hourly(spark, d).groupBy(F.to_date("datetime").alias("day")).agg(F.array_sort(F.collect_list(F.struct("datetime", "temperature_2m", "cloud_cover"))).alias("h"))
+    arrays = F.struct(F.transform("h", lambda x: F.date_format(x["datetime"], "yyyy-MM-dd'T'HH:mm")).alias("time"), F.col("h.temperature_2m").alias("temperature_2m"), F.col("h.cloud_cover").alias("cloud_cover"))
+    return tables.flatten_hourly(h.select(F.to_json(F.struct(arrays.alias("hourly"))).alias("json"))).select("datetime", "temperature_2m", "cloud_cover", "dewpoint_2m")
+
+
+@query("s7_tables_by_date", sql(A1, "meas", "daily"))
+def s7(spark, d):
+    """Daily means written by date, of which one day is written again, and read back by column (S2)."""
+    path, daily = _folder(spark, "by-date"), readings.daily_mean(S.measurements(spark, d))
+    tables.write_by_date(daily, path, order=("sensor_id",))
+    tables.write_by_date(daily.where("dayofmonth(date) = 3"), path)
+    return r6(tables.read_columns(spark, path, ["sensor_id", "date", "pm25", "sample_count"]), "pm25")
+
+
+@query("s8_csv", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def s8(spark, d):
+    path, s = _folder(spark, "csv"), table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    tables.write_csv(s.withColumn("geometry", F.lit("POINT")), path)
+    return spark.read.schema(s.schema).option("header", True).csv(path)
+
+
+@query("w7_sample_rows", "SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY md5(l_orderkey || ':' || l_linenumber || ':7') LIMIT 100")
+def w7(spark, d):
+    return quality.sample_rows(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), 100, ("l_orderkey", "l_linenumber"), seed=7)

@@ -10,6 +10,7 @@ SENSORS = (
     "id long, name string, coordinates struct<latitude:double,longitude:double>, latest struct<coordinates:struct<latitude:double,longitude:double>>, "
     "datetimeFirst struct<utc:string>, datetimeLast struct<utc:string>"
 )
+# The hourly variables of a public weather interface.
 HOURLY = (
     "temperature_2m",
     "relative_humidity_2m",
@@ -28,8 +29,12 @@ def parse_dates(lines: DataFrame, column: str = "value", distinct: bool = True)
     return d.distinct() if distinct else d
 
 
-def read_dates(spark: SparkSession, path: str, distinct: bool = True) -> DataFrame:
-    return parse_dates(spark.read.text(path), distinct=distinct)
+def read_dates(spark: SparkSession, path: str, distinct: bool = True, sort: bool = False) -> DataFrame:
+    """The dates of a file; one without any date raises."""
+    d = parse_dates(spark.read.text(path), distinct=distinct)
+    if d.isEmpty():
+        raise ValueError(f"{path} has no dates")
+    return d.orderBy("date") if sort else d
 
 
 def read_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -52,13 +57,23 @@ def flatten_measurements(pages: DataFrame, column: str = "json") -> DataFrame:
     )
 
 
-def flatten_sensors(pages: DataFrame, column: str = "json") -> DataFrame:
-    """Sensor registry from JSON; the latest coordinates go before the registered ones, sensors without dates are dropped."""
+def _sensors(pages: DataFrame, column: str) -> DataFrame:
     s = pages.select(F.from_json(column, SENSORS).alias("s")).select("s.*")
     day = lambda c: F.to_date(F.try_to_timestamp(F.col(c)))
     at = lambda k: F.coalesce(F.col(f"latest.coordinates.{k}"), F.col(f"coordinates.{k}")).alias(k)
-    out = s.select("id", F.coalesce("name", F.lit("pm25_sensor")).alias("name"), at("latitude"), at("longitude"), day("datetimeFirst.utc").alias("first_date"), day("datetimeLast.utc").alias("last_date"))
-    return out.where("first_date IS NOT NULL AND last_date IS NOT NULL")
+    return s.select("id", F.coalesce("name", F.lit("pm25_sensor")).alias("name"), at("latitude"), at("longitude"), day("datetimeFirst.utc").alias("first_date"), day("datetimeLast.utc").alias("last_date"))
+
+
+def flatten_sensors(pages: DataFrame, column: str = "json") -> DataFrame:
+    """Sensor registry from JSON; the latest coordinates go before the registered ones. Sensors without dates are left to
+    ``sensor_rejects``."""
+    return _sensors(pages, column).where("first_date IS NOT NULL AND last_date IS NOT NULL")
+
+
+def sensor_rejects(pages: DataFrame, column: str = "json") -> DataFrame:
+    """Sensors that ``flatten_sensors`` leaves out, with the reason."""
+    s = _sensors(pages, column).where("first_date IS NULL OR last_date IS NULL")
+    return s.select("id", "name", F.when(F.col("first_date").isNull(), "no first date").otherwise("no last date").alias("reason"))
 
 
 def flatten_hourly(pages: DataFrame, column: str = "json") -> DataFrame:
@@ -85,11 +100,12 @@ def pending(requested: DataFrame, done: DataFrame, key: str = "date", force: boo
     return requested if force else requested.join(done.select(key).distinct(), key, "left_anti")
 
 
-def attach_signal(features: DataFrame, signal: DataFrame, name: str, keys: tuple[str, ...] = ("grid_id", "date")) -> DataFrame:
-    """Features with a signal's value and flag; cells without a value get null and a true flag."""
+def attach_signal(features: DataFrame, signal: DataFrame, name: str, keys: tuple[str, ...] = ("grid_id", "date"), meta: dict[str, str] | None = None) -> DataFrame:
+    """Features with a signal's value and flag; cells without a value get null and a true flag. ``meta`` goes to every row."""
     s = signal.select(*keys, F.col("value").alias(name), F.col("is_nodata").alias(f"{name}_is_nodata"))
     flag = F.coalesce(f"{name}_is_nodata", F.lit(True)).alias(f"{name}_is_nodata")
-    return features.join(s, list(keys), "left").select(*features.columns, name, flag)
+    said = [F.struct(*[F.lit(v).alias(k) for k, v in meta.items()]).alias(f"{name}_meta")] if meta else []
+    return features.join(s, list(keys), "left").select(*features.columns, name, flag, *said)
 
 
 def merge_dates(a: DataFrame, b: DataFrame) -> DataFrame:

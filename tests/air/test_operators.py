@@ -52,6 +52,24 @@ def test_dates_with_byte_order_mark(spark):
     assert tables.parse_dates(d, distinct=False).count() == 2
 
 
+def test_files_of_dates(spark, tmp_path):
+    (tmp_path / "d").write_text("2020-01-05\n\n2020-01-02\n2020-01-05\n")
+    (tmp_path / "e").write_text("\n \n")
+    assert [r.date.day for r in tables.read_dates(spark, str(tmp_path / "d"), sort=True).collect()] == [2, 5]
+    with pytest.raises(ValueError, match="no dates"):
+        tables.read_dates(spark, str(tmp_path / "e"))
+    assert C.bbox_centre((1.0, 2.0, 3.0, 6.0)) == (2.0, 4.0)
+    assert [value(spark, C.in_bbox(F.lit(x), F.lit(2.0), (1.0, 2.0, 3.0, 6.0))) for x in (0.9, 1.0, 3.0, 3.1)] == [False, True, True, False]
+
+
+def test_a_signal_brings_its_metadata(spark):
+    f = spark.createDataFrame([(1, D(2020, 1, 1)), (2, D(2020, 1, 1))], "grid_id long, date date")
+    s = spark.createDataFrame([(1, D(2020, 1, 1), 0.5, False)], "grid_id long, date date, value double, is_nodata boolean")
+    got = {r.grid_id: r for r in tables.attach_signal(f, s, "no2", meta={"unit": "mol/m2"}).collect()}
+    assert (got[1].no2, got[1].no2_is_nodata, got[1].no2_meta.unit) == (0.5, False, "mol/m2")
+    assert (got[2].no2, got[2].no2_is_nodata, got[2].no2_meta.unit) == (None, True, "mol/m2")
+
+
 def test_nested_pages(spark):
     j = '{"hourly":{"time":["2020-01-01T00:00","2020-01-01T01:00"],"temperature_2m":[1.5,null]}}'
     rows = tables.flatten_hourly(spark.createDataFrame([(j,)], "json string")).orderBy("datetime").collect()
@@ -59,6 +77,7 @@ def test_nested_pages(spark):
     s = '{"id":1,"coordinates":{"latitude":1.0,"longitude":2.0},"datetimeFirst":{"utc":"2020-01-01T00:00:00Z"},"datetimeLast":{"utc":"2021-01-01T00:00:00Z"}}'
     rows = tables.flatten_sensors(spark.createDataFrame([(s,), ('{"id":2}',)], "json string")).collect()
     assert [(r.id, r.name, r.latitude, r.first_date) for r in rows] == [(1, "pm25_sensor", 1.0, D(2020, 1, 1))]
+    assert [tuple(r) for r in tables.sensor_rejects(spark.createDataFrame([(s,), ('{"id":2}',)], "json string")).collect()] == [(2, "pm25_sensor", "no first date")]
 
 
 def fallback(spark, daily, target, **kw):
