@@ -2,13 +2,17 @@
 
 A page is cut into blocks: runs of text between block-level tags, each with the tags and the class and id names of its open
 ancestors. A chain over the blocks of a page labels each as content or boilerplate; features are ancestor tags and name
-parts, the block's own tag, its size, link density, punctuation, and its place. Weights are trained here by gradient
-ascent on the likelihood of labelled pages (forward-backward), and pages are decoded by Viterbi.
+parts, the block's own tag, its size, link density, punctuation, its place, the sizes and links of its neighbours, the share
+of the page's text in its container and its distance from the title. Weights are trained here by gradient ascent on the
+likelihood of labelled pages (forward-backward), and pages are decoded by Viterbi.
 
 The labelled pages are generated by rule, in many layouts and from invented words, so that labels are exact: articles in
-``article``, ``main`` or plain ``div`` containers, with menus, banners, adverts, forms, related links, reader comments and
-footers around and between their paragraphs. Training takes a few seconds on the driver and depends on no input; the
-weights (a few hundred numbers) travel with the task.
+``article``, ``main``, named or nameless ``div`` containers, with menus, banners, adverts, forms, related links, teasers,
+reader comments and footers around and between their paragraphs, with and without telling names. Training takes a few
+seconds on the driver and depends on no input; the weights (a few hundred numbers) travel with the task.
+
+Open elements hand down what they add to their ancestors' sets, so the work for a page is in proportion to its length
+however deep or broken its markup is.
 
 Text inside ``script``, ``style``, ``svg`` and the like, comments and declarations is never a block; that of ``math`` stays.
 Where no end tag follows, ``script``, ``style``, ``textarea`` and ``title`` run to the page's end, others are skipped alone. Character references are
@@ -24,8 +28,10 @@ from __future__ import annotations
 import html as _html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +48,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr ruby rt rp img".split()) | MATH
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_BOXES = frozenset("body div section article main aside td form ol ul header footer nav".split())
+_TABLE = frozenset("table tr tbody thead tfoot body html".split())
+_ANCESTORS = CLOSES_P | _BOXES | frozenset("button center dd dialog dt figcaption li summary tbody td th tr".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|(?=<)|\Z)", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
-_UNQUOTED_END = re.compile(r"""=\s*[^\s"'>]*/\Z""")
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -59,7 +67,34 @@ _BAD_NAMES = frozenset(
 _GOOD_NAMES = frozenset("article content post entry story body main text page prose".split())
 _BAD_TAGS = frozenset("nav header footer aside form button menu dialog fieldset".split())
 
-Block = tuple[str, tuple[str, ...], frozenset, int, int]  # text, ancestor tags, name parts, characters in links, line breaks
+_TELLING = _BAD_NAMES | _GOOD_NAMES | {"hidden!"}
+_NONE: frozenset[str] = frozenset()
+
+
+class Block(NamedTuple):
+    text: str
+    tags: frozenset[str]  # of its ancestors
+    names: frozenset[str]  # telling parts of their class and id names
+    links: int  # characters in links
+    breaks: int
+    own: str  # the innermost block-level tag
+    box: int  # numbers of the nearest container, the one around it, and the nearest article
+    outer: int
+    article: int
+
+
+class Open(NamedTuple):
+    """An open element: its tag, what holds for all that it contains, and the numbers of its containers."""
+
+    tag: str
+    tags: frozenset[str]
+    names: frozenset[str]
+    box: int
+    outer: int
+    article: int
+
+
+_ROOT = Open("none", _NONE, _NONE, 0, 0, 0)
 
 
 def _end_tag(tag: str) -> re.Pattern:
@@ -68,7 +103,10 @@ def _end_tag(tag: str) -> re.Pattern:
 
 def _is_empty(attributes: str) -> bool:
     """A slash ends the tag, and is not part of a value without quotes."""
-    return attributes.endswith("/") and not _UNQUOTED_END.search(attributes)
+    if not attributes.endswith("/"):
+        return False
+    cut = max(attributes.rfind(c) for c in " \t\n\r\f\"'")
+    return "=" not in attributes[cut + 1 :] and not (attributes[cut : cut + 1].isspace() and attributes[:cut].rstrip().endswith("="))
 
 
 def _svg_ends(page: str, at: int) -> dict[int, int]:
@@ -89,12 +127,91 @@ def _svg_ends(page: str, at: int) -> dict[int, int]:
     return out
 
 
+class _Stack:
+    """The open elements of a page. Inline ones are kept aside by tag, as only their telling names matter."""
+
+    def __init__(self) -> None:
+        self.open: list[Open] = []
+        self.scopes: list[Counter] = [Counter()]  # open block-level tags, anew within each table and cell
+        self.count: Counter = Counter()
+        self.inline: dict[str, list[frozenset]] = {}
+        self.inline_names: Counter = Counter()
+        self.boxes = 0
+
+    def top(self) -> Open:
+        return self.open[-1] if self.open else _ROOT
+
+    def names(self) -> frozenset[str]:
+        extra = [k for k, n in self.inline_names.items() if n > 0]
+        return self.top().names.union(extra) if extra else self.top().names
+
+    def push(self, tag: str, names: frozenset[str]) -> None:
+        up = self.top()
+        box, outer, article = up.box, up.outer, up.article
+        if tag in _BOXES:
+            self.boxes += 1
+            box, outer = self.boxes, up.box
+            article = self.boxes if tag == "article" else article
+        tags = up.tags if tag in up.tags or tag not in _ANCESTORS else up.tags | {tag}
+        self.open.append(Open(tag, tags, up.names if names <= up.names else up.names | names, box, outer, article))
+        if tag in ("table", "td", "th"):
+            self.scopes.append(Counter())
+        self.scopes[-1][tag] += 1
+        self.count[tag] += 1
+
+    def pop(self) -> None:
+        tag = self.open.pop().tag
+        self.scopes[-1][tag] -= 1
+        self.count[tag] -= 1
+        if tag in ("table", "td", "th"):
+            self.scopes.pop()
+
+    def closes(self, tag: str) -> bool:
+        """Whether an end tag has an open element; tables and cells keep what is around them open."""
+        open_here = self.count if tag in _TABLE else self.scopes[-1]
+        return any(open_here[t] > 0 for t in (_HEADINGS if tag in _HEADINGS else (tag,)))
+
+    def close(self, tag: str) -> None:
+        same = _HEADINGS if tag in _HEADINGS else (tag,)
+        while self.open[-1].tag not in same:
+            self.pop()
+        self.pop()
+
+    def put_inline(self, tag: str, names: frozenset[str]) -> None:
+        self.inline.setdefault(tag, []).append(names)
+        self.inline_names.update(names)
+
+    def end_inline(self, tag: str) -> None:
+        if self.inline.get(tag):
+            self.inline_names.subtract(self.inline[tag].pop())
+
+    def clear_inline(self) -> None:
+        if self.inline:
+            self.inline.clear()
+            self.inline_names.clear()
+
+
+def _names(attributes: str) -> frozenset[str]:
+    """Telling parts of the class, id and role of a tag, and whether it is hidden."""
+    if "=" not in attributes and "hidden" not in attributes:
+        return _NONE
+    parts: set[str] = set()
+    for a in _ATTR.finditer(attributes):
+        value = (a[2] or a[3] or a[4] or "").lower()
+        kind = a[1].lower()
+        if kind in ("class", "id", "role"):
+            parts.update(_NAME.findall(value))
+        elif kind == "hidden" or (kind == "aria-hidden" and value == "true") or (kind == "style" and "display:none" in value.replace(" ", "")):
+            parts.add("hidden!")
+    return frozenset(parts & _TELLING)
+
+
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in order."""
     if not page:
         return []
     out: list[Block] = []
-    stack: list[tuple[str, frozenset]] = []
+    stack = _Stack()
     text: list[str] = []
     links = breaks = in_link = 0
     at, n = 0, len(page)
@@ -106,8 +223,8 @@ def blocks(page: str | None) -> list[Block]:
         if text:
             t = _SPACE.sub(" ", _html.unescape("".join(text))).strip()
             if t:
-                names = frozenset().union(*[x[1] for x in stack]) if stack else frozenset()
-                out.append((t, tuple(x[0] for x in stack if x[0] not in INLINE), names, min(links, len(t)), breaks))
+                e = stack.top()
+                out.append(Block(t, e.tags, stack.names(), min(links, len(t)), breaks, e.tag, e.box, e.outer, e.article))
             text.clear()
         links = breaks = 0
 
@@ -129,24 +246,14 @@ def blocks(page: str | None) -> list[Block]:
         if m[1]:
             if tag == "a":
                 in_link = 0
-            if tag not in INLINE:
-                if tag == "p" and not any(x[0] == "p" for x in stack):
-                    flush()
-                    continue
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag or (tag in _HEADINGS and stack[k][0] in _HEADINGS):
-                        flush()
-                        del stack[k:]
-                        break
-                    if stack[k][0] in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                        break
-            else:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] not in INLINE:
-                        break
-                    if stack[k][0] == tag:
-                        del stack[k]
-                        break
+            if tag in INLINE:
+                stack.end_inline(tag)
+            elif stack.closes(tag):
+                flush()
+                stack.clear_inline()
+                stack.close(tag)
+            elif tag == "p":  # an end tag without a paragraph makes an empty one
+                flush()
             continue
         if tag in RAW:
             end = None if tag in endless else _end_tag(tag).search(page, at)
@@ -169,79 +276,101 @@ def blocks(page: str | None) -> list[Block]:
             else:
                 text.append(" " if tag == "img" else "")
             continue
-        names = frozenset()
-        if "=" in m[3] or "hidden" in m[3]:
-            parts: set[str] = set()
-            for a in _ATTR.finditer(m[3]):
-                value = (a[2] or a[3] or a[4] or "").lower()
-                kind = a[1].lower()
-                if kind in ("class", "id", "role"):
-                    parts.update(_NAME.findall(value))
-                elif kind == "hidden" or (kind == "aria-hidden" and value == "true") or (kind == "style" and "display:none" in value.replace(" ", "")):
-                    parts.add("hidden!")
-            names = frozenset(parts)
+        names, empty = _names(m[3]), m[3].rstrip().endswith("/")
         if tag in INLINE:
             if tag == "a":
                 in_link = 1
-            if names and not m[3].rstrip().endswith("/"):
-                stack.append((tag, names))
+            if names and not empty:
+                stack.put_inline(tag, names)
             continue
         flush()
         in_link = 0
-        while stack and stack[-1][0] in INLINE:
-            stack.pop()
-        if tag in CLOSES_P and any(x[0] == "p" for x in stack[-3:]):
-            k = max(j for j, x in enumerate(stack) if x[0] == "p")
-            del stack[k:]
-        elif tag in _CLOSED_BY and stack and stack[-1][0] in _CLOSED_BY[tag]:
+        stack.clear_inline()
+        if tag in CLOSES_P and any(x.tag == "p" for x in stack.open[-3:]):
+            stack.close("p")
+        elif tag in _CLOSED_BY and stack.top().tag in _CLOSED_BY[tag]:
             stack.pop()
-        if not m[3].rstrip().endswith("/"):
-            stack.append((tag, names))
+        if not empty:
+            stack.push(tag, names)
     flush()
     return out
 
 
+def _bucket(share: float) -> str:
+    return "most" if share >= 0.6 else "much" if share >= 0.3 else "some" if share >= 0.1 else "little"
+
+
+def _shape(b: Block) -> str:
+    density = b.links / len(b.text)
+    return ("all" if density >= 0.8 else "half" if density >= 0.3 else "few") + str(min(len(b.text) // 40, 3))
+
+
 def features(page: list[Block]) -> list[list[str]]:
     """Names of the binary features of each block."""
     out, n = [], len(page)
-    seen_article = any("article" in b[1] for b in page)
-    seen_main = any("main" in b[1] for b in page)
-    for k, (t, tags, names, links, breaks) in enumerate(page):
-        f = ["bias"]
-        own = tags[-1] if tags else "none"
-        f.append(f"own:{own}")
-        f += [f"in:{x}" for x in set(tags) if x not in ("html", "body")]
+    seen_article = any("article" in b.tags for b in page)
+    seen_main = any("main" in b.tags for b in page)
+    size, linked, number, articles = Counter(), Counter(), Counter(), Counter()
+    for b in page:
+        plain = len(b.text) - b.links
+        for box in {b.box, -1 - b.outer}:  # containers by their own text, and by that of the containers in them
+            size[box] += plain
+            linked[box] += b.links
+            number[box] += 1
+        articles[b.article] += plain
+    total = sum(len(b.text) - b.links for b in page) or 1
+    top_box, top_outer = (max((v for k, v in size.items() if (k >= 0) == own), default=0) for own in (True, False))
+    top_article = max((v for k, v in articles.items() if k), default=0)
+    title = next((k for k, b in enumerate(page) if b.own == "h1"), None)
+    shapes = [_shape(b) for b in page]
+    for k, b in enumerate(page):
+        t, names = b.text, b.names
+        f = ["bias", f"own:{b.own}"]
+        f += [f"in:{x}" for x in b.tags if x not in ("html", "body")]
         bad, good = names & _BAD_NAMES, names & _GOOD_NAMES
+        bad_tag = not b.tags.isdisjoint(_BAD_TAGS)
         if "hidden!" in names:
             f.append("hidden")
         if bad:
             f += ["bad-name", *(f"name:{x}" for x in bad)]
         if good:
             f += ["good-name"] if not bad else ["good-and-bad-name"]
-        if any(x in _BAD_TAGS for x in tags):
+        if bad_tag:
             f.append("bad-tag")
+        clean = not bad and not bad_tag and "hidden!" not in names
         if seen_article:
-            f.append("in-article" if "article" in tags else "beside-article")
+            largest = bool(b.article) and articles[b.article] == top_article
+            f.append("in-article" if largest else "in-other-article" if b.article else "beside-article")
+            if clean and largest:
+                f.append("clean-in-article")
         elif seen_main:
-            f.append("in-main" if "main" in tags else "beside-main")
-        clean = not bad and not any(x in _BAD_TAGS for x in tags) and "hidden!" not in names
-        if clean and ("article" in tags or (not seen_article and "main" in tags)):
-            f.append("clean-in-article")
-        if clean and not seen_article and not seen_main:
+            f.append("in-main" if "main" in b.tags else "beside-main")
+            if clean and "main" in b.tags:
+                f.append("clean-in-article")
+        elif clean:
             f.append("clean-plain")
-        size = len(t)
-        f.append(f"size:{min(size.bit_length(), 10)}")
-        density = links / size
-        f.append("links:0" if not links else "links:some" if density < 0.3 else "links:half" if density < 0.8 else "links:all")
-        last = t[-1]
-        f.append("end:stop" if last in ".!?…\"”»" else "end:other")
-        if "©" in t or "(c)" in t.lower()[:40]:
+            f += [f"plain-box:{_bucket(size[b.box] / total)}", f"plain-outer:{_bucket(size[-1 - b.outer] / total)}"]
+            if size[b.box] == top_box:
+                f.append("plain-top-box")
+            if size[-1 - b.outer] == top_outer:
+                f.append("plain-top-outer")
+            f.append("plain-title:" + ("none" if title is None else "before" if k < title else "at" if k == title else "after" if k - title < 8 else "far"))
+        f.append(f"box:{_bucket(size[b.box] / total)}")
+        f.append("box-links:" + ("many" if linked[b.box] > size[b.box] else "few"))
+        f.append("box-blocks:" + ("short" if size[b.box] + linked[b.box] < 60 * number[b.box] else "long"))
+        f.append(f"size:{min(len(t).bit_length(), 10)}")
+        density = b.links / len(t)
+        f.append("links:0" if not b.links else "links:some" if density < 0.3 else "links:half" if density < 0.8 else "links:all")
+        f.append("before:" + (shapes[k - 1] if k else "none"))
+        f.append("behind:" + (shapes[k + 1] if k + 1 < n else "none"))
+        f.append("end:stop" if t[-1] in ".!?…\"”»" else "end:other")
+        if "©" in t or "(c)" in t[:40].lower():
             f.append("copyright")
         if k == 0:
             f.append("first")
         if k == n - 1:
             f.append("last")
-        if breaks:
+        if b.breaks:
             f.append("breaks")
         out.append(f)
     return out
@@ -343,14 +472,29 @@ def _sentence(r: random.Random, long: bool) -> str:
     return t.upper() + "!!" if kind < 0.1 else t + " &amp; ###" if kind < 0.2 else t if kind < 0.3 else t + "."
 
 
-def labelled_page(r: random.Random) -> str:
+LAYOUTS = ("article", "main", "div", "div-article", "section", "plain", "columns", "teasers", "list-comments")
+
+
+def labelled_page(r: random.Random, layouts: tuple[str, ...] = LAYOUTS) -> str:
     """A page in which the text of content blocks starts with a mark that ``labelled`` takes off again."""
     mark = "\u0001"
-    kind = r.choice(["article", "article", "article", "main", "div", "div-article", "section"])
+    kind = r.choice(layouts + ("article",) * (2 if "article" in layouts else 0))
     good = r.choice(["content", "post", "entry", "story", "article-body", "main-text", "post-content"])
     link = lambda: f'<a href="/x">{_words(r, r.randint(1, 3))}</a>'
     menu = lambda: "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(r.randint(2, 7))) + "</ul>"
     text = lambda: _sentence(r, r.random() < 0.5)
+    long = lambda: _sentence(r, True)
+
+    def odd() -> str:
+        """A name that tells nothing."""
+        return f' class="{r.choice("bcdwxz")}{r.randint(1, 99)}"' if r.random() < 0.5 else ""
+
+    def teaser() -> str:
+        inner = f"<h{r.randint(2, 4)}>{link()}</h3><p>{_words(r, r.randint(4, 14))}</p>" + (link() if r.random() < 0.5 else "")
+        return f"<article{odd()}>{inner}</article>" if kind != "columns" else f"<div{odd()}>{inner}</div>"
+
+    def comment() -> str:
+        return f"<li{odd()}><div>{link()} <span>{r.randint(1, 30)}.{r.randint(1, 12)}.</span></div><p>{text()}</p><div>{link()}</div></li>"
 
     def junk(inside: bool) -> str:
         c = r.choice
@@ -389,6 +533,9 @@ def labelled_page(r: random.Random) -> str:
         return f"<p>{mark}{_words(r, 3)} {link()} {text()}</p>"
 
     inside = [content() for _ in range(r.choice([1, 1, 2, 3, 5, 8, 12]))]
+    if kind in ("plain", "columns", "teasers", "list-comments"):  # what tells the main text there is how much of it there is
+        inside = [f"<p>{mark}{long()} {long()}</p>" for _ in range(r.randint(2, 4))] + inside
+        r.shuffle(inside)
     for _ in range(r.choice([0, 0, 0, 1, 2])):
         inside.insert(r.randint(0, len(inside)), junk(True))
     title = f"<h1>{mark}{_words(r, r.randint(1, 8))}</h1>" if r.random() < 0.85 else ""
@@ -401,6 +548,10 @@ def labelled_page(r: random.Random) -> str:
         "div": f'<div class="{good}">{inner}</div>',
         "div-article": f'<div id="page"><article class="{good}">{inner}</article></div>',
         "section": f'<section class="{good}">{inner}</section>',
+        "plain": f"<div{odd()}><div{odd()}>{inner}</div></div>",
+        "columns": f"<div{odd()}><div{odd()}>{inner}</div><div{odd()}>{''.join(r.choice([teaser, menu])() for _ in range(r.randint(1, 4)))}</div></div>",
+        "teasers": f"<article{odd()}>{inner}</article><section{odd()}>{''.join(teaser() for _ in range(r.randint(1, 5)))}</section>",
+        "list-comments": f"<article{odd()}>{inner}</article><h3>{_words(r, r.randint(1, 3))}</h3><ol{odd()}>{''.join(comment() for _ in range(r.randint(1, 6)))}</ol>",
     }[kind]
     head = []
     if r.random() < 0.8:
@@ -414,20 +565,19 @@ def labelled_page(r: random.Random) -> str:
     return f"<html><head><title>{_words(r, 3)}</title><style>p{{}}</style></head><body>{''.join(head)}{body}{''.join(tail)}<script>x()</script></body></html>"
 
 
-def labelled(count: int, seed: int) -> list[tuple[list[Block], list[int]]]:
+def labelled(count: int, seed: int, layouts: tuple[str, ...] = LAYOUTS) -> list[tuple[list[Block], list[int]]]:
     out = []
     for k in range(count):
-        page = blocks(labelled_page(random.Random(seed * 100_003 + k)))
-        y = [int(b[0].startswith("\u0001")) for b in page]
+        page = blocks(labelled_page(random.Random(seed * 100_003 + k), layouts))
         if page:
-            out.append(([(b[0].lstrip("\u0001") or "x", *b[1:]) for b in page], y))
+            out.append(([b._replace(text=b.text.lstrip("\u0001") or "x") for b in page], [int(b.text.startswith("\u0001")) for b in page]))
     return out
 
 
 @lru_cache(maxsize=4)
-def default_model(count: int = 500, seed: int = 7) -> Crf:
+def default_model(count: int = 900, seed: int = 7, layouts: tuple[str, ...] = LAYOUTS) -> Crf:
     """The model trained on ``count`` generated pages."""
-    return train([(features(p), y) for p, y in labelled(count, seed)])
+    return train([(features(p), y) for p, y in labelled(count, seed, layouts)])
 
 
 def main_text(page: str | None, model: Crf) -> str:
