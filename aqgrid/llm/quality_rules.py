@@ -60,14 +60,20 @@ def measures(text: Column) -> dict[str, Column]:
     return {"words": words, "lines": lines}
 
 
-def _repeat_words(words: str) -> Column:
-    """Words in 3-word windows found twice or more: sort the windows, keep neighbours that are equal, and sum what
-    their places cover. Windows are compared by a 64-bit hash within one document."""
-    sorted_windows = (
-        f"array_sort(transform(sequence(1, size({words}) - 2), "
-        f"i -> named_struct('h', xxhash64({words}[i - 1], {words}[i], {words}[i + 1]), 'i', i)))"
+def _repeats(d: DataFrame) -> DataFrame:
+    """Adds _places: where 3-word windows start that the text has twice or more; found by a 64-bit hash within one document.
+
+    The hashes alone are sorted first. Only a text in which two neighbours are equal has its windows sorted with their
+    places, too, and keeps those next to an equal one.
+    """
+    hashes = F.expr("CASE WHEN size(_words) >= 3 THEN transform(sequence(2, size(_words) - 1), i -> xxhash64(_words[i - 2], _words[i - 1], _words[i])) ELSE array() END")
+    d = d.withColumn("_hashes", hashes).withColumn("_sorted", F.sort_array("_hashes"))
+    d = d.withColumn("_twice", F.expr("exists(zip_with(slice(_sorted, 2, size(_sorted)), slice(_sorted, 1, greatest(size(_sorted) - 1, 0)), (a, b) -> a = b), x -> x)"))
+    d = d.withColumn("_win", F.expr("CASE WHEN _twice THEN array_sort(transform(_hashes, (h, i) -> named_struct('h', h, 'i', i))) END"))
+    kept = (
+        "filter(_win, (x, j) -> (j > 0 AND x.h = _win[greatest(j - 1, 0)].h) OR (j < size(_win) - 1 AND x.h = _win[least(j + 1, size(_win) - 1)].h))"
     )
-    return F.expr(f"CASE WHEN size({words}) >= 3 THEN {sorted_windows} END")
+    return d.withColumn("_places", F.expr(f"CASE WHEN _twice THEN sort_array(transform({kept}, x -> x.i)) ELSE array() END"))
 
 
 def quality_rules(
@@ -90,14 +96,7 @@ def quality_rules(
     m = measures(F.col("_text"))
     d = docs.select(id_col, *keep, text.alias("_text"))
     d = d.select("*", m["words"].alias("_words"), m["lines"].alias("_lines"))
-    d = d.select("*", _repeat_words("_words").alias("_win"))
-    d = d.withColumn(
-        "_places",
-        F.expr(
-            "CASE WHEN _win IS NULL THEN array() ELSE array_sort(transform(filter(_win, (x, j) -> "
-            "(j > 0 AND x.h = _win[greatest(j - 1, 0)].h) OR (j < size(_win) - 1 AND x.h = _win[least(j + 1, size(_win) - 1)].h)), x -> x.i)) END"
-        ),
-    )
+    d = _repeats(d)
     covered = (
         "CASE WHEN size(_places) = 0 THEN 0 ELSE 3 + aggregate(zip_with(slice(_places, 2, size(_places)), slice(_places, 1, size(_places) - 1), "
         "(b, a) -> least(b - a, 3)), 0L, (s, x) -> s + x) END"
