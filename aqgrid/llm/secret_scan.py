@@ -2,8 +2,8 @@
 
 A credential has up to three parts: an access identifier, a secret and an endpoint. Strong matches (assignments, access
 keys, long hexadecimal strings) are always reported. Weak candidates (user or client identifiers, random-looking
-strings, hosts and connection urls) are intervals of code points; an interval join within a scope (the lines around a
-weak candidate, at most ``scope`` code points away) links them, and a weak candidate is reported only if a complementary
+strings, hosts and connection urls) are intervals of code points; an interval join within a scope (``scope`` code points to
+either side of a weak candidate, across lines) links them, and a weak candidate is reported only if a complementary
 part, strong or weak, lies in its scope. Scopes never leave a document, so each task joins the sorted intervals of one
 document at a time and nothing is shuffled.
 
@@ -35,8 +35,6 @@ _ASSIGN_HINT = ("password", "passwd", "secret", "token", "apikey", "api_key")
 WEAK_ID = re.compile(r"""(?:client_?id|user_?name|user|login|account|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@_.-]{3,})""", re.I | re.A)
 WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
 WEAK_ENDPOINT = re.compile(r"""(?:(?:jdbc:)?[a-z][a-z0-9+]{2,15}://[^\s"'<>]{4,}|(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,}(?::[0-9]{1,5})?)""", re.I | re.A)
-_ID_HINT = ("id", "user", "login", "account")
-
 PART = {"assign": "secret", "hex": "secret", "key": "secret", "access": "id", "id": "id", "endpoint": "endpoint"}
 COMPLEMENT = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secret",)}
 

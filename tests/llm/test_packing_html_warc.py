@@ -63,6 +63,19 @@ def test_packing_of_odd_texts(make):
     assert packing.pack(make(["a", "a"], [1, None]), queries.tokenizer_path()).count() == 2
 
 
+def test_small_caches_and_steps_give_the_same_ids(monkeypatch):
+    import random
+
+    r = random.Random(4)
+    monkeypatch.setattr(packing, "STEP", 40)
+    encoder = packing.WordEncoder(queries.tokenizer_path(), generation=5)
+    pieces = ["don't", "WE'LL", "naïve", "x1y22", "###", "a_b", "<|endoftext|>", "<b>", "中文", "Ÿ", "é́", "\t", "\u2028", "''s", "½", "½ ", "ﬁ", "end."]
+    texts = ["", None, " ", "\n", *(r.choice([" ", "\n", ""]).join(r.choice(pieces) for _ in range(r.randrange(40))) for _ in range(300))]
+    for t, ids in zip(texts, whole_ids(texts), strict=True):
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == ids[:-1], t
+    assert len(encoder.parts) <= 5 and len(encoder.parts.old) <= 5
+
+
 def test_cuts_are_whole_and_fit_their_class():
     for n in range(1, 9000, 7):
         parts = packing.cut(n, 4096)
@@ -105,6 +118,35 @@ def test_held_out_layouts(model):
     assert right >= 0.95 * len(pages)
 
 
+@pytest.mark.parametrize("layout", html_extract.LAYOUTS)
+def test_layouts_that_training_never_saw(layout):
+    model = html_extract.default_model(900, 7, tuple(x for x in html_extract.LAYOUTS if x != layout))
+    hit = false = missed = 0
+    for page, y in html_extract.labelled(100, 99, (layout,)):
+        for got, want in zip(model.decode(html_extract.features(page)), y, strict=True):
+            hit, false, missed = hit + (got and want), false + (got and not want), missed + (want and not got)
+    assert 2 * hit / (2 * hit + false + missed) >= 0.96
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>x" * 60_000, "<x1><x2>" * 30_000 + "</x3>" * 30_000, "<i class=ad>" * 30_000 + "<b class=ad>" * 30_000 + "</i>" * 30_000, "<table><td>" * 20_000 + "</p>" * 50_000, "<a " * 100_000 + '"', "<p>" * 50_000 + "</div>" * 50_000],
+)
+def test_deep_and_broken_pages_take_linear_time(model, page):
+    import time
+
+    began = time.perf_counter()
+    html_extract.main_text(page + "<p>end", model)
+    assert time.perf_counter() - began < 15
+
+
+def test_repeated_pages_each_get_their_row(spark):
+    page = "<nav><a href=/>x</a></nav><article><h1>Title</h1><p>Some words, and more of them.</p></article>"
+    d = spark.createDataFrame([(1, "u", page, "x")] * 3 + [(2, "u", page, "y")], "page_id long, url string, html string, n_chars string")
+    got = html_extract.extract(d).collect()
+    assert sorted(r.page_id for r in got) == [1, 1, 1, 2] and {r.text for r in got} == {"Title\nSome words, and more of them."}
+
+
 def test_viterbi_is_the_best_labelling(model):
     import itertools
 
@@ -139,6 +181,11 @@ def test_gradient_is_right():
     assert np.allclose(p, want) and np.allclose(pair, want_pair)
 
 
+def test_unclosed_markup_keeps_the_text():
+    assert [b.text for b in html_extract.blocks("<p <b>one</b> two<p>three <a href='x>four")] == ["one two", "three <a href='x>four"]
+    assert html_extract._is_empty("a=/ b /") and not html_extract._is_empty("href=/a/") and not html_extract._is_empty("href= /") and html_extract._is_empty('href="a"/')
+
+
 def test_pages_of_the_table(spark, sf, model):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
@@ -179,6 +226,23 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.read_archive(warc.write_archive(pages.limit(0), str(tmp_path / "none"))).count() == 0
 
 
+def test_large_payloads_and_clashing_columns(spark, tmp_path):
+    rows = [(k, f"u{k}", chr(97 + k % 5) * (400_000 if k % 3 else 90), "x", "y") for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, payload string")
+    index = warc.write_archive(pages, str(tmp_path / "arc")).cache()
+    assert index.where("frame > 0").count() > 3
+    back = warc.read_archive(index, payloads=True)
+    assert back.rdd.getNumPartitions() == -(-index.selectExpr("bundle", f"frame DIV {warc.GROUP}").distinct().count() // warc.GROUPS_A_TASK)
+    got = {r.page_id: r for r in back.collect()}
+    last = {}
+    for k, _, h, *_ in rows:
+        last[h] = k
+    for k, u, h, *_ in rows:
+        revisit = len(h) >= 1000 and last[h] != k
+        assert (got[k].url, got[k].payload_bytes, got[k].record_type, got[k].refers_to) == (u, len(h), "revisit" if revisit else "response", last[h] if revisit else None)
+        assert got[k].payload == (None if revisit else h.encode())
+
+
 @pytest.mark.parametrize(
     ("page", "want"),
     [
@@ -244,3 +308,22 @@ def test_pipeline_stages(spark, documents, sf):
     assert decontamination.leaks(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).count() == 0
     out = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_pipeline_of_odd_tables(spark, documents, sf, tmp_path):
+    """Nulls in every column, empty texts, repeated rows and an empty table, through all stages."""
+    odd = [(None, None, None, None, None), (None, "", "en", None, 0), (5, None, "en", "web", 3), (7, "   ", None, None, None)]
+    docs = documents.limit(120).union(spark.createDataFrame(odd, documents.schema)).union(documents.limit(120))
+    for name, table in (("odd", docs), ("none", documents.limit(0))):
+        d = str(tmp_path / name)
+        table.write.parquet(f"{d}/documents.parquet")
+        spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{d}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, d)
+        rows = out.collect()
+        assert out.columns[:2] == ["doc_id", "start"]
+        if name == "none":
+            assert rows == []
+        else:
+            starts = [(r.doc_id, r.start) for r in rows if r.doc_id is not None]
+            assert len(starts) == len(set(starts)) > 0  # a repeated row is packed once
+            assert {r.doc_id for r in rows}.isdisjoint({5, 7, None} - {x.doc_id for x in documents.limit(120).collect()})

@@ -112,6 +112,25 @@ def test_weak_links_match_all_pairs(rows):
         assert secret_scan.linked(strong, weak, 200) == want
 
 
+def test_scan_end_to_end_matches_all_pairs(make):
+    """Every kind of part in random order, without any shortcut: all candidates against all."""
+    import random
+
+    r = random.Random(21)
+    parts = ["AKIA" + "A1B2" * 4, "aB3/" * 10, "deadbeef" * 2, "user=bob", "host: a.example", "s3://bucket/x", "token=abcdefghijkl", "word " * 30, "login : eve", "Zz9" * 14]
+    texts = [r.choice(["", ":", "="]) + "".join(r.choice(parts) + r.choice([" ", ",", "\n", " " * 150]) for _ in range(r.randrange(1, 9))) for _ in range(150)]
+    over = lambda x, y: x[0] < y[1] and y[0] < x[1]
+    got = {x.doc_id: [(s["start"], s["end"], s["kind"]) for s in x.spans] for x in secret_scan.scan_secrets(make([*texts, texts[0]], spans="x")).collect()}
+    for d, t in enumerate([*texts, texts[0]]):
+        strong, weak = secret_scan.base_spans(t), secret_scan.weak_spans(t)
+        part, comp = secret_scan.PART, secret_scan.COMPLEMENT
+        linked = [
+            w for w in weak
+            if not any(over(w, s) for s in strong) and any(part[o[2]] in comp[part[w[2]]] and not over(o, w) and o[0] <= w[1] + 200 and o[1] >= w[0] - 200 for o in strong + weak)
+        ]
+        assert got[d] == secret_scan.ordered(strong + linked), t
+
+
 def test_redaction(make):
     t = "x token = abcdefghijklmnop y"
     out = secret_scan.redact(make([t, None, "clean"])).orderBy("doc_id").collect()
@@ -140,6 +159,14 @@ def test_url_rules(spark, url, rule, verdict):
     assert (r.rule, r.verdict) == (rule, verdict)
 
 
+def test_odd_tables_of_urls(spark):
+    d = spark.createDataFrame([(1, "http://a.com/x", "v"), (1, "http://a.com/x", "v"), (None, None, None)], "page_id long, url string, verdict string")
+    rows = url_filter.filter_urls(d, queries.URL_RULES).collect()
+    assert sorted((r.page_id or 0, r.host, r.rule, r.verdict) for r in rows) == [(0, "", None, "allow"), (1, "a.com", "com/", "allow"), (1, "a.com", "com/", "allow")]
+    assert url_filter.filter_urls(d.limit(0), queries.URL_RULES).count() == 0
+    assert {(r.rule, r.verdict) for r in url_filter.filter_urls(d, [], default="block").collect()} == {(None, "block")}
+
+
 def test_trie_matches_every_rule_in_turn():
     import itertools
     import random
