@@ -110,19 +110,21 @@ def clip_lines(segments: DataFrame, cell: float = 30.0, half_open: bool = False)
 def clip_areas(edges: DataFrame, cell: float = 30.0) -> DataFrame:
     """Area of each polygon within each tile (feature_id, i, j, area), summed edge by edge.
 
-    An edge adds the signed integral of its height over the tile's lower side, clamped to the tile; edges above a tile
-    count, so each goes to the tiles of its columns from the polygon's lowest row up to its own highest.
+    In each column of tiles an edge adds the signed integral of its height over a tile's lower side, clamped to the tile. In
+    the rows that it crosses this is worked out; every row below gets one and the same amount, which is noted once, with the
+    lowest row crossed. Those notes are summed from the top and spread over the rows between them, so that the work follows
+    the border and the tiles covered, not the border times the height.
     """
-    low = edges.groupBy("feature_id").agg(F.min(F.least("y1", "y2")).alias("ymin"))
-    e = edges.where("x1 <> x2").join(low, "feature_id")
+    from pyspark.sql import Window
+
+    e = edges.where("x1 <> x2")
     xa, xb = F.least("x1", "x2"), F.greatest("x1", "x2")
     e = e.withColumn("j", F.explode(_cells(xa, xb, cell, False)))
-    e = e.withColumn("i", F.explode(_cells(F.col("ymin"), F.greatest("y1", "y2"), cell, False)))
-    left, right = F.greatest(xa, F.col("j") * cell), F.least(xb, (F.col("j") + 1) * cell)
+    e = e.withColumn("l", F.greatest(xa, F.col("j") * cell)).withColumn("r", F.least(xb, (F.col("j") + 1) * cell)).where("r > l")
     slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-    e = e.withColumn("l", left).withColumn("r", right).where("r > l")
     at = lambda x: F.col("y1") + slope * (x - F.col("x1"))
     e = e.withColumn("yl", at(F.col("l"))).withColumn("yr", at(F.col("r"))).withColumn("w", F.col("r") - F.col("l"))
+    e = e.select("feature_id", "j", "yl", "yr", "w", F.signum(F.col("x2") - F.col("x1")).alias("s"), _cells(F.least("yl", "yr"), F.greatest("yl", "yr"), cell, False).alias("rows"))
     base = F.col("i") * cell
 
     def positive(h: Column) -> Column:
@@ -132,8 +134,12 @@ def clip_areas(edges: DataFrame, cell: float = 30.0) -> DataFrame:
         top = F.greatest(a, b)
         return F.col("w") * both.otherwise(F.try_divide(top * top, 2 * (top - F.least(a, b))))
 
-    part = (positive(base) - positive(base + cell)) * F.signum(F.col("x2") - F.col("x1"))
-    return e.withColumn("p", part).groupBy("feature_id", "i", "j").agg(F.abs(F.sum("p")).alias("area")).where("area > 1e-9")
+    crossed = e.withColumn("i", F.explode("rows")).select("feature_id", "i", "j", ((positive(base) - positive(base + cell)) * F.col("s")).alias("p"))
+    notes = e.groupBy("feature_id", "j", F.col("rows")[0].alias("low")).agg(F.sum(F.col("s") * F.col("w") * cell).alias("d"))
+    down = Window.partitionBy("feature_id", "j").orderBy(F.desc("low"))
+    notes = notes.withColumn("p", F.sum("d").over(down)).withColumn("next", F.lead("low").over(down))
+    between = notes.where((F.abs("p") > 1e-7) & F.col("next").isNotNull()).select("feature_id", F.explode(F.sequence("next", F.col("low") - 1)).alias("i"), "j", "p")
+    return crossed.unionByName(between).groupBy("feature_id", "i", "j").agg(F.abs(F.sum("p")).alias("area")).where("area > 1e-9")
 
 
 def points_in_tiles(points: DataFrame, cell: float = 30.0) -> DataFrame:
