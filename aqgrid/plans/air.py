@@ -756,6 +756,15 @@ def t1(spark, d):
     return r6(out, "pm25")
 
 
+@query("t2_refresh_by_date", "SELECT event_id, CAST(ts AS DATE) AS date FROM events")
+def t2(spark, d):
+    """Events dealt to their dates by micro-batches, read back."""
+    base = _folder(spark, "refresh")
+    e = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/event[s].parquet")
+    streams.refresh_by_date(e.select("event_id", F.to_date("ts").alias("date")), f"{base}/out", f"{base}/state")
+    return spark.read.parquet(f"{base}/out").select("event_id", "date")
+
+
 # ---- further tables and checks
 
 
