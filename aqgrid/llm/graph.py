@@ -25,23 +25,34 @@ def components(edges: DataFrame) -> DataFrame:
     e = written(e, "edges")
     seen = _digest(e)
     while seen[0]:
-        old, e = e, written(_small_star(_large_star(e)), "edges")
-        discard(old)
+        old, star = e, _large_star(e)
+        e = _small_star(star)
+        discard(old, star)
         if (now := _digest(e)) == seen:
             break
         seen = now
     return nodes.join(e.withColumnsRenamed({"u": "node", "v": "component"}), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """The smallest neighbour of each node, written, so that the join with it finds plain exchanges and Spark may split a hot node."""
+    return written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     """Larger neighbours of a node are tied to the smallest node around it."""
     both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    least = _least(both)
+    out = both.where("v > u").join(least.select("u", F.least("u", "m").alias("m")), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    out = written(out.distinct(), "star")
+    discard(least)
+    return out
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
+    least = _least(e)
     tied = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return tied.union(least.select("u", F.col("m").alias("v"))).distinct()
+    out = written(tied.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    discard(least)
+    return out

@@ -13,8 +13,9 @@ within one chunk already, only as many entries travel to its bucket as show that
 they are dealt evenly, so that no task ever holds a popular list.
 
 Then within each group, whole texts at hand, with true inverted lists, the split of DivideSkip between merged and probed
-lists, and the exact test 100 |A n B| >= 75 |A u B|. A probe is a binary search for the candidate in the sorted list of a
-term. Documents already joined by a chain of links aren't compared again.
+lists, and the exact test 100 |A n B| >= 75 |A u B|. Short lists are merged by a heap (by one sort where they have more than
+``HEAP_ENTRIES`` entries together, with the same outcome); a probe is a binary search for the candidate in the sorted list of
+a term. A pair of different classes has an end outside the largest class, so only documents there need a search.
 
 Equal sets are one node throughout: copies collapse within a chunk before anything travels and by their digest after it.
 A group larger than ``GROUP_SHINGLES`` is searched in blocks, then by one representative of each block's classes, and at
@@ -29,6 +30,8 @@ table gives no rows; ties don't matter, as the class is named by its smallest id
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -49,6 +52,8 @@ MAX_FREQUENT = 1 << 16
 SHORT_LIST = 32
 #: Shingles of the documents that one task searches at once.
 GROUP_SHINGLES = 2_000_000
+#: Entries of merged lists up to which a heap merges them.
+HEAP_ENTRIES = 4096
 #: Text that one bucket of lists stands for.
 BUCKET_BYTES = 16 << 20
 _LAST = np.uint64(1) << np.uint64(63)
@@ -292,6 +297,19 @@ class Search:
     def terms(self, d: int) -> np.ndarray:
         return self.term[self.first[d] : self.first[d] + self.n[d]]
 
+    def merge(self, terms: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
+        """Documents that occur in at least ``least`` of the lists of some terms, and how often."""
+        count = self.until[terms] - self.begin[terms]
+        if int(count.sum()) <= HEAP_ENTRIES:
+            heap = heapq.merge(*[self.lists[a:b].tolist() for a, b in zip(self.begin[terms].tolist(), self.until[terms].tolist(), strict=True)])
+            for c, run in itertools.groupby(heap):
+                if (often := sum(1 for _ in run)) >= least:
+                    yield c, often
+            return
+        where = np.repeat(self.begin[terms] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        found, often = np.unique(self.lists[where], return_counts=True)
+        yield from zip(found[often >= least].tolist(), often[often >= least].tolist(), strict=True)
+
     def partners(self, q: int, wanted) -> Iterator[int]:
         """Documents that link with q, of those that ``wanted`` (asked once and again, as classes grow) lets pass."""
         n = int(self.n[q])
@@ -305,10 +323,7 @@ class Search:
         merged, rest = terms[order[: n - probed]], np.sort(terms[order[n - probed :]])
         if not len(merged):
             return
-        count = self.until[merged] - self.begin[merged]
-        where = np.repeat(self.begin[merged] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-        found, often = np.unique(self.lists[where], return_counts=True)  # the merge of sorted lists, as one sort
-        for c, have in zip(found[often >= need - probed].tolist(), often[often >= need - probed].tolist(), strict=True):
+        for c, have in self.merge(merged, need - probed):
             m = int(self.n[c])
             if c == q or 100 * min(n, m) < self.percent * max(n, m) or not wanted(c):
                 continue
@@ -321,8 +336,12 @@ class Search:
 
 
 class Forest:
+    """Classes, each named by its smallest member, and the largest of them."""
+
     def __init__(self, n: int):
         self.up = list(range(n))
+        self.size = [1] * n
+        self.largest = 0
 
     def root(self, x: int) -> int:
         while self.up[x] != x:
@@ -331,24 +350,45 @@ class Forest:
         return x
 
     def join(self, x: int, y: int) -> None:
-        x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
+        x, y = sorted((self.root(x), self.root(y)))
+        if x != y:
+            self.up[y] = x
+            self.size[x] += self.size[y]
+        if self.size[x] > self.size[self.root(self.largest)]:
+            self.largest = x
 
 
 def search_group(ids: list[int], texts: list[bytes], k: int, percent: int, query: list[bool] | None = None, classes: list[int] | None = None) -> list[tuple[int, int]]:
-    """Links (id, id) that join the classes of some documents; with ``query``, only the marked documents are searched for."""
+    """Links (id, id) that join the classes of some documents; with ``query``, only the marked documents are searched for,
+    else those outside the largest class until there is none left."""
     search, forest = Search(texts, k, percent), Forest(len(ids))
     if classes is not None:
         first: dict[int, int] = {}
         for j, c in enumerate(classes):
             forest.join(j, first.setdefault(c, j))
-    out = []
-    for q in range(len(ids)):
-        if query is not None and not query[q]:
-            continue
-        for c in search.partners(q, lambda c, q=q: (query is not None or c < q) and forest.root(c) != forest.root(q)):
+    out: list[tuple[int, int]] = []
+
+    def ask(q: int) -> None:
+        for c in search.partners(q, lambda c: forest.root(c) != forest.root(q)):
             forest.join(c, q)
             out.append((ids[q], ids[c]))
+
+    if query is not None:
+        for q in range(len(ids)):
+            if query[q]:
+                ask(q)
+        return out
+    waiting = list(range(len(ids)))
+    while waiting:
+        later = []
+        for q in waiting:
+            if forest.size[forest.root(q)] > 1 and forest.root(q) == forest.root(forest.largest):
+                later.append(q)  # all others may come to it instead
+            else:
+                ask(q)
+        if len(later) == len(waiting):
+            break
+        waiting = [q for q in later if forest.root(q) != forest.root(forest.largest)]
     return out
 
 

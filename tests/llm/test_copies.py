@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 
 import pytest
@@ -142,7 +143,8 @@ def test_ngram_join_of_odd_rows(make):
 def test_search_with_any_split_finds_the_same(monkeypatch, seed):
     rows = {d: t for d, t in near_copies(seed).items() if t}
     texts = [t.encode() for t in rows.values()]
-    for probed in (0, 1, 5, 10**6):
+    for probed, entries in itertools.product((0, 1, 5, 10**6), (0, 10**9)):  # merged by sorts alone, and by heaps alone
+        monkeypatch.setattr(ngram_join, "HEAP_ENTRIES", entries)
         monkeypatch.setattr(ngram_join, "divide_skip", lambda n, longest, need, p=probed: max(0, min(need - 1, p)))
         s = ngram_join.Search(texts, 5, 75)
         got = {(q, c) for q in range(len(texts)) for c in s.partners(q, lambda c: True)}
@@ -151,6 +153,24 @@ def test_search_with_any_split_finds_the_same(monkeypatch, seed):
         assert got == want
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_asking_outside_the_largest_class_finds_all_classes(seed):
+    rows = {d: t for d, t in near_copies(seed, 90).items() if t}
+    texts, ids = [t.encode() for t in rows.values()], list(rows)
+    forest = {d: d for d in ids}
+
+    def root(x):
+        while forest[x] != x:
+            x = forest[x]
+        return x
+
+    for a, b in ngram_join.search_group(ids, texts, 5, 75):
+        x, y = sorted((root(a), root(b)))
+        assert x != y  # each link joins two classes
+        forest[y] = x
+    assert {d: root(d) for d in ids} == {d: c for d, (_, c) in plain_classes(rows).items()}
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1040)] + [(5, 5)]
