@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aqgrid.llm.common import discard, written
 
 
-def _digest(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(r)
+def _stored(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges, written, with their number and the sum of their hashes, which Spark observes while it writes."""
+    seen = Observation()
+    hashes = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    out = written(edges.observe(seen, F.count(F.lit(1)).alias("n"), hashes.alias("hash")), "edges")
+    return out, seen.get
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,15 +25,13 @@ def components(edges: DataFrame) -> DataFrame:
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b"))).distinct()
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = written(e, "edges")
-    seen = _digest(e)
-    while seen[0]:
-        old, star = e, _large_star(e)
-        e = _small_star(star)
-        discard(old, star)
-        if (now := _digest(e)) == seen:
+    e, seen = _stored(e)
+    while seen.get("n"):
+        old, star, before = e, _large_star(e), seen
+        e, seen = _stored(_small_star(star, least := _least(star)))
+        discard(old, star, least)
+        if seen == before:
             break
-        seen = now
     return nodes.join(e.withColumnsRenamed({"u": "node", "v": "component"}), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
@@ -49,10 +50,7 @@ def _large_star(e: DataFrame) -> DataFrame:
     return out
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, least: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
-    least = _least(e)
     tied = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    out = written(tied.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-    discard(least)
-    return out
+    return tied.union(least.select("u", F.col("m").alias("v"))).distinct()
