@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aqgrid.llm import decontamination, html_extract, language_id, ngram_join, packing, quality_rules, secret_scan, substring_dedup, url_filter, warc
+from aqgrid.llm import decontamination, html_extract, language_id, ngram_join, packing, quality_rules, secret_scan, substring_dedup, turn_repair, url_filter, warc
 from aqgrid.llm.url_filter import UrlRule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~language_id.training_rows(out)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.report(turn_repair.damage(table(spark, sf_dir, "conversations")), present="here")
+
+
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
 OP1_SQL = rf"""
@@ -161,6 +165,57 @@ j AS (
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM j
 """
 
+def crc32_sql(text: str) -> str:
+    """CRC-32 (polynomial 0xEDB88320, bits reversed) of an ASCII text, bit by bit."""
+    byte = "list_reduce([xor(a & 255, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda z: ord(z)::BIGINT), lambda a, b: xor(a >> 8, {byte})), 4294967295)"
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS how
+  FROM conversations),
+e AS (
+  SELECT conv_id, turn, CASE how WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE how WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM d WHERE how <> 0),
+f AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS ini, left(lag(role) OVER w, 1) AS before,
+    NOT regexp_matches(text, '[^ 	-]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+    NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut
+  FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+g AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (seen AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT seen AND NOT blank) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id),
+ins(p, k, q) AS (VALUES ('0', 0, '0'), ('0', 1, 'u'), ('0', 2, 'a'), ('s', 0, 's'), ('s', 1, 'u'), ('s', 2, 'a'), ('u', 0, 'u'), ('u', 1, 'a'), ('a', 0, 'a'), ('a', 1, 'u')),
+due(q, role) AS (VALUES ('0', 'user'), ('s', 'user'), ('a', 'user'), ('u', 'assistant')),
+more AS (SELECT p, k, ins.q, repeat('I', k) AS letters, CASE k WHEN 0 THEN [] WHEN 1 THEN [role || ':'] ELSE ['user:', 'assistant:'] END AS lines FROM ins JOIN due ON due.q = p),
+best AS (
+  SELECT conv_id, 0::BIGINT AS i, '0' AS p, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, p, least.cost, least.audit, least.lines FROM (
+    SELECT conv_id, i, p, min({{'cost': cost, 'audit': audit, 'lines': lines}}) AS least FROM (
+      SELECT b.conv_id, f.i, b.cost + 2 * m.k + o.cost AS cost, b.audit || m.letters || o.letter AS audit, o.p,
+        b.lines || m.lines || CASE o.letter WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text] ELSE [u.role || ':' || f.text] END AS lines
+      FROM best b JOIN more m ON m.p = b.p JOIN due u ON u.q = m.q JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1,
+        LATERAL (SELECT unnest([
+          {{'letter': 'D', 'cost': 3, 'p': m.q, 'ok': true}},
+          {{'letter': 'K', 'cost': f.cut::INT, 'p': f.ini, 'ok': NOT (f.blank OR f.seen) AND (f.ini = left(u.role, 1) OR f.ini = 's' AND m.q = '0')}},
+          {{'letter': 'R', 'cost': 2 + f.cut::INT, 'p': left(u.role, 1), 'ok': NOT (f.blank OR f.seen)}}]) AS o) x
+      WHERE o.ok) GROUP BY conv_id, i, p)),
+z AS (
+  SELECT conv_id, min({{'cost': b.cost + 2 * m.k, 'audit': b.audit || m.letters, 'lines': b.lines || m.lines}}) AS least
+  FROM best b LEFT JOIN g USING (conv_id) JOIN more m ON m.p = b.p AND m.q IN ('0', 'a') WHERE b.i = coalesce(g.n, 0) GROUP BY conv_id)
+SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  least.cost AS cost, least.audit AS audit, sha256(coalesce(array_to_string(least.lines, chr(10)), '')) AS repaired_sha256
+FROM z LEFT JOIN g USING (conv_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
@@ -172,6 +227,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op11_turn_repair": op11_turn_repair,
 }
 ORACLES: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
@@ -179,4 +235,5 @@ ORACLES: dict[str, str] = {
     "op5_substring_dedup": OP5_SQL,
     "op6_ngram_join": OP6_SQL,
     "op10_warc": OP10_SQL,
+    "op11_turn_repair": OP11_SQL,
 }
