@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aqgrid.llm import decontamination, html_extract, language_id, ngram_join, packing, quality_rules, secret_scan, substring_dedup, turn_repair, url_filter, warc
+from aqgrid.llm import decontamination, html_extract, language_id, ngram_join, packing, prefix_trie, quality_rules, secret_scan, substring_dedup, turn_repair, url_filter, warc
 from aqgrid.llm.url_filter import UrlRule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,10 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.report(turn_repair.damage(table(spark, sf_dir, "conversations")), present="here")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuild(prefix_trie.places(table(spark, sf_dir, "conversations"))))
+
+
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
 OP1_SQL = rf"""
@@ -183,9 +187,11 @@ e AS (
   FROM d WHERE how <> 0),
 f AS (
   SELECT *, row_number() OVER w AS i, left(role, 1) AS ini, left(lag(role) OVER w, 1) AS before,
-    NOT regexp_matches(text, '[^ 	-]') AS blank,
+    NOT regexp_matches(text, '[^ 	-
+]') AS blank,
     row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
-    NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut
+    NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS cut
   FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
 g AS (
   SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
@@ -216,6 +222,33 @@ SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM z LEFT JOIN g USING (conv_id)
 """
 
+OP13_SQL = rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, c - c % 100 AS base, {crc32_sql("CAST(c AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+b AS (
+  SELECT h.c, 0 AS part, i, role, text FROM h JOIN t ON t.c = h.base AND i <= h
+  UNION ALL SELECT h.c, 1, i, role, text FROM h JOIN t ON t.c = h.c AND i > h),
+s AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d, len(role) || ':' || role || text AS turn, len(text) AS chars FROM b),
+l AS (SELECT h.c, count(d) AS len FROM h LEFT JOIN s USING (c) GROUP BY h.c),
+p AS (
+  SELECT c, 0::BIGINT AS d, '' AS k, 0::BIGINT AS chars FROM h
+  UNION ALL SELECT c, d, sha256(string_agg(len(turn) || ',' || turn, '' ORDER BY d) OVER (PARTITION BY c ORDER BY d)), chars FROM s),
+n AS (SELECT k, min(c) AS c, any_value(d) AS d, any_value(chars) AS chars, count(*) AS n FROM p GROUP BY k),
+e AS (SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM p JOIN l USING (c) WHERE d = len GROUP BY k),
+q AS (SELECT n.*, m.c AS parent FROM n LEFT JOIN p ON p.c = n.c AND p.d = n.d - 1 LEFT JOIN n m ON m.k = p.k),
+kids AS (SELECT parent AS c, d - 1 AS d, count(*) AS kids FROM q WHERE parent IS NOT NULL GROUP BY ALL),
+v AS (SELECT q.*, coalesce(kids, 0) AS kids FROM q LEFT JOIN kids USING (c, d)),
+sub AS (
+  SELECT p.k, count(*) FILTER (v.kids = 0) AS leaves, sum((v.n - 1) * v.chars) AS saved
+  FROM v JOIN p ON p.c = v.c AND p.d <= v.d GROUP BY p.k)
+SELECT v.c AS conv_id, v.d AS depth, v.parent AS parent_conv_id, v.n AS n_convs, CAST(v.kids AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM v JOIN sub USING (k) LEFT JOIN e USING (k)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
@@ -228,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
     "op11_turn_repair": op11_turn_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
@@ -236,4 +270,5 @@ ORACLES: dict[str, str] = {
     "op6_ngram_join": OP6_SQL,
     "op10_warc": OP10_SQL,
     "op11_turn_repair": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
