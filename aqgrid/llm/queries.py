@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aqgrid.llm import decontamination, html_extract, language_id, ngram_join, packing, prefix_trie, quality_rules, secret_scan, substring_dedup, turn_repair, url_filter, warc
+from aqgrid.llm import decontamination, html_extract, language_id, ngram_join, packing, prefix_hashes, prefix_trie, quality_rules, secret_scan, substring_dedup, turn_repair, url_filter, warc
 from aqgrid.llm.url_filter import UrlRule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,10 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.report(turn_repair.damage(table(spark, sf_dir, "conversations")), present="here")
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_hashes.neighbours(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.rebuild(prefix_trie.places(table(spark, sf_dir, "conversations"))))
 
@@ -261,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
     "op11_turn_repair": op11_turn_repair,
+    "op12_fingerprints": op12_fingerprints,
     "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
