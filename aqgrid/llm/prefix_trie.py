@@ -49,7 +49,10 @@ def places(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn",
 
 def rebuild(turns: DataFrame) -> DataFrame:
     """Conversations of ``places`` rebuilt: conversation c takes the first h turns of conversation c - c % 100, then its own
-    after its first h, h being the CRC-32 of c modulo 6. One more row a conversation, at place 0 and without a digest."""
+    after its first h, h being the CRC-32 of c modulo 6. One more row a conversation, at place 0 and without a digest.
+
+    The narrow rows are written first, as they are read for three ends."""
+    turns = written(turns, "trie-places")
     heads = (F.crc32(F.col("conv_id").cast("string")) % 6).alias("h")
     own = turns.where(F.col("place") > heads)
     every = turns.where("place = 1").select("conv_id", heads, (F.col("conv_id") - F.col("conv_id") % 100).alias("base"))
@@ -59,6 +62,15 @@ def rebuild(turns: DataFrame) -> DataFrame:
     return own.unionByName(taken).unionByName(mark)
 
 
+def _together(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt so that those of equal keys share a task.
+
+    Dealt by a hash of the keys: where the rows are a union of parts that already lie by the plain keys, Spark would take out
+    the exchange and then merge the parts' small partitions unevenly, so that equal keys would come apart.
+    """
+    return rows.repartition(F.xxhash64(*keys))
+
+
 PATH = "conv_id long, depth long, k1 long, k2 long, p1 long, p2 long, chars long, ends boolean"
 
 
@@ -87,7 +99,7 @@ def paths(turns: DataFrame) -> DataFrame:
         if held is not None:
             yield pack([(*held, True)])
 
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "place").select("conv_id", "d1", "d2", "chars").mapInArrow(run, PATH)
+    return _together(turns, "conv_id").sortWithinPartitions("conv_id", "place").select("conv_id", "d1", "d2", "chars").mapInArrow(run, PATH)
 
 
 def ends(path: DataFrame) -> DataFrame:
@@ -112,7 +124,7 @@ def ends(path: DataFrame) -> DataFrame:
             yield pack([(*now, sha.hexdigest())])
 
     d = path.where("ends").select("k1", "k2", "conv_id")
-    return d.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "conv_id").mapInArrow(run, "k1 long, k2 long, ends_sha256 string")
+    return _together(d, "k1", "k2").sortWithinPartitions("k1", "k2", "conv_id").mapInArrow(run, "k1 long, k2 long, ends_sha256 string")
 
 
 def forest_arrays(parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +219,7 @@ def _finish(rows: DataFrame, names: list[str]) -> DataFrame:
             yield solve(pa.Table.from_batches(held))
 
     d = rows.select("tconv", "tdepth", "conv", "depth", "pconv", *names, *(f"sum_{v}" for v in names))
-    d = d.repartition("tconv", "tdepth").sortWithinPartitions("tconv", "tdepth", "depth", "conv")
+    d = _together(d, "tconv", "tdepth").sortWithinPartitions("tconv", "tdepth", "depth", "conv")
     return d.mapInArrow(run, "conv long, depth long, " + ", ".join(f"{v} long" for v in names))
 
 

@@ -79,13 +79,18 @@ def test_trie_of_odd_rows(spark):
     assert collected(prefix_trie.prefix_trie(df.where("false"))) == []
 
 
-def test_rebuilt_conversations(spark, tmp_path):
-    """Bases present and absent, shorter than their heads, ids without turns of their own left."""
+@pytest.mark.parametrize("merged", ["1k", "64m"])
+def test_rebuilt_conversations(spark, tmp_path, merged):
+    """Bases present and absent, shorter than their heads, ids without turns of their own left; Spark merges small partitions."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", merged)
     r = random.Random(4)
     rows = [(c, t, "user", r.choice("ab")) for c in [*range(0, 40), *range(200, 230), 351, 352, 399, 1000] for t in range(r.randrange(1, 9) if c else 3)]
     rows += [(500, 1, "user", "only")] + [(c, 1, "user", "own") for c in range(501, 512)]
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
-    assert collected(op13_prefix_trie(spark, str(tmp_path))) == plain_trie(rows, True)
+    try:
+        assert collected(op13_prefix_trie(spark, str(tmp_path))) == plain_trie(rows, True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
 def test_query_against_plain(spark, sf):
@@ -93,6 +98,14 @@ def test_query_against_plain(spark, sf):
     assert collected(op13_prefix_trie(spark, sf)) == plain_trie(rows, True)
 
 
+def test_larger_table_by_paths(spark, tmp_path):
+    """Twenty thousand conversations, enough for Spark to merge partitions as it likes: one node a member and depth."""
+    d = spark.range(20_000).selectExpr("id AS conv_id", "explode(sequence(0, cast(id % 7 AS int))) AS t").selectExpr("conv_id", "cast(t AS long) AS turn", "'user' AS role", "concat('w', (conv_id * 7 + t) % 5) AS text")
+    path = prefix_trie.paths(prefix_trie.rebuild(prefix_trie.places(d)))
+    assert path.groupBy("conv_id", "depth").count().where("count > 1").count() == 0
+    assert path.where("depth = 0").count() == path.where("ends").count() == 20_000
+
+
 @pytest.mark.parametrize("reach", [1, 4, 10**6])
 def test_decomposition_halves(reach):
     """Sums as plain ones, in no more rounds than the logarithm of the largest component."""
