@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqgrid.functions.columns import confidence, dust_indices, industrial_raw
+from aqgrid.operators import order
+from aqgrid.operators.quantiles import exact_quantiles
 
 
 def tiles(spark, nx: int, ny: int, cell: float = 30.0) -> DataFrame:
@@ -75,11 +77,12 @@ def inside(points: DataFrame, edges: DataFrame, *, key: str = "id", band: float
 
 
 def dense_ids(grid: DataFrame) -> DataFrame:
-    """``grid_id`` from 0, row by row: a running count over the rows of the grid, then a number within each row."""
+    """``grid_id`` from 0, row by row: a running count over the rows of the grid, by ranges of rows, then a number within each
+    row."""
     from pyspark.sql import Window
 
     per_row = grid.groupBy("iy").agg(F.count("*").alias("n"))
-    start = per_row.select("iy", (F.sum("n").over(Window.orderBy("iy")) - F.col("n")).alias("start"))
+    start = order.running_sum(per_row, "iy", "n").select("iy", (F.col("running") - F.col("n")).alias("start"))
     within = F.row_number().over(Window.partitionBy("iy").orderBy("ix"))
     return grid.join(start, "iy").select((F.col("start") + within - 1).alias("grid_id"), "ix", "iy", "x", "y")
 
@@ -89,12 +92,24 @@ def _cells(lo: Column, hi: Column, cell: float, closed: bool) -> Column:
     return F.sequence(first.cast("int"), F.floor(hi / cell).cast("int"))
 
 
+def line_cells(segments: DataFrame, cell: float = 30.0, half_open: bool = False) -> DataFrame:
+    """Segments with the tiles (i, j) that they may meet: in each column of tiles the rows between where the line enters and
+    leaves it, a hair wider for rounding."""
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    low, high = F.least(y1, y2), F.greatest(y1, y2)
+    s = segments.withColumn("j", F.explode(_cells(F.least(x1, x2), F.greatest(x1, x2), cell, not half_open)))
+    slope, hair = F.try_divide(y2 - y1, x2 - x1), 1e-9 * (high - low) + 1e-9
+    within = lambda x: F.greatest(F.least(x1, x2), F.least(F.greatest(x1, x2), x))
+    a, b = (y1 + slope * (within(x) - x1) for x in (F.col("j") * cell, (F.col("j") + 1) * cell))
+    enter, leave = F.greatest(low, F.coalesce(F.least(a, b) - hair, low)), F.least(high, F.coalesce(F.greatest(a, b) + hair, high))
+    return s.withColumn("i", F.explode(_cells(enter, leave, cell, not half_open)))
+
+
 def clip_lines(segments: DataFrame, cell: float = 30.0, half_open: bool = False) -> DataFrame:
     """Length of each segment within each tile, by Liang-Barsky; tiles are closed, so a segment on a shared edge counts in
     both, or half open."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    s = segments.withColumn("j", F.explode(_cells(F.least(x1, x2), F.greatest(x1, x2), cell, not half_open)))
-    s = s.withColumn("i", F.explode(_cells(F.least(y1, y2), F.greatest(y1, y2), cell, not half_open)))
+    s = line_cells(segments, cell, half_open)
     near, far, out = [F.lit(0.0)], [F.lit(1.0)], F.lit(False)
     for a, d, lo in ((x1, x2 - x1, F.col("j") * cell), (y1, y2 - y1, F.col("i") * cell)):
         t1, t2 = F.try_divide(lo - a, d), F.try_divide(lo + cell - a, d)
@@ -191,13 +206,12 @@ def industrial(grid: DataFrame, areas: DataFrame, points: DataFrame, lines: Data
     return capped_index(d, "industrial_index_raw", "industrial_index_combined").withColumn("industrial_confidence", sure)
 
 
-def capped_index(df: DataFrame, raw: str, name: str, approximate: bool = False) -> DataFrame:
-    """0..100 by the 99th percentile; where that is not positive, by the maximum, or by 1."""
-    p = F.percentile_approx(raw, 0.99) if approximate else F.percentile(raw, 0.99)
-    top = df.agg(p.alias("p99"), F.max(raw).alias("top"))
-    top = top.select(F.when(F.col("p99") > 0, F.col("p99")).when(F.col("top") > 0, F.col("top")).otherwise(1.0).alias("_cap"))
-    value = F.greatest(F.lit(0.0), F.least(F.lit(100.0), 100 * F.col(raw) / F.col("_cap")))
-    return df.crossJoin(F.broadcast(top)).withColumn(name, value).drop("_cap")
+def capped_index(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """0..100 by the 99th percentile; where that is not positive, by the maximum, or by 1. Both are found by selection over
+    the whole column, in passes over a narrow table of it."""
+    found = exact_quantiles(df, raw, (0.99, 1.0)).first()
+    cap = next((float(q) for q in (found["q"] if found else ()) if q > 0), 1.0)
+    return df.withColumn(name, F.greatest(F.lit(0.0), F.least(F.lit(100.0), 100 * F.col(raw) / F.lit(cap))))
 
 
 def ring_flags(rings: DataFrame) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aqgrid.functions.columns import is_canyon, morphology
+from aqgrid.operators import order as ordering
 from aqgrid.operators.landuse import inside
+from aqgrid.operators.quantiles import exact_quantiles
 
 
 @dataclass(frozen=True)
@@ -71,11 +73,13 @@ def missing_dates(df: DataFrame, expected: DataFrame, severity: str = "error") -
 
 
 def date_order(df: DataFrame, order: str, date: str = "date", groups: tuple[str, ...] = ()) -> DataFrame:
-    """One row: how many dates are earlier than the one before them in ``order`` (within ``groups``, which deal the work)."""
-    from pyspark.sql import Window
-
-    before = F.lag(date).over(Window.partitionBy(*groups).orderBy(order))
-    falls = df.select((F.col(date) < before).alias("falls")).agg(F.count_if("falls").alias("n"))
+    """One row: how many dates are earlier than the one before them in ``order`` (within ``groups``, which then deal the work;
+    without them ranges of the order do, each taking over the last row of the range before it)."""
+    if groups:
+        rows = df.withColumn("before", F.struct(F.lag(date).over(Window.partitionBy(*groups).orderBy(order)).alias(date)))
+    else:
+        rows = ordering.with_before(df, order, (date,))
+    falls = rows.select((F.col(date) < F.col("before")[date]).alias("falls")).agg(F.count_if("falls").alias("n"))
     return falls.select(F.inline(F.array(_row("date_order", "table", "warning", F.col("n") == 0, F.col("n"), 0))))
 
 
@@ -136,7 +140,7 @@ def weather_report(df: DataFrame, expected: DataFrame, order: str, groups: tuple
     return out.unionByName(date_order(df, order, groups=groups)).unionByName(missing_dates(df, expected, "warning"))
 
 
-#: Smallest and largest area of a tile of 30 m.
+# Smallest and largest area of a tile of 30 m.
 TILE_AREA = (700, 1100)
 
 
@@ -155,21 +159,23 @@ def compare_dates(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Size, extremes, moments and percentiles of a column in one aggregate."""
-    return _described(df.groupBy(), column)
+    """Size, extremes, moments and exact percentiles of a column."""
+    return _described(df, column)
 
 
 def describe_by_morphology(df: DataFrame, column: str = "pm25", svf: str = "svf") -> DataFrame:
     """``describe`` for each morphology class of the sky view; rows outside every class are left out."""
-    return _described(df.withColumn("morphology", morphology(F.col(svf))).where("morphology IS NOT NULL").groupBy("morphology"), column, "morphology")
+    return _described(df.withColumn("morphology", morphology(F.col(svf))).where("morphology IS NOT NULL"), column, "morphology")
 
 
-def _described(groups: GroupedData, column: str, *keys: str) -> DataFrame:
+def _described(df: DataFrame, column: str, key: str | None = None) -> DataFrame:
+    """Moments in one aggregate of partial sums, percentiles by selection over the whole column; both have a row a group."""
     ps = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
-    c = F.col(column)
-    return groups.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.stddev_pop(c).alias("std_pop"), F.percentile(c, F.array(*map(F.lit, ps))).alias("p")).select(
-        *keys, "n", "min", "max", "mean", "std", "std_pop", *[F.col("p")[k].alias(f"p{round(100 * q)}") for k, q in enumerate(ps)]
-    )
+    c, keys = F.col(column), [key] if key else []
+    moments = df.groupBy(*keys).agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.stddev_pop(c).alias("std_pop"))
+    quantiles = exact_quantiles(df, column, ps, keys)
+    out = moments.join(F.broadcast(quantiles), keys, "left") if key else moments.join(F.broadcast(quantiles), how="left")
+    return out.select(*keys, "n", "min", "max", "mean", "std", "std_pop", *[F.col("q")[k].alias(f"p{round(100 * q)}") for k, q in enumerate(ps)])
 
 
 def canyon_share(cells: DataFrame, svf: str = "svf") -> DataFrame:
@@ -196,10 +202,9 @@ def uniqueness(df: DataFrame, column: str) -> DataFrame:
 
 def month_parity(series: DataFrame, tolerance: float = 1e-6) -> DataFrame:
     """Each date of a month against the month's first: cells compared, values that differ, masks that differ."""
-    from pyspark.sql import Window
-
-    m = F.trunc("date", "MM")
-    d = series.select("grid_id", "date", "value", m.alias("month")).withColumn("first", F.min("date").over(Window.partitionBy("month")))
+    d = series.select("grid_id", "date", "value", F.trunc("date", "MM").alias("month"))
+    first = d.groupBy("month").agg(F.min("date").alias("first"))  # a row a month
+    d = d.join(first, "month")
     ref = d.where("date = first").select("month", "grid_id", F.col("value").alias("ref"))
     both = d.where("date > first").join(ref, ["month", "grid_id"])
     return both.groupBy("date").agg(
@@ -215,10 +220,9 @@ def year_coverage(dates: DataFrame, mapped: DataFrame) -> DataFrame:
 
 def grid_spacing(grid: DataFrame, column: str) -> DataFrame:
     """Median step between neighbouring distinct coordinates."""
-    from pyspark.sql import Window
-
-    d = grid.select(F.col(column).alias("v")).distinct()
-    return d.select((F.col("v") - F.lag("v").over(Window.orderBy("v"))).alias("step")).agg(F.median("step").alias("spacing"))
+    steps = ordering.distinct_before(grid, column).select((F.col("value") - F.col("before")).alias("step"))
+    found = exact_quantiles(steps, "step", (0.5,)).first()
+    return grid.sparkSession.createDataFrame([(found["q"][0] if found else None,)], "spacing double")
 
 
 # Ranges of the feature table by column name or prefix.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqgrid.functions.columns import accepted_pm25, haversine_km
+from aqgrid.sources.scratch import written
 
 
 def daily_mean(measurements: DataFrame) -> DataFrame:
@@ -46,19 +47,23 @@ def neighbours(targets: DataFrame, valid: DataFrame, max_km: float) -> DataFrame
     """Pairs of a target and another sensor with a value on the same date, at most ``max_km`` apart.
 
     Buckets are bands of latitude at least ``max_km`` high, cut by longitude so that each is at least as wide at its own
-    and its neighbouring bands' highest latitude; a target looks into the 3 x 3 around its own. Beyond 89 degrees a band is one
-    bucket. Pairs across the 180th meridian aren't found.
+    and its neighbouring bands' highest latitude; a target looks into the 3 x 3 around its own. The buckets of a band close to
+    a circle, so that pairs across the 180th meridian meet. Beyond 89 degrees a band is one bucket.
     """
     dy = max_km / 110.0
 
-    def width(band: Column) -> Column:
+    def slices(band: Column) -> Column:
         top = F.greatest(F.abs(band - 1), F.abs(band + 2)) * dy
-        return F.when(top < 89, dy / F.cos(F.radians(F.least(top, F.lit(89.0))))).otherwise(720.0)
+        wide = dy / F.cos(F.radians(F.least(top, F.lit(89.0))))
+        return F.when(top < 89, F.greatest(F.floor(360 / wide), F.lit(1))).otherwise(1)
 
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    t = targets.where("latitude IS NOT NULL AND longitude IS NOT NULL").withColumn("o", F.explode(around))
-    t = t.withColumn("by", F.floor(F.col("latitude") / dy) + F.col("o.i"))
-    t = t.select("date", "sensor_id", "latitude", "longitude", "by", (F.floor(F.col("longitude") / width(F.col("by"))) + F.col("o.j")).alias("bx"))
+    def slice_of(longitude: str, n: Column) -> Column:
+        return F.pmod(F.floor((F.col(longitude) + 180) / 360 * n), n)
+
+    bands = F.explode(F.array(*[F.floor(F.col("latitude") / dy) + i for i in (-1, 0, 1)]))
+    t = targets.where("latitude IS NOT NULL AND longitude IS NOT NULL").withColumn("by", bands)
+    n, own = slices(F.col("by")), slice_of("longitude", slices(F.col("by")))
+    t = t.select("date", "sensor_id", "latitude", "longitude", "by", F.explode(F.array_distinct(F.array(*[F.pmod(own + j, n) for j in (-1, 0, 1)]))).alias("bx"))
     v = valid.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
         "date",
         F.col("sensor_id").alias("other"),
@@ -66,7 +71,7 @@ def neighbours(targets: DataFrame, valid: DataFrame, max_km: float) -> DataFrame
         F.col("longitude").alias("olon"),
         F.col("pm25").alias("opm"),
         F.floor(F.col("latitude") / dy).alias("by"),
-        F.floor(F.col("longitude") / width(F.floor(F.col("latitude") / dy))).alias("bx"),
+        slice_of("longitude", slices(F.floor(F.col("latitude") / dy))).alias("bx"),
     )
     pairs = t.join(v, ["date", "by", "bx"]).where("other <> sensor_id")
     return pairs.withColumn("km", haversine_km(F.col("latitude"), F.col("longitude"), F.col("olat"), F.col("olon"))).where(F.col("km") <= max_km)
@@ -74,13 +79,19 @@ def neighbours(targets: DataFrame, valid: DataFrame, max_km: float) -> DataFrame
 
 def idw_fill(readings: DataFrame, *, max_km: float = 10.0, min_neighbours: int = 3, power: float = 2.0) -> DataFrame:
     """Fill missing values by inverse distance weighting over the same day's measured ones; a neighbour within a metre gives
-    its own value (of several the one with the smallest id). Rows without coordinates or neighbours stay missing."""
-    pairs = neighbours(readings.where("pm25 IS NULL"), readings.where("pm25 IS NOT NULL"), max_km)
+    its own value (of several the one with the smallest id). Rows without coordinates or neighbours stay missing.
+
+    A sensor counts once a date: of repeated rows the one with the smallest reading and place. Repeated missing rows are worked
+    out once for each place and all filled. The readings are written once, as both sides of the search and the result need them."""
+    readings = written(readings, "readings")
+    place = ["sensor_id", "date", "latitude", "longitude"]
+    known = readings.where("pm25 IS NOT NULL").groupBy("sensor_id", "date").agg(F.min(F.struct("pm25", "latitude", "longitude")).alias("r")).select("sensor_id", "date", "r.*")
+    pairs = neighbours(readings.where("pm25 IS NULL").select(*place).distinct(), known, max_km)
     w = F.when(F.col("km") >= 0.001, 1 / F.pow("km", F.lit(power)))
     near = F.min(F.when(F.col("km") < 0.001, F.struct("other", "opm")))
-    est = pairs.groupBy("sensor_id", "date").agg(F.count("*").alias("n"), near.alias("near"), F.sum(w * F.col("opm")).alias("s"), F.sum(w).alias("w"))
-    est = est.where(F.col("n") >= min_neighbours).select("sensor_id", "date", F.coalesce("near.opm", F.try_divide("s", "w")).alias("idw"))
-    out = readings.join(est, ["sensor_id", "date"], "left")
+    est = pairs.groupBy(*place).agg(F.count("*").alias("n"), near.alias("near"), F.sum(w * F.col("opm")).alias("s"), F.sum(w).alias("w"))
+    est = est.where(F.col("n") >= min_neighbours).select(*place, F.coalesce("near.opm", F.try_divide("s", "w")).alias("idw"))
+    out = readings.join(est, place, "left").select(*readings.columns, "idw")
     new = F.col("pm25").isNull() & F.col("idw").isNotNull()
     return (
         out.withColumn("fallback_type", F.when(new, "spatial_idw").otherwise(F.col("fallback_type")))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from aqgrid.functions import columns as C
@@ -11,7 +9,7 @@ from aqgrid.operators import gtwr, landuse, quality, raster, readings, rollup, s
 from aqgrid.plans import standins as S
 from aqgrid.plans.queries import query
 from aqgrid.plans.standins import sql, table
-from aqgrid.sources import tables
+from aqgrid.sources import scratch, tables
 from aqgrid.streaming import readings as streams
 
 
@@ -28,8 +26,7 @@ def near6(df, *names):
 
 def _folder(spark, name):
     """A new folder in what driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch.fresh_dir(spark, name)
 
 
 # ---- readings
