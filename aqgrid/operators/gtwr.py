@@ -8,6 +8,9 @@ and one block, so ``parts`` and ``blocks`` bound the memory of a task; the work
 a weight of 1e-12 or more.
 
 Training rows without a target or with a missing feature are left out; missing coordinates give the least weight.
+
+The sums are taken of what a plain regression over all training rows leaves of the target, so that a target far from 0 costs no
+digits of the residuals; the coefficients and predictions are those of the target itself.
 """
 
 from __future__ import annotations
@@ -90,8 +93,25 @@ def _near_sums(train: DataFrame, query: DataFrame, p: int, hs: float, ht: float
     return pairs.groupBy("id").agg(F.lit(0).alias("g"), *[F.sum(c).alias(n) for c, n in zip(terms, _names(p), strict=True)])
 
 
-def _solved(sums: DataFrame, query: DataFrame, p: int) -> DataFrame:
-    """Rows (id, g, prediction, uncertainty) from the sums over all blocks."""
+def _shifted(train: DataFrame, p: int) -> tuple[DataFrame, np.ndarray, int]:
+    """Training rows with the residuals of one regression over all of them as y, its coefficients, and the number of rows."""
+    x, y = [F.col("x")[k] for k in range(p)], F.col("y")
+    sums = train.agg(F.count("*").alias("n"), *[F.sum(x[i] * x[j]).alias(f"a{i}_{j}") for i in range(p) for j in range(i, p)], *[F.sum(x[i] * y).alias(f"b{i}") for i in range(p)]).first()
+    if not sums["n"]:
+        return train, np.zeros(p), 0
+    a = np.array([[sums[f"a{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)], float)
+    base = np.linalg.pinv(a) @ np.array([sums[f"b{i}"] for i in range(p)], float)
+    fit = sum((F.lit(float(v)) * c for v, c in zip(base, x, strict=True)), F.lit(0.0))
+    return train.withColumn("y", y - fit), base, sums["n"]
+
+
+def _dealt(n_query: int, n_train: int, parts: int | None, blocks: int | None) -> tuple[int, int]:
+    """Parts of about 8,192 queries and blocks of about 32,768 training points, where the caller names none."""
+    return parts or max(16, -(-n_query // 8192)), blocks or max(4, -(-n_train // 32768))
+
+
+def _solved(sums: DataFrame, query: DataFrame, p: int, base: np.ndarray) -> DataFrame:
+    """Rows (id, g, prediction, uncertainty) from the sums over all blocks; ``base`` was taken off the target."""
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in batches:
@@ -100,9 +120,10 @@ def _solved(sums: DataFrame, query: DataFrame, p: int) -> DataFrame:
                 b[:, i] = d[f"b{i}"]
                 for j in range(i, p):
                     a[:, i, j] = a[:, j, i] = d[f"a{i}_{j}"]
-            beta = np.einsum("nij,nj->ni", np.linalg.pinv(a), b)
+            beta = np.einsum("nij,nj->ni", np.linalg.pinv(a), b + a @ base)
             xq = np.array(d["x"].tolist(), float).reshape(len(d), p)
-            rss = d["yy"].to_numpy() - 2 * (beta * b).sum(1) + np.einsum("ni,nij,nj->n", beta, a, beta)
+            off = beta - base
+            rss = d["yy"].to_numpy() - 2 * (off * b).sum(1) + np.einsum("ni,nij,nj->n", off, a, off)
             yield pd.DataFrame({"id": d["id"], "g": d["g"], "prediction": (xq * beta).sum(1), "uncertainty": np.sqrt(np.maximum(rss / (d["w"].to_numpy() + 1e-12), 0))})
 
     total = sums.groupBy("id", "g").agg(*[F.sum(n).alias(n) for n in _names(p)])
@@ -110,22 +131,26 @@ def _solved(sums: DataFrame, query: DataFrame, p: int) -> DataFrame:
 
 
 def predict(
-    train: DataFrame, query: DataFrame, p: int, *, hs: float, ht: float | None = None, cutoff: float | None = None, leave_self_out: bool = False, parts: int = 16, blocks: int = 4
+    train: DataFrame, query: DataFrame, p: int, *, hs: float, ht: float | None = None, cutoff: float | None = None, leave_self_out: bool = False, parts: int | None = None, blocks: int | None = None
 ) -> DataFrame:
     """Rows (id, prediction, uncertainty) for query rows (id, x, cx, cy, t) from training rows (id, x, y, cx, cy, t).
 
     ``x`` is an array of p numbers; no intercept is added; query ids are unique. Uncertainty is the weighted residual
-    deviation. Choose ``parts`` and ``blocks`` so that a part of the queries and a block of the training points fit a task.
+    deviation. ``parts`` and ``blocks`` follow from the numbers of rows unless they are given.
     """
-    q, t = _sized(query.select("id", "x", "cx", "cy", "t"), p), _training(train, p)
+    q, (t, base, n) = _sized(query.select("id", "x", "cx", "cy", "t"), p), _shifted(_training(train, p), p)
+    if cutoff is None:
+        parts, blocks = _dealt(query.count(), n, parts, blocks)
     sums = _block_sums(t, q, p, [(hs, ht)], parts, blocks, leave_self_out) if cutoff is None else _near_sums(t, q, p, hs, ht, cutoff, leave_self_out)
-    return _solved(sums, q, p).drop("g")
+    return _solved(sums, q, p, base).drop("g")
 
 
-def bandwidth_scores(train: DataFrame, p: int, grid: Grid, *, parts: int = 16, blocks: int = 4) -> DataFrame:
+def bandwidth_scores(train: DataFrame, p: int, grid: Grid, *, parts: int | None = None, blocks: int | None = None) -> DataFrame:
     """Leave-one-out root mean squared error of each (hs, ht); all bandwidths share the distances of one pass."""
-    t = _training(train, p)
-    one = _solved(_block_sums(t, t, p, grid, parts, blocks, True), t, p).join(t.select("id", "y"), "id")
+    full = _training(train, p)
+    t, base, n = _shifted(full, p)
+    parts, blocks = _dealt(n, n, parts, blocks)
+    one = _solved(_block_sums(t, t, p, grid, parts, blocks, True), t, p, base).join(full.select("id", "y"), "id")
     score = one.groupBy("g").agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2))).alias("rmse"))
     pick = lambda k: F.element_at(F.array(*[F.lit(v[k]).cast("double") for v in grid]), F.col("g") + 1)
     return score.select(pick(0).alias("hs"), pick(1).alias("ht"), "rmse")

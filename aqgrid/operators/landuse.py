@@ -222,3 +222,41 @@ def ring_flags(rings: DataFrame) -> DataFrame:
     d = d.withColumn("closed", F.when(F.size("ring") > 0, closed).otherwise(False)).withColumn("enough_points", F.size("ring") >= 4)
     valid = F.col("closed") & F.col("enough_points") & (F.abs("area") > 0)
     return d.withColumn("valid", valid).withColumn("ring", F.when(F.col("area") < 0, F.reverse("ring")).otherwise(F.col("ring")))
+
+
+def ring_crossings(rings: DataFrame, cell: float = 30.0) -> DataFrame:
+    """feature_id and ``n_crossings`` of the rings whose edges meet otherwise than at the ends that neighbours share: crossings,
+    touches of a corner and an edge, edges upon each other. ``rings`` as for ``ring_flags``; repeated corners are one, an open
+    ring is closed.
+
+    Edges meet by the tiles that they run through, as an equi-key; signs of orientation then tell whether two of them meet.
+    """
+    once = F.filter("ring", lambda c, i: (i == 0) | (c != F.get("ring", i - 1)))
+    d = rings.select("feature_id", once.alias("r")).where(F.size("r") >= 2).distinct()
+    d = d.withColumn("r", F.when(F.element_at("r", 1) == F.element_at("r", -1), F.col("r")).otherwise(F.concat("r", F.array(F.element_at("r", 1)))))
+    edges = F.zip_with(F.slice("r", 1, F.size("r") - 1), F.slice("r", 2, F.size("r") - 1), lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
+    d = d.select("feature_id", (F.size("r") - 1).alias("n"), F.posexplode(edges).alias("k", "e")).select("feature_id", "n", "k", "e.*")
+    e = line_cells(d, cell)
+    a = e.select("feature_id", "i", "j", "n", *[F.col(c).alias(f"a{c}") for c in ("k", "x1", "y1", "x2", "y2")])
+    b = e.select("feature_id", "i", "j", *[F.col(c).alias(f"b{c}") for c in ("k", "x1", "y1", "x2", "y2")])
+    p = a.join(b, ["feature_id", "i", "j"]).where("ak < bk")
+    side = lambda o, q, c: (F.col(f"{o}x2") - F.col(f"{o}x1")) * (F.col(f"{q}y{c}") - F.col(f"{o}y1")) - (F.col(f"{o}y2") - F.col(f"{o}y1")) * (F.col(f"{q}x{c}") - F.col(f"{o}x1"))
+    boxes = F.lit(True)
+    for c in "xy":
+        low, high = (lambda q: F.least(f"{q}{c}1", f"{q}{c}2")), (lambda q: F.greatest(f"{q}{c}1", f"{q}{c}2"))
+        boxes = boxes & (low("a") <= high("b")) & (low("b") <= high("a"))
+    apart = lambda o, q: F.signum(side(o, q, 1)) * F.signum(side(o, q, 2)) > 0
+    meets = boxes & ~apart("a", "b") & ~apart("b", "a")
+    # neighbours share a corner; they are upon each other if they turn back there
+    next_to = (F.col("bk") == F.col("ak") + 1) | ((F.col("ak") == 0) & (F.col("bk") == F.col("n") - 1))
+    straight = (side("a", "b", 1) == 0) & (side("a", "b", 2) == 0)
+    back = (F.col("ax2") - F.col("ax1")) * (F.col("bx2") - F.col("bx1")) + (F.col("ay2") - F.col("ay1")) * (F.col("by2") - F.col("by1")) < 0
+    hit = p.where(F.when(next_to, straight & back).otherwise(meets)).select("feature_id", "ak", "bk").distinct()
+    return hit.groupBy("feature_id").agg(F.count("*").alias("n_crossings"))
+
+
+def valid_rings(rings: DataFrame, cell: float = 30.0) -> DataFrame:
+    """``ring_flags`` with ``n_crossings``; a ring that meets itself isn't valid."""
+    flagged = ring_flags(rings).join(ring_crossings(rings, cell), "feature_id", "left")
+    n = F.coalesce("n_crossings", F.lit(0)).cast("long")
+    return flagged.withColumn("n_crossings", n).withColumn("valid", F.col("valid") & (F.col("n_crossings") == 0))

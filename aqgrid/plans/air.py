@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from aqgrid.functions import columns as C
-from aqgrid.operators import gtwr, landuse, quality, raster, readings, rollup, signals, weather
+from aqgrid.operators import features, gtwr, landuse, quality, raster, readings, rollup, signals, weather
 from aqgrid.plans import standins as S
 from aqgrid.plans.queries import query
 from aqgrid.plans.standins import sql, table
-from aqgrid.sources import scratch, tables
+from aqgrid.sources import dated, scratch, tables
+from aqgrid.streaming import features as refreshed
 from aqgrid.streaming import readings as streams
 
 
@@ -57,7 +60,10 @@ def _readings(spark, d):
     return readings.with_fallback(_targets(spark, d), readings.daily_mean(S.measurements(spark, d)))
 
 
-@query("j4_fallback", sql(_CAND + " SELECT sensor_id, date, round(pm25, 6) AS pm25, sample_count, actual_date, fallback_type, days_offset FROM fb", "meas", "daily", "sens", "days"))
+J4 = sql(_CAND + " SELECT sensor_id, date, round(pm25, 6) AS pm25, sample_count, actual_date, fallback_type, days_offset FROM fb", "meas", "daily", "sens", "days")
+
+
+@query("j4_fallback", J4)
 def j4(spark, d):
     return r6(_readings(spark, d).drop("latitude", "longitude"), "pm25")
 
@@ -762,6 +768,37 @@ def t2(spark, d):
     return spark.read.parquet(f"{base}/out").select("event_id", "date")
 
 
+def _arrivals(spark, d):
+    """Events as a stream of four micro-batches."""
+    staged = scratch.fresh_dir(spark, "arrivals")
+    e = table(spark, d, "events")
+    e.repartition(4).write.parquet(staged)
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(staged)
+
+
+@query("t2_refresh_features", J4)
+def t2_features(spark, d):
+    """Readings with their substitutes, refreshed date by date as measurements arrive in four batches, each of which brings late
+    readings to dates already worked out: the table that one batch gives."""
+    m = S.as_measurements(_arrivals(spark, d))
+    base = _folder(spark, "refreshed")
+    refreshed.refresh_stream(m, _targets(spark, d), base, f"{base}/state")
+    out = dated.read(spark, f"{base}/features", refreshed.REFRESHED)
+    return r6(out, "pm25")
+
+
+@query("s7_compaction", "SELECT event_id, CAST(ts AS DATE) AS date FROM events")
+def s7_compaction(spark, d):
+    """Events added to their dates by four micro-batches, brought into one folder a date, the folders of before removed."""
+    base = _folder(spark, "compacted")
+    rows = _arrivals(spark, d).select("event_id", F.to_date("ts").alias("date"))
+    add = lambda batch, n: dated.put(batch, f"{base}/t", token=str(n), replace=False)
+    rows.writeStream.foreachBatch(add).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    dated.compact(spark, f"{base}/t", "event_id long, date date")
+    dated.clean(spark, f"{base}/t", keep=1)
+    return dated.read(spark, f"{base}/t", "event_id long, date date")
+
+
 # ---- further tables and checks
 
 
@@ -782,6 +819,28 @@ def g7(spark, d):
     return r6(out.select("feature_id", "area", "closed", "enough_points", "valid"), "area")
 
 
+_QUAD = "quad AS (SELECT p_partkey AS k, [" + ", ".join(f"{{'x': 300.0::DOUBLE * ((p_partkey * {a}) % 997) / 997.0, 'y': 300.0::DOUBLE * ((p_partkey * {b}) % 991) / 991.0}}" for a, b in ((7919, 104729), (7907, 104723), (7901, 104717), (7883, 104711))) + "] AS c FROM part)"
+_CROSS = f"""WITH {_QUAD},
+ed AS (SELECT k, i, c[i + 1].x AS x1, c[i + 1].y AS y1, c[(i + 1) % 4 + 1].x AS x2, c[(i + 1) % 4 + 1].y AS y2 FROM quad CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS i)),
+pr AS (SELECT a.k, b.i - a.i AS gap, a.x1 AS ax1, a.y1 AS ay1, a.x2 AS ax2, a.y2 AS ay2, b.x1 AS bx1, b.y1 AS by1, b.x2 AS bx2, b.y2 AS by2,
+  sign((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1)) AS s1, sign((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) AS s2,
+  sign((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) AS s3, sign((b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1)) AS s4
+  FROM ed a JOIN ed b ON a.k = b.k AND a.i < b.i)
+SELECT quad.k AS feature_id, count(*) FILTER (NOT (ax1 = ax2 AND ay1 = ay2) AND NOT (bx1 = bx2 AND by1 = by2) AND CASE WHEN gap = 2 THEN s1 * s2 <= 0 AND s3 * s4 <= 0 AND least(ax1, ax2) <= greatest(bx1, bx2) AND least(bx1, bx2) <= greatest(ax1, ax2) AND least(ay1, ay2) <= greatest(by1, by2) AND least(by1, by2) <= greatest(ay1, ay2)
+  ELSE s1 = 0 AND s2 = 0 AND (ax2 - ax1) * (bx2 - bx1) + (ay2 - ay1) * (by2 - by1) < 0 END) AS n_crossings
+FROM quad JOIN pr USING (k) GROUP BY 1"""
+
+
+@query("g7_crossings", f"SELECT feature_id, n_crossings, n_crossings = 0 AS simple FROM ({_CROSS})")
+def g7_crossings(spark, d):
+    """Rings of four hashed corners, of which a third are bow-ties."""
+    k = F.col("p_partkey")
+    corner = [F.struct((300.0 * ((k * a) % 997) / 997.0).alias("x"), (300.0 * ((k * b) % 991) / 991.0).alias("y")) for a, b in ((7919, 104729), (7907, 104723), (7901, 104717), (7883, 104711))]
+    rings = table(spark, d, "part").select(k.alias("feature_id"), F.array(*corner, corner[0]).alias("ring"))
+    out = landuse.valid_rings(rings)
+    return out.select("feature_id", "n_crossings", (F.col("n_crossings") == 0).alias("simple"))
+
+
 @query("g15_relief", f"WITH {_DSM} SELECT a.r AS row, a.c AS col, round(max(b.z) - min(b.z), 6) AS range FROM dsm a JOIN dsm b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY 1, 2")
 def g15(spark, d):
     return r6(raster.relief(_dsm(spark, d), 30.0).select("row", "col", "range"), "range")
@@ -793,8 +852,6 @@ def q11(spark, d):
 
 
 def _features(spark, d, targets, observed):
-    from aqgrid.operators import features
-
     cells = observed.select(F.col("cell").alias("grid_id")).distinct().crossJoin(targets)
     inter = signals.interpolate(targets, observed).withColumnRenamed("cell", "grid_id")
     daily = table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.max("l_quantity").alias("temp_max"))
@@ -816,6 +873,56 @@ def r1(spark, d):
     return r6(_features(spark, d, S.order_dates(spark, d), S.observed(spark, d)), "s5p_no2")
 
 
+_TRAINING = (
+    _W5
+    + """, bands AS (SELECT o_custkey // 10 AS cell, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) / 1e6 AS nir, min(o_totalprice) / 2e6 AS red FROM orders GROUP BY ALL),
+src AS (SELECT tg.date, (SELECT max(o.date) FROM (SELECT DISTINCT date FROM obs) o WHERE date_trunc('month', o.date) = (SELECT max(date_trunc('month', x.date)) FROM (SELECT DISTINCT date FROM obs) x WHERE date_trunc('month', x.date) <= date_trunc('month', tg.date) AND date_trunc('month', x.date) >= date_trunc('month', tg.date) - INTERVAL 12 MONTH)) AS s FROM tg),
+ly AS (SELECT o_custkey // 10 AS cell, year(o_orderdate) AS y, max(o_totalprice) / 1e6 AS svf FROM orders WHERE year(o_orderdate) % 2 = 1 GROUP BY ALL),
+wd AS (SELECT CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS temp_max FROM lineitem GROUP BY 1),
+st AS (SELECT c_custkey // 10 AS cell, round(sum(c_acctbal), 2) AS dust_index_combined, count(*) FILTER (c_mktsegment = 'MACHINERY') AS industrial_contrib_count FROM customer GROUP BY 1),
+sn AS (SELECT s_suppkey, floor(450.0 * ((s_suppkey * 7919) % 997) / 997.0 / 30) AS ix, floor(300.0 * ((s_suppkey * 104729) % 991) / 991.0 / 30) AS iy FROM supplier),
+pl AS (SELECT s_suppkey, cell FROM sn JOIN (SELECT DISTINCT c_custkey // 10 AS cell FROM customer) g ON g.cell % 15 = ix AND g.cell // 15 = iy),
+rd AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, avg(l_quantity) AS pm25, count(*) AS n FROM lineitem GROUP BY ALL),
+pm AS (SELECT cell, date, avg(pm25) AS pm25, CAST(sum(n) AS BIGINT) AS sample_count FROM rd JOIN pl ON pl.s_suppkey = rd.l_suppkey GROUP BY ALL)
+SELECT c.cell AS grid_id, tg.date, round(b.nir + 3e-8, 6) AS toa_b5, round(b.red + 3e-8, 6) AS toa_b4, round((b.nir - b.red) / (b.nir + b.red), 6) AS ndvi,
+  round(ev.value, 6) AS sentinel2_evi, ev.value IS NULL AS sentinel2_evi_is_nodata, round(ip.value, 6) AS s5p_no2, ip.value IS NULL AS s5p_no2_is_nodata,
+  round((SELECT max_by(ly.svf, ly.y) FROM ly WHERE ly.cell = c.cell AND ly.y <= year(tg.date)) + 3e-8, 6) AS svf, CAST((SELECT max(ly.y) FROM ly WHERE ly.cell = c.cell AND ly.y <= year(tg.date)) AS INT) AS svf_year,
+  st.dust_index_combined, st.industrial_contrib_count, wd.temp_max, round(pm.pm25, 6) AS pm25, pm.sample_count
+FROM (SELECT DISTINCT cell FROM obs) c CROSS JOIN tg LEFT JOIN bands b ON b.cell = c.cell AND b.date = tg.date LEFT JOIN src ON src.date = tg.date LEFT JOIN obs ev ON ev.cell = c.cell AND ev.date = src.s
+LEFT JOIN ip ON ip.cell = c.cell AND ip.date = tg.date LEFT JOIN st ON st.cell = c.cell LEFT JOIN wd ON wd.date = tg.date LEFT JOIN pm ON pm.cell = c.cell AND pm.date = tg.date"""
+)
+
+
+@query("r1_training_table", sql(_TRAINING, "obs"))
+def r1_training(spark, d):
+    """Bands and an index, EVI of the month's source, interpolated NO2, the sky view of the latest layer, weather, dust, industry
+    and PM2.5 of the cells' sensors. What stands by cell alone lies in buckets."""
+    o, targets, seen = table(spark, d, "orders"), S.order_dates(spark, d), S.observed(spark, d)
+    day, own = F.to_date("o_orderdate").alias("date"), S.cell("o_custkey").alias("grid_id")
+    bands = o.groupBy(own, day).agg((F.max("o_totalprice") / 1e6).alias("toa_b5"), (F.min("o_totalprice") / 2e6).alias("toa_b4"))
+    cells = seen.select(F.col("cell").alias("grid_id")).distinct().crossJoin(targets).join(bands, ["grid_id", "date"], "left")
+    cells = cells.withColumn("ndvi", C.ndvi(F.col("toa_b5"), F.col("toa_b4")))
+    year = F.year("o_orderdate")
+    layers = o.where(year % 2 == 1).groupBy(own, year.alias("year")).agg((F.max("o_totalprice") / 1e6).alias("svf"))
+    c = table(spark, d, "customer")
+    land = c.groupBy(S.cell("c_custkey").alias("grid_id")).agg(F.round(F.sum("c_acctbal"), 2).alias("dust_index_combined"), F.count_if(F.col("c_mktsegment") == "MACHINERY").alias("industrial_contrib_count"))
+    names, buckets = [f"aqgrid_{kind}_{uuid.uuid4().hex}" for kind in ("land", "sky")], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    features.bucketed(land, names[0], buckets)
+    features.bucketed(features.by_year(layers, "svf"), names[1], buckets)
+    source = signals.month_source(targets, seen.select("date").distinct()).where("source_date IS NOT NULL")
+    evi = source.join(seen.withColumnRenamed("date", "source_date"), "source_date").select(F.col("cell").alias("grid_id"), "date", "value", F.lit(False).alias("is_nodata"))
+    no2 = signals.interpolate(targets, seen).withColumnRenamed("cell", "grid_id")
+    lines = table(spark, d, "lineitem")
+    daily = lines.groupBy(F.to_date("l_shipdate").alias("date")).agg(F.max("l_quantity").alias("temp_max"))
+    k = F.col("s_suppkey")
+    sensors = table(spark, d, "supplier").select(k.alias("sensor_id"), (450.0 * ((k * 7919) % 997) / 997.0).alias("x"), (300.0 * ((k * 104729) % 991) / 991.0).alias("y"))
+    grid = land.select("grid_id", (F.col("grid_id") % 15).alias("ix"), F.expr("grid_id DIV 15").alias("iy"))
+    measured = lines.groupBy(F.col("l_suppkey").alias("sensor_id"), F.to_date("l_shipdate").alias("date")).agg(F.avg("l_quantity").alias("pm25"), F.count("*").alias("sample_count"))
+    pm = features.cell_readings(measured, features.assign_cells(sensors, grid, x0=0.0, y0=0.0, res=30.0))
+    out = features.training_table(cells, layers=["svf"], signals={"sentinel2_evi": evi, "s5p_no2": no2}, daily=daily, measured=pm, static=names)
+    return r6(near6(out, "toa_b5", "toa_b4", "svf"), "ndvi", "sentinel2_evi", "s5p_no2", "pm25")
+
+
 _Q3 = _report(
     "ft",
     ("s5p_no2_range", "row", "error", "s5p_no2 < 0 AND NOT s5p_no2_is_nodata"),

@@ -17,9 +17,12 @@ def _location(df: DataFrame, key: str) -> DataFrame:
 
 
 def measurements(spark, sf_dir) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return as_measurements(table(spark, sf_dir, "events"))
+
+
+def as_measurements(events: DataFrame) -> DataFrame:
     kind = F.when(F.col("event_type") == "purchase", 1).otherwise(2)
-    return e.select(F.col("user_id").alias("sensor_id"), F.col("ts").cast("timestamp").alias("ts"), kind.alias("parameter_id"), F.lit("pm25").alias("parameter_name"), "value")
+    return events.select(F.col("user_id").alias("sensor_id"), F.col("ts").cast("timestamp").alias("ts"), kind.alias("parameter_id"), F.lit("pm25").alias("parameter_name"), "value")
 
 
 def sensors(spark, sf_dir) -> DataFrame:
