@@ -875,18 +875,18 @@ def r1(spark, d):
 
 _TRAINING = (
     _W5
-    + """, bands AS (SELECT o_custkey // 10 AS cell, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) / 1e6 AS nir, min(o_totalprice) / 2e6 AS red FROM orders GROUP BY ALL),
+    + """, bands AS (SELECT o_custkey // 10 AS cell, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) / 1013700 AS nir, min(o_totalprice) / 2027400 AS red FROM orders GROUP BY ALL),
 src AS (SELECT tg.date, (SELECT max(o.date) FROM (SELECT DISTINCT date FROM obs) o WHERE date_trunc('month', o.date) = (SELECT max(date_trunc('month', x.date)) FROM (SELECT DISTINCT date FROM obs) x WHERE date_trunc('month', x.date) <= date_trunc('month', tg.date) AND date_trunc('month', x.date) >= date_trunc('month', tg.date) - INTERVAL 12 MONTH)) AS s FROM tg),
-ly AS (SELECT o_custkey // 10 AS cell, year(o_orderdate) AS y, max(o_totalprice) / 1e6 AS svf FROM orders WHERE year(o_orderdate) % 2 = 1 GROUP BY ALL),
+ly AS (SELECT o_custkey // 10 AS cell, year(o_orderdate) AS y, max(o_totalprice) / 1013700 AS svf FROM orders WHERE year(o_orderdate) % 2 = 1 GROUP BY ALL),
 wd AS (SELECT CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS temp_max FROM lineitem GROUP BY 1),
 st AS (SELECT c_custkey // 10 AS cell, round(sum(c_acctbal), 2) AS dust_index_combined, count(*) FILTER (c_mktsegment = 'MACHINERY') AS industrial_contrib_count FROM customer GROUP BY 1),
 sn AS (SELECT s_suppkey, floor(450.0 * ((s_suppkey * 7919) % 997) / 997.0 / 30) AS ix, floor(300.0 * ((s_suppkey * 104729) % 991) / 991.0 / 30) AS iy FROM supplier),
 pl AS (SELECT s_suppkey, cell FROM sn JOIN (SELECT DISTINCT c_custkey // 10 AS cell FROM customer) g ON g.cell % 15 = ix AND g.cell // 15 = iy),
 rd AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, avg(l_quantity) AS pm25, count(*) AS n FROM lineitem GROUP BY ALL),
 pm AS (SELECT cell, date, avg(pm25) AS pm25, CAST(sum(n) AS BIGINT) AS sample_count FROM rd JOIN pl ON pl.s_suppkey = rd.l_suppkey GROUP BY ALL)
-SELECT c.cell AS grid_id, tg.date, round(b.nir + 3e-8, 6) AS toa_b5, round(b.red + 3e-8, 6) AS toa_b4, round((b.nir - b.red) / (b.nir + b.red), 6) AS ndvi,
+SELECT c.cell AS grid_id, tg.date, round(b.nir, 6) AS toa_b5, round(b.red, 6) AS toa_b4, round((b.nir - b.red) / (b.nir + b.red), 6) AS ndvi,
   round(ev.value, 6) AS sentinel2_evi, ev.value IS NULL AS sentinel2_evi_is_nodata, round(ip.value, 6) AS s5p_no2, ip.value IS NULL AS s5p_no2_is_nodata,
-  round((SELECT max_by(ly.svf, ly.y) FROM ly WHERE ly.cell = c.cell AND ly.y <= year(tg.date)) + 3e-8, 6) AS svf, CAST((SELECT max(ly.y) FROM ly WHERE ly.cell = c.cell AND ly.y <= year(tg.date)) AS INT) AS svf_year,
+  round((SELECT max_by(ly.svf, ly.y) FROM ly WHERE ly.cell = c.cell AND ly.y <= year(tg.date)), 6) AS svf, CAST((SELECT max(ly.y) FROM ly WHERE ly.cell = c.cell AND ly.y <= year(tg.date)) AS INT) AS svf_year,
   st.dust_index_combined, st.industrial_contrib_count, wd.temp_max, round(pm.pm25, 6) AS pm25, pm.sample_count
 FROM (SELECT DISTINCT cell FROM obs) c CROSS JOIN tg LEFT JOIN bands b ON b.cell = c.cell AND b.date = tg.date LEFT JOIN src ON src.date = tg.date LEFT JOIN obs ev ON ev.cell = c.cell AND ev.date = src.s
 LEFT JOIN ip ON ip.cell = c.cell AND ip.date = tg.date LEFT JOIN st ON st.cell = c.cell LEFT JOIN wd ON wd.date = tg.date LEFT JOIN pm ON pm.cell = c.cell AND pm.date = tg.date"""
@@ -896,14 +896,15 @@ LEFT JOIN ip ON ip.cell = c.cell AND ip.date = tg.date LEFT JOIN st ON st.cell =
 @query("r1_training_table", sql(_TRAINING, "obs"))
 def r1_training(spark, d):
     """Bands and an index, EVI of the month's source, interpolated NO2, the sky view of the latest layer, weather, dust, industry
-    and PM2.5 of the cells' sensors. What stands by cell alone lies in buckets."""
+    and PM2.5 of the cells' sensors. What stands by cell alone lies in buckets. Prices are divided so that none ends in a 5 at
+    the seventh place."""
     o, targets, seen = table(spark, d, "orders"), S.order_dates(spark, d), S.observed(spark, d)
     day, own = F.to_date("o_orderdate").alias("date"), S.cell("o_custkey").alias("grid_id")
-    bands = o.groupBy(own, day).agg((F.max("o_totalprice") / 1e6).alias("toa_b5"), (F.min("o_totalprice") / 2e6).alias("toa_b4"))
+    bands = o.groupBy(own, day).agg((F.max("o_totalprice") / 1013700).alias("toa_b5"), (F.min("o_totalprice") / 2027400).alias("toa_b4"))
     cells = seen.select(F.col("cell").alias("grid_id")).distinct().crossJoin(targets).join(bands, ["grid_id", "date"], "left")
     cells = cells.withColumn("ndvi", C.ndvi(F.col("toa_b5"), F.col("toa_b4")))
     year = F.year("o_orderdate")
-    layers = o.where(year % 2 == 1).groupBy(own, year.alias("year")).agg((F.max("o_totalprice") / 1e6).alias("svf"))
+    layers = o.where(year % 2 == 1).groupBy(own, year.alias("year")).agg((F.max("o_totalprice") / 1013700).alias("svf"))
     c = table(spark, d, "customer")
     land = c.groupBy(S.cell("c_custkey").alias("grid_id")).agg(F.round(F.sum("c_acctbal"), 2).alias("dust_index_combined"), F.count_if(F.col("c_mktsegment") == "MACHINERY").alias("industrial_contrib_count"))
     names, buckets = [f"aqgrid_{kind}_{uuid.uuid4().hex}" for kind in ("land", "sky")], int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -920,7 +921,7 @@ def r1_training(spark, d):
     measured = lines.groupBy(F.col("l_suppkey").alias("sensor_id"), F.to_date("l_shipdate").alias("date")).agg(F.avg("l_quantity").alias("pm25"), F.count("*").alias("sample_count"))
     pm = features.cell_readings(measured, features.assign_cells(sensors, grid, x0=0.0, y0=0.0, res=30.0))
     out = features.training_table(cells, layers=["svf"], signals={"sentinel2_evi": evi, "s5p_no2": no2}, daily=daily, measured=pm, static=names)
-    return r6(near6(out, "toa_b5", "toa_b4", "svf"), "ndvi", "sentinel2_evi", "s5p_no2", "pm25")
+    return r6(out, "toa_b5", "toa_b4", "ndvi", "sentinel2_evi", "s5p_no2", "svf", "pm25")
 
 
 _Q3 = _report(
