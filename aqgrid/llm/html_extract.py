@@ -11,6 +11,9 @@ The labelled pages are generated by rule, in many layouts and from invented word
 reader comments and footers around and between their paragraphs, with and without telling names. Training takes a few
 seconds on the driver and depends on no input; the weights (a few hundred numbers) travel with the task.
 
+Names tell nothing where they stand on the page itself, or on an element that holds most of its text and the start of its
+article (``has-sidebar``, ``comments-open``, a form around all): what such an element is called says what else is in it.
+
 Open elements hand down what they add to their ancestors' sets, so the work for a page is in proportion to its length
 however deep or broken its markup is.
 
@@ -65,22 +68,40 @@ _BAD_NAMES = frozenset(
     "comment comments disqus reply respond reader tags meta byline toolbar skip".split()
 )
 _GOOD_NAMES = frozenset("article content post entry story body main text page prose".split())
-_BAD_TAGS = frozenset("nav header footer aside form button menu dialog fieldset".split())
+#: A name that ends so is a part of the article, whatever stands before: a quote to share, a caption of an advert.
+_CONTENT_HEADS = frozenset("quote blockquote pullquote caption lead intro abstract figure".split())
+#: An element that holds this share of the page's text and the start of its article is around the article, not beside it; of
+#: one without a title, article or main element in it, the greater share is asked for.
+AROUND, AROUND_UNMARKED = 0.5, 0.8
+_BAD_TAGS = frozenset("nav header footer aside button menu dialog fieldset".split())
 
 _TELLING = _BAD_NAMES | _GOOD_NAMES | {"hidden!"}
 _NONE: frozenset[str] = frozenset()
 
 
 class Block(NamedTuple):
+    """A run of text between block-level tags."""
+
     text: str
     tags: frozenset[str]  # of its ancestors
-    names: frozenset[str]  # telling parts of their class and id names
+    names: frozenset[str]  # telling parts of their class and id names, but for elements around the article
     links: int  # characters in links
     breaks: int
     own: str  # the innermost block-level tag
     box: int  # numbers of the nearest container, the one around it, and the nearest article
     outer: int
     article: int
+    named: Named | None = None  # the innermost named element around it
+
+
+class Named:
+    """An element with telling names, the next one around it, the text in it, and whether it holds the start of the article."""
+
+    __slots__ = ("all_names", "marked", "names", "outer", "page", "size")
+
+    def __init__(self, names: frozenset[str], outer: Named | None, page: bool):
+        self.names, self.outer, self.page = names, outer, page
+        self.size, self.marked, self.all_names = 0, False, None
 
 
 class Open(NamedTuple):
@@ -88,13 +109,13 @@ class Open(NamedTuple):
 
     tag: str
     tags: frozenset[str]
-    names: frozenset[str]
+    named: Named | None
     box: int
     outer: int
     article: int
 
 
-_ROOT = Open("none", _NONE, _NONE, 0, 0, 0)
+_ROOT = Open("none", _NONE, None, 0, 0, 0)
 
 
 def _end_tag(tag: str) -> re.Pattern:
@@ -137,13 +158,14 @@ class _Stack:
         self.inline: dict[str, list[frozenset]] = {}
         self.inline_names: Counter = Counter()
         self.boxes = 0
+        self.marks: set[str] = set()  # tags that start an article and have been seen
+        self.seen_named: list[Named] = []
 
     def top(self) -> Open:
         return self.open[-1] if self.open else _ROOT
 
-    def names(self) -> frozenset[str]:
-        extra = [k for k, n in self.inline_names.items() if n > 0]
-        return self.top().names.union(extra) if extra else self.top().names
+    def inline_now(self) -> frozenset[str]:
+        return frozenset(k for k, n in self.inline_names.items() if n > 0) if self.inline_names else _NONE
 
     def push(self, tag: str, names: frozenset[str]) -> None:
         up = self.top()
@@ -152,8 +174,19 @@ class _Stack:
             self.boxes += 1
             box, outer = self.boxes, up.box
             article = self.boxes if tag == "article" else article
-        tags = up.tags if tag in up.tags or tag not in _ANCESTORS else up.tags | {tag}
-        self.open.append(Open(tag, tags, up.names if names <= up.names else up.names | names, box, outer, article))
+        if tag == "form":  # counts as a name, as some pages are one form
+            names |= {"form"}
+        tags = up.tags if tag in up.tags or tag not in _ANCESTORS or tag == "form" else up.tags | {tag}
+        named = up.named
+        if names:
+            named = Named(names, up.named, tag in ("html", "body"))
+            self.seen_named.append(named)
+        if tag in ("h1", "article", "main") and tag not in self.marks:  # the first of its kind
+            self.marks.add(tag)
+            around = named
+            while around is not None and not around.marked:
+                around.marked, around = True, around.outer
+        self.open.append(Open(tag, tags, named, box, outer, article))
         if tag in ("table", "td", "th"):
             self.scopes.append(Counter())
         self.scopes[-1][tag] += 1
@@ -200,7 +233,9 @@ def _names(attributes: str) -> frozenset[str]:
         value = (a[2] or a[3] or a[4] or "").lower()
         kind = a[1].lower()
         if kind in ("class", "id", "role"):
-            parts.update(_NAME.findall(value))
+            for name in value.split():
+                found = _NAME.findall(name)
+                parts.update(found if not found or found[-1] not in _CONTENT_HEADS else set(found) - _BAD_NAMES)
         elif kind == "hidden" or (kind == "aria-hidden" and value == "true") or (kind == "style" and "display:none" in value.replace(" ", "")):
             parts.add("hidden!")
     return frozenset(parts & _TELLING)
@@ -224,7 +259,10 @@ def blocks(page: str | None) -> list[Block]:
             t = _SPACE.sub(" ", _html.unescape("".join(text))).strip()
             if t:
                 e = stack.top()
-                out.append(Block(t, e.tags, stack.names(), min(links, len(t)), breaks, e.tag, e.box, e.outer, e.article))
+                links_in = min(links, len(t))
+                out.append(Block(t, e.tags, stack.inline_now(), links_in, breaks, e.tag, e.box, e.outer, e.article, e.named))
+                if e.named is not None:
+                    e.named.size += len(t) - links_in
             text.clear()
         links = breaks = 0
 
@@ -293,7 +331,25 @@ def blocks(page: str | None) -> list[Block]:
         if not empty:
             stack.push(tag, names)
     flush()
-    return out
+    return _with_names(out, stack.seen_named)
+
+
+def _with_names(page: list[Block], named: list[Named]) -> list[Block]:
+    """Blocks with the names of what is around them. Those of the page, and of elements that hold most of its text and the
+    start of its article, tell nothing about a block; one pass up and one down the named elements, in their order."""
+    if not named:
+        return [b._replace(named=None) for b in page]
+    total = sum(len(b.text) - b.links for b in page) or 1
+    for e in reversed(named):  # what lies in an element also lies in those around it
+        if e.outer is not None:
+            e.outer.size += e.size
+    for e in named:
+        share = e.size / total
+        around = e.page or (share >= AROUND if e.marked else share >= AROUND_UNMARKED)
+        mine = e.names - _BAD_NAMES - {"hidden!"} if around else e.names
+        above = e.outer.all_names if e.outer is not None else _NONE
+        e.all_names = above if mine <= above else above | mine
+    return [b._replace(names=b.names | b.named.all_names if b.named is not None else b.names, named=None) for b in page]
 
 
 def _bucket(share: float) -> str:
@@ -360,7 +416,10 @@ def features(page: list[Block]) -> list[list[str]]:
         f.append("box-blocks:" + ("short" if size[b.box] + linked[b.box] < 60 * number[b.box] else "long"))
         f.append(f"size:{min(len(t).bit_length(), 10)}")
         density = b.links / len(t)
-        f.append("links:0" if not b.links else "links:some" if density < 0.3 else "links:half" if density < 0.8 else "links:all")
+        linked_as = "links:0" if not b.links else "links:some" if density < 0.3 else "links:half" if density < 0.8 else "links:all"
+        f.append(linked_as)
+        if "clean-in-article" in f:
+            f.append(f"clean-in-article:{linked_as}")  # a link in the article's own list is part of it
         f.append("before:" + (shapes[k - 1] if k else "none"))
         f.append("behind:" + (shapes[k + 1] if k + 1 < n else "none"))
         f.append("end:stop" if t[-1] in ".!?…\"”»" else "end:other")
@@ -413,7 +472,7 @@ def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 60, ridg
     of = np.repeat(np.arange(len(pages)), [len(y) for _, y in pages])
     place = np.concatenate([np.arange(len(y)) for _, y in pages])
     y = np.concatenate([y for _, y in pages]).astype(int)
-    x = np.zeros((len(y), len(names)))
+    x = np.zeros((len(y), len(names)), np.float32)
     for k, f in enumerate(f for fs, _ in pages for f in fs):
         x[k, [names[v] for v in f]] = 1
     follows = place > 0
@@ -423,8 +482,8 @@ def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 60, ridg
     hw, ht = np.full_like(w, 1e-6), np.full_like(trans, 1e-6)
     target = np.eye(2)[y]
     for _ in range(rounds):
-        p, pair = _marginals(x @ w, trans, of, place)
-        gw = x.T @ (target - p) - ridge * len(pages) * w
+        p, pair = _marginals((x @ w.astype(np.float32)).astype(float), trans, of, place)
+        gw = x.T @ (target - p).astype(np.float32) - ridge * len(pages) * w
         gt = seen - pair - ridge * len(pages) * trans
         hw += gw**2
         ht += gt**2
@@ -458,9 +517,13 @@ def _marginals(e: np.ndarray, trans: np.ndarray, of: np.ndarray, place: np.ndarr
 # ---- labelled pages, generated by rule
 
 
+_PARTS = ("ka", "lo", "ri", "ten", "mo", "sa", "ve", "un", "der", "ing")
+#: Invented words of one to three parts.
+_VOCABULARY = [*_PARTS * 10, *(a + b for a in _PARTS for b in _PARTS), *(a + b + a for a in _PARTS for b in _PARTS)]
+
+
 def _words(r: random.Random, n: int) -> str:
-    part = ("ka", "lo", "ri", "ten", "mo", "sa", "ve", "un", "der", "ing")
-    words = ["".join(r.choice(part) for _ in range(r.randint(1, 3))) for _ in range(n)]
+    words = r.choices(_VOCABULARY, k=n)
     words[0] = words[0].capitalize()
     return " ".join(words)
 
@@ -526,6 +589,8 @@ def labelled_page(r: random.Random, layouts: tuple[str, ...] = LAYOUTS) -> str:
             return f"<blockquote>{mark}{text()}</blockquote>"
         if c < 0.87:
             return f"<pre>{mark}{text()}</pre>"
+        if c < 0.9 and kind in ("article", "main", "div-article", "teasers"):  # a list of links or a linked line of the article itself
+            return "<ul>" + "".join(f"<li>{mark}{link()}</li>" for _ in range(r.randint(2, 8))) + "</ul>" if r.random() < 0.8 else f"<p>{mark}{link()}</p>"
         if c < 0.92:
             return f"<p><b>{mark}{text()}<br><p>{mark}{text()}</p>"
         if c < 0.96:
