@@ -5,13 +5,15 @@ Words are maximal runs of ``[^\\x20\\x09-\\x0D]``: just what ``bytes.split()`` c
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+
+from aqgrid.sources.scratch import discard, fresh_dir, shared_dir, written
+
+__all__ = ["Words", "chunks", "discard", "fresh_dir", "mix", "shared_dir", "utf8", "written"]
 
 #: Bytes of text that one vectorised step works on; bounds the memory of a task.
 CHUNK_BYTES = 4 << 20
@@ -23,37 +25,6 @@ _PLACE = _RNG.integers(0, 1 << 63, 1 << 12, dtype=np.uint64) * np.uint64(2) + np
 STEP = _RNG.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where unset, one below the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-    return base.rstrip("/")
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/aqgrid-{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write the rows to the shared folder once and read them back."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(*frames: DataFrame) -> None:
-    """Remove the folders of ``written`` frames that nothing will read again."""
-    for df in frames:
-        spark = df.sparkSession
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if folder.rsplit("/", 1)[1].startswith("aqgrid-"):
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (the finaliser of MurmurHash3)."""
     h = h ^ (h >> np.uint64(33))

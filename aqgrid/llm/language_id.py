@@ -9,7 +9,9 @@ The automata come from a bounded sample: at most ``sample_chars`` characters a l
 a long text a window. Every label is learned, and every letter of the sample has a class of its own. The driver builds the
 automata, and their transitions travel with the task (about 36 bytes for each sampled character); a task lays out its tables
 from them, parses many pieces in step with numpy and drops the tables at its end. A document is cut into pieces of ``PIECE``
-characters, each parsed on its own, so the longest text needs no more memory than a short one; every piece counts.
+characters, each parsed on its own; every piece counts. Pieces are made and parsed ``SLICE`` characters at a time, so that
+beside the text itself the longest one takes no more memory than a short one. More than ``max_labels`` different labels raise
+an error, as a column with so many is hardly one of languages and each takes about 2 MB of the driver and of every task.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. Rows with a null label are predicted but not
 learned from. Without any labelled row every language is ``und``. Equal counts: the language that sorts first. Repeated
@@ -25,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aqgrid.llm.common import chunks
+from aqgrid.llm.common import chunks, discard, written
 
 PIECE = 1024
-#: Labelled texts drawn for each language, about, and the characters that the sample takes of one at most.
+#: Characters that are parsed at once.
+SLICE = 1 << 19
+#: Labelled texts drawn for each language, about, or more where short texts don't fill the sample, and the characters that the
+#: sample takes of one at most.
 ROWS, WINDOW = 80, 20_000
 LETTER = r"\p{L}"
 #: Languages with more classes of characters, or whose table goes beyond these bytes in all, get a sorted list of transitions.
@@ -41,8 +46,9 @@ def training_rows(docs: DataFrame, *, id_col: str = "doc_id", folds: int = 5) ->
     return (F.crc32(F.col(id_col).cast("string").cast("binary")) % folds) != 0
 
 
-def sample(docs: DataFrame, where: Column, *, text_col: str, lang_col: str, sample_chars: int) -> dict[str, list[str]]:
-    """A bounded sample for each language: texts whose hash falls below a threshold that lets about ``ROWS`` through.
+def sample(docs: DataFrame, where: Column, *, text_col: str, lang_col: str, sample_chars: int, max_labels: int = 256) -> dict[str, list[str]]:
+    """A bounded sample for each language: texts whose hash falls below a threshold that lets about ``ROWS`` through, or as many
+    as hold ``sample_chars`` and a half more.
 
     Only texts with a letter are counted and drawn, and copies count once. Of a text over ``WINDOW`` characters the sample
     takes a window at a hashed place, or at the first letter where that one holds none. The texts of a language reach the
@@ -50,7 +56,12 @@ def sample(docs: DataFrame, where: Column, *, text_col: str, lang_col: str, samp
     """
     text, lang, hashed = F.col(text_col), F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col))
     labelled = docs.where(where & F.col(lang_col).isNotNull() & text.rlike(LETTER))
-    counts = labelled.groupBy(lang).agg(F.approx_count_distinct(hashed, 0.02).alias("n")).select("lang", (F.lit(float(ROWS)) / F.col("n")).alias("share"))
+    mean = F.avg(F.least(F.length(text), F.lit(WINDOW)))
+    want = F.greatest(F.lit(float(ROWS)), 1.5 * sample_chars / F.col("mean"))
+    counts = labelled.groupBy(lang).agg(F.approx_count_distinct(hashed, 0.02).alias("n"), mean.alias("mean")).select("lang", (want / F.col("n")).alias("share"))
+    counts = written(counts, "labels")  # a row a label
+    if (labels := counts.count()) > max_labels:
+        raise ValueError(f"{labels} labels are more than max_labels ({max_labels}); is {lang_col} a column of languages?")
     picked = labelled.select(lang, text.alias("text"), hashed.alias("h")).join(F.broadcast(counts), "lang")
     picked = picked.where(F.pmod(F.col("h"), F.lit(1_000_000_007)) / 1_000_000_007.0 < F.col("share"))
     start = 1 + F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))).cast("int")
@@ -61,6 +72,7 @@ def sample(docs: DataFrame, where: Column, *, text_col: str, lang_col: str, samp
     out: dict[str, list[str]] = {}
     for r in once.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < sample_chars).orderBy("lang", "h").collect():
         out.setdefault(r["lang"], []).append(r["text"][: sample_chars - r["before"]])
+    discard(counts)
     return out
 
 
@@ -88,6 +100,24 @@ class Alphabet:
             c = c[keep]
         return c
 
+    def pieces(self, text: str) -> Iterator[np.ndarray]:
+        """The codes of the text in pieces of PIECE, made SLICE characters at a time."""
+        rest, blank = np.zeros(0, self.table.dtype), False
+        for at in range(0, len(text), SLICE):
+            c = self.codes(text[at : at + SLICE])
+            if blank and len(c) and c[0] == 0:  # a run of non-letters over the edge stays one
+                c = c[1:]
+            if not len(c):
+                continue
+            blank = c[-1] == 0
+            c = np.concatenate((rest, c)) if len(rest) else c
+            whole = len(c) // PIECE * PIECE
+            for a in range(0, whole, PIECE):
+                yield c[a : a + PIECE]
+            rest = c[whole:]
+        if len(rest):
+            yield rest
+
 
 def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
     """Transitions of the smallest automaton that accepts all substrings; state 0 is the start."""
@@ -193,18 +223,29 @@ class Model:
 
     def rates(self, texts: list[str]) -> np.ndarray:
         """Normalised phrases a character, by text and language; not a number where no letter is."""
-        codes = [self.alphabet.codes(t) for t in texts]
-        pieces, of = [], []
-        for k, c in enumerate(codes):
-            for a in range(0, len(c), PIECE):
-                pieces.append(c[a : a + PIECE])
+        phrases, sizes = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        letters = np.zeros(len(texts), bool)
+        pieces, of, held = [], [], 0
+
+        def parse() -> None:
+            nonlocal held
+            if pieces:
+                np.add.at(phrases, np.array(of), self._parse(pieces))
+            pieces.clear()
+            of.clear()
+            held = 0
+
+        for k, text in enumerate(texts):
+            for c in self.alphabet.pieces(text):
+                pieces.append(c)
                 of.append(k)
-        phrases = np.zeros((len(texts), len(self.langs)))
-        if pieces:
-            np.add.at(phrases, np.array(of), self._parse(pieces))
-        sizes = np.array([len(c) for c in codes], float)
-        empty = np.array([not c.any() for c in codes])
-        sizes[empty] = np.nan
+                sizes[k] += len(c)
+                letters[k] |= c.any()
+                held += len(c)
+                if held >= SLICE:
+                    parse()
+        parse()
+        sizes[~letters] = np.nan
         return phrases / sizes[:, None] / self.own[None, :]
 
     def _parse(self, pieces: list[np.ndarray]) -> np.ndarray:
@@ -243,10 +284,10 @@ class Model:
 
 
 def train(
-    docs: DataFrame, where: Column | None = None, *, text_col: str = "text", lang_col: str = "lang", sample_chars: int = 60_000
+    docs: DataFrame, where: Column | None = None, *, text_col: str = "text", lang_col: str = "lang", sample_chars: int = 60_000, max_labels: int = 256
 ) -> tuple[tuple[str, tuple[str, ...]], ...]:
     """The model as plain text: (language, texts) pairs for every label, at most ``sample_chars`` characters each."""
-    got = sample(docs, F.lit(True) if where is None else where, text_col=text_col, lang_col=lang_col, sample_chars=sample_chars)
+    got = sample(docs, F.lit(True) if where is None else where, text_col=text_col, lang_col=lang_col, sample_chars=sample_chars, max_labels=max_labels)
     return tuple((k, tuple(v)) for k, v in got.items())
 
 

@@ -307,3 +307,36 @@ def test_large_alphabets_are_told_apart(monkeypatch):
     monkeypatch.setattr(language_id, "DENSE_CLASSES", 1_000)
     dense = language_id.Model(texts)
     assert all(t.dense for t in dense.tables) and (dense.rates(ask) == m.rates(ask)).all()
+
+
+def test_language_of_long_texts_in_slices(make, monkeypatch):
+    """Slices change nothing; a text far over a slice takes no more arrays than one slice needs."""
+    import tracemalloc
+
+    import numpy as np
+
+    texts = {"en": ("the quick brown fox jumps over the lazy dog and then runs home again. " * 40,), "de": ("der schnelle braune fuchs springt über den faulen hund und läuft heim. " * 40,)}
+    m = language_id.Model(texts)
+    cases = ["", "  ,, ", "the fox -- 12 ", "über" + " ," * 900 + "den hund", texts["de"][0] + ", " * 700 + texts["en"][0], "x" * 3000]
+    want = m.rates(cases)
+    monkeypatch.setattr(language_id, "SLICE", 333)
+    np.testing.assert_allclose(m.rates(cases), want)
+    monkeypatch.undo()
+    peaks = []
+    for n in (1, 8):
+        long = texts["en"][0] * (n * 700)
+        tracemalloc.start()
+        m.rates([long])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.3 * peaks[0]
+
+
+def test_language_labels_and_short_texts(make, spark):
+    rows = [(i, f"w{i % 50} w{i // 50} ab", "en" if i % 2 else "de") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = dict(language_id.train(docs, sample_chars=3000))
+    assert all(2500 < sum(map(len, v)) <= 3000 for v in got.values()) and set(got) == {"en", "de"}
+    dirty = docs.withColumn("lang", docs.doc_id.cast("string"))
+    with pytest.raises(ValueError, match="labels are more than"):
+        language_id.train(dirty)
