@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aqgrid.llm import decontamination, language_id, ngram_join, packing, secret_scan
-from aqgrid.llm.common import written
+from aqgrid.llm.common import discard, written
 from aqgrid.llm.queries import table, tokenizer_path
 
 #: Predictions below this score count as no language; with four languages a blind guess has 0.25.
@@ -66,8 +66,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``. What a stage returned is removed once the next one is written; the last one, which reads
+    its documents no more when its pieces are written, lets go of them too."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if last is not None:
+            discard(last)
+        last = docs
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    discard(docs)
+    return out
