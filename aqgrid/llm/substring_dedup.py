@@ -41,6 +41,8 @@ BUCKET_BYTES = 2 << 20
 HOLD_BYTES = 40 << 20
 #: Super-k-mers in one of the two generations that a task remembers.
 REMEMBERED = 120_000
+#: Bytes up to which a parcel is sent as it is.
+SMALL_PARCEL = 256
 _LAST = np.uint64(1) << np.uint64(63)
 
 
@@ -116,12 +118,13 @@ def frequent_minimisers(docs: DataFrame, *, k: int, m: int, id_col: str, text_co
 
 
 def _pack(doc: np.ndarray, first: np.ndarray, body: bytes, zstd: zstandard.ZstdCompressor) -> bytes:
-    head = struct.pack("<I", len(doc)) + doc.astype("<i8").tobytes() + first.astype("<i4").tobytes()
-    return zstd.compress(head + body)
+    """A parcel; a first byte tells whether it is compressed, which small ones aren't."""
+    data = struct.pack("<I", len(doc)) + doc.astype("<i8").tobytes() + first.astype("<i4").tobytes() + body
+    return b"\1" + zstd.compress(data) if len(data) > SMALL_PARCEL else b"\0" + data
 
 
 def _unpack(blob: bytes, zstd: zstandard.ZstdDecompressor, words: bool) -> tuple:
-    data = zstd.decompress(blob)
+    data = zstd.decompress(blob[1:]) if blob[:1] == b"\1" else blob[1:]
     n = struct.unpack_from("<I", data)[0]
     at = 4 + 12 * n
     rest = data[at:].split(b"\n") if words else np.frombuffer(data, "<i4", n, at)
@@ -183,29 +186,32 @@ class _Sender:
     """Holds super-k-mers of several chunks by bucket, and packs them."""
 
     def __init__(self, buckets: int):
-        self.buckets, self.zstd = buckets, zstandard.ZstdCompressor(level=3)
+        self.buckets, self.zstd = buckets, zstandard.ZstdCompressor(level=5)
         self.parts: list[tuple] = []
         self.intervals: list[tuple] = []
         self.held = 0
 
     def put(self, bucket: np.ndarray, doc: np.ndarray, first: np.ndarray, strings: list[bytes]) -> None:
-        order = np.argsort(bucket, kind="stable")
-        self.parts.append((bucket[order], doc[order], first[order], [strings[j] for j in order.tolist()]))
+        self.parts.append((bucket, doc, first, strings))
         self.held += sum(map(len, strings)) + 64 * len(strings)
 
     def known(self, doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> None:
         self.intervals.append((doc, start, stop))
 
     def flush(self) -> Iterator[pa.RecordBatch]:
+        """One parcel for each bucket that has strings; the work follows the strings held, however many buckets there are."""
         bucket, known, packed = [], [], []
-        edges = [np.searchsorted(p[0], np.arange(self.buckets + 1)) for p in self.parts]
-        for k in range(self.buckets) if self.parts else ():
-            cut = [(p, int(e[k]), int(e[k + 1])) for p, e in zip(self.parts, edges, strict=True) if e[k] < e[k + 1]]
-            if cut:
-                doc, first = (np.concatenate([p[c][x:y] for p, x, y in cut]) for c in (1, 2))
-                bucket.append(k)
+        if self.parts:
+            at, doc, first = (np.concatenate([p[c] for p in self.parts]) for c in range(3))
+            order = np.argsort(at, kind="stable")
+            at, doc, first = at[order], doc[order], first[order]
+            every = [w for p in self.parts for w in p[3]]
+            strings = [every[j] for j in order.tolist()]
+            edges = np.append(np.flatnonzero(np.append(True, at[1:] != at[:-1])), len(at)).tolist() if len(at) else []
+            for x, y in zip(edges, edges[1:], strict=False):
+                bucket.append(int(at[x]))
                 known.append(False)
-                packed.append(_pack(doc, first, b"\n".join([w for p, x, y in cut for w in p[3][x:y]]), self.zstd))
+                packed.append(_pack(doc[x:y], first[x:y], b"\n".join(strings[x:y]), self.zstd))
         if self.intervals:  # any bucket will do; by the first document, so that they spread
             doc, start, stop = (np.concatenate([i[c] for i in self.intervals]) for c in range(3))
             for at in range(0, len(doc), 4096):

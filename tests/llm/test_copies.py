@@ -315,3 +315,31 @@ def test_gram_hashes_are_of_the_grams():
         assert len(h) == len(grams)
         assert all((h[i] == h[j]) == (grams[i] == grams[j]) for i in range(len(h)) for j in range(len(h)))
     assert len(decontamination.gram_hashes(np.zeros(0, np.uint64), 3)) == 0
+
+
+def test_sender_follows_its_strings():
+    """A flush with a hundred times the buckets takes about as long, and every string comes back."""
+    import time
+
+    import numpy as np
+
+    n, took = 20_000, {}
+    strings = [b"some words of a window %d" % i for i in range(n)]
+    for buckets in (10_000, 1_000_000):
+        best = float("inf")
+        for _ in range(3):
+            sender = substring_dedup._Sender(buckets)
+            at = (substring_dedup.mix(np.arange(n, dtype=np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            sender.put(at[: n // 2], np.arange(n // 2), np.zeros(n // 2, np.int64), strings[: n // 2])
+            sender.put(at[n // 2 :], np.arange(n // 2, n), np.zeros(n - n // 2, np.int64), strings[n // 2 :])
+            began = time.perf_counter()
+            batches = list(sender.flush())
+            best = min(best, time.perf_counter() - began)
+        took[buckets] = best
+        zstd, got = substring_dedup.zstandard.ZstdDecompressor(), {}
+        for b in batches:
+            for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("packed").to_pylist(), strict=True):
+                doc, _, words = substring_dedup._unpack(blob, zstd, True)
+                got |= {d: (bucket, w) for d, w in zip(doc.tolist(), words, strict=True)}
+        assert got == {i: (int(at[i]), strings[i]) for i in range(n)}
+    assert took[1_000_000] < 5 * took[10_000] + 0.5
