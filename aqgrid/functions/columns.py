@@ -90,8 +90,12 @@ _BETA = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 *
 _DELTA = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3, 7 * _N**2 / 3 - 8 * _N**3 / 5, 56 * _N**3 / 15)
 
 
-def to_utm(lon: Column, lat: Column, zone: int = 43) -> tuple[Column, Column]:
-    """Easting and northing (northern hemisphere) by the Krueger series of third order."""
+#: What is added to northings of the southern zones.
+SOUTH = 10_000_000.0
+
+
+def to_utm(lon: Column, lat: Column, zone: int = 43, south: bool = False) -> tuple[Column, Column]:
+    """Easting and northing of a northern or southern zone by the Krueger series of third order."""
     e = 2 * math.sqrt(_N) / (1 + _N)
     s = F.sin(F.radians(lat))
     t = F.sinh(F.atanh(s) - e * F.atanh(e * s))
@@ -101,12 +105,12 @@ def to_utm(lon: Column, lat: Column, zone: int = 43) -> tuple[Column, Column]:
     for j, a in enumerate(_ALPHA, 1):
         east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         north = north + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return 500000.0 + _K0 * _RADIUS * east, _K0 * _RADIUS * north
+    return 500000.0 + _K0 * _RADIUS * east, (SOUTH if south else 0.0) + _K0 * _RADIUS * north
 
 
-def from_utm(x: Column, y: Column, zone: int = 43) -> tuple[Column, Column]:
+def from_utm(x: Column, y: Column, zone: int = 43, south: bool = False) -> tuple[Column, Column]:
     """Longitude and latitude of a UTM point."""
-    xi, eta = y / (_K0 * _RADIUS), (x - 500000.0) / (_K0 * _RADIUS)
+    xi, eta = (y - (SOUTH if south else 0.0)) / (_K0 * _RADIUS), (x - 500000.0) / (_K0 * _RADIUS)
     a, b = xi, eta
     for j, w in enumerate(_BETA, 1):
         a = a - w * F.sin(2 * j * xi) * F.cosh(2 * j * eta)

@@ -708,9 +708,11 @@ def q7(spark, d):
     return quality.run_checks(_dust(spark, d).withColumn("tile_area", F.lit(900.0)), quality.dust_checks(), columns=("tile_id",))
 
 
-@query("q4_month_parity", "WITH s AS (SELECT o_custkey AS g, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) AS v FROM orders GROUP BY ALL), f AS (SELECT *, date_trunc('month', d) AS m, min(d) OVER (PARTITION BY date_trunc('month', d)) AS first FROM s) SELECT a.d AS date, count(*) AS n_cells, count(*) FILTER (abs(a.v - b.v) > 1e-6) AS n_values, CAST(0 AS BIGINT) AS n_masks FROM f a JOIN f b ON a.m = b.m AND a.g = b.g AND b.d = b.first WHERE a.d > a.first GROUP BY 1")
+@query("q4_month_parity", "WITH s AS (SELECT o_custkey AS g, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) FILTER (o_orderpriority <> '1-URGENT') AS v FROM orders GROUP BY ALL), f AS (SELECT *, date_trunc('month', d) AS m, min(d) OVER (PARTITION BY date_trunc('month', d)) AS first FROM s) SELECT a.d AS date, count(*) AS n_cells, count(*) FILTER (abs(a.v - b.v) > 1e-6) AS n_values, count(*) FILTER ((a.v IS NULL) <> (b.v IS NULL)) AS n_masks FROM f a JOIN f b ON a.m = b.m AND a.g = b.g AND b.d = b.first WHERE a.d > a.first GROUP BY 1")
 def q4(spark, d):
-    s = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("grid_id"), F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("value"))
+    """A value by customer and date, null where all its orders are urgent."""
+    value = F.max(F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice")))
+    s = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("grid_id"), F.to_date("o_orderdate").alias("date")).agg(value.alias("value"))
     return quality.month_parity(s)
 
 
@@ -1100,6 +1102,30 @@ def p8(spark, d):
     return s.select("sensor_id", F.round(lat, 6).alias("lat"), F.round(lon, 6).alias("lon"), C.in_bbox(F.col("longitude"), F.col("latitude"), (72.7763, 18.8939, 72.9797, 19.2701)).alias("in_box"))
 
 
+def _series(south):
+    """The projection in SQL: conformal latitude, then three terms of the series, with their coefficients as numbers."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    e, k = 2 * n**0.5 / (1 + n), 0.9996 * 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    a = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    at = lambda x: f"(0.5 * ln((1 + {x}) / (1 - {x})))"
+    sinh, cosh = (lambda x: f"((exp({x}) - exp(-({x}))) / 2)"), (lambda x: f"((exp({x}) + exp(-({x}))) / 2)")
+    s, sign = "sin(radians(la))", -1 if south else 1
+    east = "eta + " + " + ".join(f"{c!r}::DOUBLE * cos({2 * j} * xi) * {sinh(f'{2 * j} * eta')}" for j, c in enumerate(a, 1))
+    north = "xi + " + " + ".join(f"{c!r}::DOUBLE * sin({2 * j} * xi) * {cosh(f'{2 * j} * eta')}" for j, c in enumerate(a, 1))
+    return f"""(SELECT sensor_id, round(500000 + {k!r}::DOUBLE * ({east}), 4) AS e, round({10_000_000 if south else 0} + {k!r}::DOUBLE * ({north}), 4) AS n FROM (
+SELECT sensor_id, atan2(t, cos(d)) AS xi, {at("sin(d) / sqrt(1 + t * t)")} AS eta FROM (
+SELECT sensor_id, {sinh(f"{at(s)} - {e!r}::DOUBLE * {at(f'({e!r}::DOUBLE * {s})')}")} AS t, radians(longitude - 75) AS d FROM (SELECT sensor_id, longitude, {sign} * latitude AS la FROM sens WHERE latitude IS NOT NULL))))"""
+
+
+@query("p8_utm", sql(f"SELECT a.sensor_id, a.e AS easting, a.n AS northing, b.n AS northing_south FROM {_series(False)} a JOIN {_series(True)} b USING (sensor_id)", "sens"))
+def p8_utm(spark, d):
+    """Easting and northing of the sensors, and of their mirror images south of the equator."""
+    s = S.sensors(spark, d).where("latitude IS NOT NULL")
+    (e, n), (_, south) = C.to_utm(F.col("longitude"), F.col("latitude")), C.to_utm(F.col("longitude"), -F.col("latitude"), south=True)
+    return s.select("sensor_id", F.round(e, 4).alias("easting"), F.round(n, 4).alias("northing"), F.round(south, 4).alias("northing_south"))
+
+
 @query("g1_centroids", "SELECT CAST(c AS INTEGER) AS ix, CAST(r AS INTEGER) AS iy, 15.0::DOUBLE + 30.0 * c AS x, 15.0::DOUBLE + 30.0 * r AS y, n FROM range(10) a(c) CROSS JOIN range(10) b(r) LEFT JOIN (SELECT floor(300.0::DOUBLE * ((c_custkey * 7919) % 997) / 997.0 / 30) AS cx, floor(300.0::DOUBLE * ((c_custkey * 104729) % 991) / 991.0 / 30) AS cy, count(*) AS n FROM customer GROUP BY ALL) ON cx = c AND cy = r")
 def g1(spark, d):
     """Cell centres with the customers around them."""
