@@ -9,9 +9,10 @@ Before hits are expanded, places of a document count only near a run of hits: k
 of the item intact, hence a run of floor(m / (k + 1)) - q + 1 consecutive hits (at least; bands are looked at around every
 such run only). Nothing is lost by it.
 
-Items are the small side: they are collected after their total size is checked against ``MAX_BENCHMARK_CHARS`` and travel
-with the task. Documents are scanned once, in chunks, whole, without a shuffle; a run of equal neighbours or a popular
-passage makes work only in proportion to the text that holds it. q-grams are hashed and hits expanded in steps that overlap
+Items are the small side: they travel with the task, in parts of about ``PART_CHARS`` characters dealt by the hash of the item,
+one part after the other, so that a benchmark of any size is searched for whole while a task holds one part. Documents are
+scanned once for each part (one, for most benchmarks), in chunks, whole, without a shuffle; a run of equal neighbours or a
+popular passage makes work only in proportion to the text that holds it. q-grams are hashed and hits expanded in steps that overlap
 by all that one occurrence can span, so that a very long text needs little more memory than the text itself.
 
 Texts are compared lower-cased with white space as single spaces; start and end are places in that form. The edit budget is
@@ -36,7 +37,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from aqgrid.llm.common import STEP, chunks, mix
 
-MAX_BENCHMARK_CHARS = 32 << 20
+#: Characters of the items that are searched for at once, about.
+PART_CHARS = 16 << 20
 _SLOT_BITS = 22
 #: Bytes of text in a chunk, and characters of a text that are normalised, hashed or looked at for bands in one step.
 CHUNK, STEP_CHARS = 1 << 20, 1 << 17
@@ -242,12 +244,14 @@ def leaks(
     docs: DataFrame, benchmark: DataFrame, *, q: int = 12, rate: float = 0.05, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
     """Rows (doc_id, item_id, start, end, edits, item_chars): every occurrence of an item within its edit budget."""
-    items = _collect(benchmark, item_col, item_text_col)
     id_type, item_type = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
     schema = f"doc_id {id_type.simpleString()}, item_id {item_type.simpleString()}, start long, end long, edits int, item_chars int"
-    shared = docs.sparkSession.sparkContext.broadcast((items, q, rate))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found_of(items: list[tuple]) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast((items, q, rate))
+        return docs.select(id_col, text_col).mapInArrow(lambda batches: run(batches, shared), schema)
+
+    def run(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
         index = Index(*shared.value)
         scanner = Scanner(index)
         for b in chunks(batches, text_col, CHUNK):
@@ -259,21 +263,30 @@ def leaks(
                 kinds = [to_arrow_type(id_type), to_arrow_type(item_type), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "start", "end", "edits", "item_chars"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    out = None
+    for items in _parts(benchmark, item_col, item_text_col):
+        out = found_of(items) if out is None else out.unionByName(found_of(items))
+    return out
 
 
-def _collect(benchmark: DataFrame, item_col: str, text_col: str) -> list[tuple]:
-    total = benchmark.agg(F.sum(F.length(text_col))).first()[0] or 0
-    if total > MAX_BENCHMARK_CHARS:
-        raise ValueError(f"the benchmark has {total} characters; at most {MAX_BENCHMARK_CHARS} are searched for at once: pass it in parts")
-    return [tuple(r) for r in benchmark.select(item_col, text_col).where(F.length(text_col) > 0).collect()]
+def _parts(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple]]:
+    """The items in parts, at least one; equal items share a part."""
+    items = benchmark.select(item_col, text_col).where(F.length(text_col) > 0)
+    total = items.agg(F.sum(F.length(text_col))).first()[0] or 0
+    n = max(1, -(-total // PART_CHARS))
+    for k in range(n):
+        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64(item_col, text_col), F.lit(n)) == k).collect()]
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", q: int = 12, rate: float = 0.05, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows in which an item occurs; columns, repeated rows and their order within a file stay."""
-    shared = docs.sparkSession.sparkContext.broadcast((_collect(benchmark, item_col, item_text_col), q, rate))
+    """``docs`` without the rows in which an item occurs; columns, repeated rows and their order within a file stay. What one
+    part of the items leaves goes on to the next part within the same task."""
+
+    def without(docs: DataFrame, items: list[tuple]) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast((items, q, rate))
+        return docs.mapInArrow(lambda batches: run(batches, shared), docs.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(Index(*shared.value))
         for b in chunks(batches, text_col, CHUNK):
             bad = {f[0] for f in scanner.scan([normal(t) for t in b.column(text_col).to_pylist()])}
@@ -281,4 +294,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", q: i
             if (out := b.filter(keep)).num_rows:
                 yield out
 
-    return docs.mapInArrow(run, docs.schema)
+    for items in _parts(benchmark, item_col, item_text_col):
+        docs = without(docs, items)
+    return docs

@@ -343,3 +343,22 @@ def test_sender_follows_its_strings():
                 got |= {d: (bucket, w) for d, w in zip(doc.tolist(), words, strict=True)}
         assert got == {i: (int(at[i]), strings[i]) for i in range(n)}
     assert took[1_000_000] < 5 * took[10_000] + 0.5
+
+
+def test_decontamination_in_parts(make, spark, monkeypatch):
+    """A benchmark larger than a part is searched for whole: the same rows, and the same documents left."""
+    r = random.Random(11)
+    word = lambda: r.choice(["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf"]) + str(r.randrange(99))
+    items = [" ".join(word() for _ in range(12)) for _ in range(30)] + ["short one", None, ""]
+    items.append(items[3])
+    docs = [" ".join([word(), items[i % 30] if i % 3 else word(), word()]) for i in range(60)] + [None, ""]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    d = make(docs)
+    rows = lambda: sorted(map(tuple, decontamination.leaks(d, bench).collect()))
+    left = lambda: sorted(x.doc_id for x in decontamination.clean(d, bench).collect())
+    want = rows(), left()
+    assert len(want[0]) > 30 and 10 < len(want[1]) < 40
+    monkeypatch.setattr(decontamination, "PART_CHARS", 400)
+    assert len(list(decontamination._parts(bench, "item_id", "text"))) > 4
+    assert (rows(), left()) == want
+    assert decontamination.leaks(d, bench.where("false")).collect() == [] and decontamination.clean(d, bench.where("false")).count() == len(docs)
