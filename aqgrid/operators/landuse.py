@@ -97,12 +97,17 @@ def line_cells(segments: DataFrame, cell: float = 30.0, half_open: bool = False)
     leaves it, a hair wider for rounding."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     low, high = F.least(y1, y2), F.greatest(y1, y2)
-    s = segments.withColumn("j", F.explode(_cells(F.least(x1, x2), F.greatest(x1, x2), cell, not half_open)))
     slope, hair = F.try_divide(y2 - y1, x2 - x1), 1e-9 * (high - low) + 1e-9
     within = lambda x: F.greatest(F.least(x1, x2), F.least(F.greatest(x1, x2), x))
-    a, b = (y1 + slope * (within(x) - x1) for x in (F.col("j") * cell, (F.col("j") + 1) * cell))
-    enter, leave = F.greatest(low, F.coalesce(F.least(a, b) - hair, low)), F.least(high, F.coalesce(F.greatest(a, b) + hair, high))
-    return s.withColumn("i", F.explode(_cells(enter, leave, cell, not half_open)))
+
+    def column(j: Column) -> Column:
+        a, b = (y1 + slope * (within(x) - x1) for x in (j * cell, (j + 1) * cell))
+        enter, leave = F.greatest(low, F.coalesce(F.least(a, b) - hair, low)), F.least(high, F.coalesce(F.greatest(a, b) + hair, high))
+        return F.transform(_cells(enter, leave, cell, not half_open), lambda i: F.struct(i.alias("i"), j.alias("j")))
+
+    # one list a segment, outside the compiled loop, which the clipping of its rows then fills alone
+    tiles = F.flatten(F.transform(_cells(F.least(x1, x2), F.greatest(x1, x2), cell, not half_open), column))
+    return segments.withColumn("_tile", F.explode(tiles)).select(*segments.columns, F.col("_tile.j").alias("j"), F.col("_tile.i").alias("i"))
 
 
 def clip_lines(segments: DataFrame, cell: float = 30.0, half_open: bool = False) -> DataFrame:
@@ -112,14 +117,13 @@ def clip_lines(segments: DataFrame, cell: float = 30.0, half_open: bool = False)
     s = line_cells(segments, cell, half_open)
     near, far, out = [F.lit(0.0)], [F.lit(1.0)], F.lit(False)
     for a, d, lo in ((x1, x2 - x1, F.col("j") * cell), (y1, y2 - y1, F.col("i") * cell)):
-        t1, t2 = F.try_divide(lo - a, d), F.try_divide(lo + cell - a, d)
-        near.append(F.coalesce(F.least(t1, t2), F.lit(0.0)))
-        far.append(F.coalesce(F.greatest(t1, t2), F.lit(1.0)))
+        ahead = d >= 0  # few operations, so that the compiled loop stays small
+        near.append(F.when(d != 0, (F.when(ahead, lo).otherwise(lo + cell) - a) / d).otherwise(0.0))
+        far.append(F.when(d != 0, (F.when(ahead, lo + cell).otherwise(lo) - a) / d).otherwise(1.0))
         beyond = (a < lo) | ((a >= lo + cell) if half_open else (a > lo + cell))
         out = out | ((d == 0) & beyond)
-    t = F.least(*far) - F.greatest(*near)
-    length = F.when(out, 0.0).otherwise(F.greatest(t, F.lit(0.0))) * F.hypot(x2 - x1, y2 - y1)
-    return s.withColumn("length", length).where("length > 0")
+    s = s.withColumn("length", F.when(out, 0.0).otherwise(F.least(*far) - F.greatest(*near)))
+    return s.where("length > 0").withColumn("length", F.col("length") * F.hypot(x2 - x1, y2 - y1)).where("length > 0")
 
 
 def clip_areas(edges: DataFrame, cell: float = 30.0) -> DataFrame:
