@@ -18,9 +18,13 @@ lists, and the exact test 100 |A n B| >= 75 |A u B|. Short lists are merged by a
 a term. A pair of different classes has an end outside the largest class, so only documents there need a search.
 
 Equal sets are one node throughout: copies collapse within a chunk before anything travels and by their digest after it.
-A group larger than ``GROUP_SHINGLES`` is searched in blocks, then by one representative of each block's classes, and at
-last the documents outside its largest class are searched for in all blocks, so that every pair between different classes
-has been looked at, while pairs within the largest are not all formed.
+Groups larger than ``GROUP_SHINGLES`` are mostly texts that common phrases tie together, as the first order knows only the
+most frequent shingles. Their shingles are counted within the group and the lists merged once more, now in the order of the
+true counts, so that a text's merged lists are those of its rarest shingles; what remains falls into smaller groups.
+
+A group that is still too large is searched in blocks, then by one representative of each block's classes, and at last the
+documents outside its largest class are searched for in all blocks, so that every pair between different classes has been
+looked at, while pairs within the largest are not all formed.
 
 Words are maximal runs of ``[^\\x20\\x09-\\x0D]``, A-Z lower-cased. Fewer than five words: the whole sequence is one
 shingle. Null or empty texts have no shingle and link with nothing. A null id takes no part; its row gets a null class.
@@ -40,7 +44,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aqgrid.llm.common import STEP, Words, chunks, discard, mix, utf8, written
@@ -56,6 +60,8 @@ GROUP_SHINGLES = 2_000_000
 HEAP_ENTRIES = 4096
 #: Text that one bucket of lists stands for.
 BUCKET_BYTES = 16 << 20
+#: Entries of short lists that one bucket of a large group holds.
+BUCKET_ENTRIES = 1 << 18
 _LAST = np.uint64(1) << np.uint64(63)
 
 
@@ -271,6 +277,61 @@ def groups(lists: DataFrame, percent: int) -> DataFrame:
     return out
 
 
+def named_sets(rows: DataFrame, k: int) -> DataFrame:
+    """Rows (grp, id, n, node, text): each text with its number of shingles and the name of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, "text", 2 << 20):
+            s = Shingles(utf8(b.column("text")), k)
+            columns = [b.column("grp"), b.column("id"), pa.array(s.n), pa.array(s.keys()[0]), b.column("text")]
+            yield pa.RecordBatch.from_arrays(columns, names=["grp", "id", "n", "node", "text"])
+
+    return rows.select("grp", "id", "text").mapInArrow(run, "grp long, id long, n long, node long, text string")
+
+
+def counted_lists(sets: DataFrame, *, k: int, percent: int, short_list: int) -> DataFrame:
+    """As ``rare_lists``, within the groups of ``named_sets``, with shingles ordered by how many texts of the group have them."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, "text", 2 << 20):
+            s = Shingles(utf8(b.column("text")), k)
+            of = pa.array(s.doc)
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(of) for c in ("grp", "node", "n")), pa.array(s.hash.view(np.int64))], names=["grp", "node", "n", "token"])
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        return merge_lists(rows["token"].to_numpy().view(np.uint64), rows["node"].to_numpy(), rows["n"].to_numpy(), percent, short_list)
+
+    every = sets.select("grp", "node", "n", "text").mapInArrow(tokens, "grp long, node long, n long, token long")
+    # a shingle that one text has alone comes first in the order and has no list
+    shared = every.groupBy("grp", "token").agg(F.count("*").alias("often")).where("often > 1")
+    from_end = F.row_number().over(Window.partitionBy("grp", "node").orderBy(F.desc("often"), F.desc("token")))
+    left = F.ceil(F.col("n") * percent / 100) - shared_rare(F.col("n"))
+    kept = every.join(shared, ["grp", "token"]).withColumn("from_end", from_end).where(F.col("from_end") > left)
+    kept = written(kept.select(F.xxhash64("grp", "token").alias("token"), "node", "n", "often"), "counted")
+    short = kept.where(F.col("often") <= short_list)
+    buckets = max(64, -(-short.count() // BUCKET_ENTRIES))
+    dealt = short.withColumn("bucket", F.pmod("token", F.lit(buckets))).select("bucket", "token", "node", "n")
+    pairs = dealt.groupBy("bucket").applyInPandas(merge, "kind byte, a long, b long, na long, nb long, count long")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    long = kept.where(F.col("often") > short_list)
+    long = long.select(F.lit(1).cast("byte").alias("kind"), F.col("token").alias("a"), F.col("node").alias("b"), F.col("n").alias("na"), zero.alias("nb"), one.alias("count"))
+    out = written(pairs.union(long), "lists")
+    discard(kept)
+    return out
+
+
+def regrouped(rows: DataFrame, *, k: int, percent: int, short_list: int) -> DataFrame:
+    """Cut large groups (grp, id, text) into those that lists in the order of true counts leave: rows (grp, id, n, text, total),
+    with the shingles of the new group; texts that can't link with any other are gone."""
+    sets = written(named_sets(rows, k), "large")
+    lists = counted_lists(sets, k=k, percent=percent, short_list=short_list)
+    grouped = groups(lists, percent).withColumnRenamed("component", "grp")
+    total = sets.select("node", "n").join(grouped, "node").groupBy("grp").agg(F.sum("n").alias("total"))
+    out = written(sets.drop("grp").hint("merge").join(grouped.join(total, "grp"), "node").select("grp", "id", "n", "text", "total"), "regrouped")
+    discard(sets, lists, grouped)
+    return out
+
+
 def divide_skip(n: int, longest: int, need: int) -> int:
     """How many of the longest lists are probed instead of merged."""
     return max(0, min(need - 1, int(need / (0.0085 * np.log2(max(2, longest)) + 1))))
@@ -457,8 +518,11 @@ def ngram_join(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str =
     picked = texts.hint("merge").join(chosen.withColumnRenamed("head", "id"), "id")  # what is chosen grows with the input
     links = _links(picked.where(F.col("total") <= group_shingles).select("grp", "id", "text"), ["grp"], k, percent)
     if not chosen.where(F.col("total") > group_shingles).isEmpty():
-        large = picked.where(F.col("total") > group_shingles).select("grp", "id", "n", "text")
-        links = links.union(_large_links(written(large, "large"), k, percent, group_shingles))
+        large = regrouped(picked.where(F.col("total") > group_shingles), k=k, percent=percent, short_list=short_list)
+        links = links.union(_links(large.where(F.col("total") <= group_shingles).select("grp", "id", "text"), ["grp"], k, percent))
+        large = large.where(F.col("total") > group_shingles).drop("total")
+        if not large.isEmpty():
+            links = links.union(_large_links(large, k, percent, group_shingles))
     named = components(written(links, "links")).withColumnsRenamed({"node": "head", "component": "linked"})
     classes = sets.join(named, "head", "left").select("k1", "k2", F.coalesce("linked", "head").alias("class"))
     # the smallest id of a class is its smallest head, as heads are the smallest ids of equal sets

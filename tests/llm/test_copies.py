@@ -127,6 +127,57 @@ def test_long_lists_give_the_same(make, short):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_classes(rows)
 
 
+def texts_with_phrases(seed, n=240, phrases=12):
+    """Texts of their own words and of several common phrases each; every tenth has two near copies."""
+    r = random.Random(seed)
+    phrase = [[f"p{k}x{j}" for j in range(9)] for k in range(phrases)]
+    out, planted = {}, []
+    for d in range(0, n, 3):
+        ws = []
+        for x in r.sample(phrase, 6):
+            ws += x + [f"u{d}y{r.randrange(10**6)}" for _ in range(3)]
+        planted.append({d} if d % 30 else {d, d + 1, d + 2})
+        for c in sorted(planted[-1]):
+            out[c] = " ".join([*ws, f"tail{c}"])
+    return out, planted
+
+
+def test_common_phrases_don_t_make_groups(make):
+    rows, planted = texts_with_phrases(3)
+    docs = make(list(rows.values()), list(rows))
+    one = docs.selectExpr("1L AS grp", "doc_id AS id", "text")
+    found = {}
+    for x in ngram_join.regrouped(one, k=5, percent=75, short_list=8).collect():
+        found.setdefault(x.grp, set()).add(x.id)
+    whole = {frozenset(c) for c in planted if len(c) > 1}
+    assert {frozenset(x) for x in found.values()} == whole
+    got = ngram_join.ngram_join(docs, group_shingles=200, short_list=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_classes(rows)
+
+
+@pytest.mark.parametrize(("short", "seed"), [(1, 21), (3, 22), (32, 23)])
+def test_regrouping_loses_no_link(make, short, seed):
+    rows = near_copies(seed)
+    docs = make(list(rows.values()), list(rows)).where("text IS NOT NULL")
+    found = {}
+    for x in ngram_join.regrouped(docs.selectExpr("doc_id % 2 AS grp", "doc_id AS id", "text"), k=5, percent=75, short_list=short).collect():
+        found.setdefault(x.id, set()).add(x.grp)
+    for half in (0, 1):
+        classes = plain_classes({d: t for d, t in rows.items() if d % 2 == half})
+        for d, (n, c) in classes.items():
+            if c != d and rows[c].lower() != rows[d].lower():
+                assert found[d] & found[c]
+
+
+def test_regrouping_with_repeated_ids(make):
+    base = [f"w{i}" for i in range(60)]
+    texts = {d: " ".join([*base, f"e{d}"]) for d in range(30)}
+    other = {d: " ".join([f"o{d}z{i}" for i in range(40)]) for d in range(30)}
+    got = ngram_join.ngram_join(make([*texts.values(), *other.values()], [*texts, *other]), group_shingles=100, short_list=2).collect()
+    assert len(got) == 60
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == {(d, n, 0) for d in range(30) for n in (57, 36)}
+
+
 def test_ngram_join_over_real_texts(documents, rows):
     got = ngram_join.ngram_join(documents).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_classes(rows)
