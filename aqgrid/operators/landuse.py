@@ -236,14 +236,15 @@ def ring_crossings(rings: DataFrame, cell: float = 30.0) -> DataFrame:
     Edges meet by the tiles that they run through, as an equi-key; signs of orientation then tell whether two of them meet.
     """
     once = F.filter("ring", lambda c, i: (i == 0) | (c != F.get("ring", i - 1)))
-    d = rings.select("feature_id", once.alias("r")).where(F.size("r") >= 2).distinct()
+    d = order.spread(rings, "feature_id").select("feature_id", once.alias("r")).where(F.size("r") >= 2).distinct()
     d = d.withColumn("r", F.when(F.element_at("r", 1) == F.element_at("r", -1), F.col("r")).otherwise(F.concat("r", F.array(F.element_at("r", 1)))))
     edges = F.zip_with(F.slice("r", 1, F.size("r") - 1), F.slice("r", 2, F.size("r") - 1), lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
     d = d.select("feature_id", (F.size("r") - 1).alias("n"), F.posexplode(edges).alias("k", "e")).select("feature_id", "n", "k", "e.*")
     e = line_cells(d, cell)
     a = e.select("feature_id", "i", "j", "n", *[F.col(c).alias(f"a{c}") for c in ("k", "x1", "y1", "x2", "y2")])
     b = e.select("feature_id", "i", "j", *[F.col(c).alias(f"b{c}") for c in ("k", "x1", "y1", "x2", "y2")])
-    p = a.join(b, ["feature_id", "i", "j"]).where("ak < bk")
+    # merged: the planner takes the rows of tiles for as few as the rings and would broadcast them
+    p = a.join(b.hint("merge"), ["feature_id", "i", "j"]).where("ak < bk")
     side = lambda o, q, c: (F.col(f"{o}x2") - F.col(f"{o}x1")) * (F.col(f"{q}y{c}") - F.col(f"{o}y1")) - (F.col(f"{o}y2") - F.col(f"{o}y1")) * (F.col(f"{q}x{c}") - F.col(f"{o}x1"))
     boxes = F.lit(True)
     for c in "xy":

@@ -1,4 +1,5 @@
-"""Orders over whole tables without a task that holds them: ranges of the key, and what one range hands to the next.
+"""Orders over whole tables without a task that holds them: ranges of the key, and what one range hands to the next; parts by
+the number of rows.
 
 The ranges end at values that the table holds, found by Spark's approximate percentiles; which range a row falls into follows
 from its key alone, so that it is the same however often a plan or a lost task is run.
@@ -31,6 +32,13 @@ def range_of(key: Column, ends: list[Any]) -> Column:
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda low, step: F.when((low + step <= last) & ahead(low, step), low + step).otherwise(low))
 
 
+def spread(df: DataFrame, *keys: str, rows: int = 20_000) -> DataFrame:
+    """The rows dealt by a hash of the keys to parts of about ``rows``. For what makes many rows of each one: adaptive execution
+    merges parts by the bytes that go in, so that a few tasks would hold all that comes out."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(n, *keys)
+
+
 #: Ranges of an order where nothing else is asked for.
 RANGES = 64
 

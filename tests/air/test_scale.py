@@ -184,3 +184,22 @@ def test_dates_in_order(spark):
     d = spark.createDataFrame(rows, "k int, date string").withColumn("date", F.to_date("date")).repartition(7)
     assert quality.date_order(d, "k").first()["observed"] == 10
     assert quality.date_order(d.withColumn("g", F.col("k") % 2), "k", groups=("g",)).first()["observed"] == 20
+
+
+def rows_of_tiles(spark, name, n):
+    """A query's plan over ``n`` parts, which lie in one small file."""
+    import subprocess
+
+    folder = subprocess.check_output(["mktemp", "-d", "/tmp/spark-XXXXXX"], text=True).strip()
+    for t in ("customer", "events"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(f"{folder}/{t}.parquet")
+    row = ["id AS p_partkey", "'MEDIUM' AS p_type", "CAST(id % 50 AS INT) AS p_size"]
+    spark.range(n).selectExpr(*row).coalesce(1).write.parquet(f"{folder}/part.parquet")
+    return registry.queries()[name](spark, folder)
+
+
+def test_tiles_of_rings_are_not_broadcast(spark):
+    """Many rows come of a ring's few bytes; the planner would send them all through the driver."""
+    p = plan(rows_of_tiles(spark, "g7_crossings", 5000))
+    assert not re.search(r"BroadcastHashJoin \[feature_id#\d+L?, i#\d+", p)
+    assert re.search(r"SortMergeJoin \[feature_id#\d+L?, i#\d+", p)
