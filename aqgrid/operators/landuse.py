@@ -132,11 +132,11 @@ def clip_areas(edges: DataFrame, cell: float = 30.0) -> DataFrame:
     In each column of tiles an edge adds the signed integral of its height over a tile's lower side, clamped to the tile. In
     the rows that it crosses this is worked out; every row below gets one and the same amount, which is noted once, with the
     lowest row crossed. Those notes are summed from the top and spread over the rows between them, so that the work follows
-    the border and the tiles covered, not the border times the height.
+    the border and the tiles covered, not the border times the height. All of it runs within parts dealt by the polygon.
     """
     from pyspark.sql import Window
 
-    e = edges.where("x1 <> x2")
+    e = order.spread(edges, "feature_id").where("x1 <> x2")
     xa, xb = F.least("x1", "x2"), F.greatest("x1", "x2")
     e = e.withColumn("j", F.explode(_cells(xa, xb, cell, False)))
     e = e.withColumn("l", F.greatest(xa, F.col("j") * cell)).withColumn("r", F.least(xb, (F.col("j") + 1) * cell)).where("r > l")
@@ -153,12 +153,19 @@ def clip_areas(edges: DataFrame, cell: float = 30.0) -> DataFrame:
         top = F.greatest(a, b)
         return F.col("w") * both.otherwise(F.try_divide(top * top, 2 * (top - F.least(a, b))))
 
-    crossed = e.withColumn("i", F.explode("rows")).select("feature_id", "i", "j", ((positive(base) - positive(base + cell)) * F.col("s")).alias("p"))
-    notes = e.groupBy("feature_id", "j", F.col("rows")[0].alias("low")).agg(F.sum(F.col("s") * F.col("w") * cell).alias("d"))
-    down = Window.partitionBy("feature_id", "j").orderBy(F.desc("low"))
-    notes = notes.withColumn("p", F.sum("d").over(down)).withColumn("next", F.lead("low").over(down))
-    between = notes.where((F.abs("p") > 1e-7) & F.col("next").isNotNull()).select("feature_id", F.explode(F.sequence("next", F.col("low") - 1)).alias("i"), "j", "p")
-    return crossed.unionByName(between).groupBy("feature_id", "i", "j").agg(F.abs(F.sum("p")).alias("area")).where("area > 1e-9")
+    lowest = F.col("i") == F.col("rows")[0]
+    e = e.withColumn("i", F.explode("rows"))
+    e = e.select("feature_id", "i", "j", ((positive(base) - positive(base + cell)) * F.col("s")).alias("p"), F.when(lowest, F.col("s") * F.col("w") * cell).alias("d"))
+    crossed = e.groupBy("feature_id", "j", "i").agg(F.sum("p").alias("p"), F.sum("d").alias("d"))
+    # what the notes down to a row amount to, from the rows above it and with its own; the rows below the lowest note get nothing
+    down = Window.partitionBy("feature_id", "j").orderBy(F.desc("i"))
+    amount = lambda v: F.when(F.abs(v) > 1e-7, v).otherwise(0.0)
+    crossed = crossed.withColumn("next", F.lead("i").over(down)).withColumn("sum", F.sum("d").over(down))
+    crossed = crossed.withColumn("above", amount(F.coalesce(F.lag("sum").over(down), F.lit(0.0)))).withColumn("sum", amount(F.coalesce("sum", F.lit(0.0))))
+    between = F.when((F.col("next") < F.col("i") - 1) & (F.col("sum") != 0), F.sequence(F.col("next") + 1, F.col("i") - 1)).otherwise(F.array().cast("array<int>"))
+    own = F.array(F.struct("i", F.abs(F.col("p") + F.col("above")).alias("area")))
+    out = crossed.withColumn("t", F.explode(F.concat(own, F.transform(between, lambda i: F.struct(i.alias("i"), F.abs("sum").alias("area"))))))
+    return out.select("feature_id", "t.i", "j", "t.area").where("area > 1e-9")
 
 
 def points_in_tiles(points: DataFrame, cell: float = 30.0) -> DataFrame:

@@ -203,3 +203,22 @@ def test_tiles_of_rings_are_not_broadcast(spark):
     p = plan(rows_of_tiles(spark, "g7_crossings", 5000))
     assert not re.search(r"BroadcastHashJoin \[feature_id#\d+L?, i#\d+", p)
     assert re.search(r"SortMergeJoin \[feature_id#\d+L?, i#\d+", p)
+
+
+@pytest.mark.parametrize("name", ["g5_polygon_area", "g5_tile_areas", "p17_industrial_tiles", "q8_industrial_tiles"])
+def test_areas_are_clipped_in_parts_by_number(spark, name):
+    """60,000 edges in one small file: their tiles are worked out in several parts, whatever the bytes of the file."""
+    p = plan(rows_of_tiles(spark, name, 20_000 + 60_000 * (name == "g5_tile_areas")))
+    n = 12 if name == "g5_tile_areas" else max(3, spark.sparkContext.defaultParallelism)
+    assert re.search(rf"hashpartitioning\(feature_id#\d+L?, {n}\), REPARTITION_BY_NUM", p)
+
+
+def test_areas_of_a_ring_with_a_hole_and_gaps(spark):
+    """Areas between the rows that edges cross, above a hole and within it."""
+    square = lambda lo, hi: [(lo, lo, hi, lo), (hi, lo, hi, hi), (hi, hi, lo, hi), (lo, hi, lo, lo)]
+    hole = [(c, d, a, b) for a, b, c, d in square(95.0, 205.0)]
+    e = spark.createDataFrame([(1, *map(float, x)) for x in square(5.0, 295.0) + hole], "feature_id int, x1 double, y1 double, x2 double, y2 double")
+    got = {(r.i, r.j): r.area for r in landuse.clip_areas(e).collect()}
+    over = lambda lo, hi, k: max(0.0, min(hi, 30 * k + 30) - max(lo, 30 * k))
+    want = {(i, j): over(5, 295, i) * over(5, 295, j) - over(95, 205, i) * over(95, 205, j) for i in range(10) for j in range(10)}
+    assert got == pytest.approx({k: v for k, v in want.items() if v > 1e-9})
