@@ -32,11 +32,15 @@ def range_of(key: Column, ends: list[Any]) -> Column:
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda low, step: F.when((low + step <= last) & ahead(low, step), low + step).otherwise(low))
 
 
+def parts(df: DataFrame, rows: int = 20_000) -> int:
+    """How many parts of about ``rows`` the rows make, one for each core at least."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+
+
 def spread(df: DataFrame, *keys: str, rows: int = 20_000) -> DataFrame:
     """The rows dealt by a hash of the keys to parts of about ``rows``. For what makes many rows of each one: adaptive execution
     merges parts by the bytes that go in, so that a few tasks would hold all that comes out."""
-    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
-    return df.repartition(n, *keys)
+    return df.repartition(parts(df, rows), *keys)
 
 
 #: Ranges of an order where nothing else is asked for.

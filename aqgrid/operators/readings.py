@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aqgrid.functions.columns import accepted_pm25, haversine_km
+from aqgrid.functions.columns import EARTH_KM, accepted_pm25, haversine_km
+from aqgrid.operators import order
 from aqgrid.sources.scratch import written
 
+#: Of the search for neighbours: days of a span, rows of a part or block, and pairs of places that a task holds at once.
+SPAN, CROWD, PAIRS = 32, 200_000, 1 << 18
+
 
 def daily_mean(measurements: DataFrame) -> DataFrame:
     """Mean and count of accepted values by sensor and UTC day."""
@@ -43,8 +49,8 @@ def with_fallback(targets: DataFrame, daily: DataFrame, *, window_days: int = 7,
     )
 
 
-def neighbours(targets: DataFrame, valid: DataFrame, max_km: float) -> DataFrame:
-    """Pairs of a target and another sensor with a value on the same date, at most ``max_km`` apart.
+def _in_buckets(targets: DataFrame, valid: DataFrame, max_km: float) -> tuple[DataFrame, DataFrame]:
+    """Targets in the buckets (by, bx) that they look into, and measured sensors in their own.
 
     Buckets are bands of latitude at least ``max_km`` high, cut by longitude so that each is at least as wide at its own
     and its neighbouring bands' highest latitude; a target looks into the 3 x 3 around its own. The buckets of a band close to
@@ -73,10 +79,79 @@ def neighbours(targets: DataFrame, valid: DataFrame, max_km: float) -> DataFrame
         F.floor(F.col("latitude") / dy).alias("by"),
         slice_of("longitude", slices(F.floor(F.col("latitude") / dy))).alias("bx"),
     )
-    pairs = t.join(v, ["date", "by", "bx"]).where("other <> sensor_id")
+    return t, v
+
+
+def neighbours(targets: DataFrame, valid: DataFrame, max_km: float) -> DataFrame:
+    """Pairs of a target and another sensor with a value on the same date, at most ``max_km`` apart."""
+    t, v = _in_buckets(targets, valid, max_km)
+    pairs = t.join(v.hint("merge"), ["date", "by", "bx"]).where("other <> sensor_id")
     return pairs.withColumn("km", haversine_km(F.col("latitude"), F.col("longitude"), F.col("olat"), F.col("olon"))).where(F.col("km") <= max_km)
 
 
+def _near_sums(targets: DataFrame, known: DataFrame, max_km: float, power: float) -> DataFrame:
+    """For each target that has neighbours: their number n, the one within a metre with the smallest id (near, with its value opm),
+    and of the others the sum s of weighted values and w of the weights.
+
+    The pairs are never rows: in a bucket and a span of dates, the distances between the places of targets and of measured
+    sensors are worked out once for all dates, and matrix products add up the dates. Crowded buckets are dealt into parts of the
+    targets and blocks of the measured sensors, so that a task's memory is bounded; the work is the pairs of places."""
+    place = ["sensor_id", "date", "latitude", "longitude"]
+    day = F.date_diff("date", F.lit("1970-01-01").cast("date"))
+    span = F.floor(day / SPAN).alias("span"), F.pmod(day, F.lit(SPAN)).alias("day")
+    t, v = _in_buckets(targets, known, max_km)
+    t, v = t.where("sensor_id IS NOT NULL AND date IS NOT NULL").select("*", *span), v.where("other IS NOT NULL AND date IS NOT NULL").select("*", *span).drop("date")
+    keys = ["span", "by", "bx"]
+    # the densest bucket of measured sensors; one of targets has about those of nine boxes
+    most = v.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    box = targets.groupBy(span[0], F.floor(F.col("latitude") / (max_km / 110.0)).alias("by"), F.floor(F.col("longitude") / (max_km / 110.0)).alias("bx")).agg(F.count("*").alias("n"))
+    parts, blocks = max(1, -(-9 * (box.agg(F.max("n")).first()[0] or 0) // CROWD)), max(1, -(-most // CROWD))
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    keys += ["part", "block"]
+    t = t.withColumn("part", deal("sensor_id", parts)).withColumn("block", every(blocks)).repartition(order.parts(targets), *keys)
+    v = v.withColumn("block", deal("other", blocks)).withColumn("part", every(parts))
+
+    def add(ts: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
+        if not len(ts) or not len(vs):
+            return pd.DataFrame(columns=[*place, "n", "near", "opm", "s", "w"])
+        ids = pd.factorize(pd.concat([ts["sensor_id"], vs["other"]], ignore_index=True), sort=True)[0]
+        ts, vs = ts.assign(id=ids[: len(ts)]), vs.assign(id=ids[len(ts) :])
+        at, of = (d.groupby(c, sort=False).ngroup().to_numpy() for d, c in ((ts, ["id", "latitude", "longitude"]), (vs, ["id", "olat", "olon"])))
+        # the first row of each place
+        tp, vp = (d.iloc[np.unique(k, return_index=True)[1]] for d, k in ((ts, at), (vs, of)))
+        value, have = np.zeros((len(vp), SPAN)), np.zeros((len(vp), SPAN))
+        value[of, vs["day"]], have[of, vs["day"]] = vs["opm"], 1.0
+        n, s, w = (np.zeros((len(tp), SPAN)) for _ in range(3))
+        near, opm = np.full((len(tp), SPAN), -1), np.full((len(tp), SPAN), np.nan)
+        lat, lon, olat, olon = (np.radians(d[c].to_numpy(float)) for d, c in ((tp, "latitude"), (tp, "longitude"), (vp, "olat"), (vp, "olon")))
+        tid, vid = tp["id"].to_numpy(), vp["id"].to_numpy()
+        step = max(1, PAIRS // len(vp))
+        for k in range(0, len(tp), step):
+            a = slice(k, k + step)
+            h = np.sin((olat - lat[a, None]) / 2) ** 2 + np.cos(lat[a, None]) * np.cos(olat) * np.sin((olon - lon[a, None]) / 2) ** 2
+            km = 2 * EARTH_KM * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
+            ok = (km <= max_km) & (tid[a, None] != vid)
+            close = ok & (km < 0.001)
+            weight = np.zeros_like(km)
+            np.divide(1.0, km**power, out=weight, where=ok & ~close)
+            n[a], s[a], w[a] = ok.astype(float) @ have, weight @ value, weight @ have
+            x, y = np.nonzero(close)
+            for i, j in sorted(zip(x + k, y, strict=True), key=lambda p: -vid[p[1]]):  # the smallest id comes last
+                on = have[j] > 0
+                near[i, on], opm[i, on] = j, value[j, on]
+        cell = at, ts["day"].to_numpy()
+        who = near[cell]
+        out = ts[place].assign(n=n[cell].astype("int64"), opm=opm[cell], s=s[cell], w=w[cell])
+        out["near"] = vp["other"].astype(object).reset_index(drop=True).reindex(who).where(who >= 0, None).to_numpy()
+        return out[out["n"] > 0][[*place, "n", "near", "opm", "s", "w"]]
+
+    kind = known.schema["sensor_id"].dataType.simpleString()
+    schema = f"sensor_id {kind}, date date, latitude double, longitude double, n long, near {kind}, opm double, s double, w double"
+    sums = t.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInPandas(add, schema)
+    return sums.groupBy(*place).agg(F.sum("n").alias("n"), F.min("near").alias("near"), F.min_by("opm", "near").alias("opm"), F.sum("s").alias("s"), F.sum("w").alias("w"))
+
+
 def idw_fill(readings: DataFrame, *, max_km: float = 10.0, min_neighbours: int = 3, power: float = 2.0) -> DataFrame:
     """Fill missing values by inverse distance weighting over the same day's measured ones; a neighbour within a metre gives
     its own value (of several the one with the smallest id). Rows without coordinates or neighbours stay missing.
@@ -86,11 +161,8 @@ def idw_fill(readings: DataFrame, *, max_km: float = 10.0, min_neighbours: int =
     readings = written(readings, "readings")
     place = ["sensor_id", "date", "latitude", "longitude"]
     known = readings.where("pm25 IS NOT NULL").groupBy("sensor_id", "date").agg(F.min(F.struct("pm25", "latitude", "longitude")).alias("r")).select("sensor_id", "date", "r.*")
-    pairs = neighbours(readings.where("pm25 IS NULL").select(*place).distinct(), known, max_km)
-    w = F.when(F.col("km") >= 0.001, 1 / F.pow("km", F.lit(power)))
-    near = F.min(F.when(F.col("km") < 0.001, F.struct("other", "opm")))
-    est = pairs.groupBy(*place).agg(F.count("*").alias("n"), near.alias("near"), F.sum(w * F.col("opm")).alias("s"), F.sum(w).alias("w"))
-    est = est.where(F.col("n") >= min_neighbours).select(*place, F.coalesce("near.opm", F.try_divide("s", "w")).alias("idw"))
+    est = _near_sums(readings.where("pm25 IS NULL").select(*place).distinct(), known, max_km, power)
+    est = est.where(F.col("n") >= min_neighbours).select(*place, F.coalesce(F.when(F.col("near").isNotNull(), F.col("opm")), F.try_divide("s", "w")).alias("idw"))
     out = readings.join(est, place, "left").select(*readings.columns, "idw")
     new = F.col("pm25").isNull() & F.col("idw").isNotNull()
     return (

@@ -222,3 +222,20 @@ def test_areas_of_a_ring_with_a_hole_and_gaps(spark):
     over = lambda lo, hi, k: max(0.0, min(hi, 30 * k + 30) - max(lo, 30 * k))
     want = {(i, j): over(5, 295, i) * over(5, 295, j) - over(95, 205, i) * over(95, 205, j) for i in range(10) for j in range(10)}
     assert got == pytest.approx({k: v for k, v in want.items() if v > 1e-9})
+
+
+def test_neighbours_are_not_broadcast_and_crowds_are_dealt(spark, monkeypatch):
+    """The pairs are no rows of a join, and parts and blocks of a bucket give what one group gives."""
+    d = spark.range(600).selectExpr(
+        "id % 200 AS sensor_id", "date_add(DATE'2024-01-30', CAST(id DIV 200 AS INT)) AS date", "19 + 0.02 * ((id % 200 * 7919) % 97) / 97 AS latitude", "72.8 + 0.02 * ((id % 200 * 7907) % 89) / 89 AS longitude",
+        "CASE WHEN id % 3 = 0 THEN CAST(id AS DOUBLE) END AS pm25", "'none' AS fallback_type", "0L AS days_offset",
+    )
+    filled = lambda: readings.idw_fill(d, max_km=1.0)
+    whole = filled()
+    assert "FlatMapCoGroupsInPandas" in plan(whole) and not re.search(r"BroadcastHashJoin \[date#\d+, by", plan(whole))
+    want = {(r.sensor_id, r.date): r.pm25 for r in whole.collect()}
+    monkeypatch.setattr(readings, "CROWD", 20)
+    monkeypatch.setattr(readings, "PAIRS", 50)
+    got = {(r.sensor_id, r.date): r.pm25 for r in filled().collect()}
+    assert len(got) == 600 and {k: v and round(v, 9) for k, v in got.items()} == {k: v and round(v, 9) for k, v in want.items()}
+    assert sum(v is not None for v in want.values()) > 300
