@@ -288,8 +288,9 @@ def g9(spark, d):
 
 
 def _scene_pixels(spark, d):
-    k = F.col("l_partkey")
-    return table(spark, d, "lineitem").select(F.lit("b").alias("band"), F.expr("l_partkey DIV 50").alias("row"), (k % 50).alias("col"), F.col("l_quantity").alias("value"), F.struct("l_orderkey", "l_linenumber").alias("scene"))
+    """Lines as pixels of scenes. Some lines share their order and number; of those the first in the file comes first, as in SQL."""
+    k, scene = F.col("l_partkey"), F.struct("l_orderkey", "l_linenumber", "_metadata.file_path", "_metadata.row_index")
+    return table(spark, d, "lineitem").select(F.lit("b").alias("band"), F.expr("l_partkey DIV 50").alias("row"), (k % 50).alias("col"), F.col("l_quantity").alias("value"), scene.alias("scene"))
 
 
 @query("a10_composite", "SELECT 'b' AS band, l_partkey // 50 AS row, l_partkey % 50 AS col, median(l_quantity) AS value, count(l_quantity) AS n_scenes FROM lineitem GROUP BY l_partkey")
