@@ -172,3 +172,27 @@ def test_regression_of_a_target_far_from_zero(spark):
     w = np.array([max(1e-12, math.exp(-((v[3] - q.cx) ** 2 + (v[4] - q.cy) ** 2) / 400) * math.exp(-((v[5] - q.t) ** 2) / 25)) for v in rows])
     beta = np.linalg.pinv(x.T @ (w[:, None] * x)) @ (x.T @ (w * y))
     assert out[0.0][q.id] == pytest.approx((float(np.dot(q.x, beta)), math.sqrt(float((w * (y - x @ beta) ** 2).sum() / (w.sum() + 1e-12)))), rel=1e-9)
+
+
+def test_regression_by_nodes_equals_all_pairs(spark):
+    """Near queries and far ones, crowds apart from each other, and rows without a time or a place."""
+    schema = "id long, x array<double>, y double, cx double, cy double, t double"
+    r = random.Random(5)
+    some = lambda v, k: None if r.random() < k else v
+    place = lambda k: (r.uniform(0, 9) + 80 * (k % 3 == 0), r.uniform(0, 9) + 70 * (k % 3 == 1)) if k % 2 else (r.uniform(0, 100), r.uniform(0, 100))
+    rows = [(k, [1.0, r.random()], r.uniform(-9, 9), *((some(v, 0.03)) for v in place(k % 6 | 1)), some(r.uniform(0, 9), 0.1)) for k in range(400)]
+    asked = [(k, [1.0, r.random()], 0.0, *((some(v, 0.03)) for v in place(k)), some(r.uniform(0, 9), 0.1)) for k in range(300)]
+    train, query = spark.createDataFrame(rows, schema), spark.createDataFrame(asked, schema)
+    of = lambda **o: {v.id: (v.prediction, v.uncertainty) for v in gtwr.predict(train, query, 2, **o).collect()}
+    for h in ({"hs": 30.0, "ht": 5.0}, {"hs": 27.5}, {"hs": 1000.0, "ht": 1000.0}, {"hs": 5.0, "ht": 1.0}):  # the last reaches the least weight
+        got, want = of(**h), of(**h, parts=2, blocks=3)
+        assert len(got) == 300 and got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k], rel=1e-7, abs=1e-7) for k in want), h
+    one = spark.createDataFrame([(k, [1.0], float(k), 3.0, 4.0, 5.0) for k in range(4)], schema)
+    assert [v.prediction for v in gtwr.predict(one, one.limit(1), 1, hs=1.0, ht=1.0).collect()] == pytest.approx([1.5])
+
+
+def test_regression_grows_with_the_rows_not_the_pairs(spark):
+    from aqgrid.plans import registry
+
+    assert "CoGroupsInPandas" not in registry.queries()["m3_gtwr"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
