@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ def assemble(cells: DataFrame, signals: dict[str, DataFrame], daily: DataFrame,
 def bucketed(df: DataFrame, name: str, buckets: int, key: str = "grid_id") -> DataFrame:
     """Write a static table by buckets of its key, sorted; joins on the key then need no exchange of it. All static tables of
     one training table take the same number of buckets."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -63,10 +65,38 @@ def cell_readings(readings: DataFrame, assigned: DataFrame) -> DataFrame:
     return r.groupBy("grid_id", "date").agg(F.avg("pm25").alias("pm25"), F.sum("sample_count").cast("long").alias("sample_count"))
 
 
-def training_table(cells: DataFrame, *, layers: list[str], signals: dict[str, DataFrame], daily: DataFrame, measured: DataFrame, static: list[str]) -> DataFrame:
-    """``cells`` (grid_id, date, and what is computed of its bands) with the bucketed tables ``static`` by name, the as-of value of
-    each of their yearly ``layers``, the ``signals``, the weather of the date and PM2.5 where a sensor of the cell measured it."""
+def training_table(
+    cells: DataFrame, dates: DataFrame, *, bands: DataFrame, layers: list[str], signals: dict[str, DataFrame], daily: DataFrame, measured: DataFrame, static: list[str], rows: int = 2_000_000
+) -> DataFrame:
+    """Every one of the ``cells`` (grid_id) by every one of the ``dates`` (date), with ``bands`` (grid_id, date, and what is computed
+    of them), the bucketed tables ``static`` by name, the as-of value of each of their yearly ``layers``, the ``signals``, the
+    weather of the date and PM2.5 where a sensor of the cell measured it.
+
+    Most cells have nothing of their own on most dates. So what they have is brought to a list for each cell and year, of several
+    rows of a cell and date the greatest value counts, and the rows of all dates come out of these lists, about ``rows`` in a
+    task: none of them is shuffled or sorted."""
+    own = [bands, measured, *[d.select("grid_id", "date", F.col("value").alias(name), F.col("is_nodata").alias(f"{name}_is_nodata")) for name, d in signals.items()]]
+    flags = {f"{name}_is_nodata" for name in signals}
+    year = F.coalesce(F.year("date"), F.lit(0)).alias("year")
+    asked = dates.select("date").distinct()
+    calendar = asked.groupBy(year).agg(F.collect_list(F.struct("date")).alias("days")).select("year", F.col("days.date").alias("days"))
+    years = {r["year"]: r["n"] for r in calendar.select("year", F.size("days").alias("n")).collect()}
+    parts = max(cells.sparkSession.sparkContext.defaultParallelism, -(-cells.count() * sum(years.values()) // rows))
+    stacked = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), own).join(F.broadcast(asked), "date", "left_semi")
+    values = [c for c in stacked.columns if c not in ("grid_id", "date")]
+    one = stacked.withColumn("year", year).repartition(parts, "grid_id", "year").groupBy("grid_id", "year", "date").agg(*[F.max(c).alias(c) for c in values])
+    known = one.groupBy("grid_id", "year").agg(F.collect_list(F.struct("date", *values)).alias("known"))
     out = static_join(cells.sparkSession, cells, static)
+    kept = [c for c in out.columns if c not in ("grid_id", *[f"{value}_layers" for value in layers])]
+    out = out.withColumn("year", F.explode(F.array(*map(F.lit, years)).cast("array<int>"))).join(F.broadcast(calendar), "year").withColumn("date", F.get("days", F.lit(0)))
     for value in layers:
         out = as_of(out, value)
-    return assemble(out, signals, daily, []).join(measured, ["grid_id", "date"], "left")
+        kept += [value, f"{value}_year"]
+    out = out.drop("date").join(known, ["grid_id", "year"], "left")
+    own_days = F.coalesce("known.date", F.array().cast("array<date>"))
+    out = out.select("grid_id", *kept, "known", F.posexplode(F.concat(own_days, F.array_except("days", own_days))).alias("at", "date"))
+    found = lambda c: F.get("known", F.col("at"))[c]
+    out = out.select("grid_id", "date", *kept, *[F.coalesce(found(c), F.lit(True)).alias(c) if c in flags else found(c).alias(c) for c in values])
+    first, last = [c for c in bands.columns if c not in ("grid_id", "date")], [c for c in measured.columns if c not in ("grid_id", "date")]
+    weather = [c for c in daily.columns if c != "date"]
+    return out.join(F.broadcast(daily), "date", "left").select("grid_id", "date", *first, *kept, *[c for name in signals for c in (name, f"{name}_is_nodata")], *weather, *last)

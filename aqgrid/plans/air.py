@@ -901,20 +901,20 @@ def r1_training(spark, d):
     """Bands and an index, EVI of the month's source, interpolated NO2, the sky view of the latest layer, weather, dust, industry
     and PM2.5 of the cells' sensors. What stands by cell alone lies in buckets. Prices are divided so that none ends in a 5 at
     the seventh place."""
-    o, targets, seen = table(spark, d, "orders"), S.order_dates(spark, d), S.observed(spark, d)
+    o, targets, seen = table(spark, d, "orders"), S.order_dates(spark, d), scratch.written(S.observed(spark, d), "observed")
     day, own = F.to_date("o_orderdate").alias("date"), S.cell("o_custkey").alias("grid_id")
     bands = o.groupBy(own, day).agg((F.max("o_totalprice") / 1013700).alias("toa_b5"), (F.min("o_totalprice") / 2027400).alias("toa_b4"))
-    cells = seen.select(F.col("cell").alias("grid_id")).distinct().crossJoin(targets).join(bands, ["grid_id", "date"], "left")
-    cells = cells.withColumn("ndvi", C.ndvi(F.col("toa_b5"), F.col("toa_b4")))
+    bands = bands.withColumn("ndvi", C.ndvi(F.col("toa_b5"), F.col("toa_b4")))
+    cells = seen.select(F.col("cell").alias("grid_id")).distinct()
     year = F.year("o_orderdate")
-    layers = o.where(year % 2 == 1).groupBy(own, year.alias("year")).agg((F.max("o_totalprice") / 1013700).alias("svf"))
+    layers = o.where(year % 2 == 1).groupBy(own, year.alias("year")).agg(F.round(F.max("o_totalprice") / 1013700, 6).alias("svf"))
     c = table(spark, d, "customer")
     land = c.groupBy(S.cell("c_custkey").alias("grid_id")).agg(F.round(F.sum("c_acctbal"), 2).alias("dust_index_combined"), F.count_if(F.col("c_mktsegment") == "MACHINERY").alias("industrial_contrib_count"))
     names, buckets = [f"aqgrid_{kind}_{uuid.uuid4().hex}" for kind in ("land", "sky")], int(spark.conf.get("spark.sql.shuffle.partitions"))
     features.bucketed(land, names[0], buckets)
     features.bucketed(features.by_year(layers, "svf"), names[1], buckets)
     source = signals.month_source(targets, seen.select("date").distinct()).where("source_date IS NOT NULL")
-    evi = source.join(seen.withColumnRenamed("date", "source_date"), "source_date").select(F.col("cell").alias("grid_id"), "date", "value", F.lit(False).alias("is_nodata"))
+    evi = F.broadcast(source).join(seen.withColumnRenamed("date", "source_date"), "source_date").select(F.col("cell").alias("grid_id"), "date", "value", F.lit(False).alias("is_nodata"))
     no2 = signals.interpolate(targets, seen).withColumnRenamed("cell", "grid_id")
     lines = table(spark, d, "lineitem")
     daily = lines.groupBy(F.to_date("l_shipdate").alias("date")).agg(F.max("l_quantity").alias("temp_max"))
@@ -923,8 +923,8 @@ def r1_training(spark, d):
     grid = land.select("grid_id", (F.col("grid_id") % 15).alias("ix"), F.expr("grid_id DIV 15").alias("iy"))
     measured = lines.groupBy(F.col("l_suppkey").alias("sensor_id"), F.to_date("l_shipdate").alias("date")).agg(F.avg("l_quantity").alias("pm25"), F.count("*").alias("sample_count"))
     pm = features.cell_readings(measured, features.assign_cells(sensors, grid, x0=0.0, y0=0.0, res=30.0))
-    out = features.training_table(cells, layers=["svf"], signals={"sentinel2_evi": evi, "s5p_no2": no2}, daily=daily, measured=pm, static=names)
-    return r6(out, "toa_b5", "toa_b4", "ndvi", "sentinel2_evi", "s5p_no2", "svf", "pm25")
+    signal = {"sentinel2_evi": r6(evi, "value"), "s5p_no2": r6(no2, "value")}  # rounded before they are spread over all dates
+    return features.training_table(cells, targets, bands=r6(bands, "toa_b5", "toa_b4", "ndvi"), layers=["svf"], signals=signal, daily=daily, measured=r6(pm, "pm25"), static=names)
 
 
 _Q3 = _report(

@@ -196,3 +196,39 @@ def test_regression_grows_with_the_rows_not_the_pairs(spark):
     from aqgrid.plans import registry
 
     assert "CoGroupsInPandas" not in registry.queries()["m3_gtwr"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_all_dates_are_neither_shuffled_nor_paired(spark):
+    """Cells meet the dates as lists, after the last exchange and sort."""
+    from aqgrid.plans import registry
+
+    text = registry.queries()["r1_training_table"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    above = text[: text.index("Generate posexplode")]
+    assert "Exchange hashpartitioning" not in above and "Sort [" not in above
+
+
+def test_training_table_of_a_few_cells(spark):
+    day = lambda y, d: D(y, 5, d)
+    make = lambda schema, *rows: spark.createDataFrame(list(rows), schema)
+    try:
+        features.bucketed(make("grid_id long, dust double", (1, 5.0)), "t_few_land", 2)
+        features.bucketed(features.by_year(make("grid_id long, year int, svf double", (1, 2020, 0.5)), "svf"), "t_few_sky", 2)
+        out = features.training_table(
+            make("grid_id long", (1,), (2,)), make(ROWS.replace("id long, ", ""), (day(2019, 1),), (day(2020, 1),), (day(2020, 2),), (day(2020, 1),)),
+            bands=make("grid_id long, date date, b double", (1, day(2020, 1), 3.0), (1, day(2020, 9), 4.0), (7, day(2020, 1), 4.0)), layers=["svf"],
+            signals={"no2": make("grid_id long, date date, value double, is_nodata boolean", (2, day(2020, 2), 7.0, False), (1, day(2020, 1), None, True))},
+            daily=make("date date, temp double", (day(2020, 1), 20.0)), measured=make("grid_id long, date date, pm25 double", (2, day(2019, 1), 9.0)), static=["t_few_land", "t_few_sky"],
+        )
+        assert out.columns == ["grid_id", "date", "b", "dust", "svf", "svf_year", "no2", "no2_is_nodata", "temp", "pm25"]
+        assert sorted(map(tuple, out.collect())) == [
+            (1, day(2019, 1), None, 5.0, None, None, None, True, None, None),
+            (1, day(2020, 1), 3.0, 5.0, 0.5, 2020, None, True, 20.0, None),
+            (1, day(2020, 2), None, 5.0, 0.5, 2020, None, True, None, None),
+            (2, day(2019, 1), None, None, None, None, None, True, None, 9.0),
+            (2, day(2020, 1), None, None, None, None, None, True, 20.0, None),
+            (2, day(2020, 2), None, None, None, None, 7.0, False, None, None),
+        ]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS t_few_land")
+        spark.sql("DROP TABLE IF EXISTS t_few_sky")
