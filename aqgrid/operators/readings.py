@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aqgrid.functions.columns import EARTH_KM, accepted_pm25, haversine_km
@@ -29,23 +29,33 @@ def eligible(sensors: DataFrame, dates: DataFrame) -> DataFrame:
 
 def with_fallback(targets: DataFrame, daily: DataFrame, *, window_days: int = 7, min_samples: int = 3, seasonal: bool = True) -> DataFrame:
     """For each (sensor_id, date) the reading of the day, else of the nearest day (the earlier first), else of the same day
-    a year before or after, else none. One equi-join on (sensor, day): each target is spread over its candidate days."""
-    offsets = [(0, 0)] + [(s * k, 2 * k - (s < 0)) for k in range(1, window_days + 1) for s in (-1, 1)]
-    days = [F.struct(F.date_add("date", o).alias("day"), F.lit(p).alias("rank"), F.lit("exact" if p == 0 else "window").alias("kind")) for o, p in offsets]
+    a year before or after, else none. Targets and readings of a sensor stand in the order of their dates, where the reading
+    before and the one behind are the nearest; only targets that find none there look for other years, by an equi-join."""
+    good = daily.where((F.col("sample_count") >= min_samples) & F.col("sensor_id").isNotNull() & F.col("date").isNotNull())
+    good = good.select("sensor_id", "date", F.struct("pm25", F.col("sample_count").cast("long").alias("sample_count"), F.col("date").alias("day")).alias("_own"))
+    both = targets.withColumn("_asked", F.lit(True)).unionByName(good, allowMissingColumns=True)
+    up = [Window.partitionBy("sensor_id").orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.asc("date"), F.desc("date"))]
+    both = both.withColumns({"_before": F.last("_own", ignorenulls=True).over(up[0]), "_behind": F.last("_own", ignorenulls=True).over(up[1])}).where("_asked")
+    off = F.date_diff("date", "_before.day"), F.date_diff("_behind.day", "date")
+    first = (off[0] <= window_days) & ~F.coalesce(off[1] < off[0], F.lit(False))
+    near = F.when(first, F.col("_before")).when(off[1] <= window_days, F.col("_behind"))
+    kind = lambda b: F.when(b["day"] == F.col("date"), "exact").when(b["day"].isNotNull(), "window")
+    out = both.select(*targets.columns, near.alias("_b")).withColumn("_kind", kind(F.col("_b")))
     if seasonal:
-        leap_day = (F.month("date") == 2) & (F.dayofmonth("date") == 29)
-        days += [F.struct(F.when(~leap_day, F.add_months("date", 12 * y)).alias("day"), F.lit(1000 + (y > 0)).alias("rank"), F.lit("seasonal").alias("kind")) for y in (-1, 1)]
-    found = targets.select("sensor_id", "date", F.explode(F.array(*days)).alias("c")).select("sensor_id", "date", "c.*")
-    good = daily.where(F.col("sample_count") >= min_samples).select("sensor_id", F.col("date").alias("day"), "pm25", "sample_count")
-    best = found.join(good, ["sensor_id", "day"]).groupBy("sensor_id", "date").agg(F.min_by(F.struct("pm25", "sample_count", "day", "kind"), "rank").alias("b"))
-    out = targets.join(best, ["sensor_id", "date"], "left")
+        asked = out.where("_b IS NULL AND NOT (month(date) = 2 AND day(date) = 29)").select("sensor_id", "date").distinct()
+        years = F.explode(F.array(*[F.struct(F.add_months("date", 12 * y).alias("day"), F.lit(int(y > 0)).alias("rank")) for y in (-1, 1)]))
+        found = asked.select("sensor_id", "date", years.alias("c")).select("sensor_id", "date", "c.*")
+        best = found.join(good.withColumnRenamed("date", "day"), ["sensor_id", "day"]).groupBy("sensor_id", "date").agg(F.min_by("_own", "rank").alias("_other"))
+        out = out.join(best, ["sensor_id", "date"], "left")
+        take = F.col("_b").isNull()
+        out = out.withColumns({"_kind": F.when(take & F.col("_other").isNotNull(), "seasonal").otherwise(F.col("_kind")), "_b": F.when(take, F.col("_other")).otherwise(F.col("_b"))})
     return out.select(
         *targets.columns,
-        F.col("b.pm25").alias("pm25"),
-        F.coalesce("b.sample_count", F.lit(0)).cast("long").alias("sample_count"),
-        F.col("b.day").alias("actual_date"),
-        F.coalesce("b.kind", F.lit("none")).alias("fallback_type"),
-        F.coalesce(F.date_diff("b.day", "date"), F.lit(0)).cast("long").alias("days_offset"),
+        F.col("_b.pm25").alias("pm25"),
+        F.coalesce("_b.sample_count", F.lit(0)).cast("long").alias("sample_count"),
+        F.col("_b.day").alias("actual_date"),
+        F.coalesce("_kind", F.lit("none")).alias("fallback_type"),
+        F.coalesce(F.date_diff("_b.day", "date"), F.lit(0)).cast("long").alias("days_offset"),
     )
 
 

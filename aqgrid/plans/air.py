@@ -785,7 +785,7 @@ def t2_features(spark, d):
     readings to dates already worked out: the table that one batch gives."""
     m = S.as_measurements(_arrivals(spark, d))
     base = _folder(spark, "refreshed")
-    refreshed.refresh_stream(m, _targets(spark, d), base, f"{base}/state")
+    refreshed.refresh_stream(m, scratch.written(_targets(spark, d), "targets"), base, f"{base}/state")
     out = dated.read(spark, f"{base}/features", refreshed.REFRESHED)
     return r6(out, "pm25")
 

@@ -232,3 +232,27 @@ def test_training_table_of_a_few_cells(spark):
     finally:
         spark.sql("DROP TABLE IF EXISTS t_few_land")
         spark.sql("DROP TABLE IF EXISTS t_few_sky")
+
+
+def _substitute(have, day, window=7):
+    """The reading of a target by trying its days one after the other."""
+    tries = [(day, "exact")] + [(day + dt.timedelta(o), "window") for k in range(1, window + 1) for o in (-k, k)]
+    if (day.month, day.day) != (2, 29):
+        tries += [(day.replace(year=day.year + y), "seasonal") for y in (-1, 1)]
+    return next(((have[d][0], have[d][1], d, kind, (d - day).days) for d, kind in tries if d in have and have[d][1] >= 3), (None, 0, None, "none", 0))
+
+
+def test_substitutes_by_their_order(spark):
+    """Ties, months and years apart, leap days, sensors without readings, repeated targets; no target is spread over its days."""
+    r = random.Random(11)
+    span = [D(2019, 2, 1) + dt.timedelta(k) for k in range(1200)]
+    daily = {(s, d): (float(r.randrange(90)), r.choice([1, 3, 8])) for s in range(1, 9) for d in span if r.random() < s / 80}
+    daily |= {(9, D(2020, 2, 29)): (1.0, 5), (9, D(2021, 2, 28)): (2.0, 5), (10, D(2020, 3, 1)): (3.0, 3), (10, D(2020, 3, 7)): (4.0, 3)}
+    asked = [(s, d, float(s)) for s in range(0, 11) for d in span if s > 8 or r.random() < 0.3] + [(9, D(2020, 2, 28), 9.0), (None, D(2020, 3, 1), 0.0), (3, None, 0.0)]
+    measured = spark.createDataFrame([(*k, *v) for k, v in daily.items()] + [(None, D(2020, 3, 1), 7.0, 9)], "sensor_id long, date date, pm25 double, sample_count long")
+    out = readings.with_fallback(spark.createDataFrame(asked, "sensor_id long, date date, latitude double"), measured)
+    want = [(*a, *(_substitute({d: v for (s, d), v in daily.items() if s == a[0]}, a[1]) if None not in a else (None, 0, None, "none", 0))) for a in asked]
+    key = lambda x: tuple(map(str, x))
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(want, key=key) and {x[6] for x in want} == {"exact", "window", "seasonal", "none"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window [" in plan and "date_add(" not in plan
