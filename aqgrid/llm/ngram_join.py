@@ -13,9 +13,11 @@ within one chunk already, only as many entries travel to its bucket as show that
 they are dealt evenly, so that no task ever holds a popular list.
 
 Then within each group, whole texts at hand, with true inverted lists, the split of DivideSkip between merged and probed
-lists, and the exact test 100 |A n B| >= 75 |A u B|. Short lists are merged by a heap (by one sort where they have more than
-``HEAP_ENTRIES`` entries together, with the same outcome); a probe is a binary search for the candidate in the sorted list of
-a term. A pair of different classes has an end outside the largest class, so only documents there need a search.
+lists, and the exact test 100 |A n B| >= 75 |A u B|. Short lists are merged by a heap (by one count where they have more than
+``HEAP_ENTRIES`` entries together, with the same outcome). The other lists are probed for all candidates at once, those that
+hold a good part of the group as columns of bits, the rest by binary search in the sorted list of a term; candidates go as
+soon as what is left to probe can't link them. A pair of different classes has an end outside the largest class, so only
+documents there need a search: of many copies of one text these are the near misses, and each meets the whole group.
 
 Equal sets are one node throughout: copies collapse within a chunk before anything travels and by their digest after it.
 Groups larger than ``GROUP_SHINGLES`` are mostly texts that common phrases tie together, as the first order knows only the
@@ -58,6 +60,8 @@ SHORT_LIST = 32
 GROUP_SHINGLES = 2_000_000
 #: Entries of merged lists up to which a heap merges them.
 HEAP_ENTRIES = 4096
+#: Lists of one document in so many of a group, or more, are kept as bits, too.
+DENSE = 32
 #: Text that one bucket of lists stands for.
 BUCKET_BYTES = 16 << 20
 #: Entries of short lists that one bucket of a large group holds.
@@ -349,74 +353,108 @@ class Search:
         head = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
         self.begin, self.until = head, np.append(head[1:], len(h))
         self.lists = s.doc[order]
-        of = np.repeat(np.arange(len(head)), self.until - self.begin)
+        size = self.until - self.begin
+        of = np.repeat(np.arange(len(head)), size)
         self.entries = of * len(texts) + self.lists  # all lists one after the other, each sorted by document
         term = np.empty(len(h), np.int64)
         term[order] = of
         self.term = term  # of each document the terms; sorted, as they are numbered by hash
+        # a list of one document in DENSE or more is a column of bits, too: DENSE bits an entry at most
+        dense = (size > 1) & (size * DENSE >= len(texts))
+        self.column = np.where(dense, np.cumsum(dense) - 1, -1)
+        self.bits = np.zeros((len(texts), -(-int(dense.sum()) // 64)), np.uint64)
+        at = np.flatnonzero(dense[of])
+        column = self.column[of[at]]
+        np.bitwise_or.at(self.bits.reshape(-1), self.lists[at] * self.bits.shape[1] + (column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
 
     def terms(self, d: int) -> np.ndarray:
         return self.term[self.first[d] : self.first[d] + self.n[d]]
 
-    def merge(self, terms: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
+    def merge(self, terms: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Documents that occur in at least ``least`` of the lists of some terms, and how often."""
-        count = self.until[terms] - self.begin[terms]
-        if int(count.sum()) <= HEAP_ENTRIES:
-            heap = heapq.merge(*[self.lists[a:b].tolist() for a, b in zip(self.begin[terms].tolist(), self.until[terms].tolist(), strict=True)])
-            for c, run in itertools.groupby(heap):
-                if (often := sum(1 for _ in run)) >= least:
-                    yield c, often
-            return
-        where = np.repeat(self.begin[terms] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-        found, often = np.unique(self.lists[where], return_counts=True)
-        yield from zip(found[often >= least].tolist(), often[often >= least].tolist(), strict=True)
-
-    def partners(self, q: int, wanted) -> Iterator[int]:
-        """Documents that link with q, of those that ``wanted`` (asked once and again, as classes grow) lets pass."""
+        begin, count = self.begin[terms], self.until[terms] - self.begin[terms]
+        entries = int(count.sum())
+        if entries <= HEAP_ENTRIES:
+            heap = heapq.merge(*[self.lists[a:b].tolist() for a, b in zip(begin.tolist(), (begin + count).tolist(), strict=True)])
+            runs = [(c, often) for c, run in itertools.groupby(heap) if (often := sum(1 for _ in run)) >= least]
+            found, often = np.array(runs, np.int64).reshape(-1, 2).T
+            return found, often
+        docs = self.lists[np.repeat(begin - np.cumsum(count) + count, count) + np.arange(entries)]
+        if entries * 8 < len(self.n):
+            found, often = np.unique(docs, return_counts=True)
+            return found[often >= least], often[often >= least]
+        often = np.bincount(docs, minlength=len(self.n))
+        found = np.flatnonzero(often >= least)
+        return found, often[found]
+
+    def partners(self, q: int, wanted, label: np.ndarray | None = None) -> Iterator[int]:
+        """Documents that link with q, of those with another ``label`` that ``wanted`` (asked once and again, as classes grow)
+        lets pass. Candidates are dropped, all at once, when what is left to probe can't link them any more."""
         n = int(self.n[q])
         if not n:
             return
         need = int(needed(np.int64(n), self.percent))
         terms = self.terms(q)
         size = self.until[terms] - self.begin[terms]
+        if int((size > 1).sum()) < need:  # too many shingles that no other document has
+            return
         order = np.argsort(size, kind="stable")
         probed = divide_skip(n, int(size.max()), need)
         merged, rest = terms[order[: n - probed]], np.sort(terms[order[n - probed :]])
-        if not len(merged):
-            return
-        for c, have in self.merge(merged, need - probed):
-            m = int(self.n[c])
-            if c == q or 100 * min(n, m) < self.percent * max(n, m) or not wanted(c):
-                continue
-            if len(rest):  # probe the lists of these terms for c
-                wanted_entries = rest * len(self.n) + c
+        found, have = self.merge(merged, need - probed)
+        m = self.n[found]
+
+        def may(left: int) -> np.ndarray:
+            return (100 + self.percent) * (have + left) >= self.percent * (n + m)
+
+        keep = (found != q) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)) & may(len(rest))
+        if label is not None:
+            keep &= label[found] != label[q]
+        found, have, m = found[keep], have[keep], m[keep]
+        column = self.column[rest]
+        dense, rest = column[column >= 0], rest[column < 0]
+        if len(dense) and len(found):  # probe the long lists of these terms for all candidates
+            mask = np.zeros(self.bits.shape[1], np.uint64)
+            np.bitwise_or.at(mask, dense >> 6, np.uint64(1) << (dense & 63).astype(np.uint64))
+            at = np.flatnonzero(mask)
+            step = max(1, (1 << 20) // len(at))
+            for x in range(0, len(found), step):
+                have[x : x + step] += np.bitwise_count(self.bits[found[x : x + step, None], at] & mask[at]).sum(axis=1, dtype=np.int64)
+            keep = may(len(rest))
+            found, have, m = found[keep], have[keep], m[keep]
+        if len(rest) and len(found):  # and the others by binary search
+            step = max(1, (1 << 20) // len(rest))
+            for x in range(0, len(found), step):
+                wanted_entries = rest * len(self.n) + found[x : x + step, None]
                 at = np.minimum(np.searchsorted(self.entries, wanted_entries), len(self.entries) - 1)
-                have += int((self.entries[at] == wanted_entries).sum())
-            if 100 * have >= self.percent * (n + m - have):
+                have[x : x + step] += (self.entries[at] == wanted_entries).sum(axis=1)
+        for c in found[may(0)].tolist():
+            if wanted(c):
                 yield c
 
 
 class Forest:
-    """Classes, each named by its smallest member, and the largest of them."""
+    """Classes, each with a label that all its members have, and the label of the largest of them."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
-        self.size = [1] * n
+        self.label = np.arange(n)
+        self.members = [[x] for x in range(n)]
         self.largest = 0
 
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
+    def size(self, x: int) -> int:
+        return len(self.members[self.label[x]])
+
+    def apart(self, x: int, y: int) -> bool:
+        return self.label[x] != self.label[y]
 
     def join(self, x: int, y: int) -> None:
-        x, y = sorted((self.root(x), self.root(y)))
-        if x != y:
-            self.up[y] = x
-            self.size[x] += self.size[y]
-        if self.size[x] > self.size[self.root(self.largest)]:
-            self.largest = x
+        x, y = sorted((int(self.label[x]), int(self.label[y])), key=lambda c: len(self.members[c]))
+        if x != y:  # the members of the smaller class take the label of the larger one
+            self.label[self.members[x]] = y
+            self.members[y] += self.members[x]
+            self.members[x] = []
+        if len(self.members[y]) > len(self.members[self.largest]):
+            self.largest = y
 
 
 def search_group(ids: list[int], texts: list[bytes], k: int, percent: int, query: list[bool] | None = None, classes: list[int] | None = None) -> list[tuple[int, int]]:
@@ -430,7 +468,7 @@ def search_group(ids: list[int], texts: list[bytes], k: int, percent: int, query
     out: list[tuple[int, int]] = []
 
     def ask(q: int) -> None:
-        for c in search.partners(q, lambda c: forest.root(c) != forest.root(q)):
+        for c in search.partners(q, lambda c: forest.apart(c, q), forest.label):
             forest.join(c, q)
             out.append((ids[q], ids[c]))
 
@@ -443,13 +481,13 @@ def search_group(ids: list[int], texts: list[bytes], k: int, percent: int, query
     while waiting:
         later = []
         for q in waiting:
-            if forest.size[forest.root(q)] > 1 and forest.root(q) == forest.root(forest.largest):
+            if forest.size(q) > 1 and forest.label[q] == forest.largest:
                 later.append(q)  # all others may come to it instead
             else:
                 ask(q)
         if len(later) == len(waiting):
             break
-        waiting = [q for q in later if forest.root(q) != forest.root(forest.largest)]
+        waiting = [q for q in later if forest.label[q] != forest.largest]
     return out
 
 
@@ -516,14 +554,20 @@ def ngram_join(docs: DataFrame, *, k: int = 5, percent: int = 75, id_col: str =
     discard(lists, grouped)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     picked = texts.hint("merge").join(chosen.withColumnRenamed("head", "id"), "id")  # what is chosen grows with the input
+    large = not chosen.where(F.col("total") > group_shingles).isEmpty()
+    if large:
+        picked = written(picked, "picked")  # so that the texts travel once for groups of either kind
     links = _links(picked.where(F.col("total") <= group_shingles).select("grp", "id", "text"), ["grp"], k, percent)
-    if not chosen.where(F.col("total") > group_shingles).isEmpty():
-        large = regrouped(picked.where(F.col("total") > group_shingles), k=k, percent=percent, short_list=short_list)
-        links = links.union(_links(large.where(F.col("total") <= group_shingles).select("grp", "id", "text"), ["grp"], k, percent))
-        large = large.where(F.col("total") > group_shingles).drop("total")
-        if not large.isEmpty():
-            links = links.union(_large_links(large, k, percent, group_shingles))
-    named = components(written(links, "links")).withColumnsRenamed({"node": "head", "component": "linked"})
+    if large:
+        cut = regrouped(picked.where(F.col("total") > group_shingles), k=k, percent=percent, short_list=short_list)
+        links = links.union(_links(cut.where(F.col("total") <= group_shingles).select("grp", "id", "text"), ["grp"], k, percent))
+        cut = cut.where(F.col("total") > group_shingles).drop("total")
+        if not cut.isEmpty():
+            links = links.union(_large_links(cut, k, percent, group_shingles))
+    links = written(links, "links")
+    if large:
+        discard(picked)
+    named = components(links).withColumnsRenamed({"node": "head", "component": "linked"})
     classes = sets.join(named, "head", "left").select("k1", "k2", F.coalesce("linked", "head").alias("class"))
     # the smallest id of a class is its smallest head, as heads are the smallest ids of equal sets
     out = rows.join(classes, ["k1", "k2"], "left")

@@ -204,6 +204,33 @@ def test_search_with_any_split_finds_the_same(monkeypatch, seed):
         assert got == want
 
 
+def near_misses(n=150):
+    """Copies of one text, of which every third keeps so many of its words that it links with the others, the rest too few."""
+    r = random.Random(7)
+    base = [f"w{i}" for i in range(200)]
+    out = []
+    for d in range(n):
+        ws = list(base)
+        for p in r.sample(range(0, 200, 5), 8 if d % 3 else 1):
+            ws[p] = f"e{d}x{p}"
+        out.append(" ".join(ws).encode())
+    return out
+
+
+@pytest.mark.parametrize("dense", [0, 1, 32, 10**9])
+def test_near_misses_are_dropped_before_any_is_asked_for(monkeypatch, dense):
+    monkeypatch.setattr(ngram_join, "DENSE", dense, raising=False)
+    texts = near_misses()
+    s, asked, got = ngram_join.Search(texts, 5, 75), [], set()
+    for q in range(len(texts)):
+        got |= {(q, c) for c in s.partners(q, lambda c, q=q: asked.append((q, c)) or True)}
+    sets = [set(s.terms(d).tolist()) for d in range(len(texts))]
+    links = {(a, b) for a in range(len(texts)) for b in range(len(texts)) if a != b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert 0 < len(links) < len(texts) ** 2 / 4
+    assert got == links
+    assert sorted(asked) == sorted(links)  # no pair costs a step of its own but those that link
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_asking_outside_the_largest_class_finds_all_classes(seed):
     rows = {d: t for d, t in near_copies(seed, 90).items() if t}
